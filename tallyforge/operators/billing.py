@@ -84,8 +84,19 @@ def apply_contracts(rated: DataFrame, contracts: DataFrame) -> DataFrame:
     )
 
 
+_PERIOD_END = {
+    "month": F.last_day,
+    "week": lambda start: F.date_add(start, 6),
+    "day": lambda start: start,
+}
+
+
 def build_invoices(
-    rated: DataFrame, contracts: DataFrame | None = None, tax_rate: str = "0.20", currency: str = "USD"
+    rated: DataFrame,
+    contracts: DataFrame | None = None,
+    tax_rate: str = "0.20",
+    currency: str = "USD",
+    period: str = "month",
 ) -> DataFrame:
     """H4: one invoice per organisation and period, with its lines as an array.
 
@@ -117,10 +128,12 @@ def build_invoices(
     subtotal = F.col("amount").cast(MONEY)
     tax = F.round(subtotal * F.lit(tax_rate).cast("decimal(5,4)"), 2).cast(MONEY)
     return charges.join(lines, ["period_start", "organization_id"]).select(
-        F.concat_ws("-", F.lit("INV"), F.date_format("period_start", "yyyy-MM"), "organization_id").alias("invoice_number"),
+        F.concat_ws("-", F.lit("INV"), F.date_format("period_start", "yyyy-MM-dd"), "organization_id").alias(
+            "invoice_number"
+        ),
         "organization_id",
         "period_start",
-        F.last_day("period_start").alias("period_end"),
+        _PERIOD_END[period](F.col("period_start")).alias("period_end"),
         subtotal.alias("subtotal"),
         tax.alias("tax"),
         (subtotal + tax).cast(MONEY).alias("total"),

@@ -214,36 +214,59 @@ def usage_report(
     daily_state: DataFrame,
     hourly_state: DataFrame,
     catalog: dict[str, DataFrame],
-    org: str,
+    org: str | None,
     start: Moment,
     end: Moment,
     breakdown: bool = False,
 ) -> DataFrame:
-    """Organisation, period and summary in one nested row; no row for an unknown organisation."""
-    profile = org_profile(catalog, org).select(
-        F.struct(F.col("organization_id").alias("id"), "name", "plan_slug").alias("organization")
-    )
-    summary = usage_summary(daily_state, org, start, end)
-    report = profile.select(
-        "organization",
+    """Organisation, period and summary as nested rows, with the chains and
+    ten busiest methods as arrays if asked for.
+
+    One row for ``org`` (none if it is unknown), or one per organisation.
+    """
+    daily = _of(_days(daily_state, start, end), "organization_id", org)
+    by = ["organization_id"]
+    quantiles = (0.95, 0.99)
+    summary = _summary(daily, by, quantiles)
+    zero = [
+        F.coalesce("total_requests", F.lit(0)).alias("total_requests"),
+        F.coalesce("total_compute_units", F.lit(0)).alias("total_compute_units"),
+        F.coalesce("total_egress_gb", F.lit(0.0)).alias("total_egress_gb"),
+        F.coalesce("error_count", F.lit(0)).alias("error_count"),
+        "error_rate_pct",
+        "latency_p95",
+        "latency_p99",
+        F.coalesce("success_rate_pct", F.lit(0.0)).alias("success_rate_pct"),
+    ]
+    profile = org_profile(catalog, org).select("organization_id", "name", "plan_slug")
+    report = profile.join(summary, by, "left").select(
+        *by,
+        F.struct(F.col("organization_id").alias("id"), "name", "plan_slug").alias("organization"),
         F.struct(at(start).alias("start"), at(end).alias("end")).alias("period"),
-        summary.select(F.struct("*")).scalar().alias("summary"),
-    )
-    if not breakdown:
-        return report
-    return report.withColumns(
-        {
-            "by_chain": _as_list(usage_by_chain(daily_state, org, start, end)),
-            "top_methods": _as_list(usage_by_method(hourly_state, org, start, end, 10)),
-        }
+        F.struct(*zero).alias("summary"),
     )
+    if breakdown:
+        hourly = _of(_hours(hourly_state, start, end), "organization_id", org)
+        chains = _listed(_top(_by_chain(daily, by), MAX_CHAINS, *_CHAIN_ORDER), "by_chain")
+        methods = _listed(_top(_by_method(hourly, by), 10, "method"), "top_methods")
+        report = report.join(chains, by, "left").join(methods, by, "left")
+        for column in ("by_chain", "top_methods"):
+            report = report.withColumn(column, F.coalesce(column, F.array().cast(report.schema[column].dataType)))
+    return report.drop("organization_id")
 
 
-def _as_list(report: DataFrame) -> Column:
-    """A short, already limited report as an array, busiest first."""
-    ordered = F.struct((-F.col("requests")).alias("_order"), F.struct(*report.columns).alias("row"))
-    listed = F.transform(F.array_sort(F.collect_list(ordered)), lambda entry: entry["row"])
-    return report.agg(listed).scalar()
+def _top(report: DataFrame, limit: int, *ties: str) -> DataFrame:
+    """The busiest rows of each organisation; Spark cuts groups down before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy("organization_id").orderBy(*_busiest(*ties)))
+    return report.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
+
+
+def _listed(report: DataFrame, name: str) -> DataFrame:
+    """Each organisation's rows, already limited by ``_top``, as an array, busiest first."""
+    columns = [c for c in report.columns if c != "organization_id"]
+    entry = F.struct((-F.col("requests")).alias("_order"), F.struct(*columns).alias("row"))
+    ordered = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["row"])
+    return report.groupBy("organization_id").agg(ordered.alias(name))
 
 
 GRAINS = ("summary", "chain", "method", "daily", "hourly", "api_key")
@@ -259,16 +282,12 @@ def usage_reports_all(
     """
     by = ["organization_id"]
 
-    def top(report: DataFrame, limit: int, *ties: str) -> DataFrame:
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*_busiest(*ties)))
-        return report.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
-
     if grain == "summary":
         return _summary(_days(daily_state, start, end), by, (0.95, 0.99))
     if grain == "chain":
-        return top(_by_chain(_days(daily_state, start, end), by), MAX_CHAINS, *_CHAIN_ORDER)
+        return _top(_by_chain(_days(daily_state, start, end), by), MAX_CHAINS, *_CHAIN_ORDER)
     if grain == "method":
-        return top(_by_method(_hours(hourly_state, start, end), by), DEFAULT_METHODS, "method")
+        return _top(_by_method(_hours(hourly_state, start, end), by), DEFAULT_METHODS, "method")
     if grain == "daily":
         return _daily(_days(daily_state, start, end), by)
     if grain == "hourly":

@@ -206,10 +206,11 @@ FROM rpc_endpoints
 
 VIEWS["c_plan_chain_limits"] = r"""
 SELECT * FROM (VALUES
-  ('pcl-1', 'plan-free', 'chain-eth-mainnet', 1, 50, 2, CAST(NULL AS INT)),
-  ('pcl-2', 'plan-pro', 'chain-arb-mainnet', CAST(NULL AS INT), 20000, 60, 100),
-  ('pcl-3', 'plan-basic', 'chain-eth-mainnet', CAST(NULL AS INT), CAST(NULL AS INT), 40, 120)
-) AS t(id, plan_id, chain_id, rate_limit_per_second, rate_limit_per_minute, compute_units_per_second, compute_units_per_day)
+  ('pcl-1', 'plan-free', 'chain-eth-mainnet', CAST(NULL AS INT), 50, CAST(NULL AS INT), 1, 8, 60),
+  ('pcl-2', 'plan-pro', 'chain-arb-mainnet', CAST(NULL AS INT), 20000, 1, CAST(NULL AS INT), 60, 100),
+  ('pcl-3', 'plan-basic', 'chain-eth-mainnet', 1, CAST(NULL AS INT), 2, 3, 40, 120)
+) AS t(id, plan_id, chain_id, rate_limit_per_second, rate_limit_per_minute, rate_limit_per_hour, rate_limit_per_day,
+  compute_units_per_second, compute_units_per_day)
 """
 
 VIEWS["c_method_compute_units"] = r"""
@@ -217,12 +218,41 @@ SELECT 'mcu-' || CAST(i AS STRING) AS id, chain_type, rpc_method AS method_name,
 FROM method_units
 """
 
+# Limits low enough to be reached by the test log.
+VIEWS["low_limit_plans"] = r"""
+SELECT * FROM (VALUES ('plan-free', 'free', 1, 1, 1), ('plan-basic', 'basic', 1, 1, 2), ('plan-pro', 'pro', 1, 2, 3),
+  ('plan-enterprise', 'enterprise', 1, 2, 4)) AS t(id, slug, rate_limit_per_minute, rate_limit_per_hour, rate_limit_per_day)
+"""
+
+VIEWS["price_book"] = r"""
+SELECT * FROM (VALUES ('free', 100, 0.000000), ('basic', 500, 0.002000), ('pro', 300, 0.001500), ('enterprise', 0, 0.001250))
+  AS t(plan_slug, included_units, overage_rate)
+"""
+
+VIEWS["chain_coefficients"] = r"""
+SELECT * FROM (VALUES ('eth-mainnet', 1.5000), ('polygon-mainnet', 0.7500), ('arb-mainnet', 1.2500)) AS t(chain_slug, coefficient)
+"""
+
+VIEWS["contracts"] = r"""
+SELECT DISTINCT 'org' || CAST(user_id % 20 AS STRING) AS organization_id,
+  CASE (user_id % 20) % 3 WHEN 0 THEN 'FIXED' WHEN 1 THEN 'METERED' ELSE 'HYBRID' END AS contract_type,
+  CASE WHEN (user_id % 20) % 3 = 1 THEN CAST(NULL AS DECIMAL(10,2)) ELSE CAST(500.50 AS DECIMAL(10,2)) END AS price_fixed
+FROM events WHERE user_id % 20 <> 13
+"""
+
+VIEWS["spans"] = r"""
+SELECT request_id AS trace_id, event_time, latency_ms AS duration_ms,
+  rpc_method, chain_slug, plan_slug, organization_id, compute_units, CAST(substring(request_id, 5) AS BIGINT) AS n
+FROM requests
+"""
+
 CATALOG_VIEWS = [name for name in VIEWS if name.startswith("c_")]
 
 _NEEDS = {
     "requests": ["fx_chains", "method_units"],
     "rpc_endpoints": ["fx_chains"],
     "raw_access_log": ["fx_chains", "method_units"],
+    "spans": ["fx_chains", "method_units", "requests"],
     "c_organizations": ["organizations"],
     "c_plans": ["plans"],
     "c_subscriptions": ["subscriptions"],
@@ -245,8 +275,11 @@ def common_tables(*names: str) -> str:
 
 
 def check_sql(names: list[str], body: str) -> str:
-    """A check query: the views as common tables, then ``body``."""
-    return f"WITH {common_tables(*names)}\n{body.strip()}"
+    """A check query: the views as common tables, then ``body``.
+
+    ``body`` may start with further common tables, after a comma.
+    """
+    return f"WITH RECURSIVE {common_tables(*names)}\n{body.strip()}"
 
 
 def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
@@ -263,6 +296,14 @@ def view_of(spark: SparkSession, source: str, name: str) -> DataFrame:
     return spark.sql(text.replace("FROM events", f"FROM {source}"))
 
 
+def load_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request log as a stream over the Parquet files of ``events``."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    spark.readStream.schema(schema).parquet(f"{sf_dir}/events*.parquet").createOrReplaceTempView("tallyforge_stream")
+    return view_of(spark, "tallyforge_stream", "requests")
+
+
 def load_catalog(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     frames = load(spark, sf_dir, *CATALOG_VIEWS)
     return {name[2:]: frame for name, frame in zip(CATALOG_VIEWS, frames, strict=True)}
