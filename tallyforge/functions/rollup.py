@@ -29,6 +29,15 @@ from tallyforge.functions.measures import quantile_label
 TOTAL = "total"
 
 
+def quantile_columns(quantiles: Mapping[str, Sequence[float]]) -> list[Column]:
+    """``<value>_p<q>`` columns from the percentile arrays ``_q_<value>``."""
+    return [
+        F.col(f"_q_{name}")[i].alias(f"{name}_{quantile_label(q)}")
+        for name, qs in quantiles.items()
+        for i, q in enumerate(qs)
+    ]
+
+
 @dataclass(frozen=True)
 class Rollup:
     """A rollup described by SQL expressions over the request log."""
@@ -58,30 +67,64 @@ class Rollup:
         """
         wanted = set(facets) if facets is not None else set(self.facets())
         wanted.add(TOTAL)
-        inputs = requests.select(
+        wanted_facets = [f for f in self.facets() if f in wanted]
+        rows = self._rows(self._inputs(requests, wanted_facets), wanted_facets, measured=TOTAL)
+        return self._combine(rows, list(self.keys))
+
+    def compute(
+        self,
+        requests: DataFrame,
+        quantiles: Mapping[str, Sequence[float]] | None = None,
+        members: Sequence[str] | None = None,
+    ) -> DataFrame:
+        """Readable metrics straight from a log, when no state is to be kept.
+
+        Without distinct members this is one grouped aggregation: Spark's
+        percentile buffer counts values on the map side, so a hot group sends
+        one bounded buffer per map task.  With members, distinct counting and
+        percentiles go through partial rows, where the sums ride on the rows
+        of the first facet.
+        """
+        _, quantiles, members = self._wanted(None, quantiles, members)
+        facets = [*quantiles, *members] or [TOTAL]
+        inputs = self._inputs(requests, facets)
+        if members:
+            rows = self._rows(inputs, facets, measured=facets[0])
+            return self.finish(self._combine(rows, list(self.keys)), None, quantiles, members)
+        done = inputs.groupBy(*self.keys).agg(
+            *[F.sum(f"_s_{k}").alias(k) for k in self.sums],
+            *[F.max(f"_m_{k}").alias(k) for k in self.maxes],
+            *[F.percentile(f"_v_{v}", [float(q) for q in qs]).alias(f"_q_{v}") for v, qs in quantiles.items()],
+        )
+        return done.select(*self.keys, *self.sums, *self.maxes, *quantile_columns(quantiles))
+
+    def _inputs(self, requests: DataFrame, facets: Sequence[str]) -> DataFrame:
+        return requests.select(
             *[F.expr(e).alias(k) for k, e in self.keys.items()],
             *[F.expr(e).cast("bigint").alias(f"_s_{k}") for k, e in self.sums.items()],
             *[F.expr(e).cast("bigint").alias(f"_m_{k}") for k, e in self.maxes.items()],
-            *[F.expr(e).cast("bigint").alias(f"_v_{k}") for k, e in self.values.items() if k in wanted],
-            *[F.expr(e).cast("string").alias(f"_i_{k}") for k, e in self.members.items() if k in wanted],
+            *[F.expr(e).cast("bigint").alias(f"_v_{k}") for k, e in self.values.items() if k in facets],
+            *[F.expr(e).cast("string").alias(f"_i_{k}") for k, e in self.members.items() if k in facets],
         )
 
+    def _rows(self, inputs: DataFrame, facets: Sequence[str], measured: str) -> DataFrame:
+        """One row per request and facet; the facet ``measured`` carries the sums."""
         no_number, no_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
 
-        def entry(facet: str, value: Column, member: Column, measured: bool) -> Column:
-            return F.struct(
+        def row(facet: str) -> list[Column]:
+            carries = facet == measured
+            return [
                 F.lit(facet).alias("facet"),
-                value.alias("value"),
-                member.alias("member"),
+                (F.col(f"_v_{facet}") if facet in self.values else no_number).alias("value"),
+                (F.col(f"_i_{facet}") if facet in self.members else no_text).alias("member"),
                 F.lit(1).cast("bigint").alias("n"),
-                *[(F.col(f"_s_{k}") if measured else no_number).alias(k) for k in self.sums],
-                *[(F.col(f"_m_{k}") if measured else no_number).alias(k) for k in self.maxes],
-            )
+                *[(F.col(f"_s_{k}") if carries else no_number).alias(k) for k in self.sums],
+                *[(F.col(f"_m_{k}") if carries else no_number).alias(k) for k in self.maxes],
+            ]
 
-        entries = [entry(TOTAL, no_number, no_text, True)]
-        entries += [entry(k, F.col(f"_v_{k}"), no_text, False) for k in self.values if k in wanted]
-        entries += [entry(k, no_number, F.col(f"_i_{k}"), False) for k in self.members if k in wanted]
-        return self._combine(inputs.select(*self.keys, F.inline(F.array(*entries))), list(self.keys))
+        if len(facets) == 1:
+            return inputs.select(*self.keys, *row(facets[0]))
+        return inputs.select(*self.keys, F.inline(F.array(*[F.struct(*row(f)) for f in facets])))
 
     def _combine(self, partial: DataFrame, keys: Sequence[str]) -> DataFrame:
         return partial.groupBy(*keys, "facet", "value", "member").agg(
@@ -105,16 +148,13 @@ class Rollup:
         quantiles: Mapping[str, Sequence[float]] | None = None,
         members: Sequence[str] | None = None,
     ) -> DataFrame:
-        """Readable metrics from rows already merged at ``keys``.
+        """Readable metrics from rows that hold each member once per ``keys``.
 
         Columns: the keys, the sums, the maxima, ``<value>_p<q>`` per wanted
         quantile (linear interpolation) and ``unique_<member>`` counts.
         """
         keys, quantiles, members = self._wanted(keys, quantiles, members)
         merged = merged.where(F.col("facet").isin(TOTAL, *quantiles, *members))
-        if keys and not quantiles and not members:
-            # Totals are already one row per key group.
-            return merged.select(*keys, *self.sums, *self.maxes)
         aggregates = [F.sum(k).alias(k) for k in self.sums] + [F.max(k).alias(k) for k in self.maxes]
         for name, qs in quantiles.items():
             seen = F.when(F.col("facet") == name, F.col("value"))
@@ -123,12 +163,9 @@ class Rollup:
             known = (F.col("facet") == name) & F.col("member").isNotNull()
             aggregates.append(F.count_if(known).alias(f"unique_{name}"))
         done = merged.groupBy(*keys).agg(*aggregates)
-        points = [
-            F.col(f"_q_{name}")[i].alias(f"{name}_{quantile_label(q)}")
-            for name, qs in quantiles.items()
-            for i, q in enumerate(qs)
-        ]
-        return done.select(*keys, *self.sums, *self.maxes, *points, *[f"unique_{m}" for m in members])
+        return done.select(
+            *keys, *self.sums, *self.maxes, *quantile_columns(quantiles), *[f"unique_{m}" for m in members]
+        )
 
     def finalize(
         self,
@@ -137,10 +174,14 @@ class Rollup:
         quantiles: Mapping[str, Sequence[float]] | None = None,
         members: Sequence[str] | None = None,
     ) -> DataFrame:
-        """Merge at ``keys`` and finish."""
+        """Readable metrics from any partial rows, at ``keys`` or coarser.
+
+        Sums and value counts add up without being merged first; only members
+        seen in several partial rows must become one.
+        """
         keys, quantiles, members = self._wanted(keys, quantiles, members)
-        merged = self.merge(state, keys, facets=[*quantiles, *members])
-        return self.finish(merged, keys, quantiles, members)
+        rows = self.merge(state, keys, facets=[*quantiles, *members]) if members else state
+        return self.finish(rows, keys, quantiles, members)
 
     def _wanted(
         self,

@@ -31,21 +31,28 @@ def _over_limit(limited: DataFrame, scope: Sequence[str], amount: Column) -> Dat
     ``limit_value``.  Totals restart with each calendar unit and run in order
     of event_time_ms, request_id.
 
-    The running total is split at seconds: totals per second come from an
-    ordinary aggregation, the window over them holds at most 86 400 rows, and
-    only seconds in which a limit is passed are ranked request by request.
-    So no task sorts all requests of a busy consumer.
+    Three narrowing passes keep both shuffles and tasks small.  Totals per
+    scope and unit, which combine on the map side, tell where a limit is
+    passed at all; most scopes end there.  The others get totals per second,
+    and a window over those, at most 86 400 rows, tells in which seconds the
+    limit is already passed.  Only the requests of such seconds are ranked,
+    second by second, so no task sorts all requests of a busy consumer.
     """
     keys = [*scope, "limit_type"]
-    bare = limited.withColumns({"_second": F.date_trunc("second", "event_time"), "_amount": amount.cast("bigint")})
-    used = bare.groupBy(*keys, "_second").agg(
-        F.sum("_amount").alias("_used"),
-        F.min("limit_value").alias("_least"),
+    bare = limited.withColumns(
+        {
+            "_second": F.date_trunc("second", "event_time"),
+            "_unit": F.expr("date_trunc(limit_type, event_time)"),
+            "_amount": amount.cast("bigint"),
+        }
     )
-    unit = F.expr("date_trunc(limit_type, _second)")
+    total, least = F.sum("_amount").alias("_used"), F.min("limit_value").alias("_least")
+    busy = bare.groupBy(*keys, "_unit").agg(total, least).where(F.col("_used") > F.col("_least"))
+    suspects = bare.join(busy.select(*keys, "_unit"), [*keys, "_unit"], "left_semi")
     earlier = Window.partitionBy(*keys, "_unit").orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
     passed = (
-        used.withColumn("_unit", unit)
+        suspects.groupBy(*keys, "_unit", "_second")
+        .agg(total, least)
         .withColumn("_before", F.coalesce(F.sum("_used").over(earlier), F.lit(0)))
         .where(F.col("_before") + F.col("_used") > F.col("_least"))
         .select(*keys, "_second", "_before")

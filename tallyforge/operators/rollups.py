@@ -121,7 +121,7 @@ def _latency_columns(done: DataFrame) -> DataFrame:
 
 def latency_metrics(requests: DataFrame) -> DataFrame:
     """Latency buckets and percentiles per minute, route and upstream."""
-    return _latency_columns(LATENCY_METRICS.finish(LATENCY_METRICS.state(requests)))
+    return _latency_columns(LATENCY_METRICS.compute(requests))
 
 
 def _health_columns(done: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def _health_columns(done: DataFrame) -> DataFrame:
 
 def chain_health(requests: DataFrame) -> DataFrame:
     """Health of each chain upstream per minute."""
-    return _health_columns(CHAIN_HEALTH.finish(CHAIN_HEALTH.state(requests)))
+    return _health_columns(CHAIN_HEALTH.compute(requests))
 
 
 def _method_columns(done: DataFrame) -> DataFrame:
@@ -163,7 +163,7 @@ def chain_method_usage(requests: DataFrame, approx: bool = False) -> DataFrame:
     """Usage of each method per chain and day; ``approx`` uses sketches."""
     if approx:
         return _method_columns(CHAIN_METHOD_USAGE.sketch_finish(CHAIN_METHOD_USAGE.sketch_state(requests)))
-    return _method_columns(CHAIN_METHOD_USAGE.finish(CHAIN_METHOD_USAGE.state(requests)))
+    return _method_columns(CHAIN_METHOD_USAGE.compute(requests))
 
 
 def _org_columns(done: DataFrame, prices: DataFrame | None = None) -> DataFrame:
@@ -181,7 +181,7 @@ def chain_org_usage(requests: DataFrame, prices: DataFrame | None = None) -> Dat
 
     ``prices`` has plan_slug and price_per_unit; without it the cost is 0.
     """
-    return _org_columns(CHAIN_ORG_USAGE.finish(CHAIN_ORG_USAGE.state(requests)), prices)
+    return _org_columns(CHAIN_ORG_USAGE.compute(requests), prices)
 
 
 def _popularity_columns(done: DataFrame) -> DataFrame:
@@ -198,7 +198,7 @@ def chain_popularity(requests: DataFrame, approx: bool = False) -> DataFrame:
     """Traffic, users and success of each chain per hour."""
     if approx:
         return _popularity_columns(CHAIN_POPULARITY.sketch_finish(CHAIN_POPULARITY.sketch_state(requests)))
-    return _popularity_columns(CHAIN_POPULARITY.finish(CHAIN_POPULARITY.state(requests)))
+    return _popularity_columns(CHAIN_POPULARITY.compute(requests))
 
 
 def expensive_method_usage(requests: DataFrame, units: DataFrame) -> DataFrame:

@@ -268,7 +268,7 @@ def slo_report(requests: DataFrame) -> DataFrame:
 
     Availability is the share of responses below 500, our definition.
     """
-    done = SLO.finish(SLO.state(requests))
+    done = SLO.compute(requests)
     total = F.col("request_count")
     error_pct, rejected_pct, available_pct = (
         percent(F.col(c), total) for c in ("error_count", "rejected_count", "available_count")

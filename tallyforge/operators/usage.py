@@ -100,12 +100,12 @@ def usage_shape(rollup: Rollup) -> Callable[[DataFrame], DataFrame]:
 
 def usage_hourly(requests: DataFrame) -> DataFrame:
     """B1 finalised."""
-    return usage_shape(USAGE_HOURLY)(USAGE_HOURLY.finish(usage_hourly_state(requests)))
+    return usage_shape(USAGE_HOURLY)(USAGE_HOURLY.compute(requests))
 
 
 def usage_daily(requests: DataFrame) -> DataFrame:
-    """B2 finalised, through the hourly state."""
-    return usage_shape(USAGE_DAILY)(USAGE_DAILY.finish(usage_daily_state(usage_hourly_state(requests))))
+    """B2 finalised, straight from the log (``usage_daily_state`` goes through the hourly state)."""
+    return usage_shape(USAGE_DAILY)(USAGE_DAILY.compute(requests))
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -113,6 +113,9 @@ def write_rollup(
 def write_table(df: DataFrame, path: str, table: str, mode: str = "overwrite") -> None:
     """A11 with the layout of a known table."""
     grain, time_col, sort_by = TABLE_LAYOUT[table]
+    if "facet" in df.columns:
+        # Partial rows: keep the totals together, most reports read only them.
+        sort_by = ["facet", *sort_by]
     write_rollup(df, path, grain, time_col, sort_by, mode)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyforge.functions.measures import quantile_label
+from tallyforge.functions.rollup import quantile_columns
 from tallyforge.operators.rollups import ROLLUPS
 from tallyforge.operators.series import seconds
 
@@ -61,17 +61,12 @@ def windowed(stream: DataFrame, name: str, watermark: str = "10 minutes") -> Dat
     window = F.window("event_time", _WIDTH[time_key]).alias("_window")
     done = inputs.groupBy(window, *[F.expr(rollup.keys[d]).alias(d) for d in dimensions]).agg(*aggregates)
     start = F.col("_window.start")
-    points = [
-        F.col(f"_q_{v}")[i].alias(f"{v}_{quantile_label(q)}")
-        for v, qs in rollup.quantiles.items()
-        for i, q in enumerate(qs)
-    ]
     finished = done.select(
         (start.cast("date") if time_key == "event_date" else start).alias(time_key),
         *dimensions,
         *rollup.sums,
         *rollup.maxes,
-        *points,
+        *quantile_columns(rollup.quantiles),
         *[f"unique_{m}" for m in rollup.members],
     )
     return shape(finished)

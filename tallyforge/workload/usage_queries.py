@@ -155,9 +155,18 @@ def _(spark, sf_dir):
     return usage.usage_daily(_log(spark, sf_dir))
 
 
+@query(
+    "usage_daily_state",
+    sql=f"""SELECT event_date, {_TENANT}, {_USAGE} FROM requests GROUP BY event_date, {_TENANT}""",
+)
+def _(spark, sf_dir):
+    daily = usage.usage_daily_state(_hourly(spark, sf_dir, "latency", "upstream"))
+    return usage.usage_shape(usage.USAGE_DAILY)(usage.USAGE_DAILY.finish(daily))
+
+
 @query(
     "usage_daily_state_from_log",
-    sql=f"""SELECT event_date, {_TENANT}, latency_ms AS value, CAST(count(*) AS BIGINT) AS n
+    sql=f"""SELECT event_date, {_TENANT}, CAST(latency_ms AS BIGINT) AS value, CAST(count(*) AS BIGINT) AS n
     FROM requests GROUP BY ALL""",
 )
 def _(spark, sf_dir):
