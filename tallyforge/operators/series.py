@@ -91,10 +91,14 @@ def byte_rate(
     return _per_second(requests, by, F.col("response_size"), window, step)
 
 
+# The latency bucket bounds in milliseconds.
+LATENCY_BOUNDS = (10.0, 50.0, 100.0, 500.0, 1000.0)
+
+
 def latency_buckets(
     requests: DataFrame,
     by: Sequence[str],
-    bounds: Sequence[float] = (10, 50, 100, 500, 1000),
+    bounds: Sequence[float] = LATENCY_BOUNDS,
     latency: str = "latency_ms",
     window: str | int = "1 minute",
     step: str | int = "1 minute",
@@ -106,33 +110,30 @@ def latency_buckets(
     return sliding(requests.withColumn("le", le), [*by, "le"], {"n": F.lit(1)}, window, step)
 
 
-def histogram_quantile(buckets: DataFrame, q: float, by: Sequence[str]) -> DataFrame:
+def histogram_quantile(
+    buckets: DataFrame, q: float, by: Sequence[str], bounds: Sequence[float] = LATENCY_BOUNDS
+) -> DataFrame:
     """quantile from bucket counts, linear within a bucket.
 
     ``buckets`` has ``by``, ``le`` (upper bound) and ``n`` (requests in the
-    bucket itself).  A quantile in the infinite bucket gives the greatest
-    finite bound.  The windows hold one row per bound, never requests.
+    bucket itself); buckets without requests may be missing, so the finite
+    ``bounds`` are given.  A quantile in the infinite bucket gives the
+    greatest of them.  The windows hold one row per bound, never requests.
     """
+    finite = sorted(float(b) for b in bounds)
+    below = F.lit(0.0)
+    for bound in finite:
+        # The greatest bound is tested first.
+        below = F.when(F.col("le") > bound, F.lit(bound)).otherwise(below)
     counted = buckets.groupBy(*by, "le").agg(F.sum("n").alias("n"))
-    ordered = Window.partitionBy(*by).orderBy("le")
-    through = F.sum("n").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    everything = Window.partitionBy(*by)
-    infinite = F.lit(float("inf"))
-    walked = counted.withColumns(
-        {
-            "_through": through,
-            "_rank": F.sum("n").over(everything) * F.lit(float(q)),
-            "_below": F.coalesce(F.lag("le").over(ordered), F.lit(0.0)),
-            "_top": F.max(F.when(F.col("le") < infinite, F.col("le"))).over(everything),
-        }
-    )
-    inside = F.col("_below") + (F.col("le") - F.col("_below")) * (
-        (F.col("_rank") - (F.col("_through") - F.col("n"))) / F.col("n")
-    )
-    hit = walked.where((F.col("_through") >= F.col("_rank")) & (F.col("n") > 0))
-    value = F.when(F.col("le") == infinite, F.col("_top")).otherwise(inside)
+    series = Window.partitionBy(*by)
+    through = F.sum("n").over(series.orderBy("le").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    walked = counted.withColumns({"_through": through, "_rank": F.sum("n").over(series) * F.lit(float(q))})
+    inside = below + (F.col("le") - below) * ((F.col("_rank") - (F.col("_through") - F.col("n"))) / F.col("n"))
+    value = F.when(F.col("le") == float("inf"), F.lit(finite[-1])).otherwise(inside)
     # The first bucket that reaches the rank.
-    return hit.groupBy(*by).agg(F.min_by(value, F.col("le")).alias("value"))
+    reached = walked.where((F.col("_through") >= F.col("_rank")) & (F.col("n") > 0))
+    return reached.groupBy(*by).agg(F.min_by(value, F.col("le")).alias("value"))
 
 
 def filter_method(requests: DataFrame, pattern: str) -> DataFrame:

