@@ -24,19 +24,35 @@ EVENT_COLUMNS = [
 CONSTANT_LIMIT = 10000
 
 
-def _over_limit(limited: DataFrame, scope: Sequence[str], amount: Column) -> DataFrame:
+# A written lookup of at most this many rows (some tens of megabytes) is broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def _measured(df: DataFrame, folder: str) -> tuple[DataFrame, bool]:
+    """``df`` by way of a table in ``folder``, and whether it is small enough to broadcast."""
+    df.write.mode("overwrite").parquet(folder)
+    table = df.sparkSession.read.schema(df.schema).parquet(folder)
+    return table, table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def _over_limit(limited: DataFrame, scope: Sequence[str], amount: Column, staging: str | None) -> DataFrame:
     """Rows at which the running total of ``amount`` passes ``limit_value``.
 
     ``limited`` has ``limit_type`` (second, minute, hour or day) and
     ``limit_value``.  Totals restart with each calendar unit and run in order
     of event_time_ms, request_id.
 
-    Three narrowing passes keep both shuffles and tasks small.  Totals per
-    scope and unit, which combine on the map side, tell where a limit is
-    passed at all; most scopes end there.  The others get totals per second,
-    and a window over those, at most 86 400 rows, tells in which seconds the
-    limit is already passed.  Only the requests of such seconds are ranked,
-    second by second, so no task sorts all requests of a busy consumer.
+    The running total is split at seconds.  Totals per second combine on the
+    map side; a window over those, at most 86 400 rows per scope and unit,
+    tells in which seconds a limit is passed.  Only the requests of such
+    seconds are ranked, second by second, so no task sorts all requests of a
+    busy consumer.
+
+    In a healthy log few limits are passed.  With ``staging``, the scopes and
+    units whose total passes the limit are written there and counted; if they
+    are few, they are broadcast and all other requests drop out at the scan.
+    The passed seconds likewise.  If they are many, or without ``staging``,
+    both steps shuffle, keyed by second.
     """
     keys = [*scope, "limit_type"]
     bare = limited.withColumns(
@@ -46,17 +62,23 @@ def _over_limit(limited: DataFrame, scope: Sequence[str], amount: Column) -> Dat
             "_amount": amount.cast("bigint"),
         }
     )
-    total, least = F.sum("_amount").alias("_used"), F.min("limit_value").alias("_least")
-    busy = bare.groupBy(*keys, "_unit").agg(total, least).where(F.col("_used") > F.col("_least"))
-    suspects = bare.join(busy.select(*keys, "_unit"), [*keys, "_unit"], "left_semi")
+    used, least = F.sum("_amount").alias("_used"), F.min("limit_value").alias("_least")
+    if staging is not None:
+        totals = bare.groupBy(*keys, "_unit").agg(used, least).where(F.col("_used") > F.col("_least"))
+        busy, few = _measured(totals.select(*keys, "_unit"), f"{staging}/busy")
+        if few:
+            bare = bare.join(F.broadcast(busy), [*keys, "_unit"], "left_semi")
     earlier = Window.partitionBy(*keys, "_unit").orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
     passed = (
-        suspects.groupBy(*keys, "_unit", "_second")
-        .agg(total, least)
+        bare.groupBy(*keys, "_unit", "_second")
+        .agg(used, least)
         .withColumn("_before", F.coalesce(F.sum("_used").over(earlier), F.lit(0)))
         .where(F.col("_before") + F.col("_used") > F.col("_least"))
         .select(*keys, "_second", "_before")
     )
+    if staging is not None:
+        passed, few = _measured(passed, f"{staging}/passed")
+        passed = F.broadcast(passed) if few else passed
     inside = (
         Window.partitionBy(*keys, "_second")
         .orderBy("event_time_ms", "request_id")
@@ -74,10 +96,12 @@ def fixed_window_limit(
     key: str | Sequence[str] = "consumer_id",
     limit: int | DataFrame = CONSTANT_LIMIT,
     window: str = "minute",
+    staging: str | None = None,
 ) -> DataFrame:
     """G1: requests a fixed-window limiter would reject, as B11 rows.
 
     ``limit`` is a constant, or a table of plan_slug and limit_value.
+    ``staging`` is a fresh folder on shared storage, see ``_over_limit``.
     """
     scope = [key] if isinstance(key, str) else list(key)
     limited = requests.withColumn("limit_type", F.lit(window))
@@ -85,7 +109,7 @@ def fixed_window_limit(
         limited = limited.join(limit.select("plan_slug", F.col("limit_value").cast("bigint")), "plan_slug")
     else:
         limited = limited.withColumn("limit_value", F.lit(limit).cast("bigint"))
-    return _over_limit(limited, scope, F.lit(1)).select(*EVENT_COLUMNS)
+    return _over_limit(limited, scope, F.lit(1), staging).select(*EVENT_COLUMNS)
 
 
 _PLAN_LIMITS = {
@@ -124,7 +148,9 @@ def effective_limits(catalog: dict[str, DataFrame], column_prefix: str, plan_col
     return reduce(DataFrame.unionByName, parts).where(F.col("limit_value").isNotNull())
 
 
-def plan_limit_events(requests: DataFrame, catalog: dict[str, DataFrame]) -> DataFrame:
+def plan_limit_events(
+    requests: DataFrame, catalog: dict[str, DataFrame], staging: str | None = None
+) -> DataFrame:
     """Requests beyond the limits of their plan, as B11 rows.
 
     A chain with a limit of its own is counted by itself against that limit;
@@ -147,17 +173,20 @@ def plan_limit_events(requests: DataFrame, catalog: dict[str, DataFrame]) -> Dat
             "limit_scope": F.when(own.isNotNull(), F.col("chain_slug")).otherwise(F.lit("")),
         }
     ).where(F.col("limit_value").isNotNull())
-    return _over_limit(limited, ["consumer_id", "limit_scope"], F.lit(1)).select(*EVENT_COLUMNS)
+    return _over_limit(limited, ["consumer_id", "limit_scope"], F.lit(1), staging).select(*EVENT_COLUMNS)
 
 
-def compute_quota(requests: DataFrame, catalog: dict[str, DataFrame]) -> DataFrame:
+def compute_quota(
+    requests: DataFrame, catalog: dict[str, DataFrame], staging: str | None = None
+) -> DataFrame:
     """Requests beyond the compute-unit quota of their plan and chain.
 
     ``current_count`` is in compute units.
     """
     quotas = effective_limits(catalog, "compute_units_per_", {"second": None, "day": None})
     limited = requests.join(quotas, ["plan_slug", "chain_slug"])
-    return _over_limit(limited, ["consumer_id", "chain_slug"], F.col("compute_units")).select(*EVENT_COLUMNS)
+    events = _over_limit(limited, ["consumer_id", "chain_slug"], F.col("compute_units"), staging)
+    return events.select(*EVENT_COLUMNS)
 
 
 DECISION_COLUMNS = ["event_time", "requests", "allowed", "rejected"]
@@ -228,9 +257,17 @@ def token_bucket(
     )
 
 
-def token_bucket_rejections(requests: DataFrame, decisions: DataFrame, key: str) -> DataFrame:
-    """The rejected requests themselves: the last ones of a second that was cut."""
+def token_bucket_rejections(
+    requests: DataFrame, decisions: DataFrame, key: str, staging: str | None = None
+) -> DataFrame:
+    """The rejected requests themselves: the last ones of a second that was cut.
+
+    ``staging`` holds the cut seconds, see ``_over_limit``.
+    """
     cut = decisions.where(F.col("rejected") > 0).select(key, F.col("event_time").alias("_second"), "allowed")
+    if staging is not None:
+        cut, few = _measured(cut, staging)
+        cut = F.broadcast(cut) if few else cut
     order = Window.partitionBy(key, "_second").orderBy("event_time_ms", "request_id")
     return (
         requests.withColumn("_second", F.date_trunc("second", "event_time"))

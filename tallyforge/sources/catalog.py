@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.schemas import CATALOG_DDL, catalog_schema
 
@@ -88,14 +88,33 @@ def read_catalog_jdbc(spark: SparkSession, url: str, tables: Sequence[str] | Non
     return {name: spark.read.format("jdbc").options(url=url, dbtable=name, **options).load() for name in names}
 
 
+def literal_table(spark: SparkSession, rows: Sequence[tuple], ddl: str) -> DataFrame:
+    """A small constant table as a VALUES relation.
+
+    Catalyst knows the size of such a relation, unlike that of rows shipped
+    from Python, so a join with it is planned as a broadcast at once.
+    """
+
+    def cell(value: object) -> str:
+        if value is None:
+            return "NULL"
+        if isinstance(value, bool):
+            return str(value).lower()
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(value)
+
+    schema = T.StructType.fromDDL(ddl)
+    lines = ", ".join("(" + ", ".join(cell(v) for v in row) + ")" for row in rows)
+    table = spark.sql(f"SELECT * FROM VALUES {lines} AS t({', '.join(schema.names)})")
+    return table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def seed_plans(spark: SparkSession) -> DataFrame:
     """A3: the four plans."""
-    rows = [
-        (slug, name, per_minute, per_hour, per_day, monthly and Decimal(monthly), yearly and Decimal(yearly), archive, trace)
-        for slug, name, per_minute, per_hour, per_day, monthly, yearly, archive, trace in PLANS
-    ]
-    base = spark.createDataFrame(
-        rows,
+    base = literal_table(
+        spark,
+        PLANS,
         "slug string, name string, rate_limit_per_minute int, rate_limit_per_hour int, rate_limit_per_day int,"
         " price_monthly decimal(10,2), price_yearly decimal(10,2), archive_access boolean, trace_access boolean",
     )
@@ -112,7 +131,8 @@ def seed_plans(spark: SparkSession) -> DataFrame:
 
 def seed_chains(spark: SparkSession) -> DataFrame:
     """A3: the known chains."""
-    base = spark.createDataFrame(
+    base = literal_table(
+        spark,
         CHAINS,
         "slug string, name string, chain_type string, chain_id string, is_testnet boolean,"
         " supports_trace boolean, block_time_seconds int",
@@ -128,7 +148,8 @@ def seed_chains(spark: SparkSession) -> DataFrame:
 
 def seed_method_units(spark: SparkSession) -> DataFrame:
     """A3: compute units and access flags of the known methods."""
-    return spark.createDataFrame(
+    return literal_table(
+        spark,
         [("evm", *row) for row in METHOD_UNITS],
         "chain_type string, method_name string, compute_units int, is_expensive boolean,"
         " requires_archive boolean, requires_trace boolean",

@@ -125,3 +125,18 @@ def compact(spark: SparkSession, out: str, name: str, upto: int, day: str | None
 def touched_days(spark: SparkSession, target: str, day: str | None) -> DataFrame:
     days = spark.read.parquet(target).select("day").distinct()
     return days if day is None else days.where(F.col("day") == F.lit(day).cast("date"))
+
+
+def superseded(spark: SparkSession, out: str) -> DataFrame:
+    """Folders no reader needs any more, to be deleted when no read is under way."""
+    logged = _logged(spark, out)
+    batches = spark.read.parquet(f"{out}/batches").select("batch_id", "day").distinct()
+    old = batches.join(logged, "day").where(F.col("batch_id") <= F.col("upto"))
+    folder = F.format_string(f"{out}/batches/batch_id=%d/day=%s", F.col("batch_id").cast("int"), F.col("day").cast("string"))
+    paths = old.select(folder.alias("path"))
+    if logged.isEmpty():
+        return paths
+    written = spark.read.parquet(f"{out}/compacted").select(F.col("upto").alias("_upto"), "day").distinct()
+    older = written.join(logged, "day").where(F.col("_upto") < F.col("upto"))
+    folder = F.format_string(f"{out}/compacted/upto=%d/day=%s", F.col("_upto").cast("int"), F.col("day").cast("string"))
+    return paths.unionByName(older.select(folder.alias("path")))

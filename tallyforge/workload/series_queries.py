@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators import billing, limits, series
 from tallyforge.operators.usage import usage_daily_state_from_log
+from tallyforge.session import scratch_path
 from tallyforge.workload.fixtures import load, load_catalog
 from tallyforge.workload.registry import query
 
@@ -241,14 +242,23 @@ def _plan_unit(unit: str) -> str:
     return _ranked(unit, "lim", "consumer_id, scope", source=f"{source} WHERE lim IS NOT NULL")
 
 
-@query(
-    "plan_limit_events",
-    ["requests", "low_limit_plans", "c_plan_chain_limits"],
-    _beyond(*[_plan_unit(u) for u in ("second", "minute", "hour", "day")]),
-)
-def _(spark, sf_dir):
+_PLAN_VIEWS = ["requests", "low_limit_plans", "c_plan_chain_limits"]
+_PLAN_EVENTS = _beyond(*[_plan_unit(u) for u in ("second", "minute", "hour", "day")])
+
+
+def _plan_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     log, plans = load(spark, sf_dir, "requests", "low_limit_plans")
-    return limits.plan_limit_events(log, {**load_catalog(spark, sf_dir), "plans": plans})
+    return log, {**load_catalog(spark, sf_dir), "plans": plans}
+
+
+@query("plan_limit_events", _PLAN_VIEWS, _PLAN_EVENTS)
+def _(spark, sf_dir):
+    return limits.plan_limit_events(*_plan_inputs(spark, sf_dir))
+
+
+@query("plan_limit_events_staged", _PLAN_VIEWS, _PLAN_EVENTS)
+def _(spark, sf_dir):
+    return limits.plan_limit_events(*_plan_inputs(spark, sf_dir), scratch_path(spark, "passed"))
 
 
 def _quota_unit(unit: str) -> str:
@@ -302,7 +312,8 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     log = _log(spark, sf_dir)
     decisions = limits.token_bucket(log, "consumer_id", 2, window="1 day")
-    return limits.token_bucket_rejections(log, decisions, "consumer_id").select("request_id", "consumer_id", "event_time")
+    rejected = limits.token_bucket_rejections(log, decisions, "consumer_id", scratch_path(spark, "cut"))
+    return rejected.select("request_id", "consumer_id", "event_time")
 
 
 # Billing

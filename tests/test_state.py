@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from conftest import as_set
 from pyspark.sql import functions as F
@@ -79,6 +81,10 @@ def test_stream_compaction_and_late_rows(spark, log, tmp_path):
 
     stream_rollups.compact(spark, out, name, last_batch())
     assert as_set(stream_rollups.read_rollup_table(spark, out, name)) == whole
+    # Every batch folder may now go, and the result stays.
+    folders = [r.path for r in stream_rollups.superseded(spark, out).collect()]
+    assert len(folders) == spark.read.parquet(f"{out}/batches").select("batch_id", "day").distinct().count()
+    assert all(Path(f).is_dir() for f in folders)
     # Compacting again finds nothing to do.
     stream_rollups.compact(spark, out, name, last_batch())
     assert spark.read.parquet(f"{out}/compactions").groupBy("day").count().where("count > 1").isEmpty()

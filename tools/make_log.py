@@ -20,6 +20,10 @@ from tallyforge.session import build_session  # noqa: E402
 from tallyforge.sources.catalog import CHAINS, METHOD_UNITS  # noqa: E402
 
 
+START_MS = 1704067200000  # 2024-01-01
+SPAN_MS = 30 * 86400000
+
+
 def main(out: str, rows: int) -> None:
     spark = build_session("local[8]", 64)
     spark.sparkContext.setLogLevel("ERROR")
@@ -33,7 +37,7 @@ def main(out: str, rows: int) -> None:
     consumer = F.when(draw(1, 3) == 0, F.lit(7)).otherwise(draw(2, 20000))
     base = spark.range(0, rows, 1, 64).select(
         "id",
-        F.timestamp_millis((F.lit(1704067200000) + F.col("id") * F.lit(30 * 86400000 // rows if rows < 2592000000 else 1))).alias("event_time_ms"),
+        F.timestamp_millis(F.lit(START_MS) + F.floor(F.col("id") * F.lit(SPAN_MS / rows))).alias("event_time_ms"),
         consumer.alias("c"),
         F.pow(draw(3, 1000) / 1000.0, 4).alias("tail"),
         draw(4, 25).cast("int").alias("m"),
