@@ -44,6 +44,21 @@ def ago(moment: datetime | str, interval: str) -> Column:
     return at(moment) - F.expr(f"INTERVAL {interval}")
 
 
+def within(df: DataFrame, column: str, low: Column, high: Column) -> DataFrame:
+    """Rows with ``column`` between two constants, inclusive.
+
+    The bounds are also put on the partition column the table may have, so
+    that days or months outside are not even listed.
+    """
+    rows = df.where(F.col(column).between(low, high))
+    if column != "event_date" and "event_date" in df.columns:
+        rows = rows.where(F.col("event_date").between(low.cast("date"), high.cast("date")))
+    if "event_month" in df.columns:
+        month = F.col("event_month").cast("string")
+        rows = rows.where(month.between(F.date_format(low, "yyyyMM"), F.date_format(high, "yyyyMM")))
+    return rows
+
+
 def parsed_list(col: Column | str) -> Column:
     """A JSON text array as array<string>; malformed text gives null."""
     return F.from_json(col, "array<string>")

@@ -11,29 +11,29 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.measures import ago, at, gigabytes, megabytes, percent, ratio
+from tallyforge.functions.measures import ago, at, gigabytes, megabytes, percent, ratio, within
 from tallyforge.operators.usage import finalize
 
 Moment = datetime | str
 
 
-def _since(column: str, as_of: Moment, interval: str) -> Column:
-    return F.col(column).between(ago(as_of, interval), at(as_of))
+def _since(df: DataFrame, column: str, as_of: Moment, interval: str) -> DataFrame:
+    return within(df, column, ago(as_of, interval), at(as_of))
 
 
-def _last_days(column: str, as_of: Moment, days: int) -> Column:
+def _last_days(df: DataFrame, as_of: Moment, days: int) -> DataFrame:
     today = at(as_of).cast("date")
-    return F.col(column).between(F.date_sub(today, days), today)
+    return within(df, "event_date", F.date_sub(today, days), today)
 
 
-def _this_month(column: str, as_of: Moment) -> Column:
+def _this_month(df: DataFrame, as_of: Moment) -> DataFrame:
     today = at(as_of).cast("date")
-    return F.col(column).between(F.trunc(today, "month"), today)
+    return within(df, "event_date", F.trunc(today, "month"), today)
 
 
 def top_consumers(hourly_state: DataFrame, as_of: Moment, n: int = 10, hours: int = 24) -> DataFrame:
     """The busiest consumers of the last day."""
-    recent = hourly_state.where(_since("hour", as_of, f"{hours} HOURS"))
+    recent = _since(hourly_state, "hour", as_of, f"{hours} HOURS")
     done = finalize(recent, ["organization_id", "consumer_id"], ())
     return (
         done.select("organization_id", "consumer_id", F.col("request_count").alias("total_requests"))
@@ -44,7 +44,7 @@ def top_consumers(hourly_state: DataFrame, as_of: Moment, n: int = 10, hours: in
 
 def error_rate_by_org(daily_state: DataFrame, as_of: Moment, days: int = 7) -> DataFrame:
     """Error share per day and organisation."""
-    done = finalize(daily_state.where(_last_days("event_date", as_of, days)), ["event_date", "organization_id"], ())
+    done = finalize(_last_days(daily_state, as_of, days), ["event_date", "organization_id"], ())
     return done.select(
         "event_date",
         "organization_id",
@@ -55,7 +55,7 @@ def error_rate_by_org(daily_state: DataFrame, as_of: Moment, days: int = 7) -> D
 def latency_over_time(latency: DataFrame, as_of: Moment, hours: int = 1) -> DataFrame:
     """Latency percentiles per minute, route and upstream of the last hour."""
     return (
-        latency.where(_since("minute", as_of, f"{hours} HOURS"))
+        _since(latency, "minute", as_of, f"{hours} HOURS")
         .select("minute", "route_name", "upstream_host", "p50", "p95", "p99")
         .orderBy(F.col("minute").desc(), "route_name", "upstream_host")
     )
@@ -63,7 +63,7 @@ def latency_over_time(latency: DataFrame, as_of: Moment, hours: int = 1) -> Data
 
 def usage_by_plan(daily_state: DataFrame, as_of: Moment) -> DataFrame:
     """C4: month-to-date requests and traffic by organisation and plan."""
-    done = finalize(daily_state.where(_this_month("event_date", as_of)), ["organization_id", "plan_slug"], ())
+    done = finalize(_this_month(daily_state, as_of), ["organization_id", "plan_slug"], ())
     return done.select(
         "organization_id",
         "plan_slug",
@@ -74,7 +74,7 @@ def usage_by_plan(daily_state: DataFrame, as_of: Moment) -> DataFrame:
 
 def top_chains(popularity: DataFrame, as_of: Moment, weighted: bool = False, hours: int = 24) -> DataFrame:
     """Chains by requests; the means are of the hourly figures unless ``weighted``."""
-    recent = popularity.where(_since("hour", as_of, f"{hours} HOURS"))
+    recent = _since(popularity, "hour", as_of, f"{hours} HOURS")
     requests = F.sum("request_count")
 
     def mean(column: str) -> Column:
@@ -96,7 +96,7 @@ def top_chains(popularity: DataFrame, as_of: Moment, weighted: bool = False, hou
 def org_usage_by_chain(org_usage: DataFrame, as_of: Moment) -> DataFrame:
     """Month-to-date usage by organisation and chain."""
     return (
-        org_usage.where(_this_month("event_date", as_of))
+        _this_month(org_usage, as_of)
         .groupBy("organization_id", "chain_slug")
         .agg(
             F.sum("request_count").alias("requests"),
@@ -114,7 +114,7 @@ def popular_methods(method_usage: DataFrame, as_of: Moment, days: int = 7, weigh
     if weighted:
         mean = ratio(F.sum(F.col("avg_latency_ms") * F.col("request_count")), requests)
     return (
-        method_usage.where(_last_days("event_date", as_of, days))
+        _last_days(method_usage, as_of, days)
         .groupBy("chain_slug", "rpc_method")
         .agg(
             requests.alias("total_requests"),
@@ -128,7 +128,7 @@ def popular_methods(method_usage: DataFrame, as_of: Moment, days: int = 7, weigh
 def upstream_health(health: DataFrame, as_of: Moment, minutes: int = 5) -> DataFrame:
     """The latest health rows of each upstream."""
     return (
-        health.where(_since("minute", as_of, f"{minutes} MINUTES"))
+        _since(health, "minute", as_of, f"{minutes} MINUTES")
         .select("minute", "chain_slug", "upstream_host", "is_healthy", "avg_latency_ms", "error_rate", "request_count")
         .orderBy("chain_slug", "upstream_host", "minute")
     )
@@ -140,7 +140,7 @@ def expensive_abusers(
     """Who called one expensive method more than ``min_count`` times in the last hour."""
     keys = ["consumer_id", "organization_id", "chain_slug", "rpc_method"]
     return (
-        expensive.where(_since("event_time", as_of, f"{hours} HOURS"))
+        _since(expensive, "event_time", as_of, f"{hours} HOURS")
         .groupBy(*keys)
         .agg(
             F.count(F.lit(1)).alias("usage_count"),
@@ -156,7 +156,7 @@ def expensive_abusers(
 def chain_volume(requests: DataFrame, as_of: Moment, hours: int = 24) -> DataFrame:
     """Requests and mean latency per chain of the last day."""
     return (
-        requests.where(_since("event_time", as_of, f"{hours} HOURS"))
+        _since(requests, "event_time", as_of, f"{hours} HOURS")
         .groupBy("chain_slug")
         .agg(F.count(F.lit(1)).alias("requests"), F.round(F.avg("latency_ms"), 2).alias("avg_latency_ms"))
         .orderBy(F.col("requests").desc(), "chain_slug")
@@ -165,7 +165,7 @@ def chain_volume(requests: DataFrame, as_of: Moment, hours: int = 24) -> DataFra
 
 def billing_usage(daily_state: DataFrame, as_of: Moment, org: str | None = None) -> DataFrame:
     """C11: month-to-date billing figures per organisation and chain."""
-    month = daily_state.where(_this_month("event_date", as_of))
+    month = _this_month(daily_state, as_of)
     if org is not None:
         month = month.where(F.col("organization_id") == org)
     done = finalize(month, ["organization_id", "chain_slug"], (0.95,))

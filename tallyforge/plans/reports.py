@@ -13,7 +13,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.measures import at, gigabytes, percent
+from tallyforge.functions.measures import at, gigabytes, percent, within
 from tallyforge.operators.catalog import org_profile
 from tallyforge.operators.usage import finalize
 
@@ -60,11 +60,11 @@ def method_limit(limit: int) -> int:
 
 
 def _days(state: DataFrame, start: Moment, end: Moment) -> DataFrame:
-    return state.where(F.col("event_date").between(at(start).cast("date"), at(end).cast("date")))
+    return within(state, "event_date", at(start).cast("date"), at(end).cast("date"))
 
 
 def _hours(state: DataFrame, start: Moment, end: Moment) -> DataFrame:
-    return state.where(F.col("hour").between(at(start), at(end)))
+    return within(state, "hour", at(start), at(end))
 
 
 def _of(state: DataFrame, column: str, wanted: str | None) -> DataFrame:

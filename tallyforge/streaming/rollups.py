@@ -60,36 +60,50 @@ def _logged(spark: SparkSession, out: str) -> DataFrame:
     return log.groupBy("day").agg(F.max("upto").alias("upto"))
 
 
-def _live_rows(spark: SparkSession, out: str, upto: int | None) -> tuple[DataFrame, DataFrame | None]:
+def _live_rows(
+    spark: SparkSession, out: str, upto: int | None, days: tuple[str, str] | None = None
+) -> tuple[DataFrame, DataFrame | None]:
     """(rows of batches not yet compacted, rows of the newest compactions)."""
+
+    def read(folder: str) -> DataFrame:
+        rows = spark.read.parquet(f"{out}/{folder}")
+        if days is None:
+            return rows
+        first, last = (F.lit(day).cast("date") for day in days)
+        return rows.where(F.col("day").between(first, last))
+
     logged = _logged(spark, out)
-    batches = spark.read.parquet(f"{out}/batches")
+    batches = read("batches")
     if upto is not None:
         batches = batches.where(F.col("batch_id") <= upto)
     fresh = batches.join(logged, "day", "left").where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
     fresh = fresh.drop("batch_id", "upto")
     if logged.isEmpty():
         return fresh, None
-    merged = spark.read.parquet(f"{out}/compacted").join(logged, ["day", "upto"], "left_semi").drop("upto")
+    merged = read("compacted").join(logged, ["day", "upto"], "left_semi").drop("upto")
     return fresh, merged
 
 
-def read_rollup(spark: SparkSession, out: str, name: str, upto: int | None = None) -> DataFrame:
-    """S3: the merged partial rows.
+def read_rollup(
+    spark: SparkSession, out: str, name: str, upto: int | None = None, days: tuple[str, str] | None = None
+) -> DataFrame:
+    """S3: the merged partial rows, of ``days`` (first, last) only if given.
 
     While the stream is running, ``upto`` should be the last finished batch
     (``query.lastProgress``), so that a batch being written is left out.
     """
     rollup, _ = ROLLUPS[name]
-    fresh, merged = _live_rows(spark, out, upto)
+    fresh, merged = _live_rows(spark, out, upto, days)
     rows = fresh if merged is None else fresh.unionByName(merged)
     return rollup.merge(rows)
 
 
-def read_rollup_table(spark: SparkSession, out: str, name: str, upto: int | None = None) -> DataFrame:
+def read_rollup_table(
+    spark: SparkSession, out: str, name: str, upto: int | None = None, days: tuple[str, str] | None = None
+) -> DataFrame:
     """The rollup's table as its batch function gives it."""
     rollup, shape = ROLLUPS[name]
-    return shape(rollup.finish(read_rollup(spark, out, name, upto)))
+    return shape(rollup.finish(read_rollup(spark, out, name, upto, days)))
 
 
 def compact(spark: SparkSession, out: str, name: str, upto: int, day: str | None = None) -> None:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import contextlib
+import io
 import sys
 from pathlib import Path
 
@@ -72,3 +74,10 @@ def as_set(df):
         items = row.asDict()
         out.append(tuple((k, round(v, 6) if isinstance(v, float) else v) for k, v in sorted(items.items())))
     return sorted(out, key=repr)
+
+
+def plan_text(df):
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    return text.getvalue()

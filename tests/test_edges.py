@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime
 
 import pytest
-from conftest import as_set
+from conftest import as_set, plan_text
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -219,8 +219,7 @@ def test_retention_bounds(make_log, spark, tmp_path):
     assert [r.event_date for r in expired_partitions(log, "event_date", "requests", "2024-01-31 00:00:00").collect()] == [date(2024, 1, 16)]
     write_table(log, str(tmp_path / "log"), "requests")
     plan = apply_retention(read_requests(spark, str(tmp_path / "log")), "event_time", "requests", "2024-01-31 00:00:00")
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in text
+    assert "PartitionFilters: [isnotnull(event_date" in plan_text(plan)
 
 
 def test_rewriting_a_day_leaves_the_others(make_log, spark, tmp_path):
@@ -268,3 +267,15 @@ def test_keep_last_takes_the_newest(make_log):
     log = make_log([{"event_time": datetime(2024, 1, 1, 0, m), "status_code": 200 + m} for m in range(3)])
     rows = usage.keep_last(log.select("consumer_id", "event_time", "status_code"), ["consumer_id"], ["event_time"])
     assert as_set(rows.select("status_code")) == [(("status_code", 202),)]
+
+
+def test_reports_prune_month_partitions(make_log, spark, tmp_path):
+    log = make_log([{"event_time": datetime(2024, m, 15), "latency_ms": m} for m in (1, 2, 3)])
+    path = str(tmp_path / "daily")
+    write_table(usage.usage_daily_state_from_log(log), path, "usage_daily")
+    stored = spark.read.parquet(path)
+    report = reports.usage_by_chain(stored, "org1", "2024-02-01", "2024-02-29")
+    assert [r.latency_p95 for r in report.collect()] == [2.0]
+    assert "event_month" in plan_text(report).split("PartitionFilters")[1].split("PushedFilters")[0]
+    month = dashboards.usage_by_plan(stored, "2024-03-31 00:00:00")
+    assert [r.total_requests for r in month.collect()] == [1]
