@@ -29,9 +29,14 @@ def _partial_rows(requests: DataFrame, rollup: Rollup) -> DataFrame:
 
 
 def write_batch(requests: DataFrame, rollup: Rollup, out: str, batch_id: int) -> None:
-    """The partial rows of one micro-batch; writing a batch again replaces it."""
+    """The partial rows of one micro-batch; writing a batch again replaces it.
+
+    REBALANCE sizes the files to the rows, whatever the number of shuffle
+    partitions and however many rows fall on one day.
+    """
     (
         _partial_rows(requests, rollup)
+        .hint("rebalance", "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("day")

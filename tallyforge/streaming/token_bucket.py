@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 
 from tallyforge.operators.limits import Bucket
 from tallyforge.operators.series import seconds
+from tallyforge.streaming.windows import start_append
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -103,14 +104,8 @@ def start_token_bucket(
     watermark: str = "10 minutes",
     available_now: bool = False,
     interval: str = "10 seconds",
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    """S7 into a Parquet folder."""
+    """S7 into a Parquet folder; ``partitions`` is the number of state partitions."""
     decisions = bucket_decisions(stream, key, capacity, refill, window, watermark)
-    trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return (
-        decisions.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start(out)
-    )
+    return start_append(decisions, out, checkpoint, available_now, interval, partitions=partitions)

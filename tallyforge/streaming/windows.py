@@ -6,9 +6,10 @@ counted by the query's progress.  ``streaming.rollups`` takes any lateness.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,14 +20,39 @@ from tallyforge.operators.series import seconds
 _WIDTH = {"minute": "1 minute", "hour": "1 hour", "event_date": "1 day"}
 
 
-def _start_append(
-    result: DataFrame, out: str, checkpoint: str, partition: str | None, available_now: bool, interval: str
+@contextmanager
+def state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
+    """Start queries with this many state partitions.
+
+    A stream takes the number of shuffle partitions when it first starts and
+    keeps it for the life of its checkpoint.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if count is not None:
+        spark.conf.set(name, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def start_append(
+    result: DataFrame,
+    out: str,
+    checkpoint: str,
+    available_now: bool,
+    interval: str,
+    partition: str | None = None,
+    partitions: int | None = None,
 ) -> StreamingQuery:
+    """Append the rows of a stream to a Parquet folder."""
     writer = result.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
     if partition:
         writer = writer.partitionBy(partition)
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
-    return writer.trigger(**trigger).start(out)
+    with state_partitions(result.sparkSession, partitions):
+        return writer.trigger(**trigger).start(out)
 
 
 def start_filter(
@@ -39,7 +65,7 @@ def start_filter(
 ) -> StreamingQuery:
     """A row-by-row operator (errors, expensive calls), one folder per day."""
     result = operator(stream).withColumn("event_date", F.to_date("event_time"))
-    return _start_append(result, out, checkpoint, "event_date", available_now, interval)
+    return start_append(result, out, checkpoint, available_now, interval, partition="event_date")
 
 
 def windowed(stream: DataFrame, name: str, watermark: str = "10 minutes") -> DataFrame:
@@ -80,9 +106,11 @@ def start_windowed(
     watermark: str = "10 minutes",
     available_now: bool = False,
     interval: str = "1 minute",
+    partitions: int | None = None,
 ) -> StreamingQuery:
-    """S5 into a Parquet folder."""
-    return _start_append(windowed(stream, name, watermark), out, checkpoint, None, available_now, interval)
+    """S5 into a Parquet folder; ``partitions`` is the number of state partitions."""
+    result = windowed(stream, name, watermark)
+    return start_append(result, out, checkpoint, available_now, interval, partitions=partitions)
 
 
 def sliding_rate(
@@ -115,10 +143,11 @@ def start_rates(
     threshold: float | None = None,
     available_now: bool = False,
     interval: str = "30 seconds",
+    partitions: int | None = None,
 ) -> StreamingQuery:
     """S6 into a Parquet folder; ``series.hold_for`` on what is read gives the alert states."""
     result = sliding_rate(stream, by, window, step, watermark, threshold)
-    return _start_append(result, out, checkpoint, None, available_now, interval)
+    return start_append(result, out, checkpoint, available_now, interval, partitions=partitions)
 
 
 def late_rows(query: StreamingQuery) -> int:

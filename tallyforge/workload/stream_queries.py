@@ -16,6 +16,11 @@ from tallyforge.workload.series_queries import _DECISIONS, _grid, _walk
 from tallyforge.workload.usage_queries import _EXPENSIVE, _HEALTH, _METHODS, _TENANT, _USAGE
 
 
+def _to_the_end(spark) -> dict:
+    """Run to the end of the input, with a state partition per core of this session."""
+    return {"available_now": True, "partitions": spark.sparkContext.defaultParallelism}
+
+
 def _rolled_up(spark, sf_dir: str, name: str) -> str:
     out = scratch_path(spark, name)
     stream = stream_rollups.start_rollup(load_stream(spark, sf_dir), name, out, f"{out}-state", available_now=True)
@@ -65,7 +70,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     out = scratch_path(spark, "windowed")
     windows.start_windowed(
-        load_stream(spark, sf_dir), "chain_health", out, f"{out}-state", available_now=True
+        load_stream(spark, sf_dir), "chain_health", out, f"{out}-state", **_to_the_end(spark)
     ).awaitTermination()
     return spark.read.parquet(out)
 
@@ -78,7 +83,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     out = scratch_path(spark, "rates")
     windows.start_rates(
-        load_stream(spark, sf_dir), ["chain_slug"], out, f"{out}-state", "2 hours", "1 hour", available_now=True
+        load_stream(spark, sf_dir), ["chain_slug"], out, f"{out}-state", "2 hours", "1 hour", **_to_the_end(spark)
     ).awaitTermination()
     return spark.read.parquet(out)
 
@@ -87,7 +92,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     out = scratch_path(spark, "buckets")
     token_bucket.start_token_bucket(
-        load_stream(spark, sf_dir), "consumer_id", 2, out, f"{out}-state", window="1 day", available_now=True
+        load_stream(spark, sf_dir), "consumer_id", 2, out, f"{out}-state", window="1 day", **_to_the_end(spark)
     ).awaitTermination()
     decided = spark.read.parquet(out)
     sums = [F.sum(c).alias(c) for c in ("requests", "allowed", "rejected")]
