@@ -64,11 +64,10 @@ def parsed_list(col: Column | str) -> Column:
     return F.from_json(col, "array<string>")
 
 
-def chain_allowed(allowed: Column | str, slug: Column | str) -> Column:
-    """True if the JSON list is exactly the wildcard or names the chain."""
-    chains = parsed_list(allowed)
+def chain_allowed(chains: Column | str, slug: Column | str) -> Column:
+    """True if the parsed list is exactly the wildcard or names the chain; a null list allows nothing."""
+    chains = F.col(chains) if isinstance(chains, str) else chains
     slug = F.col(slug) if isinstance(slug, str) else slug
-    # array_contains with a column needle; a null list allows nothing.
     return F.coalesce((chains == F.array(F.lit("*"))) | F.array_contains(chains, slug), F.lit(False))
 
 

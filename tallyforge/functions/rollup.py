@@ -29,12 +29,18 @@ from tallyforge.functions.measures import quantile_label
 TOTAL = "total"
 
 
-def quantile_columns(quantiles: Mapping[str, Sequence[float]]) -> list[Column]:
-    """``<value>_p<q>`` columns from the percentile arrays ``_q_<value>``."""
+def expressions(*texts: str) -> list[Column]:
+    return [F.expr(text) for text in texts]
+
+
+def _points(quantiles: Sequence[float]) -> str:
+    return f"array({', '.join(f'{float(q)}D' for q in quantiles)})"
+
+
+def quantile_columns(quantiles: Mapping[str, Sequence[float]]) -> list[str]:
+    """Expressions for ``<value>_p<q>`` from the percentile arrays ``_q_<value>``."""
     return [
-        F.col(f"_q_{name}")[i].alias(f"{name}_{quantile_label(q)}")
-        for name, qs in quantiles.items()
-        for i, q in enumerate(qs)
+        f"_q_{name}[{i}] AS {name}_{quantile_label(q)}" for name, qs in quantiles.items() for i, q in enumerate(qs)
     ]
 
 
@@ -92,45 +98,50 @@ class Rollup:
             rows = self._rows(inputs, facets, measured=facets[0])
             return self.finish(self._combine(rows, list(self.keys)), None, quantiles, members)
         done = inputs.groupBy(*self.keys).agg(
-            *[F.sum(f"_s_{k}").alias(k) for k in self.sums],
-            *[F.max(f"_m_{k}").alias(k) for k in self.maxes],
-            *[F.percentile(f"_v_{v}", [float(q) for q in qs]).alias(f"_q_{v}") for v, qs in quantiles.items()],
+            *expressions(
+                *[f"sum(_s_{k}) AS {k}" for k in self.sums],
+                *[f"max(_m_{k}) AS {k}" for k in self.maxes],
+                *[f"percentile(_v_{v}, {_points(qs)}) AS _q_{v}" for v, qs in quantiles.items()],
+            )
         )
-        return done.select(*self.keys, *self.sums, *self.maxes, *quantile_columns(quantiles))
+        return done.selectExpr(*self.keys, *self.sums, *self.maxes, *quantile_columns(quantiles))
 
     def _inputs(self, requests: DataFrame, facets: Sequence[str]) -> DataFrame:
-        return requests.select(
-            *[F.expr(e).alias(k) for k, e in self.keys.items()],
-            *[F.expr(e).cast("bigint").alias(f"_s_{k}") for k, e in self.sums.items()],
-            *[F.expr(e).cast("bigint").alias(f"_m_{k}") for k, e in self.maxes.items()],
-            *[F.expr(e).cast("bigint").alias(f"_v_{k}") for k, e in self.values.items() if k in facets],
-            *[F.expr(e).cast("string").alias(f"_i_{k}") for k, e in self.members.items() if k in facets],
+        return requests.selectExpr(
+            *[f"{e} AS {k}" for k, e in self.keys.items()],
+            *[f"CAST({e} AS BIGINT) AS _s_{k}" for k, e in self.sums.items()],
+            *[f"CAST({e} AS BIGINT) AS _m_{k}" for k, e in self.maxes.items()],
+            *[f"CAST({e} AS BIGINT) AS _v_{k}" for k, e in self.values.items() if k in facets],
+            *[f"CAST({e} AS STRING) AS _i_{k}" for k, e in self.members.items() if k in facets],
         )
 
     def _rows(self, inputs: DataFrame, facets: Sequence[str], measured: str) -> DataFrame:
         """One row per request and facet; the facet ``measured`` carries the sums."""
-        no_number, no_text = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+        no_number, no_text = "CAST(NULL AS BIGINT)", "CAST(NULL AS STRING)"
 
-        def row(facet: str) -> list[Column]:
+        def row(facet: str) -> dict[str, str]:
             carries = facet == measured
-            return [
-                F.lit(facet).alias("facet"),
-                (F.col(f"_v_{facet}") if facet in self.values else no_number).alias("value"),
-                (F.col(f"_i_{facet}") if facet in self.members else no_text).alias("member"),
-                F.lit(1).cast("bigint").alias("n"),
-                *[(F.col(f"_s_{k}") if carries else no_number).alias(k) for k in self.sums],
-                *[(F.col(f"_m_{k}") if carries else no_number).alias(k) for k in self.maxes],
-            ]
+            return {
+                "facet": f"'{facet}'",
+                "value": f"_v_{facet}" if facet in self.values else no_number,
+                "member": f"_i_{facet}" if facet in self.members else no_text,
+                "n": "1L",
+                **{k: f"_s_{k}" if carries else no_number for k in self.sums},
+                **{k: f"_m_{k}" if carries else no_number for k in self.maxes},
+            }
 
         if len(facets) == 1:
-            return inputs.select(*self.keys, *row(facets[0]))
-        return inputs.select(*self.keys, F.inline(F.array(*[F.struct(*row(f)) for f in facets])))
+            return inputs.selectExpr(*self.keys, *[f"{e} AS {k}" for k, e in row(facets[0]).items()])
+        structs = [", ".join(f"'{k}', {e}" for k, e in row(facet).items()) for facet in facets]
+        return inputs.selectExpr(*self.keys, f"inline(array({', '.join(f'named_struct({x})' for x in structs)}))")
 
     def _combine(self, partial: DataFrame, keys: Sequence[str]) -> DataFrame:
         return partial.groupBy(*keys, "facet", "value", "member").agg(
-            F.sum("n").alias("n"),
-            *[F.sum(k).alias(k) for k in self.sums],
-            *[F.max(k).alias(k) for k in self.maxes],
+            *expressions(
+                "sum(n) AS n",
+                *[f"sum({k}) AS {k}" for k in self.sums],
+                *[f"max({k}) AS {k}" for k in self.maxes],
+            )
         )
 
     def merge(
@@ -154,18 +165,20 @@ class Rollup:
         quantile (linear interpolation) and ``unique_<member>`` counts.
         """
         keys, quantiles, members = self._wanted(keys, quantiles, members)
-        merged = merged.where(F.col("facet").isin(TOTAL, *quantiles, *members))
-        aggregates = [F.sum(k).alias(k) for k in self.sums] + [F.max(k).alias(k) for k in self.maxes]
-        for name, qs in quantiles.items():
-            seen = F.when(F.col("facet") == name, F.col("value"))
-            aggregates.append(F.percentile(seen, [float(q) for q in qs], F.col("n")).alias(f"_q_{name}"))
-        for name in members:
-            known = (F.col("facet") == name) & F.col("member").isNotNull()
-            aggregates.append(F.count_if(known).alias(f"unique_{name}"))
-        done = merged.groupBy(*keys).agg(*aggregates)
-        return done.select(
-            *keys, *self.sums, *self.maxes, *quantile_columns(quantiles), *[f"unique_{m}" for m in members]
+        wanted = merged.where(F.col("facet").isin(TOTAL, *quantiles, *members))
+        done = wanted.groupBy(*keys).agg(
+            *expressions(
+                *[f"sum({k}) AS {k}" for k in self.sums],
+                *[f"max({k}) AS {k}" for k in self.maxes],
+                *[
+                    f"percentile(CASE WHEN facet = '{v}' THEN value END, {_points(qs)}, n) AS _q_{v}"
+                    for v, qs in quantiles.items()
+                ],
+                *[f"count_if(facet = '{m}' AND member IS NOT NULL) AS unique_{m}" for m in members],
+            )
         )
+        uniques = [f"unique_{m}" for m in members]
+        return done.selectExpr(*keys, *self.sums, *self.maxes, *quantile_columns(quantiles), *uniques)
 
     def finalize(
         self,

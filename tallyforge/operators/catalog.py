@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.measures import at, chain_allowed, salted_lookup
+from tallyforge.functions.measures import at, chain_allowed, parsed_list, salted_lookup
 from tallyforge.operators.ingest import organization_plans
 
 Catalog = dict[str, DataFrame]
@@ -142,7 +142,7 @@ def _plan_chain_matrix(catalog: Catalog) -> DataFrame:
         F.col("id").alias("plan_id"),
         F.col("slug").alias("plan_slug"),
         F.col("is_active").alias("_offered"),
-        "allowed_chains",
+        parsed_list("allowed_chains").alias("allowed_chains"),
         F.col("rate_limit_per_minute").alias("_plan_limit"),
         "archive_access",
         "trace_access",

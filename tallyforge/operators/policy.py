@@ -57,17 +57,23 @@ def plan_gate(
 
 
 def scope_gate(requests: DataFrame, catalog: dict[str, DataFrame]) -> DataFrame:
-    """``scope_violation`` is 'chain', 'method', 'unknown_key' or null."""
+    """``scope_violation`` is 'chain', 'method', 'unknown_key' or null.
+
+    The lists are parsed once per key, not per request.
+    """
     keys = one_key_per_prefix(
         catalog["api_keys"].select("key_prefix", "id", "status", "allowed_chains", "restricted_methods")
-    ).select(F.col("key_prefix").alias("api_key_prefix"), F.col("id").alias("_key"), "allowed_chains", "restricted_methods")
-    joined = salted_lookup(requests, keys, ["api_key_prefix"])
-    restricted = F.coalesce(
-        F.array_contains(parsed_list("restricted_methods"), F.col("rpc_method")), F.lit(False)
+    ).select(
+        F.col("key_prefix").alias("api_key_prefix"),
+        F.col("id").alias("_key"),
+        parsed_list("allowed_chains").alias("_chains"),
+        parsed_list("restricted_methods").alias("_methods"),
     )
+    joined = salted_lookup(requests, keys, ["api_key_prefix"])
+    restricted = F.coalesce(F.array_contains("_methods", F.col("rpc_method")), F.lit(False))
     violation = (
         F.when(F.col("_key").isNull(), "unknown_key")
-        .when(~chain_allowed("allowed_chains", "chain_slug"), "chain")
+        .when(~chain_allowed("_chains", "chain_slug"), "chain")
         .when(restricted, "method")
     )
     return joined.withColumn("scope_violation", violation).select(*requests.columns, "scope_violation")

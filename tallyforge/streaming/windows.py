@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyforge.functions.rollup import quantile_columns
+from tallyforge.functions.rollup import expressions, quantile_columns
 from tallyforge.operators.rollups import ROLLUPS
 from tallyforge.operators.series import seconds
 
@@ -92,7 +92,7 @@ def windowed(stream: DataFrame, name: str, watermark: str = "10 minutes") -> Dat
         *dimensions,
         *rollup.sums,
         *rollup.maxes,
-        *quantile_columns(rollup.quantiles),
+        *expressions(*quantile_columns(rollup.quantiles)),
         *[f"unique_{m}" for m in rollup.members],
     )
     return shape(finished)

@@ -282,12 +282,23 @@ def check_sql(names: list[str], body: str) -> str:
     return f"WITH RECURSIVE {common_tables(*names)}\n{body.strip()}"
 
 
+# Views already built, by application, folder and name.  A DataFrame is only a
+# plan, so it may be shared by queries; this spares reading footers and parsing
+# the view texts for each of them.
+_LOADED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """The named views over the Parquet tables of ``sf_dir``."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    source = "tallyforge_events"
-    spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView(source)
-    return [view_of(spark, source, name) for name in names]
+    application = spark.sparkContext.applicationId
+    missing = [name for name in names if (application, sf_dir, name) not in _LOADED]
+    if missing:
+        source = "tallyforge_events"
+        spark.read.parquet(f"{sf_dir}/events.parquet").createOrReplaceTempView(source)
+        for name in missing:
+            _LOADED[application, sf_dir, name] = view_of(spark, source, name)
+    return [_LOADED[application, sf_dir, name] for name in names]
 
 
 def view_of(spark: SparkSession, source: str, name: str) -> DataFrame:

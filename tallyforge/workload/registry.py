@@ -7,7 +7,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyforge.workload.fixtures import check_sql
@@ -30,13 +29,14 @@ def comparable(df: DataFrame) -> DataFrame:
     """Doubles rounded and decimals as doubles, as the check queries give them."""
     columns = []
     for field in df.schema:
-        column = F.col(f"`{field.name}`")
+        name = f"`{field.name}`"
         if isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, 4 if _PERCENTILE.search(field.name) else 6)
+            columns.append(f"round({name}, {4 if _PERCENTILE.search(field.name) else 6}) AS {name}")
         elif isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+            columns.append(f"CAST({name} AS DOUBLE) AS {name}")
+        else:
+            columns.append(name)
+    return df.selectExpr(*columns)
 
 
 def query(name: str, views: list[str] | None = None, sql: str | None = None) -> Callable[[Query], Query]:
