@@ -36,7 +36,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     Only where that setting is absent (a local test session) is a folder of
     our own made, because a machine-local folder is not visible to executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tallyforge-")
     return f"{root.rstrip('/')}/tallyforge/{label}-{uuid.uuid4().hex}"

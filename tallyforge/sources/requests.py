@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.functions.measures import at
@@ -97,9 +97,7 @@ def write_rollup(
         part, df = "event_month", df.withColumn("event_month", F.date_format(time_col, "yyyyMM"))
     else:
         raise ValueError(f"unknown grain {grain!r}")
-    if part in sort_by:
-        # Keep a readable copy of the key: partition columns leave the files.
-        sort_by = [c for c in sort_by if c != part]
+    sort_by = [c for c in sort_by if c != part]
     (
         df.hint("rebalance", part)
         .sortWithinPartitions(part, *sort_by)
@@ -119,36 +117,25 @@ def write_table(df: DataFrame, path: str, table: str, mode: str = "overwrite") -
     write_rollup(df, path, grain, time_col, sort_by, mode)
 
 
-def _expiry(time_col: str | Column, table: str) -> Column:
-    moment = F.col(time_col) if isinstance(time_col, str) else time_col
-    return moment.cast("timestamp") + F.expr(f"INTERVAL {RETENTION_DAYS[table]} DAYS")
-
-
 def apply_retention(df: DataFrame, time_col: str, table: str, as_of: datetime | str) -> DataFrame:
-    """Rows not yet expired at ``as_of``.
+    """Rows not yet expired at ``as_of``; a date counts as its midnight.
 
     The bound is a constant on the bare column, so it reaches the scan; where
-    the table has its partition column, that one is bounded too.
+    the table has a partition column, that one is bounded too.
     """
     oldest = at(as_of) - F.expr(f"INTERVAL {RETENTION_DAYS[table]} DAYS")
-    if dict(df.dtypes)[time_col] == "date":
-        # A date counts as its midnight, so it outlives the bound's own date
-        # only when the bound falls before that midnight.
-        return df.where(F.col(time_col) > oldest)
     kept = df.where(F.col(time_col) > oldest)
     if "event_date" in df.columns and time_col != "event_date":
         kept = kept.where(F.col("event_date") >= oldest.cast("date"))
+    if "event_month" in df.columns:
+        kept = kept.where(F.col("event_month").cast("string") >= F.date_format(oldest, "yyyyMM"))
     return kept
 
 
 def expired_partitions(df: DataFrame, day_col: str, table: str, as_of: datetime | str) -> DataFrame:
     """The days of which every row has expired at ``as_of``."""
-    last_moment = F.date_add(F.col(day_col), 1)
-    return (
-        df.select(F.col(day_col).alias("event_date"))
-        .distinct()
-        .where(_expiry(last_moment, table) <= at(as_of))
-    )
+    days = df.select(F.col(day_col).alias("event_date")).distinct()
+    return days.where(F.date_add("event_date", RETENTION_DAYS[table] + 1).cast("timestamp") <= at(as_of))
 
 
 def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

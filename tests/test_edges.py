@@ -72,6 +72,45 @@ def test_reports_of_one_organisation(make_log):
     assert row.success_rate_pct == 80.0
 
 
+def test_nested_report(catalog, make_log):
+    log = make_log(
+        [{"organization_id": "o1", "chain_slug": c, "rpc_method": f"m{i:02d}"} for i in range(12) for c in ["x"] + ["y"] * (i % 2)]
+    )
+    daily, hourly = usage.usage_daily_state_from_log(log), usage.usage_hourly_state(log)
+
+    def report(org, breakdown=True):
+        return reports.usage_report(daily, hourly, catalog, org, "2024-01-01", "2024-01-31 23:59:59", breakdown).collect()
+
+    (row,) = report("o1")
+    assert (row.organization.plan_slug, row.summary.total_requests, row.summary.latency_p95) == ("pro", 18, 0.0)
+    assert [(c.chain_slug, c.requests) for c in row.by_chain] == [("x", 12), ("y", 6)]
+    # Ten methods, ties by name.
+    assert [m.method for m in row.top_methods] == [f"m{i:02d}" for i in (1, 3, 5, 7, 9, 11, 0, 2, 4, 6)]
+    (row,) = report("o2")
+    assert (row.summary.total_requests, row.summary.success_rate_pct, row.by_chain, row.top_methods) == (0, 0.0, [], [])
+    assert row.summary.error_rate_pct is None
+    assert report("nobody") == []
+    assert len(report(None, breakdown=False)) == 2
+    assert "by_chain" not in report("o1", breakdown=False)[0]
+
+
+def test_reports_of_every_organisation_match_single_ones(make_log):
+    log = make_log([{"organization_id": f"o{i % 3}", "rpc_method": f"m{i % 25}", "latency_ms": i} for i in range(200)])
+    daily, hourly = usage.usage_daily_state_from_log(log), usage.usage_hourly_state(log)
+    span = ("2024-01-01", "2024-01-02")
+    single = {
+        "summary": lambda org: reports.usage_summary(daily, org, *span),
+        "chain": lambda org: reports.usage_by_chain(daily, org, *span),
+        "method": lambda org: reports.usage_by_method(hourly, org, *span),
+        "daily": lambda org: reports.daily_usage(daily, org, *span),
+        "hourly": lambda org: reports.hourly_usage(hourly, org, datetime(2024, 1, 1), datetime(2024, 1, 2)),
+    }
+    for grain, one in single.items():
+        every = reports.usage_reports_all(daily, hourly, *span, grain)
+        for org in ("o0", "o1", "o2"):
+            assert as_set(every.where(F.col("organization_id") == org).drop("organization_id")) == as_set(one(org)), grain
+
+
 def test_bucket_bounds(make_log):
     (row,) = rollups.latency_metrics(make_log([{"latency_ms": v} for v in (9, 10, 49, 50, 100, 500, 999, 1000)])).collect()
     assert list(row)[3:9] == [1, 2, 1, 1, 2, 1]
