@@ -62,9 +62,6 @@ class Rollup:
     def facets(self) -> list[str]:
         return [TOTAL, *self.values, *self.members]
 
-    def state_columns(self) -> list[str]:
-        return [*self.keys, "facet", "value", "member", "n", *self.sums, *self.maxes]
-
     def state(self, requests: DataFrame, facets: Sequence[str] | None = None) -> DataFrame:
         """Partial rows of a request log; one shuffle.
 

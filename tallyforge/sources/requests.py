@@ -49,6 +49,9 @@ TABLE_LAYOUT: dict[str, tuple[str, str, list[str]]] = {
     "expensive_method_usage": ("day", "event_time", ["event_time", "consumer_id", "chain_slug", "rpc_method"]),
 }
 
+# Columns by which single tenants are looked up.
+LOOKUP_COLUMNS = ["organization_id", "consumer_id", "api_key_prefix"]
+
 
 def read_requests(
     spark: SparkSession,
@@ -84,12 +87,15 @@ def write_rollup(
     time_col: str,
     sort_by: Sequence[str],
     mode: str = "overwrite",
+    bloom: Sequence[str] = (),
 ) -> None:
     """Write partitioned by day (``event_date``) or month (``event_month``).
 
     REBALANCE lets adaptive execution split the files of a partition that
     holds most of the rows and join the files of small ones.  Overwriting is
     per partition, so a rerun for one day leaves the other days alone.
+    ``bloom`` names columns to get Parquet bloom filters, for point lookups
+    by columns the files are not sorted by.
     """
     if grain == "day":
         part, df = "event_date", df.withColumn("event_date", F.to_date(time_col))
@@ -98,23 +104,26 @@ def write_rollup(
     else:
         raise ValueError(f"unknown grain {grain!r}")
     sort_by = [c for c in sort_by if c != part]
-    (
-        df.hint("rebalance", part)
-        .sortWithinPartitions(part, *sort_by)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(part)
-        .parquet(path)
-    )
-
-
-def write_table(df: DataFrame, path: str, table: str, mode: str = "overwrite") -> None:
-    """A11 with the layout of a known table."""
+    writer = df.hint("rebalance", part).sortWithinPartitions(part, *sort_by).write.mode(mode)
+    if bloom:
+        filters = {f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom}
+        writer = writer.options(**filters, **{"parquet.bloom.filter.adaptive.enabled": "true"})
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+
+def write_table(
+    df: DataFrame, path: str, table: str, mode: str = "overwrite", bloom: Sequence[str] = ()
+) -> None:
+    """A11 with the layout of a known table.
+
+    ``bloom`` (say LOOKUP_COLUMNS) pays off for large files that are searched
+    by key; it makes writing slower, so it is off unless asked for.
+    """
     grain, time_col, sort_by = TABLE_LAYOUT[table]
     if "facet" in df.columns:
         # Partial rows: keep the totals together, most reports read only them.
         sort_by = ["facet", *sort_by]
-    write_rollup(df, path, grain, time_col, sort_by, mode)
+    write_rollup(df, path, grain, time_col, sort_by, mode, bloom)
 
 
 def apply_retention(df: DataFrame, time_col: str, table: str, as_of: datetime | str) -> DataFrame:
