@@ -13,7 +13,7 @@ from tallyforge.operators import billing, ingest, policy, rollups, series, usage
 from tallyforge.operators import catalog as views
 from tallyforge.plans import dashboards, reports
 from tallyforge.sources import catalog as sources
-from tallyforge.sources.requests import apply_retention, expired_partitions, read_requests, write_table
+from tallyforge.sources.requests import LOOKUP_COLUMNS, apply_retention, expired_partitions, read_requests, write_table
 
 JANUARY = ("2024-01-01", "2024-01-31")
 
@@ -311,7 +311,7 @@ def test_keep_last_takes_the_newest(make_log):
 def test_reports_prune_month_partitions(make_log, spark, tmp_path):
     log = make_log([{"event_time": datetime(2024, m, 15), "latency_ms": m} for m in (1, 2, 3)])
     path = str(tmp_path / "daily")
-    write_table(usage.usage_daily_state_from_log(log), path, "usage_daily")
+    write_table(usage.usage_daily_state_from_log(log), path, "usage_daily", bloom=LOOKUP_COLUMNS)
     stored = spark.read.parquet(path)
     report = reports.usage_by_chain(stored, "org1", "2024-02-01", "2024-02-29")
     assert [r.latency_p95 for r in report.collect()] == [2.0]
