@@ -8,20 +8,21 @@ from pyspark.sql import functions as F
 from tallyforge.llm.common import fold_case, written
 
 
-def _marks(keys: Column, rows: DataFrame, bits: int) -> DataFrame:
+def bitmap(rows: DataFrame, keys: Column, bits: int) -> DataFrame:
     """A bitmap of the keys that occur more than once: at most bits / 64 rows, whatever the input."""
-    slot = F.pmod(F.col("key"), F.lit(bits))
-    often = rows.groupBy(keys.alias("key")).count().filter("count > 1").select(slot.alias("slot"))
+    often = rows.groupBy(keys.alias("key")).count().filter("count > 1").select(F.pmod("key", F.lit(bits)).alias("slot"))
     return often.groupBy(F.expr("shiftright(slot, 6)").alias("word")).agg(
         F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")
     )
 
 
-def _recurring(rows: DataFrame, keys: Column, marks: DataFrame, bits: int) -> DataFrame:
-    """The rows whose key is in the bitmap; a few others pass with them."""
-    slotted = rows.withColumn("slot", F.pmod(keys, F.lit(bits)))
-    hit = slotted.join(F.broadcast(marks), F.expr("shiftright(slot, 6) = word"))
-    return hit.filter("getbit(bits, cast(slot & 63 as int)) = 1").select(*rows.columns)
+def in_bitmap(rows: DataFrame, keys: Column, marks: DataFrame, bits: int, name: str = "hit") -> DataFrame:
+    """Add whether a row's key is in the bitmap; a few keys that occur once are too."""
+    slotted = rows.withColumn("_slot", F.pmod(keys, F.lit(bits)))
+    side = F.broadcast(marks.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
+    found = slotted.join(side, F.expr("shiftright(_slot, 6) = _word"), "left")
+    hit = F.expr("coalesce(getbit(_bits, cast(_slot & 63 as int)), 0) = 1")
+    return found.select(*rows.columns, hit.alias(name))
 
 
 def exact_dedup(
@@ -51,10 +52,11 @@ def exact_dedup(
     head = F.xxhash64(F.octet_length("body"), fold_case(F.substring("body", 1, prefix)))
     full = F.sha2(fold_case(F.col("body")), 256)
 
-    lengths = written(_marks(length, rows, filter_bits), "lengths")
-    same_length = _recurring(rows, length, lengths, filter_bits)
-    heads = written(_marks(head, same_length, filter_bits), "heads")
-    survivors = _recurring(same_length, head, heads, filter_bits)
+    lengths = written(bitmap(rows, length, filter_bits), "lengths")
+    same_length = in_bitmap(rows, length, lengths, filter_bits)
+    heads = written(bitmap(same_length.filter("hit"), head, filter_bits), "heads")
+    same_head = in_bitmap(same_length.filter("hit"), head, heads, filter_bits, "hit_head")
+    survivors = same_head.filter("hit_head")
     groups = written(
         survivors.groupBy(full.alias("sha"))
         .agg(F.count("*").alias("group_size"), F.max("id").alias("keep_id"))
@@ -65,13 +67,8 @@ def exact_dedup(
     if digest:
         hashed = rows.select("id", full.alias("sha"))
     else:
-        slots = {"a": F.pmod(length, F.lit(filter_bits)), "b": F.pmod(head, F.lit(filter_bits))}
-        marked = rows.select("*", *[v.alias(k) for k, v in slots.items()])
-        for name, marks in (("a", lengths), ("b", heads)):
-            side = F.broadcast(marks.select(F.col("word").alias(f"{name}w"), F.col("bits").alias(f"{name}b")))
-            marked = marked.join(side, F.expr(f"shiftright({name}, 6) = {name}w"), "left")
-        hit = " AND ".join(f"coalesce(getbit({n}b, cast({n} & 63 as int)), 0) = 1" for n in "ab")
-        hashed = marked.select("id", F.when(F.expr(hit), full).alias("sha"))
+        both = in_bitmap(same_length, head, heads, filter_bits, "hit_head")
+        hashed = both.select("id", F.when(F.expr("hit AND hit_head"), full).alias("sha"))
     # a row that is single joins on a key of its own, so that such rows do not meet in one task
     keyed = hashed.withColumn("key", F.coalesce("sha", F.concat(F.lit("id "), F.coalesce(F.col("id").cast("string"), F.lit("")))))
     found = keyed.join(groups.withColumnRenamed("sha", "key"), "key", "left")

@@ -6,15 +6,55 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyforge.llm.common import table
+from tallyforge.llm.common import remainder, table
 from tallyforge.llm.exact_dedup import exact_dedup
 from tallyforge.llm.mixing import mix_sources
 from tallyforge.llm.packing import pack_documents
+from tallyforge.llm.quality import score_quality
+from tallyforge.llm.repair import read_tokens, write_tokens
+from tallyforge.llm.toxicity import score_toxicity
+from tallyforge.llm.warc import read_archives, write_archives
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+THRESHOLD = 0.7
+
+
+def _judged(scores: DataFrame, modulus: int, held: int) -> DataFrame:
+    """The scores with the fold of each document and the decision at THRESHOLD."""
+    fold = F.coalesce(remainder("doc_id", modulus) == held, F.lit(False))
+    return scores.select("doc_id", fold.alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return _judged(score_quality(docs, labels, remainder("doc_id", 4) != 2), 4, 2)
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_archives(write_archives(table(spark, sf_dir, "pages")))
+
+
+OP3_SQL = """
+WITH hashed AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS digest FROM pages
+), latest AS (
+  SELECT *, max(page_id) OVER (PARTITION BY digest) AS latest FROM hashed
+)
+SELECT page_id, payload_bytes,
+       list_aggregate(flatten(list_transform(range(8), lambda g: list_transform([32768, 1024, 32, 1], lambda unit:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                CAST((CAST('0x' || substr(digest, CAST(1 + 5 * g AS INTEGER), 5) AS BIGINT) // unit) % 32 + 1 AS INTEGER), 1)
+       ))), 'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> latest THEN latest END AS refers_to
+FROM latest
+"""
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
@@ -34,6 +74,11 @@ FROM hashed
 """
 
 
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return read_tokens(manifest).withColumnRenamed("id", "doc_id")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).drop("source")
 
@@ -71,14 +116,23 @@ FROM epochs
 """
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return _judged(score_toxicity(docs, labels, remainder("doc_id", 3) != 1), 3, 1)
+
+
 def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op3_warc": op3_warc,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_token_shards": op6_token_shards,
     "op7_mix_sources": op7_mix_sources,
+    "op9_toxicity": op9_toxicity,
     "op10_pack_documents": op10_pack_documents,
 }
 
-SQL: dict[str, str] = {"op5_exact_dedup": OP5_SQL, "op7_mix_sources": OP7_SQL}
+SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_mix_sources": OP7_SQL}

@@ -46,6 +46,43 @@ def slices(texts: pa.Array, most: int = SLICE) -> Iterator[tuple[int, np.ndarray
         first = last
 
 
+_BLANK = np.zeros(256, bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+
+
+def lower_ascii(data: np.ndarray) -> np.ndarray:
+    return data + np.uint8(32) * ((data >= 65) & (data <= 90))
+
+
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values over all bits."""
+    hashes = (hashes ^ (hashes >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    hashes = (hashes ^ (hashes >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return hashes ^ (hashes >> np.uint64(31))
+
+
+def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and 64-bit hashes of the words (runs of bytes other than ASCII blanks) of a slice."""
+    word = ~_BLANK[data]
+    starts, ends = word.copy(), word.copy()
+    starts[1:] &= ~word[:-1]
+    ends[:-1] &= ~word[1:]
+    edge = bounds[1:-1]
+    edge = edge[(edge > 0) & (edge < len(data))]
+    starts[edge] = word[edge]
+    ends[edge - 1] = word[edge - 1]
+    first, last = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    if not len(first):
+        return first, last, np.zeros(0, np.uint64)
+    sizes = last - first
+    at = np.flatnonzero(word)
+    begins = np.cumsum(sizes) - sizes
+    inside = np.arange(len(at)) - np.repeat(begins, sizes)
+    far = np.uint64(0x9E3779B97F4A7C15) * (inside // LONGEST).astype(np.uint64)
+    hashes = np.add.reduceat(mixed(_BYTE[data[at]] + far) * _PLACE[inside % LONGEST], begins)
+    return first, last, mixed(hashes + sizes.astype(np.uint64))
+
+
 class Encoder:
     """Encodes as ``Tokenizer.encode(text, add_special_tokens=False)`` does, piece by piece.
 
@@ -86,7 +123,7 @@ class Encoder:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(bounds), np.int64)
         if self.lower:
-            data = data + np.uint8(32) * ((data >= 65) & (data <= 90))
+            data = lower_ascii(data)
         cut = np.zeros(len(data), bool)
         cut[:-1] = (data[:-1] == 32) & _OPENS[data[1:]]
         letter, mark = _LETTER[data], _MARK[data]
