@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import remainder, table
 from tallyforge.llm.exact_dedup import exact_dedup
+from tallyforge.llm.language import identify_language
 from tallyforge.llm.mixing import mix_sources
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.quality import score_quality
@@ -34,6 +35,12 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(score_quality(docs, labels, remainder("doc_id", 4) != 2), 4, 2)
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify_language(table(spark, sf_dir, "documents"), remainder("doc_id", 4) != 2)
+    fold = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))
+    return found.select("doc_id", fold.alias("held_out"), "lang_pred", "score")
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(write_archives(table(spark, sf_dir, "pages")))
 
@@ -127,6 +134,7 @@ def op10_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_language_id": op2_language_id,
     "op3_warc": op3_warc,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_shards": op6_token_shards,
