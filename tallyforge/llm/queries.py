@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import remainder, table
+from tallyforge.llm.embeddings import near_duplicate_vectors
 from tallyforge.llm.exact_dedup import exact_dedup
 from tallyforge.llm.language import identify_language
 from tallyforge.llm.mixing import mix_sources
@@ -123,6 +124,10 @@ FROM epochs
 """
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return _judged(score_toxicity(docs, labels, remainder("doc_id", 3) != 1), 3, 1)
@@ -139,6 +144,7 @@ QUERIES: dict[str, Query] = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_shards": op6_token_shards,
     "op7_mix_sources": op7_mix_sources,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_pack_documents": op10_pack_documents,
 }
