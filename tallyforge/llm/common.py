@@ -77,3 +77,37 @@ def running_total(df: DataFrame, group: Sequence[str], key: str, ties: Sequence[
     return joined.withColumn("before", F.col("_inside") + F.col("_offset")).drop(
         *names.values(), "_ranges", "_range", "_inside", "_r", "_sum", "_offset"
     )
+
+
+def bitmap(rows: DataFrame, keys: Column, bits: int) -> DataFrame:
+    """A bitmap of the keys that occur more than once: at most bits / 64 rows, whatever the input."""
+    often = rows.groupBy(keys.alias("key")).count().filter("count > 1")
+    return slot_bitmap(often, F.col("key"), bits)
+
+
+def slot_bitmap(rows: DataFrame, keys: Column, bits: int) -> DataFrame:
+    """A bitmap of the keys: at most bits / 64 rows, whatever the input."""
+    return rows.select(F.pmod(keys, F.lit(bits)).alias("slot")).groupBy(F.expr("shiftright(slot, 6)").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")
+    )
+
+
+def in_bitmap(rows: DataFrame, keys: Column, marks: DataFrame, bits: int, name: str = "hit") -> DataFrame:
+    """Add whether a row's key is in the bitmap; a few keys that occur once are too."""
+    slotted = rows.withColumn("_slot", F.pmod(keys, F.lit(bits)))
+    side = F.broadcast(marks.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
+    found = slotted.join(side, F.expr("shiftright(_slot, 6) = _word"), "left")
+    hit = F.expr("coalesce(getbit(_bits, cast(_slot & 63 as int)), 0) = 1")
+    return found.select(*rows.columns, hit.alias(name))
+
+
+def without(rows: DataFrame, gone: DataFrame, id_col: str, bits: int = 1 << 22) -> DataFrame:
+    """The rows whose id is not in ``gone`` (column ``id``); rows with a null id stay.
+
+    Only rows that hit a bitmap of the ids, a fixed size, are shuffled to be compared.
+    """
+    key = F.xxhash64(F.col(id_col))
+    marked = in_bitmap(rows, key, written(slot_bitmap(gone, F.xxhash64("id"), bits), "gone"), bits, "_hit")
+    ids = gone.select(F.col("id").alias("_gone"))
+    kept = marked.filter("_hit").join(ids, F.col(id_col) == F.col("_gone"), "left_anti")
+    return marked.filter("NOT _hit").union(kept).select(*rows.columns)

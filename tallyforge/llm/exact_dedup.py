@@ -2,27 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import fold_case, written
-
-
-def bitmap(rows: DataFrame, keys: Column, bits: int) -> DataFrame:
-    """A bitmap of the keys that occur more than once: at most bits / 64 rows, whatever the input."""
-    often = rows.groupBy(keys.alias("key")).count().filter("count > 1").select(F.pmod("key", F.lit(bits)).alias("slot"))
-    return often.groupBy(F.expr("shiftright(slot, 6)").alias("word")).agg(
-        F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("bits")
-    )
-
-
-def in_bitmap(rows: DataFrame, keys: Column, marks: DataFrame, bits: int, name: str = "hit") -> DataFrame:
-    """Add whether a row's key is in the bitmap; a few keys that occur once are too."""
-    slotted = rows.withColumn("_slot", F.pmod(keys, F.lit(bits)))
-    side = F.broadcast(marks.select(F.col("word").alias("_word"), F.col("bits").alias("_bits")))
-    found = slotted.join(side, F.expr("shiftright(_slot, 6) = _word"), "left")
-    hit = F.expr("coalesce(getbit(_bits, cast(_slot & 63 as int)), 0) = 1")
-    return found.select(*rows.columns, hit.alias(name))
+from tallyforge.llm.common import bitmap, fold_case, in_bitmap, written
 
 
 def exact_dedup(

@@ -16,6 +16,7 @@ from tallyforge.llm.mixing import mix_sources
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.quality import score_quality
 from tallyforge.llm.repair import read_tokens, write_tokens
+from tallyforge.llm.shingle_join import link_texts
 from tallyforge.llm.toxicity import score_toxicity
 from tallyforge.llm.warc import read_archives, write_archives
 
@@ -63,6 +64,10 @@ FROM latest
 """
 
 
+def op4_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_texts(table(spark, sf_dir, "documents"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest=True)
 
@@ -141,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
     "op3_warc": op3_warc,
+    "op4_shingle_join": op4_shingle_join,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_token_shards": op6_token_shards,
     "op7_mix_sources": op7_mix_sources,

@@ -13,8 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import written
-from tallyforge.llm.exact_dedup import bitmap, in_bitmap
+from tallyforge.llm.common import bitmap, in_bitmap, written
 from tallyforge.llm.shared_files import create, fresh_file, open_random
 from tallyforge.session import scratch_path
 
