@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.llm.common import WORD, remainder, table, without, written
 from tallyforge.llm.exact_dedup import exact_dedup
@@ -33,10 +36,9 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, gone, "doc_id")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def first_words(text: pd.Series, words: pd.Series) -> pd.Series:
     """The text up to the end of its word number ``words``; null where there is nothing to cut."""
-    import re
 
     def cut(t: str, n: int) -> str:
         for i, found in enumerate(re.finditer(WORD, t), 1):
