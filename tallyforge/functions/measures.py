@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,14 @@ def at(moment: datetime | str) -> Column:
     return F.lit(str(moment)).cast("timestamp")
 
 
+def last_moment(moment: date | datetime | str) -> Column:
+    """The inclusive end that ``moment`` names: of a date without a time its last microsecond."""
+    whole_day = isinstance(moment, date) and not isinstance(moment, datetime)
+    if whole_day or re.fullmatch(r"\s*\d+-\d+-\d+\s*", str(moment)):
+        return at(moment) + F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 1 MICROSECOND")
+    return at(moment)
+
+
 def ago(moment: datetime | str, interval: str) -> Column:
     """The instant ``interval`` (such as '24 HOURS') before ``moment``."""
     return at(moment) - F.expr(f"INTERVAL {interval}")
@@ -71,15 +80,11 @@ def chain_allowed(chains: Column | str, slug: Column | str) -> Column:
     return F.coalesce((chains == F.array(F.lit("*"))) | F.array_contains(chains, slug), F.lit(False))
 
 
-def salted_lookup(
-    fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left", spread_by: str = "request_id", salts: int = 16
-) -> DataFrame:
+def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
     """Join a fact table to a unique-keyed lookup that may grow with the data.
 
-    No broadcast is forced: Catalyst broadcasts the lookup when its size is
-    below the threshold.  Beyond it, the shuffled join is on (key, salt), so
-    a key that holds a third of the fact rows is read by ``salts`` tasks.
+    A plain equi-join: Catalyst broadcasts the lookup while its own size is below the
+    threshold; beyond that, adaptive execution splits the shuffled partitions of
+    hot keys, and only of those.  No copy of the lookup is made.
     """
-    salted_fact = fact.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
-    copies = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_fact.join(copies, [*on, "_salt"], how).drop("_salt")
+    return fact.join(dim, list(on), how)

@@ -37,10 +37,12 @@ def meter(daily_state: DataFrame, period: str = "month", value: str = "compute_u
 def rate_usage(metered: DataFrame, prices: DataFrame, coefficients: DataFrame) -> DataFrame:
     """H2: cost of each metered row.
 
-    Assumption: cost = max(units * coefficient - included_units, 0) *
-    overage_rate, per metered row.  ``prices`` has plan_slug, included_units
-    and overage_rate; ``coefficients`` has chain_slug and coefficient, 1 where
-    a chain is missing.  An unpriced plan costs nothing.
+    Units are weighed by the coefficient of their chain (1 where it is missing).  A plan's
+    included units are free once per organisation, plan and period; what is beyond them is
+    billable and is shared by the chains in proportion to their weighted units.
+    Shares and costs are differences of rounded running totals in the order of the chain, so they
+    add up to the plan's.  ``prices`` has plan_slug, included_units and overage_rate;
+    ``coefficients`` has chain_slug and coefficient.  An unpriced plan costs nothing.
     """
     rates = prices.select(
         "plan_slug",
@@ -52,29 +54,65 @@ def rate_usage(metered: DataFrame, prices: DataFrame, coefficients: DataFrame) -
     weight = F.coalesce("_weight", F.lit(1).cast("decimal(9,4)"))
     weighted = (F.col("units").cast("decimal(18,0)") * weight).cast(QUANTITY)
     none = F.lit(0).cast(QUANTITY)
-    billable = F.greatest(weighted - F.coalesce("_included", none), none).cast(QUANTITY)
-    return joined.select(
-        *metered.columns,
-        weighted.alias("weighted_units"),
-        billable.alias("billable_units"),
-        F.round(billable * F.coalesce("_rate", F.lit(0).cast("decimal(12,6)")), 2).cast(MONEY).alias("cost"),
+    # A group holds one row per chain, so these windows are bounded by the catalog.
+    plan = Window.partitionBy("period_start", "organization_id", "plan_slug")
+    chains = plan.orderBy("chain_slug")
+    total = F.sum("weighted_units").over(plan).cast("double")
+    beyond = F.greatest(F.sum("weighted_units").over(plan).cast(QUANTITY) - F.coalesce("_included", none), none).cast("double")
+    running = F.sum("weighted_units").over(chains).cast("double")
+    shared = F.when(total > 0, F.round(running * (beyond / total), 4)).otherwise(0.0).cast(QUANTITY)
+    cost = F.round(F.col("_billable") * F.coalesce("_rate", F.lit(0).cast("decimal(12,6)")), 2).cast(MONEY)
+    return (
+        joined.withColumn("weighted_units", weighted)
+        .withColumn("_billable", shared)
+        .withColumn("_cost", cost)
+        .select(
+            *metered.columns,
+            "weighted_units",
+            (F.col("_billable") - F.coalesce(F.lag("_billable").over(chains), none)).cast(QUANTITY).alias("billable_units"),
+            (F.col("_cost") - F.coalesce(F.lag("_cost").over(chains), F.lit(0).cast(MONEY))).cast(MONEY).alias("cost"),
+        )
     )
 
 
-def apply_contracts(rated: DataFrame, contracts: DataFrame) -> DataFrame:
+def contract_terms(contracts: DataFrame, periods: DataFrame) -> DataFrame:
+    """The contract of each organisation in each period.
+
+    A contract holds in a period if it holds on its first day; ``start_date`` and ``end_date``
+    may be missing or null.  Of several the latest start counts, then the highest price.
+    ``periods`` is a short list of period_start.
+    """
+    dated = contracts
+    for column in ("start_date", "end_date"):
+        if column not in contracts.columns:
+            dated = dated.withColumn(column, F.lit(None).cast("date"))
+    starts = periods.agg(F.collect_set("period_start").alias("_periods"))
+    every = dated.crossJoin(starts).withColumn("period_start", F.explode("_periods"))
+    holds = F.coalesce(F.col("start_date") <= F.col("period_start"), F.lit(True))
+    holds &= F.coalesce(F.col("end_date") >= F.col("period_start"), F.lit(True))
+    price = F.col("price_fixed").cast(MONEY).alias("_price")
+    latest = F.max(F.struct(F.coalesce("start_date", F.lit("0001-01-01").cast("date")), price, "contract_type")).alias("_terms")
+    kept = every.where(holds).groupBy("period_start", "organization_id").agg(latest)
+    return kept.select("period_start", "organization_id", "_terms.contract_type", "_terms._price")
+
+
+def apply_contracts(rated: DataFrame, contracts: DataFrame, periods: DataFrame | None = None) -> DataFrame:
     """H3: what each organisation owes per period.
 
     FIXED charges the price only, METERED the usage only, HYBRID (assumption)
-    both; an organisation without a contract is metered.  ``contracts`` has
-    organization_id, contract_type and price_fixed.
+    both; an organisation without a contract is metered.  A price is owed in every period in
+    which the contract holds, with usage or without.  ``contracts`` has organization_id,
+    contract_type, price_fixed and, if they end, start_date and end_date; ``periods`` are
+    those of ``rated`` unless given.
     """
     usage = rated.groupBy("period_start", "organization_id").agg(F.sum("cost").cast(MONEY).alias("usage_cost"))
-    terms = contracts.select("organization_id", "contract_type", F.col("price_fixed").cast(MONEY).alias("_price"))
+    terms = contract_terms(contracts, rated if periods is None else periods)
     kind = F.coalesce("contract_type", F.lit("METERED"))
     nothing = F.lit(0).cast(MONEY)
     fixed = F.when(kind.isin("FIXED", "HYBRID"), F.coalesce("_price", nothing)).otherwise(nothing)
-    metered = F.when(kind.isin("METERED", "HYBRID"), F.col("usage_cost")).otherwise(nothing)
-    return usage.join(terms, "organization_id", "left").select(
+    metered = F.when(kind.isin("METERED", "HYBRID"), F.coalesce("usage_cost", nothing)).otherwise(nothing)
+    owing = usage.join(terms, ["period_start", "organization_id"], "full")
+    return owing.where(F.col("usage_cost").isNotNull() | (kind != "METERED")).select(
         "period_start",
         "organization_id",
         kind.alias("contract_type"),
@@ -100,12 +138,14 @@ def build_invoices(
 ) -> DataFrame:
     """H4: one invoice per organisation and period, with its lines as an array.
 
-    There is one line per chain and plan used, and one for a fixed price; the
-    number of lines is bounded by the catalog, not by usage.
+    There is one line per chain and plan used, and one for a fixed price, which is
+    billed also without usage; the number of lines is bounded by the catalog, not by usage.
     """
     if contracts is None:
-        charges = rated.groupBy("period_start", "organization_id").agg(F.sum("cost").alias("amount"))
-        charges = charges.withColumns({"fixed_charge": F.lit(0).cast(MONEY), "contract_type": F.lit("METERED")})
+        charges = rated.groupBy("period_start", "organization_id").agg(F.sum("cost").cast(MONEY).alias("amount"))
+        charges = charges.withColumns(
+            {"fixed_charge": F.lit(0).cast(MONEY), "usage_charge": F.col("amount"), "contract_type": F.lit("METERED")}
+        )
     else:
         charges = apply_contracts(rated, contracts)
     lines = rated.groupBy("period_start", "organization_id").agg(
@@ -116,7 +156,7 @@ def build_invoices(
     usage_billed = F.col("contract_type") != "FIXED"
     nothing = F.lit(0).cast(MONEY)
     usage_lines = F.transform(
-        "_lines",
+        F.coalesce("_lines", F.array().cast(lines.schema["_lines"].dataType)),
         lambda line: F.struct(
             F.concat(line["chain_slug"], F.lit(" - "), line["units"].cast("string"), F.lit(" units")).alias("description"),
             F.when(usage_billed, line["amount"]).otherwise(nothing).cast(MONEY).alias("amount"),
@@ -127,13 +167,15 @@ def build_invoices(
     )
     subtotal = F.col("amount").cast(MONEY)
     tax = F.round(subtotal * F.lit(tax_rate).cast("decimal(5,4)"), 2).cast(MONEY)
-    return charges.join(lines, ["period_start", "organization_id"]).select(
+    return charges.join(lines, ["period_start", "organization_id"], "left").select(
         F.concat_ws("-", F.lit("INV"), F.date_format("period_start", "yyyy-MM-dd"), "organization_id").alias(
             "invoice_number"
         ),
         "organization_id",
         "period_start",
         _PERIOD_END[period](F.col("period_start")).alias("period_end"),
+        F.col("fixed_charge").cast(MONEY).alias("fixed_charge"),
+        F.col("usage_charge").cast(MONEY).alias("usage_charge"),
         subtotal.alias("subtotal"),
         tax.alias("tax"),
         (subtotal + tax).cast(MONEY).alias("total"),
@@ -149,35 +191,47 @@ def close_period(metered: DataFrame) -> DataFrame:
     return metered.withColumn("row_hash", F.sha2(F.to_json(F.struct(*metered.columns)), 256))
 
 
-def _outcome(ours: Column, theirs: Column, difference: Column) -> Column:
-    return (
-        F.when(ours.isNull(), "missing_invoice")
-        .when(theirs.isNull(), "missing_snapshot")
-        .when(difference != 0, "mismatch")
-        .otherwise("match")
-    )
+def broken_rows(snapshot: DataFrame) -> DataFrame:
+    """The rows of a closed period whose hash is not that of their other columns."""
+    columns = [c for c in snapshot.columns if c != "row_hash"]
+    return snapshot.where(~F.col("row_hash").eqNullSafe(F.sha2(F.to_json(F.struct(*columns)), 256)))
 
 
-def reconcile(
-    invoices: DataFrame,
-    snapshot: DataFrame,
-    invoice_amount: str = "subtotal",
-    snapshot_amount: str = "cost",
-    keys: Sequence[str] = ("period_start", "organization_id"),
-) -> DataFrame:
-    """H6: invoice total against closing snapshot, per organisation and period."""
-    billed = invoices.groupBy(*keys).agg(F.sum(invoice_amount).cast(MONEY).alias("invoice_total"))
-    closed = snapshot.groupBy(*keys).agg(F.sum(snapshot_amount).cast(MONEY).alias("snapshot_total"))
-    both = billed.join(closed, list(keys), "full")
+def reconcile(invoices: DataFrame, snapshot: DataFrame, contracts: DataFrame | None = None) -> DataFrame:
+    """H6: invoices against what the closed period owes, per organisation and period.
+
+    ``snapshot`` is the rated usage as ``close_period`` keeps it.  Its charges are worked out
+    again with the ``contracts``; usage is compared with usage and the fixed price with the
+    contract's.  Outcomes: missing_invoice, missing_snapshot, broken_snapshot (a hash does
+    not fit), mismatch, match.
+    """
+    keys = ["period_start", "organization_id"]
+    billed = invoices.groupBy(*keys).agg(
+        F.sum("usage_charge").cast(MONEY).alias("_usage"),
+        F.sum("fixed_charge").cast(MONEY).alias("_fixed"),
+        F.sum("subtotal").cast(MONEY).alias("invoice_total"),
+    )
+    if contracts is None:
+        contracts = snapshot.sparkSession.createDataFrame(
+            [], "organization_id string, contract_type string, price_fixed decimal(10,2)"
+        )
+    periods = snapshot.select("period_start").unionByName(invoices.select("period_start"))
+    owed = apply_contracts(snapshot, contracts, periods).select(
+        *keys, F.col("usage_charge").alias("_usage_owed"), F.col("fixed_charge").alias("_fixed_owed"), F.col("amount").alias("snapshot_total")
+    )
+    broken = broken_rows(snapshot).select(*keys).distinct().withColumn("_broken", F.lit(True))
+    both = billed.join(owed, keys, "full").join(broken, keys, "left")
     nothing = F.lit(0).cast(MONEY)
     difference = (F.coalesce("invoice_total", nothing) - F.coalesce("snapshot_total", nothing)).cast(MONEY)
-    return both.select(
-        *keys,
-        "invoice_total",
-        "snapshot_total",
-        difference.alias("difference"),
-        _outcome(F.col("invoice_total"), F.col("snapshot_total"), difference).alias("outcome"),
+    differs = (F.col("_usage") != F.col("_usage_owed")) | (F.col("_fixed") != F.col("_fixed_owed")) | (difference != 0)
+    outcome = (
+        F.when(F.col("invoice_total").isNull(), "missing_invoice")
+        .when(F.col("snapshot_total").isNull(), "missing_snapshot")
+        .when(F.coalesce("_broken", F.lit(False)), "broken_snapshot")
+        .when(differs, "mismatch")
+        .otherwise("match")
     )
+    return both.select(*keys, "invoice_total", "snapshot_total", difference.alias("difference"), outcome.alias("outcome"))
 
 
 def daily_rates(fx: DataFrame, until: date | str, rate: str = "try_per_usd") -> DataFrame:
@@ -195,18 +249,24 @@ def daily_rates(fx: DataFrame, until: date | str, rate: str = "try_per_usd") ->
 def convert_fx(
     invoices: DataFrame,
     fx: DataFrame,
-    until: date | str,
+    until: date | str | None = None,
     amount: str = "total",
     day: str = "period_end",
     rate: str = "try_per_usd",
 ) -> DataFrame:
     """H7: amount at the rate of its day, else at the last known rate, marked estimated.
 
-    ``until`` bounds the calendar and must not precede the last invoice day.
+    ``until`` bounds the calendar of days, the day of the last quote if not given; on days
+    after it the last quote holds.
     """
-    rates = daily_rates(fx, until, rate).withColumnRenamed("day", day)
+    last = fx.agg(F.max(F.struct(F.col("rate_date").alias("on"), F.col(rate).alias("at"))).alias("_last"))
+    rates = daily_rates(fx, until or "0001-01-01", rate).withColumnRenamed("day", day)
+    after = F.col("fx_rate").isNull() & (F.col(day) > F.col("_last.on"))
+    held = invoices.join(rates, day, "left").crossJoin(last)
+    held = held.withColumn("quoted_on", F.when(after, F.col("_last.on")).otherwise(F.col("quoted_on")))
+    held = held.withColumn("fx_rate", F.when(after, F.col("_last.at")).otherwise(F.col("fx_rate")))
     converted = F.round(F.col(amount) * F.col("fx_rate"), 2).cast(MONEY)
-    return invoices.join(rates, day, "left").select(
+    return held.select(
         *invoices.columns,
         "fx_rate",
         converted.alias("converted_amount"),
@@ -235,10 +295,11 @@ def late_adjustments(
     after = metered.groupBy(*keys).agg(F.sum(value).alias("current_units"))
     nothing = F.lit(0)
     delta = F.coalesce("current_units", nothing) - F.coalesce("closed_units", nothing)
+    same = [after[k].eqNullSafe(before[k]) for k in keys]
     return (
-        after.join(before, list(keys), "full")
+        after.join(before, same, "full")
         .select(
-            *keys,
+            *[F.coalesce(after[k], before[k]).alias(k) for k in keys],
             F.coalesce("closed_units", nothing).alias("closed_units"),
             F.coalesce("current_units", nothing).alias("current_units"),
             delta.alias("adjustment"),

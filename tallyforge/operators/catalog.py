@@ -8,12 +8,13 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.measures import at, chain_allowed, parsed_list, salted_lookup
+from tallyforge.functions.measures import at, chain_allowed, parsed_list, lookup
 from tallyforge.operators.ingest import organization_plans
 
 Catalog = dict[str, DataFrame]
 
-MAX_PAGE, DEFAULT_PAGE = 100, 50
+#: Page size of a web listing.
+DEFAULT_PAGE = 50
 
 
 def _profiles(catalog: Catalog) -> DataFrame:
@@ -38,15 +39,15 @@ def org_profile(catalog: Catalog, org_id: str | None = None, slug: str | None =
     return profiles
 
 
-def page(df: DataFrame, order: Sequence[str | Column], limit: int, offset: int = 0) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` of a total order."""
-    return df.orderBy(*order).offset(max(offset, 0)).limit(limit)
+def page(df: DataFrame, order: Sequence[str | Column], limit: int | None = None, offset: int = 0) -> DataFrame:
+    """Rows from ``offset`` on of a total order, ``limit`` of them if given."""
+    rows = df.orderBy(*order)
+    rows = rows.offset(offset) if offset > 0 else rows
+    return rows if limit is None else rows.limit(limit)
 
 
-def list_orgs(catalog: Catalog, limit: int = DEFAULT_PAGE, offset: int = 0) -> DataFrame:
-    """Active organisations, newest first; a limit out of range becomes the default."""
-    if limit <= 0 or limit > MAX_PAGE:
-        limit = DEFAULT_PAGE
+def list_orgs(catalog: Catalog, limit: int | None = None, offset: int = 0) -> DataFrame:
+    """Active organisations, newest first; all, or a page such as DEFAULT_PAGE."""
     active = _profiles(catalog).where(F.col("status") == "active")
     return page(active, [F.col("created_at").desc(), F.col("organization_id")], limit, offset)
 
@@ -60,7 +61,7 @@ def valid_keys(catalog: Catalog, as_of: datetime | str) -> DataFrame:
 def flag_key_validity(requests: DataFrame, keys: DataFrame) -> DataFrame:
     """Every request with ``key_valid``; ``keys`` are the valid ones."""
     known = keys.select(F.col("key_prefix").alias("api_key_prefix")).distinct().withColumn("_known", F.lit(True))
-    flagged = salted_lookup(requests, known, ["api_key_prefix"])
+    flagged = lookup(requests, known, ["api_key_prefix"])
     return flagged.withColumn("key_valid", F.coalesce("_known", F.lit(False))).drop("_known")
 
 
@@ -103,9 +104,9 @@ def api_keys_detailed(catalog: Catalog) -> DataFrame:
         F.col("name").alias("organization_name"),
         F.col("slug").alias("organization_slug"),
     )
-    consumers = catalog["consumers"].select(F.col("id").alias("consumer_id"), "kong_consumer_id", "unkey_identity_id")
+    consumers = catalog["consumers"].select(F.col("id").alias("consumer_id"), "gateway_consumer_id", "identity_ref")
     joined = catalog["api_keys"].join(orgs, "organization_id").join(consumers, "consumer_id")
-    added = ["organization_name", "organization_slug", "kong_consumer_id", "unkey_identity_id"]
+    added = ["organization_name", "organization_slug", "gateway_consumer_id", "identity_ref"]
     return joined.select(*catalog["api_keys"].columns, *added)
 
 
@@ -177,7 +178,7 @@ def consumer_chain_access(catalog: Catalog) -> DataFrame:
 
     Tests only subscription and chain status, as its definition does.
     """
-    consumers = catalog["consumers"].select(F.col("id").alias("consumer_id"), "organization_id", "unkey_identity_id")
+    consumers = catalog["consumers"].select(F.col("id").alias("consumer_id"), "organization_id", "identity_ref")
     subscribed = catalog["subscriptions"].where(F.col("status") == "active").select("organization_id", "plan_id")
     matrix = _plan_chain_matrix(catalog).drop("_offered")
     return (
@@ -185,7 +186,7 @@ def consumer_chain_access(catalog: Catalog) -> DataFrame:
         .join(matrix, "plan_id")
         .select(
             "consumer_id",
-            "unkey_identity_id",
+            "identity_ref",
             "plan_id",
             "plan_slug",
             "chain_id",
@@ -235,9 +236,9 @@ UNIQUE = [
     ("users", ["email"]),
     ("plans", ["name"]),
     ("plans", ["slug"]),
-    ("consumers", ["kong_consumer_id"]),
-    ("consumers", ["unkey_identity_id"]),
-    ("api_keys", ["unkey_key_id"]),
+    ("consumers", ["gateway_consumer_id"]),
+    ("consumers", ["identity_ref"]),
+    ("api_keys", ["key_ref"]),
     ("invoices", ["invoice_number"]),
     ("chains", ["name"]),
     ("chains", ["slug"]),
@@ -274,7 +275,9 @@ def audit_catalog(catalog: Catalog) -> DataFrame:
         return table in catalog and all(c in catalog[table].columns for c in columns)
 
     def found(bad: DataFrame, table: str, column: str, rule: str, violations: Column) -> DataFrame:
-        return bad.groupBy("value").agg(violations.cast("bigint").alias("violations")).select(
+        # By the columns themselves: different values may read alike once they are glued.
+        keys = [c for c in bad.columns if c != "value"]
+        return bad.groupBy("value", *keys).agg(violations.cast("bigint").alias("violations")).select(
             F.lit(table).alias("table_name"),
             F.lit(column).alias("column_name"),
             F.lit(rule).alias("rule"),

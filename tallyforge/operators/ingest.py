@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.measures import salted_lookup
+from tallyforge.functions.measures import lookup
 
 # Span attribute -> request column, type and default.
 SPAN_ATTRIBUTES = [
@@ -40,12 +40,15 @@ def parse_access_path(df: DataFrame, col: str = "path") -> DataFrame:
 
 
 def mask_api_key(df: DataFrame, col: str = "api_key", prefix_len: int = 20, path_col: str | None = "path") -> DataFrame:
-    """Drop the key, keep its prefix and MD5 digest, and mask it in the path."""
+    """Drop the key, keep its prefix and MD5 digest, and mask it in the path.
+
+    The first segment of any path may be a key, also where no chain follows.
+    """
     masked = df.withColumns(
         {"api_key_prefix": F.substring(col, 1, prefix_len), "api_key_digest": F.md5(F.col(col))}
     )
     if path_col and path_col in df.columns:
-        masked = masked.withColumn(path_col, F.regexp_replace(path_col, r"^/[^/]+/", "/[REDACTED]/"))
+        masked = masked.withColumn(path_col, F.regexp_replace(path_col, r"^/*[^/]+", "/[REDACTED]"))
     return masked.drop(col)
 
 
@@ -90,14 +93,16 @@ def one_key_per_prefix(keys: DataFrame) -> DataFrame:
     """Prefixes are not unique: take an active key first, then the smallest id."""
     rest = [c for c in keys.columns if c not in ("key_prefix", "id")]
     best = F.min(F.struct((F.col("status") != "active").alias("_inactive"), "id", *rest))
-    return keys.groupBy("key_prefix").agg(best.alias("_key")).select("key_prefix", "_key.*").drop("_inactive")
+    # Grouped by a struct, so that a join on the prefix shuffles both sides anew and adaptive execution can split them.
+    grouped = keys.groupBy(F.struct("key_prefix").alias("_prefix")).agg(best.alias("_key"))
+    return grouped.select("_prefix.key_prefix", "_key.*").drop("_inactive")
 
 
 def enrich_tenant(requests: DataFrame, catalog: dict[str, DataFrame]) -> DataFrame:
     """A10: consumer, organisation and plan of each request by its key prefix.
 
     Unknown keys get '' and the plan ``free``.  The tenant table is one row
-    per key prefix and may be large, so the join is salted (see there).
+    per key prefix and may be large (see ``lookup``).
     """
     keys = one_key_per_prefix(catalog["api_keys"].select("key_prefix", "id", "status", "consumer_id", "organization_id"))
     tenants = keys.join(organization_plans(catalog), "organization_id", "left").select(
@@ -105,7 +110,7 @@ def enrich_tenant(requests: DataFrame, catalog: dict[str, DataFrame]) -> DataFra
     )
     tenant_columns = ["consumer_id", "organization_id", "plan_slug"]
     bare = requests.drop(*tenant_columns)
-    return salted_lookup(bare, tenants, ["api_key_prefix"]).withColumns(
+    return lookup(bare, tenants, ["api_key_prefix"]).withColumns(
         {
             "consumer_id": F.coalesce("consumer_id", F.lit("")),
             "organization_id": F.coalesce("organization_id", F.lit("")),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
@@ -30,8 +31,9 @@ BROADCAST_ROWS = 200_000
 
 def _measured(df: DataFrame, folder: str) -> tuple[DataFrame, bool]:
     """``df`` by way of a table in ``folder``, and whether it is small enough to broadcast."""
-    df.write.mode("overwrite").parquet(folder)
-    table = df.sparkSession.read.schema(df.schema).parquet(folder)
+    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"  # of this call alone
+    df.write.mode("errorifexists").parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
     return table, table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
 
 

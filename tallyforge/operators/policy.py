@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.functions.measures import chain_allowed, parsed_list, salted_lookup
+from tallyforge.functions.measures import chain_allowed, parsed_list, lookup
 from tallyforge.operators.ingest import one_key_per_prefix
 
 # Compute units from which a method counts as trace or archive.
@@ -69,7 +69,7 @@ def scope_gate(requests: DataFrame, catalog: dict[str, DataFrame]) -> DataFrame:
         parsed_list("allowed_chains").alias("_chains"),
         parsed_list("restricted_methods").alias("_methods"),
     )
-    joined = salted_lookup(requests, keys, ["api_key_prefix"])
+    joined = lookup(requests, keys, ["api_key_prefix"])
     restricted = F.coalesce(F.array_contains("_methods", F.col("rpc_method")), F.lit(False))
     violation = (
         F.when(F.col("_key").isNull(), "unknown_key")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from math import gcd
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,18 +34,22 @@ def sliding(
 ) -> DataFrame:
     """(eval_time, by..., sums...) over sliding windows.
 
-    Requests are first summed per step, so only one row per series and step,
-    not every request, is copied into the windows that cover it.
+    Requests are first summed per grain, the largest span of which window and step
+    are multiples, so only one row per series and grain, not every request, is
+    copied into the windows that cover it.  A window shorter than the step leaves
+    requests between windows out, as it must.
     """
     width, stride = seconds(window), seconds(step)
-    if width % stride:
-        raise ValueError("the window must be a multiple of the step")
+    grain = gcd(width, stride)
     moment = F.unix_seconds("event_time")
-    start = moment - F.pmod(moment, F.lit(stride))
+    start = moment - F.pmod(moment, F.lit(grain))
     per_step = requests.groupBy(*by, start.alias("_start")).agg(*[F.sum(c).alias(k) for k, c in sums.items()])
     if width == stride:
         return per_step.select(F.timestamp_seconds(F.col("_start") + stride).alias("eval_time"), *by, *sums)
-    ends = F.sequence(F.col("_start") + stride, F.col("_start") + width, F.lit(stride).cast("bigint"))
+    # The ends are the multiples of the step in (start, start + width].
+    first = F.col("_start") - F.pmod(F.col("_start"), F.lit(stride)) + stride
+    last = F.col("_start") + width
+    ends = F.when(first <= last, F.sequence(first, last, F.lit(stride).cast("bigint")))
     covering = per_step.select(*by, *sums, F.explode(ends).alias("_end"))
     return (
         covering.groupBy("_end", *by)
@@ -216,11 +221,11 @@ def alert_near_limit(
     ``plans`` has slug and rate_limit_per_minute.
     """
     keys = ["consumer_id", "plan_slug"]
-    per_minute = sliding(requests, keys, {"value": F.lit(1)}, "1 minute", min(seconds(step), 60))
+    per_minute = sliding(requests, keys, {"value": F.lit(1)}, "1 minute", step)
     limits = plans.select(F.col("slug").alias("plan_slug"), F.col("rate_limit_per_minute").alias("_limit"))
     near = per_minute.join(limits, "plan_slug").where(F.col("value") > F.lit(share) * F.col("_limit"))
     series = near.select("eval_time", *keys, F.col("value").cast("double").alias("value"))
-    return hold_for(series, keys, min(seconds(step), 60), hold)
+    return hold_for(series, keys, step, hold)
 
 
 def alert_plan_violation(

@@ -13,15 +13,14 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyforge.functions.measures import at, gigabytes, percent, within
+from tallyforge.functions.measures import at, gigabytes, last_moment, percent, within
 from tallyforge.operators.catalog import org_profile
 from tallyforge.operators.usage import finalize
 
-Moment = datetime | str
+Moment = date | datetime | str
 
-MAX_CHAINS = 50
-MAX_METHODS, DEFAULT_METHODS = 100, 20
-MAX_HOURLY_ROWS = 500
+# Sizes of a web response; a report has all its rows unless it is given a limit.
+TOP_CHAINS, TOP_METHODS, NESTED_METHODS, HOURLY_ROWS = 50, 20, 10, 500
 MAX_RANGE = timedelta(days=365)
 MAX_HOURLY_RANGE = timedelta(days=7)
 
@@ -54,17 +53,16 @@ def wants_breakdown(text: str | None) -> bool:
     return text == "true"
 
 
-def method_limit(limit: int) -> int:
-    """A limit out of range becomes the default, it is not clamped."""
-    return DEFAULT_METHODS if limit <= 0 or limit > MAX_METHODS else limit
-
-
 def _days(state: DataFrame, start: Moment, end: Moment) -> DataFrame:
-    return within(state, "event_date", at(start).cast("date"), at(end).cast("date"))
+    return within(state, "event_date", at(start).cast("date"), last_moment(end).cast("date"))
 
 
 def _hours(state: DataFrame, start: Moment, end: Moment) -> DataFrame:
-    return within(state, "hour", at(start), at(end))
+    return within(state, "hour", at(start), last_moment(end))
+
+
+def _first(rows: DataFrame, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.limit(limit)
 
 
 def _of(state: DataFrame, column: str, wanted: str | None) -> DataFrame:
@@ -117,10 +115,12 @@ def _busiest(*ties: str) -> list[Column]:
     return [F.col("requests").desc(), *[F.col(t) for t in ties]]
 
 
-def usage_by_chain(daily_state: DataFrame, org: str | None, start: Moment, end: Moment) -> DataFrame:
-    """The fifty busiest chains."""
+def usage_by_chain(
+    daily_state: DataFrame, org: str | None, start: Moment, end: Moment, limit: int | None = None
+) -> DataFrame:
+    """Chains, busiest first; ``limit`` of them (such as TOP_CHAINS) if given."""
     state = _of(_days(daily_state, start, end), "organization_id", org)
-    return _by_chain(state, []).orderBy(*_busiest(*_CHAIN_ORDER)).limit(MAX_CHAINS)
+    return _first(_by_chain(state, []).orderBy(*_busiest(*_CHAIN_ORDER)), limit)
 
 
 def _by_method(state: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -136,11 +136,11 @@ def _by_method(state: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def usage_by_method(
-    hourly_state: DataFrame, org: str | None, start: Moment, end: Moment, limit: int = DEFAULT_METHODS
+    hourly_state: DataFrame, org: str | None, start: Moment, end: Moment, limit: int | None = None
 ) -> DataFrame:
-    """D3: the busiest methods; calls without a method are left out."""
+    """D3: methods, busiest first; ``limit`` of them (such as TOP_METHODS) if given.  Calls without a method are left out."""
     state = _of(_hours(hourly_state, start, end), "organization_id", org)
-    return _by_method(state, []).orderBy(*_busiest("method")).limit(method_limit(limit))
+    return _first(_by_method(state, []).orderBy(*_busiest("method")), limit)
 
 
 def _daily(state: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -178,13 +178,16 @@ def _hourly(state: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def hourly_usage(
-    hourly_state: DataFrame, org: str | None, start: datetime, end: datetime, chain: str | None = None
+    hourly_state: DataFrame,
+    org: str | None,
+    start: Moment,
+    end: Moment,
+    chain: str | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Hour by chain, at most seven days and 500 rows."""
-    if end - start > MAX_HOURLY_RANGE:
-        raise ValueError("hourly data limited to 7 days maximum")
+    """Hour by chain; ``limit`` rows (such as HOURLY_ROWS) if given.  ``resolve_range`` has the seven days of a web request."""
     state = _of(_of(_hours(hourly_state, start, end), "organization_id", org), "chain_slug", chain or None)
-    return _hourly(state, []).orderBy("hour", "chain_slug").limit(MAX_HOURLY_ROWS)
+    return _first(_hourly(state, []).orderBy("hour", "chain_slug"), limit)
 
 
 def api_key_usage(daily_state: DataFrame, key_prefix: str | None, start: Moment, end: Moment) -> DataFrame:
@@ -218,9 +221,12 @@ def usage_report(
     start: Moment,
     end: Moment,
     breakdown: bool = False,
+    chain_limit: int | None = None,
+    method_limit: int | None = None,
 ) -> DataFrame:
-    """Organisation, period and summary as nested rows, with the chains and
-    ten busiest methods as arrays if asked for.
+    """Organisation, period and summary as nested rows, with chains and methods
+    as arrays, busiest first, if asked for; at most ``chain_limit`` (such as TOP_CHAINS) and
+    ``method_limit`` (such as NESTED_METHODS) of them if given.
 
     One row for ``org`` (none if it is unknown), or one per organisation.
     """
@@ -242,27 +248,29 @@ def usage_report(
     report = profile.join(summary, by, "left").select(
         *by,
         F.struct(F.col("organization_id").alias("id"), "name", "plan_slug").alias("organization"),
-        F.struct(at(start).alias("start"), at(end).alias("end")).alias("period"),
+        F.struct(at(start).alias("start"), last_moment(end).alias("end")).alias("period"),
         F.struct(*zero).alias("summary"),
     )
     if breakdown:
         hourly = _of(_hours(hourly_state, start, end), "organization_id", org)
-        chains = _listed(_top(_by_chain(daily, by), MAX_CHAINS, *_CHAIN_ORDER), "by_chain")
-        methods = _listed(_top(_by_method(hourly, by), 10, "method"), "top_methods")
+        chains = _listed(_top(_by_chain(daily, by), chain_limit, *_CHAIN_ORDER), "by_chain")
+        methods = _listed(_top(_by_method(hourly, by), method_limit, "method"), "top_methods")
         report = report.join(chains, by, "left").join(methods, by, "left")
         for column in ("by_chain", "top_methods"):
             report = report.withColumn(column, F.coalesce(column, F.array().cast(report.schema[column].dataType)))
     return report.drop("organization_id")
 
 
-def _top(report: DataFrame, limit: int, *ties: str) -> DataFrame:
-    """The busiest rows of each organisation; Spark cuts groups down before the shuffle."""
+def _top(report: DataFrame, limit: int | None, *ties: str) -> DataFrame:
+    """The busiest rows of each organisation, all without ``limit``; Spark cuts groups down before the shuffle."""
+    if limit is None:
+        return report
     rank = F.row_number().over(Window.partitionBy("organization_id").orderBy(*_busiest(*ties)))
     return report.withColumn("_rank", rank).where(F.col("_rank") <= limit).drop("_rank")
 
 
 def _listed(report: DataFrame, name: str) -> DataFrame:
-    """Each organisation's rows, already limited by ``_top``, as an array, busiest first."""
+    """Each organisation's rows as an array, busiest first; there are no more than chains or methods."""
     columns = [c for c in report.columns if c != "organization_id"]
     entry = F.struct((-F.col("requests")).alias("_order"), F.struct(*columns).alias("row"))
     ordered = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["row"])
@@ -273,21 +281,28 @@ GRAINS = ("summary", "chain", "method", "daily", "hourly", "api_key")
 
 
 def usage_reports_all(
-    daily_state: DataFrame, hourly_state: DataFrame, start: Moment, end: Moment, grain: str = "summary"
+    daily_state: DataFrame,
+    hourly_state: DataFrame,
+    start: Moment,
+    end: Moment,
+    grain: str = "summary",
+    limit: int | None = None,
 ) -> DataFrame:
     """The report of every organisation in one job.
 
-    Limits hold per organisation; ranking uses a windowed row number, which
-    Spark cuts down before the shuffle.  Hourly rows are not limited.
+    ``limit`` (such as TOP_CHAINS or TOP_METHODS) holds per organisation, for the
+    grains chain and method; ranking uses a windowed row number, which Spark cuts
+    down before the shuffle.  All grains cover the same requests, but calls without a
+    method have no row by method.
     """
     by = ["organization_id"]
 
     if grain == "summary":
         return _summary(_days(daily_state, start, end), by, (0.95, 0.99))
     if grain == "chain":
-        return _top(_by_chain(_days(daily_state, start, end), by), MAX_CHAINS, *_CHAIN_ORDER)
+        return _top(_by_chain(_days(daily_state, start, end), by), limit, *_CHAIN_ORDER)
     if grain == "method":
-        return _top(_by_method(_hours(hourly_state, start, end), by), DEFAULT_METHODS, "method")
+        return _top(_by_method(_hours(hourly_state, start, end), by), limit, "method")
     if grain == "daily":
         return _daily(_days(daily_state, start, end), by)
     if grain == "hourly":

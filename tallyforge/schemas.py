@@ -37,11 +37,11 @@ CATALOG_DDL: dict[str, str] = {
         f" cancel_at_period_end boolean, canceled_at timestamp, metadata string, {_AUDIT}"
     ),
     "consumers": (
-        "id string, organization_id string, kong_consumer_id string, unkey_identity_id string,"
+        "id string, organization_id string, gateway_consumer_id string, identity_ref string,"
         f" status string, metadata string, {_AUDIT}"
     ),
     "api_keys": (
-        "id string, organization_id string, consumer_id string, unkey_key_id string, key_prefix string,"
+        "id string, organization_id string, consumer_id string, key_ref string, key_prefix string,"
         " name string, description string, status string, last_used_at timestamp, usage_count bigint,"
         " expires_at timestamp, allowed_chains string, restricted_methods string, metadata string,"
         f" {_AUDIT}, revoked_at timestamp"
@@ -74,7 +74,7 @@ CATALOG_DDL: dict[str, str] = {
     "rpc_endpoints": (
         "id string, chain_id string, name string, url string, endpoint_type string, is_archive boolean,"
         " supports_trace boolean, weight int, priority int, is_healthy boolean, last_health_check timestamp,"
-        " health_check_failures int, avg_latency_ms int, is_active boolean, provider string, metadata string,"
+        " health_check_failures int, avg_latency_ms int, is_active boolean, operator string, metadata string,"
         f" {_AUDIT}"
     ),
     "plan_chain_limits": (

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,10 +34,13 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the cluster's ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a local test session) is a folder of
-    our own made, because a machine-local folder is not visible to executors.
+    Where that setting is absent, a local session gets a folder of its own; on a
+    cluster it is an error, because executors don't see each other's disks.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tallyforge-")
+        spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tallyforge/{label}-{uuid.uuid4().hex}"

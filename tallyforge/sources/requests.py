@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.functions.measures import at
+from tallyforge.functions.measures import at, last_moment
 from tallyforge.schemas import request_schema
 
 # Days each table is kept.
@@ -63,8 +63,9 @@ def read_requests(
 ) -> DataFrame:
     """A1: the request log, batch or stream, with the declared schema.
 
-    ``start`` and ``end`` (inclusive) are put on the time column and on the
-    partition column, so that whole days are pruned.
+    ``start`` and ``end`` (inclusive; a date without a time is its whole day) are
+    put on the time column and on the partition column, so that whole days are
+    pruned.
     """
     if stream:
         reader = spark.readStream.schema(request_schema())
@@ -76,7 +77,8 @@ def read_requests(
     if start is not None:
         log = log.where((F.col("event_time") >= at(start)) & (F.col("event_date") >= at(start).cast("date")))
     if end is not None:
-        log = log.where((F.col("event_time") <= at(end)) & (F.col("event_date") <= at(end).cast("date")))
+        last = last_moment(end)
+        log = log.where((F.col("event_time") <= last) & (F.col("event_date") <= last.cast("date")))
     return log
 
 

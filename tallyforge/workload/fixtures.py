@@ -9,58 +9,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyforge.sources.catalog import CHAINS, METHOD_UNITS, PLANS
+
 AS_OF = "2024-01-31 00:00:00"
 
 VIEWS: dict[str, str] = {}
 
-VIEWS["method_units"] = r"""
-SELECT * FROM (VALUES
-  (0, 'evm', 'eth_blockNumber', 1, false, false, false),
-  (1, 'evm', 'eth_chainId', 1, false, false, false),
-  (2, 'evm', 'eth_gasPrice', 1, false, false, false),
-  (3, 'evm', 'eth_getBalance', 1, false, false, false),
-  (4, 'evm', 'eth_getCode', 1, false, false, false),
-  (5, 'evm', 'eth_getTransactionCount', 1, false, false, false),
-  (6, 'evm', 'eth_call', 2, false, false, false),
-  (7, 'evm', 'eth_estimateGas', 2, false, false, false),
-  (8, 'evm', 'eth_sendRawTransaction', 2, false, false, false),
-  (9, 'evm', 'eth_getBlockByNumber', 3, false, false, false),
-  (10, 'evm', 'eth_getBlockByHash', 3, false, false, false),
-  (11, 'evm', 'eth_getBlockTransactionCountByNumber', 2, false, false, false),
-  (12, 'evm', 'eth_getTransactionByHash', 2, false, false, false),
-  (13, 'evm', 'eth_getTransactionReceipt', 2, false, false, false),
-  (14, 'evm', 'eth_getLogs', 10, true, false, false),
-  (15, 'evm', 'eth_newFilter', 5, false, false, false),
-  (16, 'evm', 'eth_getFilterLogs', 10, true, false, false),
-  (17, 'evm', 'eth_getStorageAt', 5, false, true, false),
-  (18, 'evm', 'eth_getBalance_historical', 5, false, true, false),
-  (19, 'evm', 'debug_traceTransaction', 50, true, true, true),
-  (20, 'evm', 'debug_traceBlockByNumber', 100, true, true, true),
-  (21, 'evm', 'debug_traceBlockByHash', 100, true, true, true),
-  (22, 'evm', 'trace_transaction', 50, true, true, true),
-  (23, 'evm', 'trace_block', 100, true, true, true),
-  (24, 'evm', 'trace_filter', 100, true, true, true)
-) AS t(i, chain_type, rpc_method, compute_units, is_expensive, requires_archive, requires_trace)
+
+
+def _values(rows) -> str:
+    """The rows of a VALUES clause; text is quoted, None becomes NULL."""
+
+    def cell(value) -> str:
+        if isinstance(value, bool):
+            return str(value).lower()
+        return "NULL" if value is None else f"'{value}'" if isinstance(value, str) else str(value)
+
+    return ", ".join(f"({', '.join(map(cell, row))})" for row in rows)
+
+
+VIEWS["method_units"] = f"""
+SELECT * FROM (VALUES {_values((i, "evm", *row) for i, row in enumerate(METHOD_UNITS))})
+  AS t(i, chain_type, rpc_method, compute_units, is_expensive, requires_archive, requires_trace)
 """
 
-VIEWS["fx_chains"] = r"""
-SELECT * FROM (VALUES
-  (0, 'eth-mainnet', false),
-  (1, 'eth-sepolia', true),
-  (2, 'arb-mainnet', false),
-  (3, 'polygon-mainnet', false),
-  (4, 'base-mainnet', false),
-  (5, 'op-mainnet', false)
-) AS t(i, chain_slug, is_testnet)
+_USED = ["eth-mainnet", "eth-sepolia", "arb-mainnet", "polygon-mainnet", "base-mainnet", "op-mainnet"]
+_TESTNETS = {row[0]: row[4] for row in CHAINS}
+
+VIEWS["fx_chains"] = f"""
+SELECT * FROM (VALUES {_values((i, slug, _TESTNETS[slug]) for i, slug in enumerate(_USED))}) AS t(i, chain_slug, is_testnet)
 """
 
-VIEWS["plans"] = r"""
-SELECT * FROM (VALUES
-  ('free', 100, 5000, 100000, CAST(0 AS DECIMAL(10,2)), '["*"]', false, false),
-  ('basic', 1000, 50000, 1000000, CAST(29 AS DECIMAL(10,2)), '["*"]', false, false),
-  ('pro', 10000, 500000, 10000000, CAST(99 AS DECIMAL(10,2)), '["*"]', true, true),
-  ('enterprise', 100000, 5000000, 100000000, CAST(NULL AS DECIMAL(10,2)), '["*"]', true, true)
-) AS t(plan_slug, rate_limit_per_minute, rate_limit_per_hour, rate_limit_per_day, price_monthly, allowed_chains, archive_access, trace_access)
+VIEWS["plans"] = f"""
+SELECT plan_slug, rate_limit_per_minute, rate_limit_per_hour, rate_limit_per_day, CAST(price AS DECIMAL(10,2)) AS price_monthly,
+  allowed_chains, archive_access, trace_access
+FROM (VALUES {_values((slug, *limits, price, '["*"]', archive, trace) for slug, _, *limits, price, _, archive, trace in PLANS)})
+  AS t(plan_slug, rate_limit_per_minute, rate_limit_per_hour, rate_limit_per_day, price, allowed_chains, archive_access, trace_access)
 """
 
 VIEWS["requests"] = r"""
@@ -181,13 +165,13 @@ FROM subscriptions
 
 VIEWS["c_consumers"] = r"""
 SELECT DISTINCT 'c' || CAST(user_id AS STRING) AS id, 'org' || CAST(user_id % 20 AS STRING) AS organization_id,
-  'gw_' || CAST(user_id AS STRING) AS kong_consumer_id, 'ident_' || CAST(user_id AS STRING) AS unkey_identity_id,
+  'gw_' || CAST(user_id AS STRING) AS gateway_consumer_id, 'ident_' || CAST(user_id AS STRING) AS identity_ref,
   'active' AS status
 FROM events
 """
 
 VIEWS["c_api_keys"] = r"""
-SELECT 'key-' || consumer_id AS id, organization_id, consumer_id, 'ref-' || consumer_id AS unkey_key_id, key_prefix, status,
+SELECT 'key-' || consumer_id AS id, organization_id, consumer_id, 'ref-' || consumer_id AS key_ref, key_prefix, status,
   CAST(expires_at AS TIMESTAMP) AS expires_at, allowed_chains, restricted_methods
 FROM api_keys
 """
@@ -236,8 +220,14 @@ SELECT * FROM (VALUES ('eth-mainnet', 1.5000), ('polygon-mainnet', 0.7500), ('ar
 VIEWS["contracts"] = r"""
 SELECT DISTINCT 'org' || CAST(user_id % 20 AS STRING) AS organization_id,
   CASE (user_id % 20) % 3 WHEN 0 THEN 'FIXED' WHEN 1 THEN 'METERED' ELSE 'HYBRID' END AS contract_type,
-  CASE WHEN (user_id % 20) % 3 = 1 THEN CAST(NULL AS DECIMAL(10,2)) ELSE CAST(500.50 AS DECIMAL(10,2)) END AS price_fixed
+  CASE WHEN (user_id % 20) % 3 = 1 THEN CAST(NULL AS DECIMAL(10,2)) ELSE CAST(500.50 AS DECIMAL(10,2)) END AS price_fixed,
+  CASE WHEN user_id % 20 = 2 THEN DATE '2024-01-10' ELSE CAST(NULL AS DATE) END AS start_date,
+  CASE WHEN user_id % 20 = 3 THEN DATE '2024-01-12' ELSE CAST(NULL AS DATE) END AS end_date
 FROM events WHERE user_id % 20 <> 13
+UNION ALL
+SELECT DISTINCT 'idle' || CAST(user_id % 7 AS STRING), CASE WHEN user_id % 7 < 5 THEN 'FIXED' ELSE 'METERED' END,
+  CAST(120.25 AS DECIMAL(10,2)), DATE '2023-06-01', CASE WHEN user_id % 7 = 3 THEN DATE '2023-12-31' ELSE CAST(NULL AS DATE) END
+FROM events
 """
 
 VIEWS["spans"] = r"""

@@ -326,14 +326,22 @@ def _metered(period: str = "month", where: str = "true") -> str:
     FROM requests WHERE {where} GROUP BY 1, organization_id, plan_slug, chain_slug"""
 
 
+# The rule, not the code: weigh, take the included units off each organisation's plan once, share the rest by weight.
 def _rated(period: str = "month") -> str:
-    return f"""(SELECT period_start, organization_id, plan_slug, chain_slug, units, weighted_units, billable_units,
-        CAST(round(billable_units * CAST(overage_rate AS DECIMAL(12,6)), 2) AS DECIMAL(18,2)) AS cost
-      FROM (SELECT *, CAST(greatest(weighted_units - included_units, 0) AS DECIMAL(18,4)) AS billable_units
-        FROM (SELECT m.*, p.included_units, p.overage_rate,
-          CAST(m.units * CAST(coalesce(c.coefficient, 1) AS DECIMAL(9,4)) AS DECIMAL(18,4)) AS weighted_units
-          FROM ({_metered(period)}) m JOIN price_book p ON m.plan_slug = p.plan_slug
-          LEFT JOIN chain_coefficients c ON m.chain_slug = c.chain_slug)))"""
+    plan = "PARTITION BY period_start, organization_id, plan_slug"
+    return f"""(SELECT * EXCLUDE (through, paid),
+        CAST(through - coalesce(lag(through) OVER ({plan} ORDER BY chain_slug), 0) AS DECIMAL(18,4)) AS billable_units,
+        CAST(paid - coalesce(lag(paid) OVER ({plan} ORDER BY chain_slug), 0) AS DECIMAL(18,2)) AS cost
+      FROM (SELECT period_start, organization_id, plan_slug, chain_slug, units, weighted_units, through,
+          CAST(round(through * overage_rate, 2) AS DECIMAL(18,2)) AS paid
+        FROM (SELECT *, CASE WHEN whole > 0 THEN CAST(round(CAST(so_far AS DOUBLE)
+              * (CAST(greatest(whole - included_units, 0) AS DOUBLE) / CAST(whole AS DOUBLE)), 4) AS DECIMAL(18,4)) ELSE 0 END AS through
+          FROM (SELECT *, CAST(sum(weighted_units) OVER ({plan}) AS DECIMAL(18,4)) AS whole,
+              CAST(sum(weighted_units) OVER ({plan} ORDER BY chain_slug) AS DECIMAL(18,4)) AS so_far
+            FROM (SELECT m.*, CAST(p.included_units AS DECIMAL(18,4)) AS included_units, CAST(p.overage_rate AS DECIMAL(12,6)) AS overage_rate,
+                CAST(m.units * CAST(coalesce(c.coefficient, 1) AS DECIMAL(9,4)) AS DECIMAL(18,4)) AS weighted_units
+              FROM ({_metered(period)}) m JOIN price_book p ON m.plan_slug = p.plan_slug
+              LEFT JOIN chain_coefficients c ON m.chain_slug = c.chain_slug)))))"""
 
 
 _RATED_VIEWS = ["requests", "price_book", "chain_coefficients", "contracts", "fx_rates"]
@@ -364,11 +372,14 @@ def _(spark, sf_dir):
 
 
 def _owed(period: str = "month") -> str:
-    return f"""(SELECT period_start, u.organization_id, coalesce(contract_type, 'METERED') AS contract_type,
+    return f"""(SELECT period_start, organization_id, coalesce(contract_type, 'METERED') AS contract_type,
       CASE WHEN contract_type IN ('FIXED', 'HYBRID') THEN CAST(price_fixed AS DECIMAL(18,2)) ELSE 0 END AS fixed_charge,
-      CASE WHEN coalesce(contract_type, 'METERED') IN ('METERED', 'HYBRID') THEN usage_cost ELSE 0 END AS usage_charge
+      CASE WHEN coalesce(contract_type, 'METERED') IN ('METERED', 'HYBRID') THEN coalesce(usage_cost, 0) ELSE 0 END AS usage_charge
     FROM (SELECT period_start, organization_id, CAST(sum(cost) AS DECIMAL(18,2)) AS usage_cost FROM {_rated(period)} GROUP BY ALL) u
-    LEFT JOIN contracts c ON u.organization_id = c.organization_id)"""
+    FULL JOIN (SELECT period_start, organization_id, contract_type, price_fixed FROM contracts, (SELECT DISTINCT period_start FROM ({_metered(period)}))
+      WHERE period_start BETWEEN coalesce(start_date, DATE '0001-01-01') AND coalesce(end_date, DATE '9999-12-31')) c
+      USING (period_start, organization_id)
+    WHERE usage_cost IS NOT NULL OR contract_type <> 'METERED')"""
 
 
 @query(
@@ -384,7 +395,7 @@ def _(spark, sf_dir):
 
 def _invoiced(period: str, end: str) -> str:
     return f"""(SELECT 'INV-' || strftime(period_start, '%Y-%m-%d') || '-' || organization_id AS invoice_number, organization_id,
-      period_start, {end} AS period_end, subtotal, tax, CAST(subtotal + tax AS DECIMAL(18,2)) AS total, contract_type, fixed_charge
+      period_start, {end} AS period_end, subtotal, tax, CAST(subtotal + tax AS DECIMAL(18,2)) AS total, contract_type, fixed_charge, usage_charge
     FROM (SELECT *, CAST(round(subtotal * CAST(0.20 AS DECIMAL(5,4)), 2) AS DECIMAL(18,2)) AS tax
       FROM (SELECT *, CAST(fixed_charge + usage_charge AS DECIMAL(18,2)) AS subtotal FROM {_owed(period)})))"""
 
@@ -395,11 +406,12 @@ def _invoiced(period: str, end: str) -> str:
     f""", lines AS (SELECT r.period_start, r.organization_id, string_agg(chain_slug || ' - ' || units || ' units='
         || CAST(CASE WHEN i.contract_type = 'FIXED' THEN CAST(0 AS DECIMAL(18,2)) ELSE cost END AS VARCHAR), ';' ORDER BY chain_slug, plan_slug) AS listed
       FROM {_rated()} r JOIN {_owed()} i ON r.organization_id = i.organization_id AND r.period_start = i.period_start GROUP BY ALL)
-    SELECT invoice_number, i.organization_id, i.period_start, period_end, CAST(subtotal AS DOUBLE) AS subtotal,
+    SELECT invoice_number, i.organization_id, i.period_start, period_end, CAST(fixed_charge AS DOUBLE) AS fixed_charge,
+      CAST(usage_charge AS DOUBLE) AS usage_charge, CAST(subtotal AS DOUBLE) AS subtotal,
       CAST(tax AS DOUBLE) AS tax, CAST(total AS DOUBLE) AS total, 'USD' AS currency,
-      listed || CASE WHEN contract_type = 'METERED' THEN '' ELSE ';fixed price=' || CAST(fixed_charge AS VARCHAR) END AS line_items
+      concat_ws(';', listed, CASE WHEN contract_type <> 'METERED' THEN 'fixed price=' || CAST(CAST(fixed_charge AS DECIMAL(18,2)) AS VARCHAR) END) AS line_items
     FROM {_invoiced("month", "last_day(period_start)")} i
-    JOIN lines l ON i.organization_id = l.organization_id AND i.period_start = l.period_start""",
+    LEFT JOIN lines l ON i.organization_id = l.organization_id AND i.period_start = l.period_start""",
 )
 def _(spark, sf_dir):
     (contracts,) = load(spark, sf_dir, "contracts")
@@ -421,17 +433,25 @@ def _(spark, sf_dir):
 @query(
     "reconcile",
     _RATED_VIEWS,
-    f""", closed AS (SELECT period_start, organization_id, CAST(sum(cost) AS DECIMAL(18,2)) AS snapshot_total FROM {_rated()} GROUP BY ALL)
-    SELECT period_start, organization_id, CAST(fixed_charge + usage_charge AS DOUBLE) AS invoice_total,
-      CAST(snapshot_total AS DOUBLE) AS snapshot_total,
-      CAST(fixed_charge + usage_charge - snapshot_total AS DOUBLE) AS difference,
-      CASE WHEN fixed_charge + usage_charge = snapshot_total THEN 'match' ELSE 'mismatch' END AS outcome
-    FROM {_owed()} JOIN closed USING (period_start, organization_id)""",
+    f"""SELECT period_start, organization_id,
+      CASE WHEN organization_id <> 'org4' THEN CAST(fixed_charge + usage_charge + (organization_id = 'org5')::INT AS DOUBLE) END AS invoice_total,
+      CASE WHEN organization_id <> 'org7' OR fixed_charge > 0 THEN CAST(fixed_charge + CASE WHEN organization_id = 'org7' THEN 0 ELSE usage_charge END AS DOUBLE) END
+        AS snapshot_total,
+      coalesce(invoice_total, 0) - coalesce(snapshot_total, 0) AS difference,
+      CASE WHEN organization_id = 'org4' THEN 'missing_invoice' WHEN snapshot_total IS NULL THEN 'missing_snapshot'
+        WHEN organization_id = 'org8' THEN 'broken_snapshot' WHEN abs(difference) > 0.001 THEN 'mismatch' ELSE 'match' END AS outcome
+    FROM {_owed()}""",
 )
 def _(spark, sf_dir):
+    # One fault of each kind is planted: no invoice, a wrong amount, no usage kept, a row changed after closing.
     (contracts,) = load(spark, sf_dir, "contracts")
     rated = _rate_of(spark, sf_dir)
-    return billing.reconcile(billing.build_invoices(rated, contracts), rated)
+    closed = billing.close_period(rated).where("organization_id <> 'org7'")
+    closed = closed.withColumn("row_hash", F.when(F.col("organization_id") == "org8", F.lit("0")).otherwise(F.col("row_hash")))
+    wrong = F.when(F.col("organization_id") == "org5", 1).otherwise(0)
+    invoices = billing.build_invoices(rated, contracts).where("organization_id <> 'org4'")
+    invoices = invoices.withColumns({c: (F.col(c) + wrong).cast("decimal(18,2)") for c in ("usage_charge", "subtotal")})
+    return billing.reconcile(invoices, closed, contracts)
 
 
 @query(
@@ -446,7 +466,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     contracts, fx = load(spark, sf_dir, "contracts", "fx_rates")
     invoices = billing.build_invoices(_rate_of(spark, sf_dir, "week"), contracts, period="week")
-    converted = billing.convert_fx(invoices, fx, "2024-01-31", day="period_start")
+    converted = billing.convert_fx(invoices, fx, day="period_start")
     return converted.select("invoice_number", "total", "fx_rate", "converted_amount", "estimated")
 
 

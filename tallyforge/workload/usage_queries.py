@@ -478,8 +478,7 @@ def _(spark, sf_dir):
 
 @query(
     "usage_by_chain",
-    sql=f"""SELECT {_BY_CHAIN} FROM requests GROUP BY chain_slug, chain_type
-    ORDER BY requests DESC, chain_slug, chain_type LIMIT 50""",
+    sql=f"SELECT {_BY_CHAIN} FROM requests GROUP BY chain_slug, chain_type",
 )
 def _(spark, sf_dir):
     return reports.usage_by_chain(_daily(spark, sf_dir, "latency"), None, START, END)
@@ -487,10 +486,10 @@ def _(spark, sf_dir):
 
 @query(
     "usage_by_method",
-    sql=f"SELECT {_BY_METHOD} FROM requests WHERE rpc_method <> '' GROUP BY rpc_method ORDER BY requests DESC, method LIMIT 20",
+    sql=f"SELECT {_BY_METHOD} FROM requests WHERE rpc_method <> '' GROUP BY rpc_method",
 )
 def _(spark, sf_dir):
-    return reports.usage_by_method(_hourly(spark, sf_dir, "latency"), None, START, END, limit=500)
+    return reports.usage_by_method(_hourly(spark, sf_dir, "latency"), None, "2024-01-01", "2024-01-31")
 
 
 @query("daily_usage", sql=f"SELECT {_BY_DAY} FROM requests GROUP BY event_date")
@@ -502,7 +501,7 @@ def _(spark, sf_dir):
     "hourly_usage",
     sql=f"""SELECT {_BY_HOUR} FROM requests
     WHERE date_trunc('hour', event_time) BETWEEN TIMESTAMP '2024-01-23 00:00:00' AND TIMESTAMP '2024-01-29 23:59:59'
-    GROUP BY date_trunc('hour', event_time), chain_slug ORDER BY hour, chain_slug LIMIT 500""",
+    GROUP BY date_trunc('hour', event_time), chain_slug""",
 )
 def _(spark, sf_dir):
     return reports.hourly_usage(_hourly(spark, sf_dir, "latency"), None, *WEEK)
@@ -525,13 +524,12 @@ def _(spark, sf_dir):
           ORDER BY current_period_start DESC NULLS LAST, s.id) AS rn
         FROM c_subscriptions s JOIN c_plans p ON s.plan_id = p.id WHERE s.status = 'active') WHERE rn = 1),
       chains AS (SELECT organization_id, {_BY_CHAIN} FROM requests GROUP BY organization_id, chain_slug, chain_type),
-      methods AS (SELECT organization_id, {_BY_METHOD}, row_number() OVER (PARTITION BY organization_id
-        ORDER BY count(*) DESC, rpc_method) AS rn FROM requests WHERE rpc_method <> '' GROUP BY organization_id, rpc_method)
+      methods AS (SELECT organization_id, {_BY_METHOD} FROM requests WHERE rpc_method <> '' GROUP BY organization_id, rpc_method)
     SELECT o.id, o.name, coalesce(p.slug, '') AS plan_slug, s.total_requests, s.success_rate_pct,
       (SELECT string_agg(chain_slug || ':' || requests, ',' ORDER BY requests DESC, chain_slug) FROM chains c
         WHERE c.organization_id = o.id) AS chains,
       (SELECT string_agg(method || ':' || requests, ',' ORDER BY requests DESC, method) FROM methods m
-        WHERE m.organization_id = o.id AND rn <= 10) AS methods
+        WHERE m.organization_id = o.id) AS methods
     FROM c_organizations o LEFT JOIN plan_of p ON o.id = p.organization_id
     JOIN (SELECT organization_id, count(*) AS total_requests, {_SUCCESS} FROM requests GROUP BY organization_id) s
       ON s.organization_id = o.id""",
@@ -575,9 +573,7 @@ query(
 )(_bulk("chain", "latency"))
 query(
     "usage_reports_all_method",
-    sql=f"""SELECT * EXCLUDE (rn) FROM (SELECT organization_id, {_BY_METHOD}, row_number() OVER (PARTITION BY organization_id
-      ORDER BY count(*) DESC, rpc_method) AS rn FROM requests WHERE rpc_method <> '' GROUP BY organization_id, rpc_method)
-    WHERE rn <= 20""",
+    sql=f"SELECT organization_id, {_BY_METHOD} FROM requests WHERE rpc_method <> '' GROUP BY organization_id, rpc_method",
 )(_bulk("method", "latency"))
 query(
     "usage_reports_all_daily",

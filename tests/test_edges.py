@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from conftest import as_set, plan_text
@@ -79,7 +79,8 @@ def test_nested_report(catalog, make_log):
     daily, hourly = usage.usage_daily_state_from_log(log), usage.usage_hourly_state(log)
 
     def report(org, breakdown=True):
-        return reports.usage_report(daily, hourly, catalog, org, "2024-01-01", "2024-01-31 23:59:59", breakdown).collect()
+        span = ("2024-01-01", "2024-01-31")
+        return reports.usage_report(daily, hourly, catalog, org, *span, breakdown, method_limit=reports.NESTED_METHODS).collect()
 
     (row,) = report("o1")
     assert (row.organization.plan_slug, row.summary.total_requests, row.summary.latency_p95) == ("pro", 18, 0.0)
@@ -127,7 +128,6 @@ def test_date_ranges():
         reports.resolve_range(now, date(2023, 1, 1))
     with pytest.raises(ValueError, match="7 days"):
         reports.resolve_range(now, date(2024, 3, 1), hourly=True)
-    assert [reports.method_limit(n) for n in (0, 1, 100, 101)] == [20, 1, 100, 20]
     assert [reports.wants_breakdown(t) for t in ("true", "True", None)] == [True, False, False]
 
 
@@ -289,17 +289,87 @@ def test_histogram_quantile_in_the_infinite_bucket(make_log):
 
 
 def test_ties_and_missing_rows_in_billing(spark):
-    invoices = spark.createDataFrame([("p", "a", "10.00"), ("p", "b", "5.00")], "period_start string, organization_id string, subtotal string")
-    closed = spark.createDataFrame([("p", "a", "10.00"), ("p", "c", "1.00")], "period_start string, organization_id string, cost string")
-    money = "decimal(18,2)"
-    rows = billing.reconcile(
-        invoices.withColumn("subtotal", F.col("subtotal").cast(money)), closed.withColumn("cost", F.col("cost").cast(money))
-    ).collect()
+    month = date(2024, 1, 1)
+    invoices = spark.createDataFrame([(month, "a", 10), (month, "b", 5)], "period_start date, organization_id string, subtotal int")
+    invoices = invoices.withColumns({"usage_charge": F.col("subtotal"), "fixed_charge": F.lit(0)})
+    closed = billing.close_period(spark.createDataFrame([(month, "a", 10), (month, "c", 1)], "period_start date, organization_id string, cost int"))
+    rows = billing.reconcile(invoices, closed).collect()
     assert {r.organization_id: r.outcome for r in rows} == {"a": "match", "b": "missing_snapshot", "c": "missing_invoice"}
+    changed = closed.withColumn("cost", F.lit(10))
+    assert {r.organization_id for r in billing.broken_rows(changed).collect()} == {"c"}
     fx = spark.createDataFrame([(date(2024, 1, 5), 2.0)], "rate_date date, try_per_usd double")
     dated = spark.createDataFrame([(date(2024, 1, d), 1.0) for d in (4, 5, 6)], "period_end date, total double")
     converted = billing.convert_fx(dated, fx, "2024-01-31").orderBy("period_end").collect()
     assert [(r.fx_rate, r.estimated) for r in converted] == [(None, None), (2.0, False), (2.0, True)]
+    later = billing.convert_fx(dated, fx).orderBy("period_end").collect()
+    assert [(r.fx_rate, r.estimated) for r in later] == [(None, None), (2.0, False), (2.0, True)]
+
+
+def test_free_units_once_per_plan(spark):
+    month = date(2024, 1, 1)
+    metered = spark.createDataFrame(
+        [(month, "o", "p", c, 100) for c in "abc"] + [(month, "q", "p", "a", 40), (month, "q", "p", "b", 0)],
+        "period_start date, organization_id string, plan_slug string, chain_slug string, units long",
+    )
+    prices = spark.createDataFrame([("p", 100, 1.0)], "plan_slug string, included_units int, overage_rate double")
+    rated = billing.rate_usage(metered, prices, spark.createDataFrame([], "chain_slug string, coefficient double"))
+    assert {r.organization_id: r.cost for r in rated.groupBy("organization_id").agg(F.sum("cost").alias("cost")).collect()} == {"o": 200, "q": 0}
+    assert sorted(float(r.billable_units) for r in rated.where("organization_id = 'o'").collect()) == [66.6666, 66.6667, 66.6667]
+
+
+def test_contracts_without_usage(spark):
+    month = date(2024, 1, 1)
+    rated = spark.createDataFrame(
+        [(month, "used", "p", "a", 5, 7)], "period_start date, organization_id string, plan_slug string, chain_slug string, units long, cost int"
+    )
+    contracts = spark.createDataFrame(
+        [
+            ("idle", "FIXED", 10, None, None), ("over", "FIXED", 10, None, date(2023, 12, 31)), ("later", "FIXED", 10, date(2024, 1, 2), None),
+            ("quiet", "METERED", None, None, None), ("used", "HYBRID", 1, date(2023, 1, 1), None), ("used", "FIXED", 9, date(2022, 1, 1), None),
+        ],
+        "organization_id string, contract_type string, price_fixed int, start_date date, end_date date",
+    )
+    owed = {r.organization_id: (r.contract_type, int(r.amount)) for r in billing.apply_contracts(rated, contracts).collect()}
+    assert owed == {"idle": ("FIXED", 10), "used": ("HYBRID", 8)}
+    invoices = {r.organization_id: (int(r.total), len(r.line_items)) for r in billing.build_invoices(rated, contracts, tax_rate="0").collect()}
+    assert invoices == {"idle": (10, 1), "used": (8, 2)}
+    assert {r.outcome for r in billing.reconcile(billing.build_invoices(rated, contracts), billing.close_period(rated), contracts).collect()} == {"match"}
+
+
+def test_dates_without_time_are_whole_days(make_log, spark, tmp_path):
+    log = make_log([{"event_time": datetime(2024, 1, d, 15), "rpc_method": "m"} for d in (1, 2, 3)])
+    daily, hourly = usage.usage_daily_state_from_log(log), usage.usage_hourly_state(log)
+    for end in ("2024-01-02", date(2024, 1, 2), datetime(2024, 1, 2, 23, 59, 59)):
+        for grain, count in (("summary", "total_requests"), ("chain", "requests"), ("method", "requests"), ("daily", "requests"), ("hourly", "requests")):
+            rows = reports.usage_reports_all(daily, hourly, "2024-01-01", end, grain).agg(F.sum(count).alias("n")).first()
+            assert rows.n == 2, grain
+    path = str(tmp_path / "log")
+    write_table(log, path, "requests")
+    assert read_requests(spark, path, start="2024-01-02", end="2024-01-02").count() == 1
+    assert read_requests(spark, path, end=datetime(2024, 1, 2, 14)).count() == 1
+
+
+def test_windows_that_are_no_multiple_of_the_step(make_log):
+    times = [0, 7, 50, 61, 95, 130, 200]
+    log = make_log([{"event_time": datetime(2024, 1, 1) + timedelta(seconds=t)} for t in times])
+    for width, step in ((60, 45), (45, 60), (30, 20), (60, 60)):
+        got = {r.eval_time: r.n for r in series.sliding(log, [], {"n": F.lit(1)}, width, step).collect()}
+        zero = datetime(2024, 1, 1)
+        ends = [zero + timedelta(seconds=s) for s in range(-(int(zero.timestamp()) % step), 400, step)]
+        want = {e: sum(e - timedelta(seconds=width) <= zero + timedelta(seconds=t) < e for t in times) for e in ends}
+        assert got == {e: n for e, n in want.items() if n}, (width, step)
+
+
+def test_keys_never_stay_in_paths(spark):
+    paths = ["/sk_live_secret", "/sk_1/eth-mainnet", "/sk_1/a/b", "//sk_1/x", "sk_1/x", "/", None]
+    rows = ingest.mask_api_key(ingest.parse_access_path(spark.createDataFrame([(p,) for p in paths], "path string"))).collect()
+    assert not any("sk_" in (r.path or "") for r in rows)
+
+
+def test_unique_audit_tells_glued_values_apart(spark):
+    limits = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("x", "y"), ("x", "y")], "plan_id string, chain_id string")
+    rows = views.audit_catalog({"plan_chain_limits": limits}).where("rule = 'unique'").collect()
+    assert [(r.value, r.violations) for r in rows] == [("x|y", 2)]
 
 
 def test_keep_last_takes_the_newest(make_log):
