@@ -79,6 +79,8 @@ class ByteNet:
         The windows' log probabilities are averaged by their letters.
         """
         docs = len(bounds) - 1
+        if not self.names:
+            return np.full(docs, -1), np.zeros(docs)
         rows, doc, letters = windows(data, bounds)
         use = letters > 0
         rows, doc, letters = rows[use], doc[use], letters[use]
@@ -89,10 +91,9 @@ class ByteNet:
         total /= np.maximum(1, np.bincount(doc, letters, minlength=docs))[:, None]
         total = np.exp(total - total.max(1, keepdims=True, initial=-1e9))
         total /= np.maximum(total.sum(1, keepdims=True), 1e-9)
-        known = has_letter(data, bounds) & (len(self.names) > 0)
-        best = total.argmax(1) if len(self.names) else np.zeros(docs, np.int64)
-        chosen = total[np.arange(docs), best] if len(self.names) else np.zeros(docs)
-        return np.where(known, best, -1), np.where(known, chosen, 0.0)
+        known = has_letter(data, bounds)
+        best = total.argmax(1)
+        return np.where(known, best, -1), np.where(known, total[np.arange(docs), best], 0.0)
 
 
 def train(
