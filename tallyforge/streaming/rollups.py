@@ -14,12 +14,15 @@ Rows may be as late as they like: they are merged into their day.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyforge.functions.rollup import Rollup
 from tallyforge.operators.rollups import ROLLUPS
+from tallyforge.schemas import request_schema
 
 _LOG_DDL = "day date, upto bigint"
 
@@ -60,33 +63,54 @@ def start_rollup(
     return writer.trigger(**trigger).start()
 
 
+def _read(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """A Parquet folder with a declared schema; a folder that is not there yet is empty."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def _row_schema(spark: SparkSession, rollup: Rollup, part: str) -> T.StructType:
+    """The columns of partial rows, then those of the folders ``part=<n>/day=<d>``."""
+    rows = _partial_rows(spark.createDataFrame([], request_schema()), rollup).drop("day").schema
+    return T.StructType([*rows, T.StructField(part, T.LongType()), T.StructField("day", T.DateType())])
+
+
 def _logged(spark: SparkSession, out: str) -> DataFrame:
-    log = spark.read.schema(_LOG_DDL).parquet(f"{out}/compactions")
-    return log.groupBy("day").agg(F.max("upto").alias("upto"))
+    return _read(spark, f"{out}/compactions", _LOG_DDL).groupBy("day").agg(F.max("upto").alias("upto"))
 
 
 def _live_rows(
-    spark: SparkSession, out: str, upto: int | None, days: tuple[str, str] | None = None
-) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of batches not yet compacted, rows of the newest compactions)."""
+    spark: SparkSession, rollup: Rollup, out: str, upto: int | None, days: tuple[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows of batches not yet compacted, rows of the newest compactions).
 
-    def read(folder: str) -> DataFrame:
-        rows = spark.read.parquet(f"{out}/{folder}")
+    The log, a row per compacted day, is read first, so that folders are chosen by
+    constants on their partition columns and what is superseded is not even listed.
+    """
+    done: dict[int, list] = {}
+    for row in _logged(spark, out).collect():
+        done.setdefault(row.upto, []).append(row.day)
+
+    def within(rows: DataFrame) -> DataFrame:
         if days is None:
             return rows
         first, last = (F.lit(day).cast("date") for day in days)
         return rows.where(F.col("day").between(first, last))
 
-    logged = _logged(spark, out)
-    batches = read("batches")
+    batches = within(_read(spark, f"{out}/batches", _row_schema(spark, rollup, "batch_id")))
+    merged = within(_read(spark, f"{out}/compacted", _row_schema(spark, rollup, "upto")))
     if upto is not None:
         batches = batches.where(F.col("batch_id") <= upto)
-    fresh = batches.join(logged, "day", "left").where(F.col("upto").isNull() | (F.col("batch_id") > F.col("upto")))
-    fresh = fresh.drop("batch_id", "upto")
-    if logged.isEmpty():
-        return fresh, None
-    merged = read("compacted").join(logged, ["day", "upto"], "left_semi").drop("upto")
-    return fresh, merged
+    new = ~F.col("day").isin([day for group in done.values() for day in group]) if done else F.lit(True)
+    newest = F.lit(False)
+    for bound, group in sorted(done.items()):
+        new |= F.col("day").isin(group) & (F.col("batch_id") > bound)
+        newest |= F.col("day").isin(group) & (F.col("upto") == bound)
+    return batches.where(new).drop("batch_id"), merged.where(newest).drop("upto")
 
 
 def read_rollup(
@@ -98,9 +122,8 @@ def read_rollup(
     (``query.lastProgress``), so that a batch being written is left out.
     """
     rollup, _ = ROLLUPS[name]
-    fresh, merged = _live_rows(spark, out, upto, days)
-    rows = fresh if merged is None else fresh.unionByName(merged)
-    return rollup.merge(rows)
+    fresh, merged = _live_rows(spark, rollup, out, upto, days)
+    return rollup.merge(fresh.unionByName(merged))
 
 
 def read_rollup_table(
@@ -118,15 +141,13 @@ def compact(spark: SparkSession, out: str, name: str, upto: int, day: str | None
     of its own and is logged last.
     """
     rollup, _ = ROLLUPS[name]
-    fresh, merged = _live_rows(spark, out, upto)
+    fresh, merged = _live_rows(spark, rollup, out, upto)
     if day is not None:
         fresh = fresh.where(F.col("day") == F.lit(day).cast("date"))
     touched = fresh.select("day").distinct()
     if touched.isEmpty():
         return
-    rows = fresh
-    if merged is not None:
-        rows = rows.unionByName(merged.join(touched, "day", "left_semi"))
+    rows = fresh.unionByName(merged.join(touched, "day", "left_semi"))
     target = f"{out}/compacted/upto={upto}"
     done = rollup.merge(rows).withColumn("day", F.expr(rollup.day))
     (
@@ -149,13 +170,18 @@ def touched_days(spark: SparkSession, target: str, day: str | None) -> DataFrame
 def superseded(spark: SparkSession, out: str) -> DataFrame:
     """Folders no reader needs any more, to be deleted when no read is under way."""
     logged = _logged(spark, out)
-    batches = spark.read.parquet(f"{out}/batches").select("batch_id", "day").distinct()
-    old = batches.join(logged, "day").where(F.col("batch_id") <= F.col("upto"))
-    folder = F.format_string(f"{out}/batches/batch_id=%d/day=%s", F.col("batch_id").cast("int"), F.col("day").cast("string"))
-    paths = old.select(folder.alias("path"))
-    if logged.isEmpty():
-        return paths
-    written = spark.read.parquet(f"{out}/compacted").select(F.col("upto").alias("_upto"), "day").distinct()
-    older = written.join(logged, "day").where(F.col("_upto") < F.col("upto"))
-    folder = F.format_string(f"{out}/compacted/upto=%d/day=%s", F.col("_upto").cast("int"), F.col("day").cast("string"))
-    return paths.unionByName(older.select(folder.alias("path")))
+    paths = []
+    for folder, part, old in (("batches", "batch_id", "_part <= upto"), ("compacted", "upto", "_part < upto")):
+        rows = _read(spark, f"{out}/{folder}", f"{part} bigint, day date").select(F.col(part).alias("_part"), "day").distinct()
+        name = F.format_string(f"{out}/{folder}/{part}=%d/day=%s", F.col("_part"), F.col("day").cast("string"))
+        paths.append(rows.join(logged, "day").where(old).select(name.alias("path")))
+    return paths[0].unionByName(paths[1])
+
+
+def clean_up(spark: SparkSession, out: str) -> int:
+    """Delete what ``superseded`` lists; to be run when no reader started before the last compaction."""
+    gone = 0
+    for row in superseded(spark, out).toLocalIterator():
+        path = spark._jvm.org.apache.hadoop.fs.Path(row.path)
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return gone

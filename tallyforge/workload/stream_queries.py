@@ -8,9 +8,10 @@ from tallyforge.operators import rollups
 from tallyforge.operators.usage import usage_daily_state
 from tallyforge.session import scratch_path
 from tallyforge.sources.catalog import seed_method_units
+from tallyforge.sources.requests import read_requests
 from tallyforge.streaming import rollups as stream_rollups
 from tallyforge.streaming import token_bucket, windows
-from tallyforge.workload.fixtures import load_stream
+from tallyforge.workload.fixtures import load, load_stream
 from tallyforge.workload.registry import query
 from tallyforge.workload.series_queries import _DECISIONS, _grid, _walk
 from tallyforge.workload.usage_queries import _EXPENSIVE, _HEALTH, _METHODS, _TENANT, _USAGE
@@ -48,6 +49,22 @@ def _(spark, sf_dir):
     return stream_rollups.read_rollup_table(spark, out, "chain_health")
 
 
+@query("compact_between_batches", sql=_HEALTH)
+def _(spark, sf_dir):
+    # The log in three deliveries, of two micro-batches each, with a compaction and a clean-up after every one.
+    (log,) = load(spark, sf_dir, "requests")
+    source, out, name = scratch_path(spark, "deliveries"), scratch_path(spark, "chain_health"), "chain_health"
+    share = F.pmod(F.xxhash64("request_id"), F.lit(3))
+    for delivery in range(3):
+        log.where(share == delivery).repartition(2, "request_id").write.mode("append").parquet(source)
+        stream = read_requests(spark, source, stream=True, files_per_batch=1)
+        running = stream_rollups.start_rollup(stream, name, out, f"{out}-state", available_now=True)
+        running.awaitTermination()
+        stream_rollups.compact(spark, out, name, upto=running.lastProgress["batchId"])
+        stream_rollups.clean_up(spark, out)
+    return stream_rollups.read_rollup_table(spark, out, name)
+
+
 @query("start_filter", sql=_EXPENSIVE)
 def _(spark, sf_dir):
     out, units = scratch_path(spark, "expensive"), seed_method_units(spark)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import pytest
-from conftest import as_set
+from conftest import as_set, plan_text
 from pyspark.sql import functions as F
 
 from tallyforge.operators import rollups, usage
@@ -108,6 +108,20 @@ def test_stream_compaction_and_late_rows(spark, log, tmp_path):
     stream_rollups.compact(spark, out, name, last_batch(), day=str(day))
     stream_rollups.compact(spark, out, name, last_batch())
     assert as_set(stream_rollups.read_rollup_table(spark, out, name)) == whole
+    # All batches are compacted now; what they leave behind can go.
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    filters = plan_text(stream_rollups.read_rollup(spark, out, name)).split("PartitionFilters")[1].split("PushedFilters")[0]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "batch_id#" in filters and f"> {last_batch()}" in filters
+    assert stream_rollups.clean_up(spark, out) > 0
+    assert spark.read.parquet(f"{out}/compactions").count() > 0
+    assert as_set(stream_rollups.read_rollup_table(spark, out, name)) == whole
+    assert stream_rollups.superseded(spark, out).isEmpty()
+
+
+def test_a_rollup_that_has_not_started_is_empty(spark, tmp_path):
+    assert stream_rollups.read_rollup_table(spark, str(tmp_path / "none"), "chain_health").count() == 0
+    assert stream_rollups.superseded(spark, str(tmp_path / "none")).isEmpty()
 
 
 def test_daily_from_hourly_equals_daily_from_log(log):
