@@ -169,6 +169,44 @@ def hold_for(series: DataFrame, keys: Sequence[str], step: str | int, duration:
     )
 
 
+def alert_share(
+    requests: DataFrame,
+    condition: Column,
+    by: Sequence[str],
+    threshold: float,
+    window: str | int,
+    step: str | int,
+    hold: str | int,
+) -> DataFrame:
+    """Share of the requests for which ``condition`` holds, per series, above the threshold."""
+    totals = sliding(requests, by, {"_met": condition.cast("int"), "_all": F.lit(1)}, window, step)
+    share = totals.select("eval_time", *by, ratio(F.col("_met"), F.col("_all")).alias("value"))
+    return hold_for(share.where(F.col("value") > threshold), list(by), step, hold)
+
+
+def alert_server_errors(
+    requests: DataFrame,
+    threshold: float = 0.05,
+    window: str | int = "5 minutes",
+    step: str | int = "1 minute",
+    hold: str | int = "5 minutes",
+    by: Sequence[str] = ("route_name",),
+) -> DataFrame:
+    """A spike of 5xx responses: their share per series."""
+    return alert_share(requests, F.col("status_code") >= 500, list(by), threshold, window, step, hold)
+
+
+def alert_failing_upstreams(
+    requests: DataFrame,
+    threshold: float = 0.5,
+    window: str | int = "5 minutes",
+    step: str | int = "1 minute",
+    hold: str | int = "2 minutes",
+) -> DataFrame:
+    """Upstream hosts of a chain that answer most requests with 5xx."""
+    return alert_server_errors(requests, threshold, window, step, hold, ("chain_slug", "upstream_host"))
+
+
 def alert_rejection_rate(
     requests: DataFrame,
     threshold: float = 0.1,
@@ -177,10 +215,7 @@ def alert_rejection_rate(
     hold: str | int = "5 minutes",
 ) -> DataFrame:
     """share of 429 responses per consumer above the threshold."""
-    rejected = (F.col("status_code") == 429).cast("int")
-    totals = sliding(requests, ["consumer_id"], {"_rejected": rejected, "_all": F.lit(1)}, window, step)
-    share = totals.select("eval_time", "consumer_id", ratio(F.col("_rejected"), F.col("_all")).alias("value"))
-    return hold_for(share.where(F.col("value") > threshold), ["consumer_id"], step, hold)
+    return alert_share(requests, F.col("status_code") == 429, ["consumer_id"], threshold, window, step, hold)
 
 
 def alert_expensive(

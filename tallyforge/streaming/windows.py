@@ -68,13 +68,15 @@ def start_filter(
     return start_append(result, out, checkpoint, available_now, interval, partition="event_date")
 
 
-def windowed(stream: DataFrame, name: str, watermark: str = "10 minutes") -> DataFrame:
+def windowed(stream: DataFrame, name: str, watermark: str = "10 minutes", approx: bool = False) -> DataFrame:
     """A rollup over tumbling windows, emitted once the watermark has passed.
 
-    Members are counted by sketch, as exact distinct counts have no bounded
-    state.
+    Exact distinct counts have no bounded state: a rollup that counts members
+    needs ``approx``, which counts them by sketch, or ``start_rollup``.
     """
     rollup, shape = ROLLUPS[name]
+    if rollup.members and not approx:
+        raise ValueError(f"{name} counts members, which a windowed stream can only do with approx=True")
     time_key, *dimensions = rollup.keys
     inputs = stream.withWatermark("event_time", watermark)
     aggregates = [F.sum(F.expr(e).cast("bigint")).alias(k) for k, e in rollup.sums.items()]
@@ -107,9 +109,10 @@ def start_windowed(
     available_now: bool = False,
     interval: str = "1 minute",
     partitions: int | None = None,
+    approx: bool = False,
 ) -> StreamingQuery:
     """S5 into a Parquet folder; ``partitions`` is the number of state partitions."""
-    result = windowed(stream, name, watermark)
+    result = windowed(stream, name, watermark, approx)
     return start_append(result, out, checkpoint, available_now, interval, partitions=partitions)
 
 

@@ -125,6 +125,27 @@ def _(spark, sf_dir):
     return series.alert_rejection_rate(_log(spark, sf_dir), 0.1, "2 days", "6 hours", "12 hours")
 
 
+def _share(condition: str, by: str, window: str, step: str, hold: str, threshold: float) -> str:
+    return _held(
+        f"""SELECT * FROM (SELECT eval_time, {by}, round(CAST(count(*) FILTER (WHERE {condition}) AS DOUBLE) / count(*), 6) AS value
+          FROM {_grid(window, step)} GROUP BY eval_time, {by}) WHERE value > {threshold}""",
+        by, step, hold,
+    )
+
+
+@query("alert_server_errors", sql=_share("status_code BETWEEN 500 AND 599", "route_name", "12 hours", "3 hours", "6 hours", 0.04))
+def _(spark, sf_dir):
+    return series.alert_server_errors(_log(spark, sf_dir), 0.04, "12 hours", "3 hours", "6 hours")
+
+
+@query(
+    "alert_failing_upstreams",
+    sql=_share("status_code BETWEEN 500 AND 599", "chain_slug, upstream_host", "6 hours", "2 hours", "4 hours", 0.1),
+)
+def _(spark, sf_dir):
+    return series.alert_failing_upstreams(_log(spark, sf_dir), 0.1, "6 hours", "2 hours", "4 hours")
+
+
 @query(
     "alert_expensive",
     sql=_held(
