@@ -52,70 +52,81 @@ def most_apart(small: int, large: int) -> int:
     return (small + large) * (DOWN - UP) // (DOWN + UP)
 
 
+#: Bands of sets up to this size have a coarse scheme too.
+COARSE = 256
+
+
+def _capacity(size: int, segments: int, deletions: bool) -> float:
+    """What nearly all sets of a size can spend: the mean less four deviations, or two where there are deletions.
+
+    A set that can't spend enough in its coarse scheme still has the fine one.
+    """
+    if segments == 1:
+        return 1.0 + (deletions and size > 1)
+    empty = np.exp(-size / segments)
+    single = empty * size / segments
+    mean = 1 - empty + deletions * (1 - empty - single)
+    square = single + (4 if deletions else 1) * (1 - empty - single)
+    return segments * mean - (2 if deletions else 4) * (segments * max(0.0, square - mean**2)) ** 0.5
+
+
 @lru_cache(maxsize=1)
 def bands() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Smallest set size of each band, its segments, and its segments with one-deletion neighbourhoods.
+    """Smallest set size of each band, and the segments of its fine and its coarse scheme (0: none).
 
-    Sets that link are in one band or in two that follow each other.  Segments are
-    allocated by cost: of the numbers of segments, with or without deletions in a quarter of them, the cheapest whose
-    segments with elements (counting 2 with deletions) are, for the smallest and the largest set of the band, four deviations
-    more than the elements by which linked sets may differ.
+    Sets that link are in one band or in two that follow each other.  A scheme is allocated
+    by cost: the fewest segments, so the most telling ones, whose capacity is, for the smallest and the largest
+    set of the band, more than the elements by which linked sets may differ.  In a fine scheme a segment
+    counts 1 and has one signature.  In a coarse one it has one-deletion neighbourhoods and
+    counts 2; it has a signature for each element, which pays for small sets, where fine segments have an element or two.
     """
     low = [1]
     while low[-1] < 1 << 40:
         low.append(-(-low[-1] * DOWN // UP))
-    segments, deletions = [], []
+    fine, coarse = [], []
     for k, a in enumerate(low):
         b = low[k + 1] - 1 if k + 1 < len(low) else a
-        best = None
-        for m in sorted({max(2, int(a * x)) for x in (0.4, 0.45, 0.5, 0.55, 0.6, 0.7, 0.8, 1, 1.5, 2, 4, 8, 16)} | {16}):
-            for d in (0, m // 4, m):
-                cost, enough = 0.0, True
-                for s in (a, b):
-                    empty = np.exp(-s / m)
-                    filled, spread = m * (1 - empty), (m * empty * (1 - empty)) ** 0.5
-                    double = 1 - empty * (1 + s / m)
-                    need = most_apart(s, s * DOWN // UP) + 1
-                    enough &= filled + d * double - 4 * spread >= need
-                    cost += filled + d * double * (s / m + 1)
-                if enough and (best is None or cost < best[0]):
-                    best = (cost, m, d)
-        if best is None:  # a few elements: many segments, deletions in all
-            best = (0, 64, 64)
-        segments.append(best[1])
-        deletions.append(best[2])
-    return np.array(low), np.array(segments), np.array(deletions)
+        enough = lambda m, d: all(_capacity(x, m, d) >= most_apart(x, x * DOWN // UP) + 1 for x in (a, b))  # noqa: B023, E731
+        tries = sorted({64, *(int(a * x / 20) for x in range(8, 21)), 4 * a, 16 * a})
+        fine.append(next((m for m in tries if m >= 64 and enough(m, False)), max(64, 16 * a)))
+        if a > COARSE:
+            coarse.append(0)
+        elif b <= 10:  # too few elements for an estimate: one segment less than what must be spent, as most count 2
+            coarse.append(max(1, most_apart(b, b * DOWN // UP)))
+        else:
+            coarse.append(next(m for m in range(1, 4 * a) if enough(m, True)))
+    return np.array(low), np.array(fine), np.array(coarse)
 
 
 def band_of(sizes: np.ndarray) -> np.ndarray:
     return np.searchsorted(bands()[0], sizes, "right") - 1
 
 
-def signatures(elements: np.ndarray, edges: np.ndarray, sizes: np.ndarray, band: np.ndarray):
-    """Signatures of the segments of sets that have elements, each set under the scheme of ``band``.
+def signatures(elements: np.ndarray, sizes: np.ndarray, band: np.ndarray, coarse: bool):
+    """Signatures of the segments of sets that have elements, each set under a scheme of ``band``.
 
-    A signature hashes what a set has in a segment; where the scheme has deletions, also
-    what is left without one element.  Returns signatures, their set, and each set's capacity: the
-    differences that must at least be spent to change all its segments.
+    A signature hashes what a set has in a segment; in a coarse scheme also what is
+    left without one element.  Returns signatures, their set, whether an element was left out, and
+    each set's capacity: the differences that must at least be spent to change all its segments.
     """
-    _, segments, deletions = bands()
+    segments = bands()[1 + coarse]
     of = np.repeat(np.arange(len(sizes)), sizes)
-    own = band[of]
-    segment = ((elements >> np.uint64(20)) % segments[own].astype(np.uint64)).astype(np.int64)
+    segment = ((elements >> np.uint64(20)) % segments[band[of]].astype(np.uint64)).astype(np.int64)
     order = np.argsort((of << 32) | segment, kind="stable")
-    of, segment, own, value = of[order], segment[order], own[order], mixed(elements[order] + _TURN[1])
-    new = np.concatenate([[True], (of[1:] != of[:-1]) | (segment[1:] != segment[:-1])]) if len(of) else np.zeros(0, bool)
-    first = np.flatnonzero(new)
-    total = np.add.reduceat(value, first) if len(first) else np.zeros(0, np.uint64)
+    of, segment, value = of[order], segment[order], mixed(elements[order] + _TURN[1])
+    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (segment[1:] != segment[:-1])]))
+    total = np.add.reduceat(value, first)
     count = np.diff(first, append=len(of))
-    tag = mixed((own[first].astype(np.uint64) << np.uint64(40)) + segment[first].astype(np.uint64) + _TURN[2])
-    wide = segment[first] < deletions[own[first]]
-    capacity = np.bincount(of[first], 1.0 + (wide & (count > 1)), minlength=len(sizes)).astype(np.int64)
+    place = (band[of[first]].astype(np.uint64) << np.uint64(40)) + segment[first].astype(np.uint64)
+    tag = mixed(place + _TURN[3 if coarse else 2])
+    capacity = np.bincount(of[first], 1.0 + (coarse & (count > 1)), minlength=len(sizes)).astype(np.int64)
+    if not coarse:
+        return mixed(total ^ tag), of[first], np.zeros(len(first), bool), capacity
     back = np.repeat(np.arange(len(first)), count)
-    less = np.flatnonzero((wide & (count > 1))[back])
+    less = np.flatnonzero((count > 1)[back])
     sums = np.concatenate([total, (total[back] - value)[less]])
-    tags = np.concatenate([tag, tag[back][less]])
-    return mixed(sums ^ tags), np.concatenate([of[first], of[less]]), capacity
+    owner = np.concatenate([of[first], of[less]])
+    return mixed(sums ^ np.concatenate([tag, tag[back][less]])), owner, np.arange(len(sums)) >= len(first), capacity
 
 
 def sketch(elements: np.ndarray) -> bytes:
@@ -159,8 +170,8 @@ def _index(buckets: int):
     """Signatures of each slice, packed by bucket; and how many of each set's segments may be too frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["bucket", "ids", "sizes", "signs", "who", "slack"]
-        kinds = [pa.int32(), *[pa.binary()] * 5]
+        names = ["bucket", "ids", "signs", "who", "slack"]
+        kinds = [pa.int32(), *[pa.binary()] * 4]
         for batch in batches:
             column = batch.column(0).to_numpy(zero_copy_only=False)
             for first, data, bounds in slices(batch.column(1)):
@@ -169,20 +180,21 @@ def _index(buckets: int):
                 ids, band = column[first : first + len(sizes)], band_of(np.maximum(sizes, 1))
                 some = sizes > 0
                 rows, signs, who, slack = [], [], [], []
-                low, _, deletions = bands()
-                for role in (0, 1):  # under its own scheme, and that of the band below, where its smaller partners may be
-                    scheme = band - role
+                low, _, coarse = bands()
+                for role in range(4):  # 1: under the scheme of the band below, where its smaller partners may be; 2: coarse
+                    scheme = band - (role & 1)
                     fit = some & (scheme >= 0)
+                    if role & 2:
+                        fit &= coarse[scheme] > 0
                     if not fit.any():
                         continue
                     mine = np.flatnonzero(fit)
                     part = elements[np.repeat(fit, sizes)]
-                    found, of, capacity = signatures(part, None, sizes[mine], scheme[mine])
-                    large = np.where(role, low[np.minimum(scheme[mine] + 1, len(low) - 1)] - 1, sizes[mine] * DOWN // UP)
+                    found, of, less, capacity = signatures(part, sizes[mine], scheme[mine], bool(role & 2))
+                    large = low[scheme[mine] + 1] - 1 if role & 1 else sizes[mine] * DOWN // UP
                     need = (sizes[mine] + large) * (DOWN - UP) // (DOWN + UP) + 1
-                    heavy = deletions[scheme[mine]] > 0
                     signs.append(found)
-                    who.append(mine[of] * 4 + role + 2 * heavy[of])
+                    who.append(mine[of] * 8 + role + 4 * less)
                     slack.append(np.stack([ids[mine], np.full(len(mine), role), capacity - need], 1).astype(np.int64))
                 if not signs:
                     continue
@@ -192,19 +204,22 @@ def _index(buckets: int):
                 sign, owner, bucket = sign[order], owner[order], bucket[order]
                 cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-                    local, back = np.unique(owner[a:b] >> 2, return_inverse=True)
-                    packed = (back.astype(np.uint32) << np.uint32(2)) | (owner[a:b] & np.uint32(3))
-                    rows.append((int(bucket[a]), ids[local].astype(np.int64).tobytes(), sizes[local].tobytes(), sign[a:b].tobytes(), packed.tobytes(), None))
-                rows.append((int(bucket[0]), None, None, None, None, np.concatenate(slack).tobytes()))
+                    local, back = np.unique(owner[a:b] >> 3, return_inverse=True)
+                    packed = (back.astype(np.uint32) << np.uint32(3)) | (owner[a:b] & np.uint32(7))
+                    rows.append((int(bucket[a]), ids[local].astype(np.int64).tobytes(), sign[a:b].tobytes(), packed.tobytes(), None))
+                rows.append((int(bucket[0]), None, None, None, np.concatenate(slack).tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     return run
 
 
 def _match(most: int):
-    """Of each bucket: pairs that share a signature of at most ``most`` sets; the entries of more frequent ones; slacks.
+    """Of each bucket: stars of the sets that share a signature, their members, and slacks.
 
-    Rows: kind 0 a pair a, b; kind 1 set a in role b with a frequent signature c, weight d; kind 2 slack c of set a in role b.
+    Two sets that both left an element out need not meet, nor two that are both under the scheme of the
+    band below.  Rows: kind 0 the first set a with a signature, and another set b; kind 1 a set a of a
+    frequent signature c, one of more than ``most`` pairs, in role b, weight d; kind 2 slack c of set a in
+    role b; kind 3 as kind 1, of another signature; with the first two, d = 0 if an element was left out.
     """
 
     def pack(kind: int, a, b, c, d) -> pa.RecordBatch:
@@ -213,40 +228,49 @@ def _match(most: int):
         return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["kind", "a", "b", "c", "d"])
 
     def match(parts) -> Iterator[pa.RecordBatch]:
-        base, ids, sizes, signs, who = 0, [], [], [], []
-        for i, n, s, w in parts:
+        base, ids, signs, who = 0, [], [], []
+        for i, s, w in parts:
             ids.append(np.frombuffer(i, np.int64))
-            sizes.append(np.frombuffer(n, np.int64))
             signs.append(np.frombuffer(s, np.uint64))
-            who.append(np.frombuffer(w, np.uint32).astype(np.int64) + 4 * base)
+            who.append(np.frombuffer(w, np.uint32).astype(np.int64) + 8 * base)
             base += len(ids[-1])
-        ids, sizes, sign, who = (np.concatenate(x) for x in (ids, sizes, signs, who))
-        order = np.argsort(sign, kind="stable")
+        ids, sign, who = (np.concatenate(x) for x in (ids, signs, who))
+        order = np.lexsort((ids[who >> 3], who >> 2 & 1, sign))  # of a signature: whole segments first, the smallest id first
         sign, who = sign[order], who[order]
         first = np.flatnonzero(np.concatenate([[True], sign[1:] != sign[:-1]]))
         count = np.diff(first, append=len(sign))
-        pairs = []
-        for n in np.unique(count[(count > 1) & (count <= most)]):
-            at = first[count == n]
-            i, j = np.triu_indices(int(n), 1)
-            x, y = who[at[:, None] + i].ravel(), who[at[:, None] + j].ravel()
-            p, q = x >> 2, y >> 2
-            good = ((x & y & 1) == 0) & (ids[p] != ids[q])
-            good &= np.minimum(sizes[p], sizes[q]) * DOWN >= np.maximum(sizes[p], sizes[q]) * UP
-            a, b = ids[p[good]], ids[q[good]]
-            pairs.append(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0))
-        if pairs:
-            pairs = np.unique(np.concatenate(pairs), axis=0)
-            yield pack(0, pairs[:, 0], pairs[:, 1], None, None)
-        often = np.repeat(count > most, count)
+        whole = np.add.reduceat(1 - (who >> 2 & 1), first)
+        upper = np.add.reduceat(who & 1, first)
+        use = (count > 1) & (whole > 0) & (upper < count)
+        pairs = whole * count
+        often = use & (whole > 1) & (pairs > most)
+
+        star = np.repeat(use & ~often, count)
+        hub = np.repeat(who[first], count)[star] >> 3
+        edge = np.stack([ids[hub], ids[who[star] >> 3]], 1)
+        edge = np.unique(edge[edge[:, 0] != edge[:, 1]], axis=0)
+        if len(edge):
+            yield pack(0, edge[:, 0], edge[:, 1], None, None)
+
+        few = use & ~often & (whole > 1) & (count > 2)  # groups with the same members count once
+        if few.any():
+            prints = np.add.reduceat(mixed(ids[who >> 3].astype(np.uint64) * np.uint64(8) + (who & 5).astype(np.uint64)), first)
+            _, one = np.unique(prints[few], return_index=True)
+            kept = np.zeros(len(first), bool)
+            kept[np.flatnonzero(few)[one]] = True
+            mine = np.repeat(kept, count)
+            yield pack(3, ids[who[mine] >> 3], who[mine] & 3, np.repeat(prints, count)[mine].view(np.int64), 1 - (who[mine] >> 2 & 1))
         if often.any():
-            mine = who[often]
-            yield pack(1, ids[mine >> 2], mine & 1, sign[often].view(np.int64), 1 + (mine >> 1 & 1))
+            mine = np.repeat(often, count)
+            part = who[mine]
+            # a segment counts 2 in a coarse scheme, of which one signature without an element is 1
+            weight = 1 + ((part >> 1 & 1) & ~(part >> 2) & 1)
+            yield pack(1, ids[part >> 3], part & 3, sign[mine].view(np.int64), weight * 2 + 1 - (part >> 2 & 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, parts = None, []
         for batch in batches:
-            for bucket, ids, sizes, signs, who, slack in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for bucket, ids, signs, who, slack in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if slack is not None:
                     rows = np.frombuffer(slack, np.int64).reshape(-1, 3)
                     yield pack(2, rows[:, 0], rows[:, 1], rows[:, 2], None)
@@ -255,7 +279,7 @@ def _match(most: int):
                     yield from match(parts)
                     parts = []
                 now = bucket
-                parts.append((ids, sizes, signs, who))
+                parts.append((ids, signs, who))
         if parts:
             yield from match(parts)
 
@@ -317,7 +341,7 @@ def _apart(labels: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def link_texts(
     docs: DataFrame,
-    often: int = 24,
+    often: int = 600,
     bucket_rows: int = 1_000_000,
     filter_bits: int = 1 << 22,
     id_col: str = "doc_id",
@@ -328,11 +352,13 @@ def link_texts(
     Words are runs of characters other than ASCII blanks, A-Z in lower case.  Texts with
     equal sets are one class, and one of each class goes on.  Its shingles are dealt by hash into segments, as many as its size band
     has (``bands``), and each segment's content is a signature: linked sets differ in fewer
-    elements than the segments could show, so they share one.  A signature of more than ``often`` sets is passed over
-    where a set has enough others; sets that do not are compared with the first of theirs, then with all that are still in another component.
-    Pairs are screened by parity sketches, which lose none, and verified on the texts; a pair that is in one component already is not.
+    elements than the segments could show, so they share one.  A signature of more than ``often`` pairs is passed over
+    for the sets that have enough others.  The sets of a signature are first compared with one of them; only sets that
+    are in different components after that are compared with each other, so copies of one text are not paired.
+    Pairs are screened by parity sketches, which lose none, and verified on the texts.
 
-    Hashes have 64 bits (128 for whole sets), so a result is exact unless they collide.  Returns one row per
+    Hashes have 64 bits (128 for whole sets), so a result is exact unless they collide, or unless all of a
+    set's elements fall into too few segments (four deviations from the mean in either scheme, both sets).  Returns one row per
     input row: id, ``n_shingles``, ``component_id`` (smallest id reachable).  A text without words is
     empty and links with nothing, as does a null id; rows that repeat an id must repeat its text.  No other column is read.
     """
@@ -351,25 +377,28 @@ def link_texts(
     total = real.agg(F.sum("n")).first()[0] or 0
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * tasks, -(-total // bucket_rows))
-    schema = "bucket int, ids binary, sizes binary, signs binary, who binary, slack binary"
+    schema = "bucket int, ids binary, signs binary, who binary, slack binary"
     dealt = single.mapInArrow(_index(buckets), schema).repartition(tasks, "bucket").sortWithinPartitions("bucket")
     found = written(dealt.mapInArrow(_match(often), "kind int, a long, b long, c long, d long"), "found")
 
-    frequent = found.filter("kind = 1").select("a", F.col("b").alias("role"), F.col("c").alias("sign"), F.col("d").alias("weight"))
-    slack = found.filter("kind = 2").select(F.col("a").alias("of"), F.col("b").alias("in_role"), F.col("c").alias("slack"))
+    frequent = found.filter("kind = 1").selectExpr("a", "b AS role", "c AS sign", "d DIV 2 AS weight", "d % 2 AS whole")
+    slack = found.filter("kind = 2").selectExpr("a AS of", "b AS in_role", "c AS slack")
     spent = frequent.groupBy("a", "role").agg(F.sum("weight").alias("weight"))
-    bound = written(
-        spent.join(slack, (F.col("a") == F.col("of")) & (F.col("role") == F.col("in_role")))
-        .filter("weight > slack")
-        .select(F.col("a").alias("of"), F.col("role").alias("in_role")),
-        "bound",
-    )
-    crowd = frequent.join(bound, (F.col("a") == F.col("of")) & (F.col("role") == F.col("in_role"))).select("sign", "a", "role")
+    tight = slack.join(spent, (F.col("a") == F.col("of")) & (F.col("role") == F.col("in_role")), "left")
+    tight = tight.filter("coalesce(weight, 0) > slack").select(F.col("of").alias("a"), F.col("in_role").alias("role"))
+    # a set is bound to its frequent signatures if neither of its schemes has enough others; those of the fine scheme hold all partners
+    schemes = slack.filter("in_role >= 2").selectExpr("of AS a", "in_role - 2 AS role", "2 AS schemes")
+    bound = tight.groupBy("a", F.expr("role % 2").alias("role")).agg(F.count("*").alias("n"), F.min("role").alias("least"))
+    bound = bound.join(schemes, ["a", "role"], "left").filter("least < 2 AND n = coalesce(schemes, 1)")
+    bound = written(bound.select(F.col("a").alias("of"), F.col("role").alias("in_role")), "bound")
+    crowd = frequent.join(bound, (F.col("a") == F.col("of")) & (F.col("role") == F.col("in_role"))).select("sign", "a", "role", "whole")
+    few = found.filter("kind = 3").selectExpr("c AS sign", "a", "b % 2 AS role", "d AS whole")
     # signatures that the same sets share count once
-    who = F.xxhash64("a", "role")
-    sums = crowd.groupBy("sign").agg(F.count("*").alias("n"), F.min("a").alias("hub"), F.sum(who.cast("decimal(38,0)")).alias("sum"), F.bit_xor(who).alias("xor"))
-    groups = written(sums.filter("n > 1").groupBy("n", "sum", "xor").agg(F.min("sign").alias("sign"), F.min("hub").alias("hub")).select("sign", "hub"), "groups")
-    members = written(crowd.join(groups, "sign"), "members")
+    who = F.xxhash64("a", "role", "whole")
+    every = crowd.union(few)
+    sums = every.groupBy("sign").agg(F.count("*").alias("n"), F.sum(who.cast("decimal(38,0)")).alias("sum"), F.bit_xor(who).alias("xor"))
+    groups = sums.filter("n > 1").groupBy("n", "sum", "xor").agg(F.min("sign").alias("sign")).select("sign")
+    members = written(every.join(written(groups, "groups"), "sign"), "members")
 
     texts = rows.filter("id IS NOT NULL")
     known = real.select("id", "n", "sketch").dropDuplicates(["id"])
@@ -385,22 +414,33 @@ def link_texts(
         both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
         return written(both.mapInArrow(_verify, "a long, b long"), "verified")
 
-    stars = members.filter("a <> hub").select(F.col("hub").alias("a"), F.col("a").alias("b"))
-    pairs = screened(found.filter("kind = 0").select("a", "b").union(stars))
-    # of each text the pair with the smallest partner first; then what is still apart
-    labels = _merged(None, verified(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")))
-    rest = written(_apart(labels, pairs), "rest")
-    if rest.head(1):
-        labels = _merged(labels, verified(rest))
-
-    # frequent signatures whose sets are still in several components
-    label = labels.select(F.col("id").alias("a"), F.col("component").alias("label"))
-    named = members.join(label, "a", "left").select("sign", "a", "role", F.coalesce("label", "a").alias("label"))
-    mixed_signs = named.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-    open_ = written(named.join(mixed_signs.select("sign"), "sign"), "open")
-    if open_.head(1):
-        other = open_.select("sign", F.col("a").alias("b"), F.col("role").alias("role_b"), F.col("label").alias("label_b"))
-        across = open_.join(other, "sign").filter("label < label_b AND role + role_b < 2").select("a", "b")
+    def opened(labels: DataFrame) -> DataFrame:
+        """The members of signatures whose sets are in several components."""
+        label = labels.select(F.col("id").alias("a"), F.col("component").alias("label"))
+        named = members.join(label, "a", "left").select("sign", "a", "role", "whole", F.coalesce("label", "a").alias("label"))
+        several = named.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
+        return written(named.join(several.select("sign"), "sign"), "open")
+
+    stars = found.filter("kind = 0").select("a", "b").union(
+        crowd.groupBy("sign").agg(F.min("a").alias("hub")).join(crowd, "sign").filter("a <> hub").select(F.col("hub").alias("a"), F.col("a").alias("b"))
+    )
+    # of each text the star with the smallest partner first; then those that are still apart
+    stars = written(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
+    labels = _merged(None, verified(screened(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))))
+    labels = _merged(labels, verified(screened(_apart(labels, stars))))
+    for turn in range(3):
+        left = opened(labels)
+        if not left.head(1):
+            break
+        if turn < 2:  # another first set
+            lead = left.filter("whole = 1").groupBy("sign").agg(
+                F.min(F.struct(F.xxhash64("a", F.lit(turn)), "a", "label")).alias("lead")
+            )
+            across = left.join(lead.select("sign", "lead.label", F.col("lead.a").alias("b")).withColumnRenamed("label", "label_b"), "sign")
+            across = across.filter("label <> label_b").select("a", "b")
+        else:  # what is still apart, each with each
+            other = left.selectExpr("sign", "a AS b", "role AS role_b", "whole AS whole_b", "label AS label_b")
+            across = left.join(other, "sign").filter("label < label_b AND role + role_b < 2 AND whole + whole_b > 0").select("a", "b")
         labels = _merged(labels, verified(screened(across)))
 
     final = sets.select("id", "n").join(copies.withColumnRenamed("id", "copy"), F.col("id") == F.col("copy"), "left")
