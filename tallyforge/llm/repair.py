@@ -19,30 +19,33 @@ from tallyforge.session import scratch_path
 
 MAGIC = b"TFRP0001"
 _HEADER = struct.Struct("<8sIIQQQ")  # magic, first nonterminal, bytes of a symbol, rules, documents, symbols
-_SLOTS = 1 << 20
+_BITS = 18
 
 
-def _frequent(symbols: np.ndarray, open_: np.ndarray, most: int, least: int) -> np.ndarray:
+def _slots(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A slot below 1 << _BITS for each pair of symbols."""
+    return (first * np.uint32(0x9E3779B1) + second * np.uint32(0x85EBCA77)) >> np.uint32(32 - _BITS)
+
+
+def _frequent(symbols: np.ndarray, slots: np.ndarray, free: np.ndarray, most: int, least: int) -> np.ndarray:
     """Up to ``most`` frequent pairs that cannot overlap one another, as first << 32 | second.
 
-    Pairs are counted by hash, and exactly where a slot is heavy.
+    Pairs are counted by slot, and exactly where a slot is heavy.
     """
-    pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-    pairs = pairs[open_[:-1] & (symbols[:-1] != symbols[1:])]
-    slots = ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-    heavy = np.bincount(slots, minlength=_SLOTS)
+    heavy = np.bincount(slots[free], minlength=1 << _BITS)
     bound = max(least, int(np.partition(heavy, -4 * most)[-4 * most]))
-    found, counts = np.unique(pairs[heavy[slots] >= bound], return_counts=True)
+    at = np.flatnonzero((heavy >= bound)[slots] & free)
+    found, counts = np.unique((symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1], return_counts=True)
     order = np.lexsort((found, -counts))
     firsts, seconds, taken = set(), set(), []
-    for i in order[: 8 * most]:
-        if counts[i] < least or len(taken) == most:
+    for pair, many in zip(found[order[: 8 * most]].tolist(), counts[order[: 8 * most]].tolist(), strict=True):
+        if many < least or len(taken) == most:
             break
-        a, b = int(found[i]) >> 32, int(found[i]) & 0xFFFFFFFF
+        a, b = pair >> 32, pair & 0xFFFFFFFF
         if a not in seconds and b not in firsts:
             firsts.add(a)
             seconds.add(b)
-            taken.append(int(found[i]))
+            taken.append(pair)
     return np.array(taken, np.uint64)
 
 
@@ -59,14 +62,14 @@ def compress(ids: np.ndarray, bounds: np.ndarray, rounds: int = 8, pairs: int =
     for _ in range(rounds):
         if len(symbols) < 2:
             break
-        chosen = _frequent(symbols, ~last, pairs, least)
+        slots = _slots(symbols[:-1], symbols[1:])
+        chosen = _frequent(symbols, slots, ~last[:-1] & (symbols[:-1] != symbols[1:]), pairs, least)
         if not len(chosen):
             break
         order = np.argsort(chosen)
-        # a pair is told by its first symbol's row of seconds: look only at symbols that begin a pair
-        begins = np.zeros(int(symbols.max()) + 1, bool)
-        begins[(chosen >> np.uint64(32)).astype(np.int64)] = True
-        at = np.flatnonzero(begins[symbols[:-1]] & ~last[:-1])
+        held = np.zeros(1 << _BITS, bool)  # the slots of the chosen pairs; what is in them is compared
+        held[_slots((chosen >> np.uint64(32)).astype(np.uint32), chosen.astype(np.uint32))] = True
+        at = np.flatnonzero(held[slots] & ~last[:-1])
         here = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
         spot = np.minimum(np.searchsorted(chosen[order], here), len(chosen) - 1)
         hit = chosen[order][spot] == here

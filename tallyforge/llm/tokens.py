@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -108,7 +109,7 @@ class Encoder:
         """Encode new pieces; their numbers."""
         coded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         counts = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.fromiter((i for ids in coded for i in ids), np.uint32, int(counts.sum()))
+        flat = np.array(list(chain.from_iterable(coded)), np.uint32)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), np.uint32)])
         self.ids[self.used : self.used + len(flat)] = flat
@@ -151,17 +152,21 @@ class Encoder:
         value = np.empty(len(distinct), np.int64)
         value[found] = self.place[at_known[found]]
         raw = data.tobytes()
-        text_of = lambda i: raw[starts[i] : starts[i] + sizes[i]].decode("utf-8", "replace")
+
+        def texts_at(which: np.ndarray) -> list[str]:
+            low = starts[which]
+            return [raw[a:b].decode("utf-8", "replace") for a, b in zip(low.tolist(), (low + sizes[which]).tolist(), strict=True)]
+
         if not found.all():
             where = np.flatnonzero(short)[first[~found]]
-            value[~found] = self._add([text_of(i) for i in where])
+            value[~found] = self._add(texts_at(where))
             self.known = np.insert(self.known, at[~found], distinct[~found])
             self.place = np.insert(self.place, at[~found], value[~found])
         number[short] = value[back]
         long = np.flatnonzero(~short)
         kept = (len(self.start), self.used)
         if len(long):
-            number[long] = self._add([text_of(i) for i in long])
+            number[long] = self._add(texts_at(long))
 
         counts = self.count[number]
         ends = np.cumsum(counts)
