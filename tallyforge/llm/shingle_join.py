@@ -131,7 +131,7 @@ def signatures(elements: np.ndarray, sizes: np.ndarray, band: np.ndarray, coarse
 
 def sketch(elements: np.ndarray) -> bytes:
     """Parities of the elements in a power of two of slots: two sketches differ in no more slots than the sets in elements."""
-    slots = max(64, 1 << int(len(elements) - 1).bit_length()) if len(elements) else 64
+    slots = max(64, 4 << int(len(elements) - 1).bit_length()) if len(elements) else 64
     odd = np.bincount((elements >> np.uint64(9)).astype(np.int64) & (slots - 1), minlength=slots) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -286,6 +286,68 @@ def _match(most: int):
     return run
 
 
+def _narrow(words: np.ndarray, width: int) -> np.ndarray:
+    """Rows of sketches folded to ``width`` words."""
+    while words.shape[1] > width:
+        half = words.shape[1] // 2
+        words = words[:, :half] ^ words[:, half:]
+    return words
+
+
+def _near(rows: list[tuple], low: int, high: int) -> np.ndarray:
+    """Pairs of two chunks of a signature's sets that are in different components and may link, by their sketches.
+
+    Rows: id, role, whole, label, size, sketch, chunk.
+    """
+    ids, role, whole, label, size, _, chunk = (np.array(c) if i != 5 else None for i, c in enumerate(zip(*rows, strict=True)))
+    width = np.array([len(r[5]) // 8 for r in rows])
+    found = [np.zeros((0, 2), np.int64)]
+    for narrow in np.unique(width):
+        for wide in (narrow, 2 * narrow):
+            x, y = np.flatnonzero(width == narrow), np.flatnonzero(width == wide)
+            if not len(x) or not len(y):
+                continue
+            p, q = (_narrow(np.frombuffer(b"".join(rows[i][5] for i in part), np.uint64).reshape(len(part), -1), narrow) for part in (x, y))
+            step = max(1, (1 << 21) // (len(y) * int(narrow)))
+            for at in range(0, len(x), step):
+                i = x[at : at + step]
+                apart = np.bitwise_count(p[at : at + step, None] ^ q[None]).sum(2, dtype=np.int64)
+                total = size[i, None] + size[y]
+                good = apart <= total * (DOWN - UP) // (DOWN + UP)
+                good &= (label[i, None] != label[y]) & (role[i, None] + role[y] < 2) & (whole[i, None] + whole[y] > 0)
+                good &= np.minimum(size[i, None], size[y]) * DOWN >= np.maximum(size[i, None], size[y]) * UP
+                if low != high:
+                    good &= chunk[i, None] != chunk[y]
+                a, b = np.nonzero(good)
+                pair = np.stack([ids[i[a]], ids[y[b]]], 1)
+                found.append(np.sort(pair, 1))
+    return np.unique(np.concatenate(found), axis=0)
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of ``_near`` of all chunk pairs of a task, each once as far as they are held together."""
+    key, rows, held = None, [], [np.zeros((0, 2), np.int64)]
+
+    def out(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    for batch in batches:
+        for sign, low, high, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != (sign, low, high):
+                if len(rows) > 1:
+                    held.append(_near(rows, *key[1:]))
+                    if sum(map(len, held)) > 1_000_000:
+                        held = [np.unique(np.concatenate(held), axis=0)]
+                        if len(held[0]) > 500_000:
+                            yield out(held.pop())
+                            held = [np.zeros((0, 2), np.int64)]
+                key, rows = (sign, low, high), []
+            rows.append(tuple(row))
+    if len(rows) > 1:
+        held.append(_near(rows, *key[1:]))
+    yield out(np.unique(np.concatenate(held), axis=0))
+
+
 def _screen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose sketches do not show that they differ too much."""
     for batch in batches:
@@ -342,6 +404,7 @@ def _apart(labels: DataFrame, pairs: DataFrame) -> DataFrame:
 def link_texts(
     docs: DataFrame,
     often: int = 600,
+    chunk: int = 2048,
     bucket_rows: int = 1_000_000,
     filter_bits: int = 1 << 22,
     id_col: str = "doc_id",
@@ -418,8 +481,8 @@ def link_texts(
         """The members of signatures whose sets are in several components."""
         label = labels.select(F.col("id").alias("a"), F.col("component").alias("label"))
         named = members.join(label, "a", "left").select("sign", "a", "role", "whole", F.coalesce("label", "a").alias("label"))
-        several = named.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high")
-        return written(named.join(several.select("sign"), "sign"), "open")
+        several = named.groupBy("sign").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many"))
+        return written(named.join(several.filter("low < high").select("sign", "many"), "sign"), "open")
 
     stars = found.filter("kind = 0").select("a", "b").union(
         crowd.groupBy("sign").agg(F.min("a").alias("hub")).join(crowd, "sign").filter("a <> hub").select(F.col("hub").alias("a"), F.col("a").alias("b"))
@@ -437,11 +500,18 @@ def link_texts(
                 F.min(F.struct(F.xxhash64("a", F.lit(turn)), "a", "label")).alias("lead")
             )
             across = left.join(lead.select("sign", "lead.label", F.col("lead.a").alias("b")).withColumnRenamed("label", "label_b"), "sign")
-            across = across.filter("label <> label_b").select("a", "b")
-        else:  # what is still apart, each with each
-            other = left.selectExpr("sign", "a AS b", "role AS role_b", "whole AS whole_b", "label AS label_b")
-            across = left.join(other, "sign").filter("label < label_b AND role + role_b < 2 AND whole + whole_b > 0").select("a", "b")
-        labels = _merged(labels, verified(screened(across)))
+            across = screened(across.filter("label <> label_b").select("a", "b"))
+        else:  # what is still apart, each with each: by their sketches within a task, a chunk of a signature's sets with another
+            parts = left.join(known.withColumnRenamed("id", "a"), "a").withColumn("chunks", F.ceil(F.col("many") / chunk))
+            parts = parts.withColumn("chunk", F.pmod(F.xxhash64("a"), F.col("chunks")))
+            parts = parts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+            parts = parts.select(
+                "sign", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
+                "a", "role", "whole", "label", "n", "sketch", "chunk",
+            )
+            parts = parts.repartition(tasks, "sign", "low", "high").sortWithinPartitions("sign", "low", "high")
+            across = written(parts.mapInArrow(_across, "a long, b long").distinct(), "across")
+        labels = _merged(labels, verified(across))
 
     final = sets.select("id", "n").join(copies.withColumnRenamed("id", "copy"), F.col("id") == F.col("copy"), "left")
     final = final.withColumn("rep", F.coalesce("rep", "id")).join(

@@ -24,7 +24,7 @@ from tallyforge.llm.embeddings import near_duplicate_vectors
 from tallyforge.llm.exact_dedup import exact_dedup
 from tallyforge.llm.mixing import mix_sources
 from tallyforge.llm.packing import pack_documents, pack_plan
-from tallyforge.llm.shingle_join import bands, band_of, link_texts, most_apart
+from tallyforge.llm.shingle_join import _near, band_of, bands, link_texts, most_apart, sketch
 from tallyforge.llm.tokens import Encoder, slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -121,8 +121,25 @@ def test_shingle_join_of_many_mutations(spark):
     links = [(a, b) for a in rows for b in rows if a < b and rows[a] and 100 * len(rows[a] & rows[b]) >= 75 * len(rows[a] | rows[b])]
     want = groups(links, rows)
     table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
-    for often in (600, 2):
-        assert {r.doc_id: r.component_id for r in link_texts(table, often=often).collect()} == want
+    for often, chunk in ((600, 2048), (2, 3)):
+        assert {r.doc_id: r.component_id for r in link_texts(table, often=often, chunk=chunk).collect()} == want
+
+
+def test_near_compares_chunks():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 62, 90).astype(np.uint64)
+    sets = []
+    for i in range(40):
+        kept = np.unique(np.concatenate([base[: 90 - i], rng.integers(0, 1 << 62, i // 2).astype(np.uint64)]))
+        sets.append(kept)
+    rows = [(i, 0, i % 2, i % 5, len(s), sketch(s), i % 2) for i, s in enumerate(sets)]
+    linked = {
+        (a, b) for a in range(40) for b in range(a + 1, 40)
+        if a % 5 != b % 5 and a % 2 + b % 2 > 0 and 4 * len(np.intersect1d(sets[a], sets[b])) >= 3 * len(np.union1d(sets[a], sets[b]))
+    }
+    whole = set(map(tuple, _near(rows, 0, 0).tolist()))
+    assert linked <= whole and not any(a % 5 == b % 5 for a, b in whole)
+    assert {(a, b) for a, b in linked if a % 2 != b % 2} <= set(map(tuple, _near(rows, 0, 1).tolist()))
 
 
 def test_bands_hold_partners():
