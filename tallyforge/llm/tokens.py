@@ -11,7 +11,7 @@ import pyarrow as pa
 from tokenizers import Tokenizer
 
 #: Bytes of text that are handled at once.
-SLICE = 4 << 20
+SLICE = 1 << 20
 #: Longer pieces are encoded without the table.
 LONGEST = 48
 
