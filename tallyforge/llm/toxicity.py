@@ -1,7 +1,8 @@
-"""Toxic sentences by a subsequence-kernel support vector machine on Nyström landmarks."""
+"""Toxic texts by a subsequence-kernel support vector machine on landmark words."""
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,11 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import written
-from tallyforge.llm.tokens import _BLANK, lower_ascii, slices, word_hashes
+from tallyforge.llm.tokens import lower_ascii, slices, word_hashes
 
 #: Longer units are read in overlapping windows of this width.
 WIDTH = 24
 ORDER, DECAY, SHARED = 3, 0.6, 0.7
+#: Pairs of words that are compared at a time.
+BLOCK = 8192
+#: Kernels are summed in this power, so that a sum is about the number of units that are like the landmark.
+POWER = 4
+#: A word is a candidate if toxic documents hold it this many times as often as clean ones.
+LIFT = 4
 
 # Digits that stand for letters.
 _READ = np.arange(256, dtype=np.uint8)
@@ -23,19 +30,16 @@ for _digit, _letter in {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "
     _READ[ord(_digit)] = ord(_letter)
 _KEEP = np.zeros(256, bool)
 _KEEP[[*range(97, 123), *range(128, 256)]] = True
-_STOP = np.zeros(256, bool)
-_STOP[[ord(c) for c in ".!?"]] = True
 
 
 @dataclass
 class Units:
-    """Words of letters, and words spelled letter by letter: bytes, place, document and sentence of each."""
+    """Words of letters, and words spelled letter by letter: bytes, place and document of each."""
 
     data: np.ndarray
     start: np.ndarray
     size: np.ndarray
     doc: np.ndarray
-    sentence: np.ndarray
 
     def texts(self, which: np.ndarray) -> list[bytes]:
         raw = self.data.tobytes()
@@ -53,21 +57,16 @@ def units(data: np.ndarray, bounds: np.ndarray) -> Units:
     read = _READ[lower_ascii(data)]
     keep = _KEEP[read]
     before = np.concatenate([[0], np.cumsum(keep)])
-    stop = np.zeros(len(data) + 1, bool)
-    stop[1:] = data == 10
-    stop[1:-1] |= _STOP[data[:-1]] & _BLANK[data[1:]]
-    stop[bounds[:-1]] = True
-    sentence = np.cumsum(stop)
     doc = np.searchsorted(bounds, starts, "right") - 1
-    first, size, of = before[starts], before[ends] - before[starts], sentence[starts]
+    first, size = before[starts], before[ends] - before[starts]
     some = size > 0
-    first, size, of, doc = first[some], size[some], of[some], doc[some]
+    first, size, doc = first[some], size[some], doc[some]
 
     single = size == 1
     change = np.flatnonzero(np.diff(np.concatenate([[False], single, [False]]).astype(np.int8)))
     runs = [(a, b) for a, b in change.reshape(-1, 2).tolist() if b - a >= 3]
     spelled = [
-        (first[a], last - a, doc[a], of[a])
+        (first[a], last - a, doc[a])
         for low, high in runs
         for cuts in [[low, *(low + 1 + np.flatnonzero(np.diff(doc[low:high]))).tolist(), high]]
         for a, last in zip(cuts[:-1], cuts[1:], strict=True)
@@ -75,7 +74,7 @@ def units(data: np.ndarray, bounds: np.ndarray) -> Units:
     ]
     if spelled:
         more = np.array(spelled, np.int64).T
-        first, size, doc, of = (np.concatenate([x, y]) for x, y in zip((first, size, doc, of), more, strict=True))
+        first, size, doc = (np.concatenate([x, y]) for x, y in zip((first, size, doc), more, strict=True))
 
     long = np.flatnonzero(size > WIDTH)
     if len(long):
@@ -84,31 +83,40 @@ def units(data: np.ndarray, bounds: np.ndarray) -> Units:
         row = np.repeat(long, times)
         step = half * (np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times))
         pick = np.delete(np.arange(len(size)), long)
-        first, size, doc, of = (
+        first, size, doc = (
             np.concatenate([x[pick], y])
-            for x, y in ((first, first[row] + step), (size, np.minimum(WIDTH, size[row] - step)), (doc, doc[row]), (of, of[row]))
+            for x, y in ((first, first[row] + step), (size, np.minimum(WIDTH, size[row] - step)), (doc, doc[row]))
         )
-    return Units(read[keep], first, size, doc, of)
+    return Units(read[keep], first, size, doc)
 
 
 def subsequence_kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row by row: the weight of the common subsequences of ORDER letters, each gap decayed; rows are zero-padded."""
-    many, wide, other = len(a), a.shape[1], b.shape[1]
-    inner = [[np.ones(many, np.float32)] * (other + 1)] + [[np.zeros(many, np.float32)] * (other + 1) for _ in range(ORDER - 1)]
+    sizes = (a != 0).sum(1)
+    order = np.argsort(-sizes, kind="stable")
+    out = np.zeros(len(a), np.float32)
+    for low in range(0, len(order), BLOCK):
+        rows = order[low : low + BLOCK]
+        out[rows] = _block_kernel(np.ascontiguousarray(a[rows].T), np.ascontiguousarray(b[rows].T), sizes[rows])
+    return out
+
+
+def _block_kernel(a: np.ndarray, b: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The kernel of columns, the longest of ``a`` first; a letter's step takes only the columns that have it."""
+    many, other = len(sizes), int((b != 0).any(1).sum())
+    inner = [[np.zeros(many, np.float32)] * (other + 1) for _ in range(ORDER)]
     total = np.zeros(many, np.float32)
-    square = np.float32(DECAY**2)
-    for i in range(wide):
-        letter = a[:, i]
-        if not letter.any():
-            break
-        same = [((letter == b[:, j]) & (letter != 0)).astype(np.float32) * square for j in range(other)]
+    square, decay = np.float32(DECAY**2), np.float32(DECAY)
+    for i in range(int(sizes[0])):
+        n = int(np.searchsorted(-sizes, -i))
+        same = [(a[i, :n] == b[j, :n]).astype(np.float32) * square for j in range(other)]
         for j in range(other):
-            total += same[j] * inner[ORDER - 1][j]
+            total[:n] += same[j] * inner[ORDER - 1][j][:n]
         for k in range(ORDER - 1, 0, -1):
-            run, row = np.zeros(many, np.float32), [inner[k][0]]
+            run, row = np.zeros(n, np.float32), [inner[k][0]]
             for j in range(other):
-                run = run * np.float32(DECAY) + same[j] * inner[k - 1][j]
-                row.append(np.float32(DECAY) * inner[k][j + 1] + run)
+                run = run * decay + (same[j] * inner[k - 1][j][:n] if k > 1 else same[j])
+                row.append(decay * inner[k][j + 1][:n] + run)
             inner[k] = row
     return total
 
@@ -122,7 +130,7 @@ def _pad(words: list[bytes]) -> np.ndarray:
 
 @dataclass
 class Landmarks:
-    """``words``: the first ``toxic`` of them mark toxic sentences, the others look like them."""
+    """``words``: the first ``toxic`` of them mark toxic texts, the others look like them."""
 
     words: list[bytes]
     toxic: int
@@ -167,33 +175,47 @@ class Landmarks:
     def near(self, rows: np.ndarray) -> np.ndarray:
         """Rows that share, in order, SHARED of the letters of a toxic landmark; for others the kernel counts as zero."""
         found = np.zeros(len(rows), bool)
+        sizes = (rows != 0).sum(1)
+        order = np.argsort(-sizes, kind="stable")
+        letters = np.ascontiguousarray(rows[order].T)
+        longer = np.searchsorted(-sizes[order], -np.arange(rows.shape[1])).tolist()  # rows that have a letter there
         for word in self.words[: self.toxic]:
             place = np.zeros(256, np.uint32)
             for i, c in enumerate(word):
                 place[c] |= np.uint32(1 << i)
             full = np.uint32((1 << len(word)) - 1)
             free = np.full(len(rows), full, np.uint32)
-            for i in range(rows.shape[1]):  # bits that turn to zero count the longest common subsequence
-                hit = free & place[rows[:, i]]
-                free = ((free + hit) | (free - hit)) & full
-            found |= len(word) - np.bitwise_count(free) >= int(np.ceil(SHARED * len(word)))
+            for i, n in enumerate(longer):  # bits that turn to zero count the longest common subsequence
+                if not n:
+                    break
+                part = free[:n]
+                hit = part & place[letters[i, :n]]
+                free[:n] = ((part + hit) | (part - hit)) & full
+            found[order] |= len(word) - np.bitwise_count(free) >= int(np.ceil(SHARED * len(word)))
         return found
 
     def kernel(self, rows: np.ndarray) -> np.ndarray:
         """Normalised kernel of each row with each landmark."""
         own = np.maximum(subsequence_kernel(rows, rows), 1e-12)
         out = np.zeros((len(rows), len(self.words)), np.float32)
-        for j, word in enumerate(self.words):
-            mark = np.broadcast_to(self.rows[j, : len(word)], (len(rows), len(word)))
-            out[:, j] = subsequence_kernel(rows, mark) / np.sqrt(own * max(self.own[j], 1e-12))
+        sizes = np.array([len(w) for w in self.words])
+        for size in np.unique(sizes):
+            group = np.flatnonzero(sizes == size)
+            marks = np.repeat(self.rows[group, :size], len(rows), 0)
+            found = subsequence_kernel(np.tile(rows, (len(group), 1)), marks).reshape(len(group), len(rows))
+            out[:, group] = (found / np.sqrt(own * np.maximum(self.own[group], 1e-12)[:, None])).T
         return out
 
 
-def sentences(landmarks: Landmarks, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the sentences with a unit near a landmark: document, and the largest kernel with each landmark."""
+def pooled(landmarks: Landmarks, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of the texts with a unit near a landmark: document, and for each landmark three values over all units.
+
+    These are the largest kernel, and the logarithms of the sum of kernels (in POWER) and of that sum for 100 units.
+    """
+    wide = 3 * len(landmarks.words)
     found = units(data, bounds)
     if not len(found.start) or not landmarks.toxic:
-        return np.zeros(0, np.int64), np.zeros((0, len(landmarks.words)), np.float32)
+        return np.zeros(0, np.int64), np.zeros((0, wide))
     edges = np.zeros(len(found.start) + 1, np.int64)
     np.cumsum(found.size, out=edges[1:])
     flat = found.data[np.repeat(found.start - edges[:-1], found.size) + np.arange(edges[-1])]
@@ -202,33 +224,33 @@ def sentences(landmarks: Landmarks, data: np.ndarray, bounds: np.ndarray) -> tup
     number, values = landmarks.look_up(distinct, lambda which: found.padded(pick[which]))
     unit = np.flatnonzero(number[back] >= 0)
     if not len(unit):
-        return np.zeros(0, np.int64), np.zeros((0, len(landmarks.words)), np.float32)
-    order = unit[np.argsort(found.sentence[unit], kind="stable")]
-    first = np.flatnonzero(np.concatenate([[True], np.diff(found.sentence[order]) > 0]))
-    return found.doc[order[first]], np.maximum.reduceat(values[number[back[order]]], first)
+        return np.zeros(0, np.int64), np.zeros((0, wide))
+    order = unit[np.argsort(found.doc[unit], kind="stable")]
+    first = np.flatnonzero(np.concatenate([[True], np.diff(found.doc[order]) > 0]))
+    docs, kernels = found.doc[order[first]], values[number[back[order]]].astype(np.float64)
+    total = np.add.reduceat(kernels**POWER, first)
+    share = total * (100 / np.bincount(found.doc, minlength=len(bounds) - 1)[docs][:, None])
+    return docs, np.concatenate([np.maximum.reduceat(kernels, first), np.log1p(total), np.log1p(share)], 1)
 
 
 @dataclass
 class Machine:
-    """Landmarks, the Nyström map, the separating plane, and the curve from decision to probability."""
+    """Landmarks, the separating plane, and the curve from decision to probability."""
 
     landmarks: Landmarks
     plane: np.ndarray
     bias: float
     curve: tuple[float, float]
 
-    def decide(self, kernels: np.ndarray) -> np.ndarray:
-        return kernels @ self.plane + self.bias
-
     def score(self, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-        """Probability of each text of a slice, by its most toxic sentence."""
+        """Probability of each text of a slice; one without units near a landmark has the lowest."""
         best = np.full(len(bounds) - 1, self.bias)
-        docs, kernels = sentences(self.landmarks, data, bounds)
-        np.maximum.at(best, docs, self.decide(kernels))
+        docs, values = pooled(self.landmarks, data, bounds)
+        np.maximum.at(best, docs, values @ self.plane + self.bias)
         return 1 / (1 + np.exp(-np.clip(self.curve[0] * best + self.curve[1], -40, 40)))
 
 
-def _separate(rows: np.ndarray, labels: np.ndarray, penalty: float = 1e-4, steps: int = 400) -> tuple[np.ndarray, float]:
+def _separate(rows: np.ndarray, labels: np.ndarray, penalty: float = 3e-3, steps: int = 400) -> tuple[np.ndarray, float]:
     """Plane and bias of a linear support vector machine: squared hinge, both classes weighing the same, by accelerated descent."""
     sign = np.where(labels > 0, 1.0, -1.0)
     weight = np.where(labels > 0, 0.5 / max(1, (labels > 0).sum()), 0.5 / max(1, (labels <= 0).sum()))
@@ -242,31 +264,17 @@ def _separate(rows: np.ndarray, labels: np.ndarray, penalty: float = 1e-4, steps
     return w[:-1], float(w[-1])
 
 
-def train(landmarks: Landmarks, docs: np.ndarray, kernels: np.ndarray, labels: np.ndarray) -> Machine:
-    """Fit on sentences: those of clean documents are clean; of a toxic document the most toxic one is.
-
-    ``labels`` has one value per document, ``docs`` the document of each row of ``kernels``.  Which
-    sentence of a toxic document is the most toxic is asked again after each of three fits.
-    """
-    marks = landmarks.kernel(landmarks.rows).astype(np.float64) if landmarks.words else np.zeros((0, 0))
-    values, vectors = np.linalg.eigh((marks + marks.T) / 2)
-    root = (vectors / np.sqrt(np.maximum(values, 1e-3))) @ vectors.T
+def train(landmarks: Landmarks, values: np.ndarray, labels: np.ndarray) -> Machine:
+    """Fit on documents: ``labels`` has one value for each, ``values`` their rows of ``pooled``, zeros without one."""
     if not len(labels) or not landmarks.toxic or labels.min() == labels.max():
         rate = float(labels.mean()) if len(labels) else 0.0
-        return Machine(landmarks, np.zeros(len(landmarks.words)), 0.0, (1.0, 4.0 if rate == 1 else -4.0))
-    mapped = kernels @ root
-    clean = np.flatnonzero(labels[docs] == 0)
-    lead = kernels[:, : landmarks.toxic].max(1, initial=0)
-    for _ in range(3):
-        order = np.lexsort((lead, docs))
-        last = order[np.concatenate([np.diff(docs[order]) > 0, [True]])] if len(order) else order
-        toxic = last[labels[docs[last]] == 1]
-        silent = np.zeros((1, mapped.shape[1]))  # a sentence without any unit near a landmark is clean
-        picked = np.concatenate([mapped[toxic], mapped[clean], silent])
-        plane, bias = _separate(picked, np.concatenate([np.ones(len(toxic)), np.zeros(len(clean) + 1)]))
-        lead = mapped @ plane
-    best = np.full(len(labels), bias)
-    np.maximum.at(best, docs, mapped @ plane + bias)
+        return Machine(landmarks, np.zeros(3 * len(landmarks.words)), 0.0, (1.0, 4.0 if rate == 1 else -4.0))
+    # every column of the same spread; the machine's plane is put back on the values as they are
+    mean, spread = values.mean(0), (values.std(0) + 1e-6) * np.sqrt(values.shape[1])
+    plane, bias = _separate((values - mean) / spread, labels)
+    plane = plane / spread
+    bias -= float(mean @ plane)
+    best = np.maximum(values @ plane + bias, bias)
     a, b = 1.0, 0.0
     for _ in range(50):  # a logistic curve by Newton's method, targets kept off 0 and 1
         p = 1 / (1 + np.exp(-(a * best + b)))
@@ -276,7 +284,7 @@ def train(landmarks: Landmarks, docs: np.ndarray, kernels: np.ndarray, labels: n
         h = np.array([[(w * best**2).sum() + 1e-3, (w * best).sum()], [(w * best).sum(), w.sum() + 1e-3]])
         step = np.clip(np.linalg.solve(h, g), -2, 2)
         a, b = a - step[0], b - step[1]
-    return Machine(landmarks, root @ plane, bias, (max(a, 1e-3), b))
+    return Machine(landmarks, plane, bias, (max(a, 1e-3), b))
 
 
 def _batches(batches: Iterator[pa.RecordBatch]):
@@ -311,19 +319,13 @@ def _lookalikes(landmarks: Landmarks):
     return run
 
 
-def _kernels(landmarks: Landmarks, most: int):
-    """The ``most`` sentences of each sampled document that are nearest to a toxic landmark."""
-
+def _pooled(landmarks: Landmarks):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, bounds in _batches(batches):
-            docs, values = sentences(landmarks, data, bounds)
-            lead = values[:, : landmarks.toxic].max(1, initial=0)
-            order = np.lexsort((-lead, docs))
-            nth = np.arange(len(order)) - np.searchsorted(docs[order], docs[order])
-            order = order[nth < most]
-            found = pa.array(values[order].astype(np.float32).tolist(), pa.list_(pa.float32()))
-            ids = batch.column("id").take(pa.array(docs[order], pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, found], ["id", "kernels"])
+            docs, values = pooled(landmarks, data, bounds)
+            found = pa.array(values.astype(np.float32).tolist(), pa.list_(pa.float32()))
+            ids = batch.column("id").take(pa.array(docs, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, found], ["id", "pooled"])
 
     return run
 
@@ -337,11 +339,17 @@ def _scorer(machine: Machine):
 
 
 def _toxic_words(sampled: DataFrame, toxic_docs: int, clean_docs: int, most: int) -> list[bytes]:
-    """Units that tell toxic documents: the fewest that cover them, each rare in clean ones."""
+    """Units that tell toxic documents: the fewest that cover them, each more frequent there than in clean ones.
+
+    Clean ones may hold them too, and how much one tells is left to the machine; among the candidates, those that tell most by
+    their counts come first, and one that covers documents with others already chosen counts less.
+    """
     rows = written(sampled.mapInArrow(_unit_rows, "id long, label int, unit binary"), "units")
     counts = rows.groupBy("unit").agg(F.sum("label").alias("yes"), F.sum(1 - F.col("label")).alias("no"))
-    rate = F.col("no") / max(1, clean_docs) < 0.05 * F.col("yes") / max(1, toxic_docs)
-    best = counts.filter(rate & (F.col("yes") >= max(2, 0.004 * toxic_docs))).orderBy(F.desc("yes"), "unit").limit(1000).collect()
+    lift = (F.col("yes") / max(1, toxic_docs)) / ((F.col("no") + 1) / max(1, clean_docs))
+    known = counts.withColumn("tells", F.log(lift)).filter((lift >= LIFT) & (F.col("yes") >= max(2, 0.004 * toxic_docs)))
+    best = known.orderBy(F.desc(F.col("yes") * F.col("tells")), "unit").limit(1000).collect()
+    tells = {bytes(r["unit"]): r["tells"] for r in best}
     words = [bytes(r["unit"]) for r in best]
     if not words:
         return []
@@ -350,15 +358,15 @@ def _toxic_words(sampled: DataFrame, toxic_docs: int, clean_docs: int, most: int
     for r in held:
         docs_of.setdefault(bytes(r["unit"]), set()).add(r["id"])
     chosen: list[bytes] = []
-    covered: set[int] = set()
+    covered: Counter[int] = Counter()
     while len(chosen) < most and docs_of:
-        word = max(docs_of, key=lambda w: (len(docs_of[w] - covered), w))
-        if len(docs_of[word] - covered) < max(2, 0.002 * toxic_docs):
+        gain = {w: tells[w] * sum(0.5 ** covered[d] for d in found) for w, found in docs_of.items()}
+        word = max(gain, key=lambda w: (gain[w], w))
+        if gain[word] < 2:
             break
-        covered |= docs_of.pop(word)
+        covered.update(docs_of.pop(word))
         chosen.append(word)
-    often = [w for w in words if w in docs_of and len(docs_of[w]) >= 0.02 * toxic_docs]
-    return chosen + often[: most - len(chosen)]
+    return chosen
 
 
 def score_toxicity(
@@ -371,16 +379,17 @@ def score_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
 ) -> DataFrame:
-    """Score every whole text by its most toxic sentence; high scores mean that label 1 is likely.
+    """Score every whole text by all its words; high scores mean that label 1 is likely.
 
     The kernel weighs the common subsequences of three letters of two words, less for each
-    letter between, so inserted letters, marks and blanks lower it little.  A sentence
-    is its largest kernel with each landmark.  Landmarks, at most ``landmarks`` of each kind, are words that
-    tell toxic documents from clean ones and the clean words that look most like them.  They, the machine
+    letter between, so inserted letters, marks and blanks lower it little.  A text is, for
+    each landmark, its largest kernel and the sums of all its kernels, as they are and by length, so a word that
+    clean texts hold too tells where it comes often.  Landmarks, at most ``landmarks`` of each kind, are words more
+    frequent in toxic documents and the clean words that look most like them.  They, the machine
     and its curve are fitted on at most ``sample`` toxic and clean labelled documents for which ``learn``, a condition
-    on the id, holds, taken in the order of a hash of the id; of each, on its five sentences nearest to a landmark.
+    on the id, holds, taken in the order of a hash of the id.
 
-    Returns id, ``score``.  A null or empty text has no sentence and the lowest score; without labels all
+    Returns id, ``score``.  A text without words like a landmark, as a null or empty one, has the lowest score; without labels all
     scores are equal.  Null labels and ids teach nothing; repeated rows are scored each.  No other column is read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -402,11 +411,12 @@ def score_toxicity(
         likes = likes.groupBy("unit").agg(F.max("value").alias("value")).orderBy(F.desc("value"), "unit")
         alike = [bytes(r["unit"]) for r in likes.limit(landmarks[1]).collect()]
     marks = Landmarks(words + alike, len(words))
-    found = sampled.mapInArrow(_kernels(marks, 5), "id long, kernels array<float>").toArrow() if words else None
-    ids = sorted(truth)
-    place = {d: i for i, d in enumerate(ids)}
-    own = np.array([place[i] for i in found.column(0).to_pylist()], np.int64) if words else np.zeros(0, np.int64)
-    values = found.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False) if words else np.zeros(0)
-    matrix = values.reshape(len(own), len(marks.words)).astype(np.float64)
-    machine = train(marks, own, matrix, np.array([truth[i] for i in ids], np.float64))
+    found = sampled.mapInArrow(_pooled(marks), "id long, pooled array<float>").toArrow() if words else None
+    place = {d: i for i, d in enumerate(sorted(truth))}
+    matrix = np.zeros((len(truth), 3 * len(marks.words)))
+    if words:
+        own = [place[i] for i in found.column(0).to_pylist()]
+        values = found.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        np.maximum.at(matrix, own, values.reshape(len(own), matrix.shape[1]))  # rows that repeat an id count once
+    machine = train(marks, matrix, np.array([truth[i] for i in sorted(truth)], np.float64))
     return rows.mapInArrow(_scorer(machine), "id long, score double").withColumnRenamed("id", id_col)

@@ -442,3 +442,21 @@ def test_toxicity_separates(spark, docs, none):
     assert toxicity.score_toxicity(docs, labels).count() == docs.count()
     assert toxicity.score_toxicity(none, labels).count() == 0
     assert len({r.score for r in toxicity.score_toxicity(docs, labels.limit(0)).collect()}) == 1
+
+
+def test_toxicity_counts_words_that_clean_texts_hold_too(spark):
+    rng = np.random.default_rng(12)
+    ends = ["al", "ent", "iro", "ous", "ul", "asse", "ino", "eru", "ost", "ais", "on", "ure"]
+    rows = []
+    for i in range(900):
+        words = ["".join(rng.choice(list("aeioutnrsl"), 6)) for _ in range(60)]
+        times = int(rng.integers(3, 6)) if i % 6 == 0 else int(rng.random() < 0.3)
+        for at in rng.choice(60, times, replace=False):
+            words[at] = "grimpf" + ends[int(rng.integers(0, len(ends)))]
+        rows.append((i, ". ".join(" ".join(words[k : k + 10]) for k in range(0, 60, 10)), int(i % 6 == 0)))
+    table = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r.score >= 0.7 for r in toxicity.score_toxicity(table, labels, remainder("doc_id", 3) != 1).collect()}
+    held = [(y, got[i]) for i, _, y in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    toxic, clean = [g for y, g in held if y], [g for y, g in held if not y]
+    assert sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.02 * len(clean)
