@@ -50,9 +50,13 @@ def first_words(text: pd.Series, words: pd.Series) -> pd.Series:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it; where a source's budget ends, its first words; without words none."""
-    taken = mix_sources(docs).select(F.col("doc_id").alias("_id"), "size", "taken").filter("taken > 0").distinct()
-    rows = docs.join(taken, F.col("doc_id") == F.col("_id"))
+    """Each document as often as the mix takes it; where a source's budget ends, its first words; without words none.
+
+    Ids may be null or repeated: each row has a key of its own, written with it, and its own take.
+    """
+    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    taken = mix_sources(keyed, carry=["_row"]).select(F.col("_row").alias("_of"), "size", "taken").filter("taken > 0")
+    rows = keyed.join(taken, F.col("_row") == F.col("_of"))
     epoch = F.explode(F.expr("sequence(1, cast(ceil(taken / size) as int))"))
     rows = rows.withColumn("_epoch", epoch).withColumn("_words", F.least(F.col("size"), F.expr("taken - (_epoch - 1) * size")))
     part = F.col("_words") < F.col("size")

@@ -46,6 +46,7 @@ def mix_sources(
     id_col: str = "doc_id",
     source_col: str = "source",
     text_col: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Words that a mix takes from each document.
 
@@ -56,7 +57,7 @@ def mix_sources(
     beyond the source takes all of it once or more, then cuts the next epoch.
 
     Returns one row per input row: id, source, ``size`` (words, 0 for a null text),
-    ``source_size``, ``target``, ``taken`` (words, repeats counted).  A null source is a source;
+    ``source_size``, ``target``, ``taken`` (words, repeats counted), and the columns ``carry``, as a row key.  A null source is a source;
     null ids and repeated rows have equal keys and are taken one after the other; without words all
     targets are 0.  The table of sources, one row each, is ranked in one task.
     """
@@ -65,11 +66,12 @@ def mix_sources(
             F.col(id_col).alias("id"),
             F.col(source_col).alias("source"),
             F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+            *carry,
         ).withColumn("key", random_key(seed, "id")),
         "sizes",
     )
     targets = written(source_targets(sizes, weights, share, most).withColumnRenamed("source", "of"), "targets")
-    placed = running_total(sizes, ["source"], "key", ["id", "size"], "size")
+    placed = running_total(sizes, ["source"], "key", ["id", "size", *carry], "size")
     joined = placed.join(targets, placed["source"].eqNullSafe(targets["of"]), "left")
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.expr("floor(target) div source_size")).otherwise(F.lit(0))
@@ -82,4 +84,5 @@ def mix_sources(
         "source_size",
         "target",
         taken.cast("long").alias("taken"),
+        *carry,
     )

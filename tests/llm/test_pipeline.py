@@ -102,6 +102,19 @@ def test_mix(stages):
     assert len(cut) <= len(total)
 
 
+def test_mix_takes_each_row_by_itself(spark):
+    words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(None, words("x", 40)), (None, words("y", 30)), (None, words("x", 40)), (1, words("z", 20)), (2, words("u", 25))]
+    rows += [(3, words("v", 50))] * 3 + [(4, words("q", 7)), (4, words("r", 9))]
+    table = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.mix(spark, table.repartition(3), "").collect()
+    total = sum(len(t.split()) for _, t in rows)
+    assert sum(len(r.text.split()) for r in got) == total * 3 // 2  # the only source's budget, to the word
+    whole, most = Counter((r.doc_id, r.text) for r in got), Counter(rows)
+    assert all(most[row] <= whole[row] <= 2 * most[row] for row in most)  # every row once, none more than twice
+    assert sum(n for row, n in whole.items() if row not in most) <= 1  # only the row at the cut is cut
+
+
 def test_pack(stages):
     whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     want = Counter()
