@@ -430,11 +430,17 @@ def link_texts(
     sets = written(rows.mapInArrow(_measure, "id long, n long, print binary, sketch binary"), "sets")
     real = sets.filter("n > 0 AND id IS NOT NULL")
     classes = written(real.groupBy("print").agg(F.min("id").alias("rep"), F.count("*").alias("rows")).filter("rows > 1"), "classes")
-    copies = written(real.join(classes.select("print", "rep"), "print").filter("id <> rep").select("id", "rep"), "copies")
+    copies = written(real.join(classes.select("print", "rep"), "print").filter("id <> rep").select("id", "rep").distinct(), "copies")
+
+    # one text per id, however often its row is repeated
+    again = real.groupBy("id").count().filter("count > 1")
+    repeated = written(slot_bitmap(again, F.xxhash64("id"), filter_bits), "repeated")
+    told = in_bitmap(rows.filter("id IS NOT NULL"), F.xxhash64("id"), repeated, filter_bits)
+    texts = told.filter("NOT hit").select("id", "text").union(told.filter("hit").select("id", "text").dropDuplicates(["id"]))
 
     # texts of copies are left out: what the bitmap does not hold is read in place, the rest is compared by id
     slots = written(slot_bitmap(copies, F.xxhash64("id"), filter_bits), "slots")
-    marked = in_bitmap(rows.filter("id IS NOT NULL"), F.xxhash64("id"), slots, filter_bits)
+    marked = in_bitmap(texts, F.xxhash64("id"), slots, filter_bits)
     distinct = marked.filter("hit").join(copies.select("id"), "id", "left_anti").select("id", "text")
     single = marked.filter("NOT hit").select("id", "text").union(distinct)
     total = real.agg(F.sum("n")).first()[0] or 0
@@ -463,7 +469,6 @@ def link_texts(
     groups = sums.filter("n > 1").groupBy("n", "sum", "xor").agg(F.min("sign").alias("sign")).select("sign")
     members = written(every.join(written(groups, "groups"), "sign"), "members")
 
-    texts = rows.filter("id IS NOT NULL")
     known = real.select("id", "n", "sketch").dropDuplicates(["id"])
 
     def screened(pairs: DataFrame) -> DataFrame:

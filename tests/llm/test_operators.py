@@ -105,6 +105,15 @@ def test_shingle_join(docs, none):
     assert link_texts(docs).count() == docs.count()
 
 
+def test_shingle_join_of_repeated_rows(spark):
+    near = BASE + " more"
+    rows = [(1, BASE)] + [(5, BASE)] * 30 + [(7, near)] * 20 + [(8, near)] * 10 + [(9, LONG)] * 3
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for bits in (64, 1 << 22):
+        got = [(r.doc_id, r.component_id) for r in link_texts(table, filter_bits=bits).collect()]
+        assert sorted(got) == sorted((i, 9 if i == 9 else 1) for i, _ in rows)
+
+
 def test_shingle_join_of_many_mutations(spark):
     rng = np.random.default_rng(3)
     texts = []
