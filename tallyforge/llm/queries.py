@@ -17,6 +17,7 @@ from tallyforge.llm.mixing import mix_sources
 from tallyforge.llm.packing import pack_documents
 from tallyforge.llm.quality import score_quality
 from tallyforge.llm.repair import read_tokens, write_tokens
+from tallyforge.llm.sharding import shard_documents
 from tallyforge.llm.shingle_join import link_texts
 from tallyforge.llm.toxicity import score_toxicity
 from tallyforge.llm.warc import read_archives, write_archives
@@ -172,6 +173,13 @@ QUALIFY row_number() OVER w <= 10
 """
 
 
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shard_documents(table(spark, sf_dir, "documents"), shards=8)
+    digest = F.crc32(F.encode(F.coalesce("doc.text", F.lit("")), "UTF-8")).alias("text_crc32")
+    no_shard = F.lit(None).cast("int").alias("grown_shard")
+    return placed.select("doc.doc_id", "size", digest, F.lit("bytes").alias("law"), "shard", "slot", no_shard)
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
@@ -184,6 +192,7 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_pack_documents": op10_pack_documents,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_sharding": op12_sharding,
 }
 
 SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_mix_sources": OP7_SQL, "op11_hard_negatives": OP11_SQL}
