@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import remainder, table
+from tallyforge.llm.conversations import damage, repair_conversations
 from tallyforge.llm.embeddings import near_duplicate_vectors
 from tallyforge.llm.exact_dedup import exact_dedup
 from tallyforge.llm.hard_negatives import hard_negatives
@@ -180,6 +181,10 @@ def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc.doc_id", "size", digest, F.lit("bytes").alias("law"), "shard", "slot", no_shard)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damage(table(spark, sf_dir, "conversations")), live=F.col("live"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_language_id": op2_language_id,
@@ -193,6 +198,7 @@ QUERIES: dict[str, Query] = {
     "op10_pack_documents": op10_pack_documents,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_sharding": op12_sharding,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 SQL: dict[str, str] = {"op3_warc": OP3_SQL, "op5_exact_dedup": OP5_SQL, "op7_mix_sources": OP7_SQL, "op11_hard_negatives": OP11_SQL}
