@@ -1,19 +1,19 @@
 """Mergeable rollup state.
 
-A rollup keeps *partial rows*, one per (grain keys, facet, value, member):
+A rollup's state has one row per group of its grain keys:
 
-* facet ``total`` carries the additive sums and the maxima;
-* one facet per tracked number (a latency) carries how often each value was
-  seen, which is a lossless histogram of an integer column;
-* one facet per tracked identifier carries each distinct member once.
+* the additive sums and the maxima;
+* for each tracked number (a latency) ``<name>_counts``, the sorted (value, n) pairs of how often each
+  value was seen: a lossless histogram of an integer column;
+* for each tracked identifier ``<name>_set``, the sorted distinct members.
 
-Partial rows merge by grouping and summing, so batches may arrive in any
-number and order, and a coarser grain is the same grouping over fewer keys.
-Every step is a grouped aggregation with map-side combine.  No list or
-sketch of raw rows is ever collected, so a hot key costs one partial row per
-distinct value and map task, not one task that reads all of its rows.
+Reports that need no percentiles don't read the arrays.  Percentiles of merged rows are
+read off the sorted pairs row by row, without a shuffle.
 
-Reports that need no percentiles read only ``facet = 'total'``.
+Building and merging never collect raw rows.  Requests, or the pairs of stored arrays, become rows of (keys, facet, value,
+member, n) that are first grouped with map-side combine, so a hot key sends one row per distinct value and map task, spread
+over tasks by value; only then are the distinct values of a group put in its array.  Batches may arrive
+in any number and order, and a coarser grain is the same grouping over fewer keys.
 """
 
 from __future__ import annotations
@@ -37,6 +37,19 @@ def _points(quantiles: Sequence[float]) -> str:
     return f"array({', '.join(f'{float(q)}D' for q in quantiles)})"
 
 
+def _point(name: str, q: float) -> str:
+    """The quantile ``q`` of the sorted pairs ``<name>_counts``, where ``_last_<name>`` is the place of the last value."""
+    place = f"(_last_{name} * {float(q)}D)"
+    reach = lambda at, key: f"'{key}', coalesce(a.{key}, if(a.seen + e.n > {at}({place}), e.value, NULL))"
+    step = f"named_struct('seen', a.seen + e.n, {reach('floor', 'low')}, {reach('ceil', 'high')})"
+    none = "CAST(NULL AS BIGINT)"
+    between = f"a.low * (1 + floor({place}) - {place}) + a.high * ({place} - floor({place}))"
+    return (
+        f"aggregate({name}_counts, named_struct('seen', 0L, 'low', {none}, 'high', {none}), (a, e) -> {step},"
+        f" a -> if(a.low = a.high, CAST(a.low AS DOUBLE), {between}))"
+    )
+
+
 def quantile_columns(quantiles: Mapping[str, Sequence[float]]) -> list[str]:
     """Expressions for ``<value>_p<q>`` from the percentile arrays ``_q_<value>``."""
     return [
@@ -57,22 +70,32 @@ class Rollup:
     quantiles: Mapping[str, Sequence[float]] = field(default_factory=dict)
     """Quantiles reported of each value unless a report asks for others."""
     day: str = "event_date"
-    """Expression for the calendar day of a partial row, over the keys."""
+    """Expression for the calendar day of a row of state, over the keys."""
 
     def facets(self) -> list[str]:
-        return [TOTAL, *self.values, *self.members]
+        return [*self.values, *self.members]
+
+    def _column(self, facet: str) -> str:
+        return f"{facet}_counts" if facet in self.values else f"{facet}_set"
+
+    def _held(self, state: DataFrame, wanted: Sequence[str] | None = None) -> list[str]:
+        """The wanted facets (all by default) that a state has columns of."""
+        return [f for f in self.facets() if self._column(f) in state.columns and (wanted is None or f in wanted)]
+
+    def _measures(self) -> list[Column]:
+        return expressions(*[f"sum({k}) AS {k}" for k in self.sums], *[f"max({k}) AS {k}" for k in self.maxes])
 
     def state(self, requests: DataFrame, facets: Sequence[str] | None = None) -> DataFrame:
-        """Partial rows of a request log; one shuffle.
+        """One row per group of a request log.
 
-        ``facets`` names the facets wanted, all by default; a caller that
-        needs totals only then expands nothing.
+        ``facets`` names the numbers and identifiers wanted, all by default; without any of
+        them this is one plain aggregation.
         """
-        wanted = set(facets) if facets is not None else set(self.facets())
-        wanted.add(TOTAL)
-        wanted_facets = [f for f in self.facets() if f in wanted]
-        rows = self._rows(self._inputs(requests, wanted_facets), wanted_facets, measured=TOTAL)
-        return self._combine(rows, list(self.keys))
+        wanted = [f for f in self.facets() if facets is None or f in facets]
+        rows = self._rows(self._inputs(requests, wanted), wanted or [TOTAL], measured=(wanted or [TOTAL])[0])
+        if not wanted:
+            return rows.groupBy(*self.keys).agg(*self._measures())
+        return self._fold(self._combine(rows, list(self.keys)), wanted)
 
     def compute(
         self,
@@ -93,7 +116,7 @@ class Rollup:
         inputs = self._inputs(requests, facets)
         if members:
             rows = self._rows(inputs, facets, measured=facets[0])
-            return self.finish(self._combine(rows, list(self.keys)), None, quantiles, members)
+            return self._finish_rows(self._combine(rows, list(self.keys)), list(self.keys), quantiles, members)
         done = inputs.groupBy(*self.keys).agg(
             *expressions(
                 *[f"sum(_s_{k}) AS {k}" for k in self.sums],
@@ -132,47 +155,81 @@ class Rollup:
         structs = [", ".join(f"'{k}', {e}" for k, e in row(facet).items()) for facet in facets]
         return inputs.selectExpr(*self.keys, f"inline(array({', '.join(f'named_struct({x})' for x in structs)}))")
 
-    def _combine(self, partial: DataFrame, keys: Sequence[str]) -> DataFrame:
-        return partial.groupBy(*keys, "facet", "value", "member").agg(
-            *expressions(
-                "sum(n) AS n",
-                *[f"sum({k}) AS {k}" for k in self.sums],
-                *[f"max({k}) AS {k}" for k in self.maxes],
-            )
-        )
+    def _combine(self, rows: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
+        """Each value and member once per ``keys``."""
+        return rows.groupBy(*keys, "facet", "value", "member").agg(F.sum("n").alias("n"), *self._measures())
+
+    def _fold(self, combined: DataFrame, facets: Sequence[str]) -> DataFrame:
+        """Combined rows as one row per group with sorted arrays, as long as there are distinct values and members."""
+        measures = ["facet", "value", "member", "n", *self.sums, *self.maxes]
+        keys = [c for c in combined.columns if c not in measures]
+
+        def entry(facet: str) -> str:
+            if facet in self.members:
+                return f"CASE WHEN facet = '{facet}' THEN member END"
+            return f"CASE WHEN facet = '{facet}' AND value IS NOT NULL THEN named_struct('value', value, 'n', n) END"
+
+        arrays = [f"sort_array(collect_list({entry(f)})) AS {self._column(f)}" for f in facets]
+        return combined.groupBy(*keys).agg(*self._measures(), *expressions(*arrays))
+
+    def unfold(self, state: DataFrame, facets: Sequence[str] | None = None) -> DataFrame:
+        """A state's rows as (keys, facet, value, member, n, sums, maxima): a total per row, and a row per pair and member."""
+        held = self._held(state, facets)
+        arrays = [self._column(f) for f in self.facets()]
+        keys = [c for c in state.columns if c not in (*arrays, *self.sums, *self.maxes)]
+
+        def row(facet: str, value: str, member: str, n: str, measured: bool) -> str:
+            measures = [f"'{k}', {k if measured else 'CAST(NULL AS BIGINT)'}" for k in (*self.sums, *self.maxes)]
+            return f"named_struct({', '.join([f"'facet', '{facet}', 'value', {value}, 'member', {member}, 'n', {n}", *measures])})"
+
+        no_number, no_text = "CAST(NULL AS BIGINT)", "CAST(NULL AS STRING)"
+        parts = [f"array({row(TOTAL, no_number, no_text, no_number, True)})"]
+        for f in held:
+            entry = row(f, "e.value", no_text, "e.n", False) if f in self.values else row(f, no_number, "e", "1L", False)
+            parts.append(f"transform({self._column(f)}, e -> {entry})")
+        return state.selectExpr(*keys, f"inline(concat({', '.join(parts)}))")
 
     def merge(
         self, state: DataFrame, keys: Sequence[str | Column] | None = None, facets: Sequence[str] | None = None
     ) -> DataFrame:
-        """Combine partial rows, at the same grain or at a coarser one."""
-        if facets is not None:
-            state = state.where(F.col("facet").isin(TOTAL, *facets))
-        return self._combine(state, list(self.keys) if keys is None else keys)
+        """One row per group of ``keys``, the same grain or a coarser one, from the rows of any number of batches."""
+        by, held = list(self.keys) if keys is None else list(keys), self._held(state, facets)
+        if not held:
+            return state.groupBy(*by).agg(*self._measures())
+        return self._fold(self._combine(self.unfold(state, held), by), held)
 
     def finish(
         self,
         merged: DataFrame,
-        keys: Sequence[str] | None = None,
         quantiles: Mapping[str, Sequence[float]] | None = None,
         members: Sequence[str] | None = None,
     ) -> DataFrame:
-        """Readable metrics from rows that hold each member once per ``keys``.
+        """Readable metrics from rows that hold each group once, row by row.
 
         Columns: the keys, the sums, the maxima, ``<value>_p<q>`` per wanted
         quantile (linear interpolation) and ``unique_<member>`` counts.
         """
-        keys, quantiles, members = self._wanted(keys, quantiles, members)
-        wanted = merged.where(F.col("facet").isin(TOTAL, *quantiles, *members))
-        done = wanted.groupBy(*keys).agg(
+        _, quantiles, members = self._wanted(None, quantiles, members)
+        counted = merged.withColumns(
+            {f"_last_{v}": F.expr(f"aggregate({v}_counts, -1L, (total, e) -> total + e.n)") for v in quantiles}
+        )
+        points = [f"{_point(v, q)} AS {v}_{quantile_label(q)}" for v, qs in quantiles.items() for q in qs]
+        uniques = [f"CAST(size({m}_set) AS BIGINT) AS unique_{m}" for m in members]
+        return counted.selectExpr(*self.keys, *self.sums, *self.maxes, *points, *uniques)
+
+    def _finish_rows(
+        self, rows: DataFrame, keys: Sequence[str], quantiles: Mapping[str, Sequence[float]], members: Sequence[str]
+    ) -> DataFrame:
+        """Readable metrics from unfolded rows that hold each member once per ``keys``."""
+        done = rows.groupBy(*keys).agg(
+            *self._measures(),
             *expressions(
-                *[f"sum({k}) AS {k}" for k in self.sums],
-                *[f"max({k}) AS {k}" for k in self.maxes],
                 *[
                     f"percentile(CASE WHEN facet = '{v}' THEN value END, {_points(qs)}, n) AS _q_{v}"
                     for v, qs in quantiles.items()
                 ],
                 *[f"count_if(facet = '{m}' AND member IS NOT NULL) AS unique_{m}" for m in members],
-            )
+            ),
         )
         uniques = [f"unique_{m}" for m in members]
         return done.selectExpr(*keys, *self.sums, *self.maxes, *quantile_columns(quantiles), *uniques)
@@ -184,14 +241,18 @@ class Rollup:
         quantiles: Mapping[str, Sequence[float]] | None = None,
         members: Sequence[str] | None = None,
     ) -> DataFrame:
-        """Readable metrics from any partial rows, at ``keys`` or coarser.
+        """Readable metrics from the rows of any number of batches, at ``keys`` or coarser.
 
         Sums and value counts add up without being merged first; only members
-        seen in several partial rows must become one.
+        seen in several rows must become one.
         """
         keys, quantiles, members = self._wanted(keys, quantiles, members)
-        rows = self.merge(state, keys, facets=[*quantiles, *members]) if members else state
-        return self.finish(rows, keys, quantiles, members)
+        if not quantiles and not members:
+            return state.groupBy(*keys).agg(*self._measures())
+        rows = self.unfold(state, [*quantiles, *members])
+        if members:
+            rows = self._combine(rows, keys)
+        return self._finish_rows(rows, keys, quantiles, members)
 
     def _wanted(
         self,

@@ -46,7 +46,7 @@ USAGE_DAILY = Rollup(
 
 
 def usage_hourly_state(requests: DataFrame, facets: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """B1: usage partial rows per hour, tenant, key, plan, chain, route and method."""
+    """B1: one row of usage state per hour, tenant, key, plan, chain, route and method."""
     if approx:
         return USAGE_HOURLY.sketch_state(requests)
     return USAGE_HOURLY.state(requests, facets)

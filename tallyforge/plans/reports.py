@@ -1,6 +1,6 @@
 """Usage reports over stored usage state.
 
-``daily_state`` and ``hourly_state`` are the partial rows of
+``daily_state`` and ``hourly_state`` are the state rows of
 ``operators.usage``.  With ``org=None`` a report covers all traffic.
 """
 
@@ -199,10 +199,10 @@ def api_key_usage(daily_state: DataFrame, key_prefix: str | None, start: Moment,
     state = _of(daily_state, "api_key_prefix", key_prefix)
     owner = F.min("organization_id").alias("organization_id")
     if key_prefix is None:
-        owners = state.where(F.col("facet") == "total").groupBy(F.col("api_key_prefix").alias("key_prefix")).agg(owner)
+        owners = state.groupBy(F.col("api_key_prefix").alias("key_prefix")).agg(owner)
     else:
         known = F.coalesce("organization_id", F.raise_error(F.lit(f"unknown API key {key_prefix}")).cast("string"))
-        owners = state.where(F.col("facet") == "total").agg(owner).select(
+        owners = state.agg(owner).select(
             F.lit(key_prefix).alias("key_prefix"), known.alias("organization_id")
         )
     summary = _summary(_days(state, start, end), ["api_key_prefix"], (0.95,)).withColumnRenamed(

@@ -122,9 +122,6 @@ def write_table(
     by key; it makes writing slower, so it is off unless asked for.
     """
     grain, time_col, sort_by = TABLE_LAYOUT[table]
-    if "facet" in df.columns:
-        # Partial rows: keep the totals together, most reports read only them.
-        sort_by = ["facet", *sort_by]
     write_rollup(df, path, grain, time_col, sort_by, mode, bloom)
 
 

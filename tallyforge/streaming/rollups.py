@@ -152,7 +152,7 @@ def compact(spark: SparkSession, out: str, name: str, upto: int, day: str | None
     done = rollup.merge(rows).withColumn("day", F.expr(rollup.day))
     (
         done.hint("rebalance", "day")
-        .sortWithinPartitions("day", "facet", *rollup.keys)
+        .sortWithinPartitions("day", *rollup.keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")

@@ -166,12 +166,24 @@ def _(spark, sf_dir):
 
 @query(
     "usage_daily_state_from_log",
-    sql=f"""SELECT event_date, {_TENANT}, CAST(latency_ms AS BIGINT) AS value, CAST(count(*) AS BIGINT) AS n
-    FROM requests GROUP BY ALL""",
-)
-def _(spark, sf_dir):
-    state = _daily(spark, sf_dir, "latency").where(F.col("facet") == "latency")
-    return state.select(*usage.USAGE_DAILY.keys, "value", "n")
+    sql=f"""SELECT event_date, {_TENANT}, 'latency' AS facet, CAST(latency_ms AS BIGINT) AS value, CAST(count(*) AS BIGINT) AS n
+    FROM requests GROUP BY ALL
+    UNION ALL SELECT event_date, {_TENANT}, 'upstream', CAST(upstream_latency_ms AS BIGINT), CAST(count(*) AS BIGINT)
+    FROM requests GROUP BY event_date, {_TENANT}, upstream_latency_ms
+    UNION ALL SELECT event_date, {_TENANT}, 'request_count', CAST(NULL AS BIGINT), CAST(count(*) AS BIGINT)
+    FROM requests GROUP BY event_date, {_TENANT}
+    UNION ALL SELECT event_date, {_TENANT}, 'latency_max', CAST(NULL AS BIGINT), CAST(max(latency_ms) AS BIGINT)
+    FROM requests GROUP BY event_date, {_TENANT}""",
+)
+def _(spark, sf_dir):
+    state = usage.usage_daily_state_from_log(_log(spark, sf_dir))
+    rows = usage.USAGE_DAILY.unfold(state)
+    keys = list(usage.USAGE_DAILY.keys)
+    pairs = rows.where("facet <> 'total'").select(*keys, "facet", "value", "n")
+    for measure in ("request_count", "latency_max"):
+        total = rows.where("facet = 'total'").select(*keys, F.lit(measure).alias("facet"), "value", F.col(measure).alias("n"))
+        pairs = pairs.unionByName(total)
+    return pairs
 
 
 @query(
