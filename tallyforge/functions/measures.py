@@ -88,3 +88,17 @@ def lookup(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left"
     hot keys, and only of those.  No copy of the lookup is made.
     """
     return fact.join(dim, list(on), how)
+
+
+#: Rows of configuration that may travel in a plan.
+LITERAL_ROWS = 20_000
+
+
+def literal_rows(config: DataFrame, most: int = LITERAL_ROWS) -> DataFrame:
+    """Configuration as literal rows if there are at most ``most`` of them (they are read for that), else as it is.
+
+    Catalyst knows the size of literal rows and broadcasts them below its threshold; of a table behind JDBC it knows none, and
+    would shuffle the large side of a join before it learns how small the other is.
+    """
+    rows = config.limit(most + 1).toArrow()
+    return config if rows.num_rows > most else config.sparkSession.createDataFrame(rows, config.schema)

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyforge.functions.marks import marks_of, only_marked
+from tallyforge.functions.measures import literal_rows
 from tallyforge.operators.series import seconds
 
 EVENT_COLUMNS = [
@@ -25,16 +27,31 @@ EVENT_COLUMNS = [
 CONSTANT_LIMIT = 10000
 
 
-# A written lookup of at most this many rows (some tens of megabytes) is broadcast.
-BROADCAST_ROWS = 200_000
+def _kept(df: DataFrame, staging: str | None, label: str) -> DataFrame:
+    """``df``, by way of a table in the folder ``staging`` if there is one."""
+    if staging is None:
+        return df
+    path = f"{staging.rstrip('/')}/{label}-{uuid.uuid4().hex}"  # of this call alone
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _measured(df: DataFrame, folder: str) -> tuple[DataFrame, bool]:
-    """``df`` by way of a table in ``folder``, and whether it is small enough to broadcast."""
-    path = f"{folder.rstrip('/')}/{uuid.uuid4().hex}"  # of this call alone
-    df.write.mode("errorifexists").parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
-    return table, table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+_PASSED = "_used > _least"
+
+
+def _totals(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What was used per key, and the least limit that held."""
+    return rows.groupBy(*keys).agg(F.sum("_amount").alias("_used"), F.min("limit_value").alias("_least"))
+
+
+def _busy(requests: DataFrame, days: DataFrame, consumer: Sequence[str], staging: str | None) -> DataFrame:
+    """Requests of consumers on days whose total passes a limit, by a bitmap of fixed size that drops the others at the scan.
+
+    A limit of any unit can only be passed on such a day.  ``days`` has the totals of a consumer's day, a few rows per consumer.
+    """
+    keys = [*consumer, "_day"]
+    marks = _kept(marks_of(days.where(_PASSED), keys), staging, "days")
+    return only_marked(requests.withColumn("_day", F.date_trunc("day", "event_time")), keys, marks).drop("_day")
 
 
 def _over_limit(limited: DataFrame, scope: Sequence[str], amount: Column, staging: str | None) -> DataFrame:
@@ -44,17 +61,14 @@ def _over_limit(limited: DataFrame, scope: Sequence[str], amount: Column, stagin
     ``limit_value``.  Totals restart with each calendar unit and run in order
     of event_time_ms, request_id.
 
-    The running total is split at seconds.  Totals per second combine on the
-    map side; a window over those, at most 86 400 rows per scope and unit,
-    tells in which seconds a limit is passed.  Only the requests of such
-    seconds are ranked, second by second, so no task sorts all requests of a
-    busy consumer.
-
-    In a healthy log few limits are passed.  With ``staging``, the scopes and
-    units whose total passes the limit are written there and counted; if they
-    are few, they are broadcast and all other requests drop out at the scan.
-    The passed seconds likewise.  If they are many, or without ``staging``,
-    both steps shuffle, keyed by second.
+    Counts are taken from coarse to fine.  Callers keep busy days only (see ``_busy``); the units of those are summed, and the
+    units that pass are a bitmap of fixed size, which drops all other requests at the scan.  Only what stays is summed by
+    second.  A window over those sums, at most 86 400 per scope and unit, tells in which seconds a limit is
+    passed.  Requests of other seconds drop out at the scan once more, and the rest are ranked, second by second, so
+    no task sorts all requests of a busy consumer.  In a healthy log the raw requests are never shuffled.
+
+    The log is read once per level.  Each level hangs on those before it; with ``staging``, a
+    fresh folder on shared storage, they are written there and not computed again.
     """
     keys = [*scope, "limit_type"]
     bare = limited.withColumns(
@@ -64,30 +78,30 @@ def _over_limit(limited: DataFrame, scope: Sequence[str], amount: Column, stagin
             "_amount": amount.cast("bigint"),
         }
     )
-    used, least = F.sum("_amount").alias("_used"), F.min("limit_value").alias("_least")
-    if staging is not None:
-        totals = bare.groupBy(*keys, "_unit").agg(used, least).where(F.col("_used") > F.col("_least"))
-        busy, few = _measured(totals.select(*keys, "_unit"), f"{staging}/busy")
-        if few:
-            bare = bare.join(F.broadcast(busy), [*keys, "_unit"], "left_semi")
+
+    def of(level: str, found: DataFrame) -> DataFrame:
+        marks = marks_of(found, [*keys, level])
+        return only_marked(bare, [*keys, level], _kept(marks, staging, level.strip("_")))
+
+    rows = of("_unit", _totals(bare, [*keys, "_unit"]).where(_PASSED))
     earlier = Window.partitionBy(*keys, "_unit").orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
     passed = (
-        bare.groupBy(*keys, "_unit", "_second")
-        .agg(used, least)
+        _totals(rows, [*keys, "_unit", "_second"])
         .withColumn("_before", F.coalesce(F.sum("_used").over(earlier), F.lit(0)))
         .where(F.col("_before") + F.col("_used") > F.col("_least"))
+        # The join infers these conditions; said here, they also hold for the bitmap, and Spark computes both from one shuffle.
+        .where(" AND ".join(f"{c} IS NOT NULL" for c in (*keys, "_second")))
         .select(*keys, "_second", "_before")
     )
-    if staging is not None:
-        passed, few = _measured(passed, f"{staging}/passed")
-        passed = F.broadcast(passed) if few else passed
+    passed = _kept(passed, staging, "passed")
     inside = (
         Window.partitionBy(*keys, "_second")
         .orderBy("event_time_ms", "request_id")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        bare.join(passed, [*keys, "_second"])
+        of("_second", passed)
+        .join(passed, [*keys, "_second"])
         .withColumn("current_count", F.col("_before") + F.sum("_amount").over(inside))
         .where(F.col("current_count") > F.col("limit_value"))
     )
@@ -108,9 +122,12 @@ def fixed_window_limit(
     scope = [key] if isinstance(key, str) else list(key)
     limited = requests.withColumn("limit_type", F.lit(window))
     if isinstance(limit, DataFrame):
-        limited = limited.join(limit.select("plan_slug", F.col("limit_value").cast("bigint")), "plan_slug")
+        limited = limited.join(literal_rows(limit.select("plan_slug", F.col("limit_value").cast("bigint"))), "plan_slug")
     else:
         limited = limited.withColumn("limit_value", F.lit(limit).cast("bigint"))
+    if window != "day":
+        day = {"_day": F.date_trunc("day", "event_time"), "_amount": F.lit(1)}
+        limited = _busy(limited, _totals(limited.withColumns(day), [*scope, "_day"]), scope, staging)
     return _over_limit(limited, scope, F.lit(1), staging).select(*EVENT_COLUMNS)
 
 
@@ -150,32 +167,49 @@ def effective_limits(catalog: dict[str, DataFrame], column_prefix: str, plan_col
     return reduce(DataFrame.unionByName, parts).where(F.col("limit_value").isNotNull())
 
 
-def plan_limit_events(
-    requests: DataFrame, catalog: dict[str, DataFrame], staging: str | None = None
-) -> DataFrame:
-    """Requests beyond the limits of their plan, as B11 rows.
+def _beyond_plan(requests: DataFrame, limits: DataFrame, amount: Column, staging: str | None) -> DataFrame:
+    """Requests beyond limits by plan and chain; a chain without a limit of its own falls under the plan's.
 
-    A chain with a limit of its own is counted by itself against that limit;
-    a consumer's other chains are counted together against the plan's limit.
+    Days are counted per consumer, plan and chain before the limits unfold them; requests unfold only on busy days.
     """
-    limits = effective_limits(catalog, "rate_limit_per_", _PLAN_LIMITS)
-    # One row per plan with the limits of each unit: (unit, plan limit, {chain: own limit}).
-    # The plan, chain and limit tables are configuration, a few rows per plan.
+    limits = literal_rows(limits)
+    # One row per plan and unit with its limits: (plan limit, {chain: own limit}).
     per_unit = limits.groupBy("plan_slug", "limit_type").agg(
         F.max(F.when(F.col("chain_slug") == "", F.col("limit_value"))).alias("plan_limit"),
         F.map_from_entries(
             F.collect_list(F.when(F.col("chain_slug") != "", F.struct("chain_slug", "limit_value")))
         ).alias("own"),
     )
-    joined = requests.join(per_unit, "plan_slug")
     own = F.try_element_at("own", F.col("chain_slug"))
-    limited = joined.withColumns(
-        {
-            "limit_value": F.coalesce(own, "plan_limit"),
-            "limit_scope": F.when(own.isNotNull(), F.col("chain_slug")).otherwise(F.lit("")),
-        }
-    ).where(F.col("limit_value").isNotNull())
-    return _over_limit(limited, ["consumer_id", "limit_scope"], F.lit(1), staging).select(*EVENT_COLUMNS)
+
+    def unfolded(rows: DataFrame) -> DataFrame:
+        held = rows.join(per_unit, "plan_slug").withColumns(
+            {
+                "limit_value": F.coalesce(own, "plan_limit"),
+                "limit_scope": F.when(own.isNotNull(), F.col("chain_slug")).otherwise(F.lit("")),
+            }
+        )
+        return held.where(F.col("limit_value").isNotNull()).drop("plan_limit", "own")
+
+    held = limits.groupBy("plan_slug").agg(F.max(F.col("chain_slug") == "").alias("_any"), F.collect_set("chain_slug").alias("_own"))
+    limited = requests.join(held, "plan_slug").where("_any OR array_contains(_own, chain_slug)").select(*requests.columns)
+    cells = limited.groupBy("consumer_id", "plan_slug", "chain_slug", F.date_trunc("day", "event_time").alias("_day")).agg(
+        F.sum(amount.cast("bigint")).alias("_amount")
+    )
+    days = _totals(unfolded(cells), ["consumer_id", "limit_scope", "limit_type", "_day"])
+    busy = _busy(limited, days, ["consumer_id"], staging)
+    return _over_limit(unfolded(busy), ["consumer_id", "limit_scope"], amount, staging).select(*EVENT_COLUMNS)
+
+
+def plan_limit_events(
+    requests: DataFrame, catalog: dict[str, DataFrame], staging: str | None = None
+) -> DataFrame:
+    """Requests beyond the limits of their plan, as B11 rows.
+
+    A chain with a limit of its own is counted by itself against that limit;
+    a consumer's other chains are counted together against the plan's limit.
+    """
+    return _beyond_plan(requests, effective_limits(catalog, "rate_limit_per_", _PLAN_LIMITS), F.lit(1), staging)
 
 
 def compute_quota(
@@ -186,9 +220,7 @@ def compute_quota(
     ``current_count`` is in compute units.
     """
     quotas = effective_limits(catalog, "compute_units_per_", {"second": None, "day": None})
-    limited = requests.join(quotas, ["plan_slug", "chain_slug"])
-    events = _over_limit(limited, ["consumer_id", "chain_slug"], F.col("compute_units"), staging)
-    return events.select(*EVENT_COLUMNS)
+    return _beyond_plan(requests, quotas, F.col("compute_units"), staging)
 
 
 DECISION_COLUMNS = ["event_time", "requests", "allowed", "rejected"]
@@ -264,15 +296,14 @@ def token_bucket_rejections(
 ) -> DataFrame:
     """The rejected requests themselves: the last ones of a second that was cut.
 
-    ``staging`` holds the cut seconds, see ``_over_limit``.
+    Requests of other seconds drop out at the scan, by a bitmap.  ``staging`` holds the cut seconds, see ``_over_limit``.
     """
     cut = decisions.where(F.col("rejected") > 0).select(key, F.col("event_time").alias("_second"), "allowed")
-    if staging is not None:
-        cut, few = _measured(cut, staging)
-        cut = F.broadcast(cut) if few else cut
+    cut = _kept(cut, staging, "cut")
+    rows = requests.withColumn("_second", F.date_trunc("second", "event_time"))
     order = Window.partitionBy(key, "_second").orderBy("event_time_ms", "request_id")
     return (
-        requests.withColumn("_second", F.date_trunc("second", "event_time"))
+        only_marked(rows, [key, "_second"], marks_of(cut, [key, "_second"]))
         .join(cut, [key, "_second"])
         .withColumn("_place", F.row_number().over(order))
         .where(F.col("_place") > F.col("allowed"))
