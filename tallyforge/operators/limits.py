@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyforge.functions.marks import marks_of, only_marked
 from tallyforge.functions.measures import literal_rows
+from tallyforge.operators.buckets import PIECE, Rule, decisions, entries, exits
 from tallyforge.operators.series import seconds
 
 EVENT_COLUMNS = [
@@ -252,39 +252,49 @@ class Bucket:
 
 
 def token_bucket(
-    requests: DataFrame, key: str, capacity: int, refill: int | None = None, window: str | int = "1 minute"
+    requests: DataFrame,
+    key: str,
+    capacity: int,
+    refill: int | None = None,
+    window: str | int = "1 minute",
+    piece: int | None = None,
 ) -> DataFrame:
     """Per key and second, how many requests a token bucket lets pass.
 
-    The walk along time is sequential per key by nature.  It reads one row per
-    key and active second, and streams through sorted batches with one
-    bucket in memory, so a key's size is bounded by the length of the log in
-    seconds and is never held as a whole.
+    The time line of a key is cut into pieces of ``piece`` seconds (a day, or as long as a bucket takes to fill up if that is
+    longer), and the pieces are spread over tasks, so a busy key is no hot task.  Most pieces begin with a full bucket, as
+    the key was idle long enough before.  Where not, what the piece before makes of a bucket is a small map (see
+    ``buckets``); the maps of a key are composed, a row per piece, and every piece is then walked by itself, refill by refill.
     """
-    gain, width = capacity if refill is None else refill, seconds(window)
-    name = key
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, bucket = None, Bucket(0, 0)
-        for batch in batches:
-            passed = []
-            for owner, now, wanted in zip(batch[name], batch["_second"], batch["requests"], strict=True):
-                if owner != current:
-                    current, bucket = owner, Bucket(capacity, now)
-                passed.append(bucket.take(now, wanted, capacity, gain, width))
-            yield batch.assign(allowed=passed)
-
-    counted = requests.groupBy(name, F.unix_seconds("event_time").alias("_second")).agg(
-        F.count(F.lit(1)).alias("requests")
-    )
-    walked = (
-        counted.repartition(name)
-        .sortWithinPartitions(name, "_second")
-        .mapInPandas(walk, f"{name} string, _second bigint, requests bigint, allowed bigint")
+    gain = capacity if refill is None else refill
+    rule = Rule(capacity, gain, seconds(window))
+    span = max(PIECE, rule.reach if gain > 0 else 0) if piece is None else piece
+    second = F.unix_seconds("event_time").alias("second")
+    counted = requests.groupBy(F.col(key).cast("string").alias("key"), second).agg(F.count(F.lit(1)).alias("requests"))
+    at = ["key", "piece"]
+    rows = counted.withColumn("piece", F.expr(f"second DIV {span}")).repartition(*at)
+
+    # Where the key was busy until less than ``full`` seconds before a piece, the bucket comes from there.
+    line = Window.partitionBy("key").orderBy("piece")
+    ends = rows.groupBy(*at).agg(F.min("second").alias("_first"), F.max("second").alias("_last"))
+    idle = F.col("_first") - F.lag("_last").over(line)
+    ends = ends.withColumn("fresh", F.coalesce(idle >= rule.full, F.lit(True)))
+    ends = ends.withColumn("_leads", ~F.coalesce(F.lead("fresh").over(line), F.lit(True)))
+    linked = ends.where("_leads OR NOT fresh").select(F.col("key").alias("_key"), F.col("piece").alias("_piece"), "fresh")
+    met = lambda df, other: df["key"].eqNullSafe(other["_key"]) & (df["piece"] == other["_piece"])
+    cut = rows.join(linked, met(rows, linked)).sortWithinPartitions(*at, "second").select(*at, "second", "requests", "fresh")
+    lists = ", ".join(f"{c} array<bigint>" for c in ("last", "shift", "low", "high"))
+    maps = cut.mapInArrow(lambda b: exits(rule, span, b), f"key string, piece bigint, refilled bigint, tokens bigint, {lists}")
+    chained = maps.join(linked, met(maps, linked)).drop("_key", "_piece").repartition("key").sortWithinPartitions(*at)
+    begun = chained.mapInArrow(lambda b: entries(span, b), "_key string, _piece bigint, refilled bigint, tokens bigint")
+
+    ready = rows.join(begun, met(rows, begun), "left").sortWithinPartitions(*at, "second")
+    walked = ready.select(*at, "second", "requests", "refilled", "tokens").mapInArrow(
+        lambda b: decisions(rule, b), "key string, second bigint, requests bigint, allowed bigint"
     )
     return walked.select(
-        name,
-        F.timestamp_seconds("_second").alias("event_time"),
+        F.col("key").alias(key),
+        F.timestamp_seconds("second").alias("event_time"),
         "requests",
         "allowed",
         (F.col("requests") - F.col("allowed")).alias("rejected"),

@@ -6,10 +6,12 @@ import random
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
+from conftest import plan_text
 from pyspark.sql import functions as F
 
-from tallyforge.operators import limits
+from tallyforge.operators import buckets, limits
 from tallyforge.sources.requests import read_requests, write_table
 from tallyforge.streaming.token_bucket import start_token_bucket
 
@@ -78,9 +80,53 @@ def literal_bucket(rows, capacity, refill, window):
 @pytest.mark.parametrize("capacity,refill,window", [(1, 1, 60), (5, 5, 60), (20, 20, 600), (10, 3, 60), (50, 1, 300), (3, 3, 7200)])
 def test_token_bucket_against_a_loop(make_log, capacity, refill, window):
     rows = skewed_rows(seed=capacity)
-    got = limits.token_bucket(make_log(rows), "consumer_id", capacity, refill, window)
-    ours = sorted((r.consumer_id, r.event_time, r.requests, r.allowed) for r in got.collect())
-    assert ours == literal_bucket(rows, capacity, refill, window)
+    wanted = literal_bucket(rows, capacity, refill, window)
+    for piece in (None, window, 7 * window // 3 + 1):  # short pieces: most buckets come from the piece before
+        got = limits.token_bucket(make_log(rows), "consumer_id", capacity, refill, window, piece)
+        assert sorted((r.consumer_id, r.event_time, r.requests, r.allowed) for r in got.collect()) == wanted
+
+
+def test_token_bucket_without_refill(make_log):
+    rows = skewed_rows(n=400)
+    for piece in (None, 600):
+        got = limits.token_bucket(make_log(rows), "consumer_id", 20, 0, 60, piece)
+        assert sorted((r.consumer_id, r.event_time, r.requests, r.allowed) for r in got.collect()) == literal_bucket(rows, 20, 0, 60)
+
+
+@pytest.mark.parametrize("capacity,gain,window", [(1, 1, 5), (4, 4, 7), (9, 2, 5), (30, 7, 11), (3, 5, 4)])
+def test_maps_of_pieces_compose_to_the_walk(capacity, gain, window):
+    """Whatever bucket a piece begins with, its map gives the bucket that a request-by-request walk leaves."""
+    rule = buckets.Rule(capacity, gain, window)
+    draw = random.Random(capacity)
+    for _ in range(40):
+        begin = 1000
+        times = sorted(draw.sample(range(begin, begin + 60), draw.randrange(1, 25)))
+        wanted = [draw.randrange(1, 6) for _ in times]
+        out = buckets.exit_of(rule, np.array(times), np.array(wanted), False, begin)
+        for age in range(1, rule.reach + 1):
+            for tokens in range(capacity + 1):
+                bucket = limits.Bucket(tokens, begin - age)
+                for now, count in zip(times, wanted, strict=True):
+                    bucket.take(now, count, capacity, gain, window)
+                if out.refilled is not None:
+                    found = out.refilled, out.tokens
+                else:
+                    last, shift, low, high = out.by_age[:, age - 1]
+                    found = begin - age if last < 0 else last, min(max(tokens + shift, low), high)
+                assert found == (bucket.refilled, bucket.tokens)
+
+
+def test_a_busy_key_is_spread_over_tasks(make_log, spark):
+    """One key that is never idle: its seconds go to as many tasks as it has pieces."""
+    times = [START + timedelta(seconds=7 * i) for i in range(4000)]
+    rows = [{"event_time": t, "event_time_ms": t, "consumer_id": "hot", "request_id": f"r{i:05d}"} for i, t in enumerate(times)]
+    walked = limits.token_bucket(make_log(rows), "consumer_id", 3, 3, 60, piece=600)
+    assert "exchange hashpartitioning(key" in plan_text(walked).lower() and "piece" in plan_text(walked)
+    assert sorted((r.consumer_id, r.event_time, r.requests, r.allowed) for r in walked.collect()) == literal_bucket(rows, 3, 3, 60)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sizes = [r[0] for r in walked.groupBy(F.spark_partition_id()).agg(F.count("*")).select("count(1)").collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) >= 6 and max(sizes) <= 4000 * 0.4
 
 
 def test_rejected_requests_are_the_last_of_their_second(make_log):
