@@ -13,6 +13,7 @@ Two facts let a key's time line be cut:
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -92,8 +93,10 @@ def walk(
 class Exit:
     """What a piece makes of a bucket.
 
-    ``refilled`` and ``tokens`` if it ends the same whatever it began with; else, by the age of the last refill when the piece begins
-    (1 second at place 0): the time of the last refill behind the piece (-1: as before), shift, low and high.
+    ``refilled`` and ``tokens`` if it ends the same whatever it began with; else ``by_age``, whose columns hold from an age of the last
+    refill when the piece begins (row 0, ascending from 1 second) up to the next one: the time of the last refill
+    behind the piece (-1: as before), shift, low and high.  There are no more columns than seconds with requests in a window, and
+    windows in which a bucket fills up.
     """
 
     refilled: int | None
@@ -101,6 +104,20 @@ class Exit:
     by_age: np.ndarray
 
 
+def ages_of(rule: Rule, times: np.ndarray, begin: int) -> np.ndarray:
+    """Ages of the last refill at which the first refill in a piece comes to another place, or gains more."""
+    if rule.gain <= 0:
+        return np.array([1])
+    moved = begin + rule.window - times[: np.searchsorted(times, begin + rule.window)]
+    edges = np.unique(np.r_[1, moved[(moved >= 1) & (moved <= rule.reach)], rule.reach + 1])
+    found = [edges[:-1]]
+    for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        at = np.searchsorted(times, begin - low + rule.window)
+        if at < len(times):  # one window more is over at these ages
+            found.append(np.arange(low + (begin - int(times[at]) - low) % rule.window, high, rule.window))
+    return np.unique(np.concatenate(found))
+
+
 def exit_of(rule: Rule, times: np.ndarray, wanted: np.ndarray, fresh: bool, begin: int) -> Exit:
     """The map of a piece that begins at second ``begin``; ``fresh`` says that its first second finds a full bucket."""
     before = np.r_[0, np.cumsum(wanted)]
@@ -111,7 +128,7 @@ def exit_of(rule: Rule, times: np.ndarray, wanted: np.ndarray, fresh: bool, begi
             rule, times[at:], before[at:], np.array([0]), np.array([rule.capacity]), times[at : at + 1]
         )
         left = max(int(tokens[-1]) - int(before[-1] - before[at + places[-1]]), 0)
-        return Exit(int(refilled[-1]), left, np.zeros((4, 0), np.int64))
+        return Exit(int(refilled[-1]), left, np.zeros((5, 0), np.int64))
     count = len(times)
     following = rule.refills(times)
     # From a refill at each place (its tokens given) to the end of the piece.
@@ -126,7 +143,8 @@ def exit_of(rule: Rule, times: np.ndarray, wanted: np.ndarray, fresh: bool, begi
         _, shift, low, high = behind[:, j]
         put = lambda x: min(max(x + shift, low), high)  # noqa: B023, E731
         behind[:, i] = behind[0, j], gain - taken + shift, put(gain), put(rule.capacity)
-    refilled = begin - np.arange(1, rule.reach + 1)
+    ages = ages_of(rule, times, begin)
+    refilled = begin - ages
     first = np.searchsorted(times, refilled + rule.window) if rule.gain > 0 else np.full(len(refilled), count)
     late = first >= count
     at = np.minimum(first, count - 1)
@@ -135,7 +153,7 @@ def exit_of(rule: Rule, times: np.ndarray, wanted: np.ndarray, fresh: bool, begi
     put = lambda x: np.minimum(np.maximum(x + shift, low), high)
     found = np.stack([last, gain - before[first] + shift, put(gain), put(np.full(len(at), rule.capacity))])
     rest = np.stack([np.full(len(at), -1), np.full(len(at), -before[count]), np.zeros(len(at), np.int64), np.full(len(at), MUCH)])
-    return Exit(None, None, np.where(late, rest, found))
+    return Exit(None, None, np.vstack([ages, np.where(late, rest, found)]))
 
 
 def _changes(columns: list[pa.Array], last: list | None) -> np.ndarray:
@@ -160,8 +178,8 @@ def exits(rule: Rule, piece: int, batches: Iterator[pa.RecordBatch]) -> Iterator
         times, wanted = (np.concatenate([h[i] for h in held]) for i in (0, 1))
         out = exit_of(rule, times, wanted, held[0][2], last[1] * piece)
         columns = [[last[0]], [last[1]], [out.refilled], [out.tokens], *[[list(x)] for x in out.by_age]]
-        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 4]
-        names = ["key", "piece", "refilled", "tokens", "last", "shift", "low", "high"]
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * 5]
+        names = ["key", "piece", "refilled", "tokens", "age", "last", "shift", "low", "high"]
         return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     for batch in batches:
@@ -200,8 +218,8 @@ def entries(piece: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Record
             if row["refilled"] is not None:
                 state = row["refilled"], row["tokens"]
             else:
-                age = min(row["piece"] * piece - state[0], len(row["last"])) - 1
-                last, shift, low, high = (row[c][age] for c in ("last", "shift", "low", "high"))
+                at = bisect_right(row["age"], row["piece"] * piece - state[0]) - 1
+                last, shift, low, high = (row[c][at] for c in ("last", "shift", "low", "high"))
                 state = state[0] if last < 0 else last, min(max(state[1] + shift, low), high)
         if rows:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)

@@ -283,7 +283,7 @@ def token_bucket(
     linked = ends.where("_leads OR NOT fresh").select(F.col("key").alias("_key"), F.col("piece").alias("_piece"), "fresh")
     met = lambda df, other: df["key"].eqNullSafe(other["_key"]) & (df["piece"] == other["_piece"])
     cut = rows.join(linked, met(rows, linked)).sortWithinPartitions(*at, "second").select(*at, "second", "requests", "fresh")
-    lists = ", ".join(f"{c} array<bigint>" for c in ("last", "shift", "low", "high"))
+    lists = ", ".join(f"{c} array<bigint>" for c in ("age", "last", "shift", "low", "high"))
     maps = cut.mapInArrow(lambda b: exits(rule, span, b), f"key string, piece bigint, refilled bigint, tokens bigint, {lists}")
     chained = maps.join(linked, met(maps, linked)).drop("_key", "_piece").repartition("key").sortWithinPartitions(*at)
     begun = chained.mapInArrow(lambda b: entries(span, b), "_key string, _piece bigint, refilled bigint, tokens bigint")
