@@ -82,7 +82,8 @@ class Rollup:
         """The wanted facets (all by default) that a state has columns of."""
         return [f for f in self.facets() if self._column(f) in state.columns and (wanted is None or f in wanted)]
 
-    def _measures(self) -> list[Column]:
+    def measures(self) -> list[Column]:
+        """The sums and maxima, added up."""
         return expressions(*[f"sum({k}) AS {k}" for k in self.sums], *[f"max({k}) AS {k}" for k in self.maxes])
 
     def state(self, requests: DataFrame, facets: Sequence[str] | None = None) -> DataFrame:
@@ -94,7 +95,7 @@ class Rollup:
         wanted = [f for f in self.facets() if facets is None or f in facets]
         rows = self._rows(self._inputs(requests, wanted), wanted or [TOTAL], measured=(wanted or [TOTAL])[0])
         if not wanted:
-            return rows.groupBy(*self.keys).agg(*self._measures())
+            return rows.groupBy(*self.keys).agg(*self.measures())
         return self._fold(self._combine(rows, list(self.keys)), wanted)
 
     def compute(
@@ -126,8 +127,14 @@ class Rollup:
         )
         return done.selectExpr(*self.keys, *self.sums, *self.maxes, *quantile_columns(quantiles))
 
-    def _inputs(self, requests: DataFrame, facets: Sequence[str]) -> DataFrame:
+    def unfolded(self, requests: DataFrame, *carry: str) -> DataFrame:
+        """A log's rows by facet as they are counted, with the columns ``carry``; the sums ride on those of the first facet."""
+        facets = self.facets() or [TOTAL]
+        return self._rows(self._inputs(requests, facets, carry), facets, facets[0], carry)
+
+    def _inputs(self, requests: DataFrame, facets: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
         return requests.selectExpr(
+            *carry,
             *[f"{e} AS {k}" for k, e in self.keys.items()],
             *[f"CAST({e} AS BIGINT) AS _s_{k}" for k, e in self.sums.items()],
             *[f"CAST({e} AS BIGINT) AS _m_{k}" for k, e in self.maxes.items()],
@@ -135,7 +142,7 @@ class Rollup:
             *[f"CAST({e} AS STRING) AS _i_{k}" for k, e in self.members.items() if k in facets],
         )
 
-    def _rows(self, inputs: DataFrame, facets: Sequence[str], measured: str) -> DataFrame:
+    def _rows(self, inputs: DataFrame, facets: Sequence[str], measured: str, carry: Sequence[str] = ()) -> DataFrame:
         """One row per request and facet; the facet ``measured`` carries the sums."""
         no_number, no_text = "CAST(NULL AS BIGINT)", "CAST(NULL AS STRING)"
 
@@ -151,13 +158,13 @@ class Rollup:
             }
 
         if len(facets) == 1:
-            return inputs.selectExpr(*self.keys, *[f"{e} AS {k}" for k, e in row(facets[0]).items()])
+            return inputs.selectExpr(*carry, *self.keys, *[f"{e} AS {k}" for k, e in row(facets[0]).items()])
         structs = [", ".join(f"'{k}', {e}" for k, e in row(facet).items()) for facet in facets]
-        return inputs.selectExpr(*self.keys, f"inline(array({', '.join(f'named_struct({x})' for x in structs)}))")
+        return inputs.selectExpr(*carry, *self.keys, f"inline(array({', '.join(f'named_struct({x})' for x in structs)}))")
 
     def _combine(self, rows: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
         """Each value and member once per ``keys``."""
-        return rows.groupBy(*keys, "facet", "value", "member").agg(F.sum("n").alias("n"), *self._measures())
+        return rows.groupBy(*keys, "facet", "value", "member").agg(F.sum("n").alias("n"), *self.measures())
 
     def _fold(self, combined: DataFrame, facets: Sequence[str]) -> DataFrame:
         """Combined rows as one row per group with sorted arrays, as long as there are distinct values and members."""
@@ -170,7 +177,7 @@ class Rollup:
             return f"CASE WHEN facet = '{facet}' AND value IS NOT NULL THEN named_struct('value', value, 'n', n) END"
 
         arrays = [f"sort_array(collect_list({entry(f)})) AS {self._column(f)}" for f in facets]
-        return combined.groupBy(*keys).agg(*self._measures(), *expressions(*arrays))
+        return combined.groupBy(*keys).agg(*self.measures(), *expressions(*arrays))
 
     def unfold(self, state: DataFrame, facets: Sequence[str] | None = None) -> DataFrame:
         """A state's rows as (keys, facet, value, member, n, sums, maxima): a total per row, and a row per pair and member."""
@@ -195,7 +202,7 @@ class Rollup:
         """One row per group of ``keys``, the same grain or a coarser one, from the rows of any number of batches."""
         by, held = list(self.keys) if keys is None else list(keys), self._held(state, facets)
         if not held:
-            return state.groupBy(*by).agg(*self._measures())
+            return state.groupBy(*by).agg(*self.measures())
         return self._fold(self._combine(self.unfold(state, held), by), held)
 
     def finish(
@@ -217,20 +224,18 @@ class Rollup:
         uniques = [f"CAST(size({m}_set) AS BIGINT) AS unique_{m}" for m in members]
         return counted.selectExpr(*self.keys, *self.sums, *self.maxes, *points, *uniques)
 
+    def counted(self, quantiles: Mapping[str, Sequence[float]], members: Sequence[str]) -> list[Column]:
+        """Aggregates over unfolded rows: the percentile arrays ``_q_<value>`` and ``unique_<member>``."""
+        return expressions(
+            *[f"percentile(CASE WHEN facet = '{v}' THEN value END, {_points(qs)}, n) AS _q_{v}" for v, qs in quantiles.items()],
+            *[f"count_if(facet = '{m}' AND member IS NOT NULL) AS unique_{m}" for m in members],
+        )
+
     def _finish_rows(
         self, rows: DataFrame, keys: Sequence[str], quantiles: Mapping[str, Sequence[float]], members: Sequence[str]
     ) -> DataFrame:
         """Readable metrics from unfolded rows that hold each member once per ``keys``."""
-        done = rows.groupBy(*keys).agg(
-            *self._measures(),
-            *expressions(
-                *[
-                    f"percentile(CASE WHEN facet = '{v}' THEN value END, {_points(qs)}, n) AS _q_{v}"
-                    for v, qs in quantiles.items()
-                ],
-                *[f"count_if(facet = '{m}' AND member IS NOT NULL) AS unique_{m}" for m in members],
-            ),
-        )
+        done = rows.groupBy(*keys).agg(*self.measures(), *self.counted(quantiles, members))
         uniques = [f"unique_{m}" for m in members]
         return done.selectExpr(*keys, *self.sums, *self.maxes, *quantile_columns(quantiles), *uniques)
 
@@ -248,7 +253,7 @@ class Rollup:
         """
         keys, quantiles, members = self._wanted(keys, quantiles, members)
         if not quantiles and not members:
-            return state.groupBy(*keys).agg(*self._measures())
+            return state.groupBy(*keys).agg(*self.measures())
         rows = self.unfold(state, [*quantiles, *members])
         if members:
             rows = self._combine(rows, keys)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyforge.functions.measures import at, last_moment
 from tallyforge.schemas import request_schema
@@ -82,6 +84,16 @@ def read_requests(
     return log
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
+    """A Parquet folder with a declared schema; a folder that is not there yet is empty."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def write_rollup(
     df: DataFrame,
     path: str,

@@ -1,9 +1,11 @@
-"""Incremental rollups: partial rows per micro-batch, merged on read.
+"""Incremental rollups: rows of state per micro-batch, merged on read.
 
 Layout below a rollup's folder:
 
-* ``batches/batch_id=<n>/day=<d>``: the partial rows of one micro-batch.  A
+* ``batches/batch_id=<n>/day=<d>``: the state rows of one micro-batch.  A
   replayed batch overwrites its own folder, so it counts once.
+* ``finished/batch_id=<n>``: written after a batch's rows.  Readers take batches up to the last finished one,
+  so they never see half a batch.
 * ``compacted/upto=<n>/day=<d>``: the batches up to n of one day, merged.
 * ``compactions``: (day, upto), appended after the merged rows are complete.
   A reader takes a day's rows from its newest logged compaction and from the
@@ -14,7 +16,6 @@ Rows may be as late as they like: they are merged into their day.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tallyforge.functions.rollup import Rollup
 from tallyforge.operators.rollups import ROLLUPS
 from tallyforge.schemas import request_schema
+from tallyforge.sources.requests import read_or_empty
 
 _LOG_DDL = "day date, upto bigint"
 
@@ -32,7 +34,7 @@ def _partial_rows(requests: DataFrame, rollup: Rollup) -> DataFrame:
 
 
 def write_batch(requests: DataFrame, rollup: Rollup, out: str, batch_id: int) -> None:
-    """The partial rows of one micro-batch; writing a batch again replaces it.
+    """The state rows of one micro-batch, then the note that they are complete; writing a batch again replaces it.
 
     REBALANCE sizes the files to the rows, whatever the number of shuffle
     partitions and however many rows fall on one day.
@@ -45,6 +47,14 @@ def write_batch(requests: DataFrame, rollup: Rollup, out: str, batch_id: int) ->
         .partitionBy("day")
         .parquet(f"{out}/batches/batch_id={batch_id}")
     )
+    done = requests.sparkSession.createDataFrame([(rollup.name,)], "rollup string")
+    done.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{out}/finished/batch_id={batch_id}")
+
+
+def finished_upto(spark: SparkSession, out: str) -> int:
+    """The last batch whose rows are complete; -1 if there is none.  Batches are written one after the other."""
+    last = read_or_empty(spark, f"{out}/finished", "rollup string, batch_id bigint").agg(F.max("batch_id")).first()[0]
+    return -1 if last is None else last
 
 
 def start_rollup(
@@ -63,24 +73,14 @@ def start_rollup(
     return writer.trigger(**trigger).start()
 
 
-def _read(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """A Parquet folder with a declared schema; a folder that is not there yet is empty."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def _row_schema(spark: SparkSession, rollup: Rollup, part: str) -> T.StructType:
-    """The columns of partial rows, then those of the folders ``part=<n>/day=<d>``."""
+    """The columns of state rows, then those of the folders ``part=<n>/day=<d>``."""
     rows = _partial_rows(spark.createDataFrame([], request_schema()), rollup).drop("day").schema
     return T.StructType([*rows, T.StructField(part, T.LongType()), T.StructField("day", T.DateType())])
 
 
 def _logged(spark: SparkSession, out: str) -> DataFrame:
-    return _read(spark, f"{out}/compactions", _LOG_DDL).groupBy("day").agg(F.max("upto").alias("upto"))
+    return read_or_empty(spark, f"{out}/compactions", _LOG_DDL).groupBy("day").agg(F.max("upto").alias("upto"))
 
 
 def _live_rows(
@@ -101,10 +101,10 @@ def _live_rows(
         first, last = (F.lit(day).cast("date") for day in days)
         return rows.where(F.col("day").between(first, last))
 
-    batches = within(_read(spark, f"{out}/batches", _row_schema(spark, rollup, "batch_id")))
-    merged = within(_read(spark, f"{out}/compacted", _row_schema(spark, rollup, "upto")))
-    if upto is not None:
-        batches = batches.where(F.col("batch_id") <= upto)
+    batches = within(read_or_empty(spark, f"{out}/batches", _row_schema(spark, rollup, "batch_id")))
+    merged = within(read_or_empty(spark, f"{out}/compacted", _row_schema(spark, rollup, "upto")))
+    last = finished_upto(spark, out)
+    batches = batches.where(F.col("batch_id") <= (last if upto is None else min(upto, last)))
     new = ~F.col("day").isin([day for group in done.values() for day in group]) if done else F.lit(True)
     newest = F.lit(False)
     for bound, group in sorted(done.items()):
@@ -116,10 +116,9 @@ def _live_rows(
 def read_rollup(
     spark: SparkSession, out: str, name: str, upto: int | None = None, days: tuple[str, str] | None = None
 ) -> DataFrame:
-    """S3: the merged partial rows, of ``days`` (first, last) only if given.
+    """S3: the merged state rows, of ``days`` (first, last) only if given.
 
-    While the stream is running, ``upto`` should be the last finished batch
-    (``query.lastProgress``), so that a batch being written is left out.
+    Batches that are being written are left out; ``upto`` leaves out later ones as well.
     """
     rollup, _ = ROLLUPS[name]
     fresh, merged = _live_rows(spark, rollup, out, upto, days)
@@ -141,6 +140,7 @@ def compact(spark: SparkSession, out: str, name: str, upto: int, day: str | None
     of its own and is logged last.
     """
     rollup, _ = ROLLUPS[name]
+    upto = min(upto, finished_upto(spark, out))
     fresh, merged = _live_rows(spark, rollup, out, upto)
     if day is not None:
         fresh = fresh.where(F.col("day") == F.lit(day).cast("date"))
@@ -172,7 +172,7 @@ def superseded(spark: SparkSession, out: str) -> DataFrame:
     logged = _logged(spark, out)
     paths = []
     for folder, part, old in (("batches", "batch_id", "_part <= upto"), ("compacted", "upto", "_part < upto")):
-        rows = _read(spark, f"{out}/{folder}", f"{part} bigint, day date").select(F.col(part).alias("_part"), "day").distinct()
+        rows = read_or_empty(spark, f"{out}/{folder}", f"{part} bigint, day date").select(F.col(part).alias("_part"), "day").distinct()
         name = F.format_string(f"{out}/{folder}/{part}=%d/day=%s", F.col("_part"), F.col("day").cast("string"))
         paths.append(rows.join(logged, "day").where(old).select(name.alias("path")))
     return paths[0].unionByName(paths[1])

@@ -1,7 +1,7 @@
 """Watermarked windows and rates on a stream, and stateless filters.
 
-These bound the state by a watermark; rows later than it are dropped and
-counted by the query's progress.  ``streaming.rollups`` takes any lateness.
+These bound the state by a watermark; rows later than it are dropped, and counted in a table of their own
+(``log_drops``).  ``streaming.rollups`` takes any lateness.
 """
 
 from __future__ import annotations
@@ -12,10 +12,12 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from tallyforge.functions.rollup import expressions, quantile_columns
+from tallyforge.functions.rollup import Rollup, expressions, quantile_columns
 from tallyforge.operators.rollups import ROLLUPS
 from tallyforge.operators.series import seconds
+from tallyforge.sources.requests import read_or_empty
 
 _WIDTH = {"minute": "1 minute", "hour": "1 hour", "event_date": "1 day"}
 
@@ -71,14 +73,15 @@ def start_filter(
 def windowed(stream: DataFrame, name: str, watermark: str = "10 minutes", approx: bool = False) -> DataFrame:
     """A rollup over tumbling windows, emitted once the watermark has passed.
 
-    Exact distinct counts have no bounded state: a rollup that counts members
-    needs ``approx``, which counts them by sketch, or ``start_rollup``.
+    A rollup that counts members is summed by two stateful operators in a chain: first each member (and value) of a
+    window once, a row of state each, then the windows.  So distinct counts are exact, the state of
+    a busy window is spread over all tasks, and the watermark drops it.  ``approx`` counts members by sketch instead.
     """
     rollup, shape = ROLLUPS[name]
-    if rollup.members and not approx:
-        raise ValueError(f"{name} counts members, which a windowed stream can only do with approx=True")
     time_key, *dimensions = rollup.keys
     inputs = stream.withWatermark("event_time", watermark)
+    if rollup.members and not approx:
+        return shape(_with_members(inputs, rollup, time_key, dimensions))
     aggregates = [F.sum(F.expr(e).cast("bigint")).alias(k) for k, e in rollup.sums.items()]
     aggregates += [F.max(F.expr(e).cast("bigint")).alias(k) for k, e in rollup.maxes.items()]
     aggregates += [
@@ -100,6 +103,24 @@ def windowed(stream: DataFrame, name: str, watermark: str = "10 minutes", approx
     return shape(finished)
 
 
+def _with_members(inputs: DataFrame, rollup: Rollup, time_key: str, dimensions: Sequence[str]) -> DataFrame:
+    rows = rollup.unfolded(inputs, "event_time").groupBy(
+        F.window("event_time", _WIDTH[time_key]).alias("_first"), *dimensions, "facet", "value", "member"
+    )
+    once = rows.agg(F.sum("n").alias("n"), *rollup.measures())
+    window = F.window(F.window_time("_first"), _WIDTH[time_key]).alias("_window")
+    done = once.groupBy(window, *dimensions).agg(*rollup.measures(), *rollup.counted(rollup.quantiles, list(rollup.members)))
+    start = F.col("_window.start")
+    return done.select(
+        (start.cast("date") if time_key == "event_date" else start).alias(time_key),
+        *dimensions,
+        *rollup.sums,
+        *rollup.maxes,
+        *expressions(*quantile_columns(rollup.quantiles)),
+        *[f"unique_{m}" for m in rollup.members],
+    )
+
+
 def start_windowed(
     stream: DataFrame,
     name: str,
@@ -153,10 +174,47 @@ def start_rates(
     return start_append(result, out, checkpoint, available_now, interval, partitions=partitions)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark dropped, over the progress the query still holds."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class DropLog(StreamingQueryListener):
+    """Writes the rows that watermarks dropped, trigger by trigger, to a Parquet folder.
+
+    A query's own progress only goes back a hundred triggers; this table keeps them all, over restarts.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark, self.folder = spark, folder
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        dropped = sum(operator.numRowsDroppedByWatermark for operator in progress.stateOperators)
+        if dropped:
+            row = (str(progress.id), str(progress.runId), progress.batchId, progress.timestamp, dropped)
+            self.spark.createDataFrame([row], _DROPS).coalesce(1).write.mode("append").parquet(self.folder)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+_DROPS = "query_id string, run_id string, batch_id bigint, triggered_at string, dropped bigint"
+
+
+def log_drops(spark: SparkSession, folder: str) -> DropLog:
+    """Log the dropped rows of all queries of the session from now on; ``spark.streams.removeListener`` ends it."""
+    listener = DropLog(spark, folder)
+    spark.streams.addListener(listener)
+    return listener
+
+
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """(query_id, triggers, dropped): the rows that watermarks dropped, over the whole life of each query.
+
+    A trigger that was run again after a failure counts once, as it counted last.
+    """
+    logged = read_or_empty(spark, folder, _DROPS)
+    last = logged.groupBy("query_id", "batch_id").agg(F.max_by("dropped", "triggered_at").alias("dropped"))
+    return last.groupBy("query_id").agg(F.count(F.lit(1)).alias("triggers"), F.sum("dropped").alias("dropped"))

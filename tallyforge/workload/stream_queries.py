@@ -10,11 +10,11 @@ from tallyforge.session import scratch_path
 from tallyforge.sources.catalog import seed_method_units
 from tallyforge.sources.requests import read_requests
 from tallyforge.streaming import rollups as stream_rollups
-from tallyforge.streaming import token_bucket, windows
+from tallyforge.streaming import alerts, token_bucket, windows
 from tallyforge.workload.fixtures import load, load_stream
 from tallyforge.workload.registry import query
-from tallyforge.workload.series_queries import _DECISIONS, _grid, _walk
-from tallyforge.workload.usage_queries import _EXPENSIVE, _HEALTH, _METHODS, _TENANT, _USAGE
+from tallyforge.workload.series_queries import _DECISIONS, _grid, _held, _rate, _share, _walk
+from tallyforge.workload.usage_queries import _EXPENSIVE, _HEALTH, _METHODS, _POPULARITY, _TENANT, _USAGE
 
 
 def _to_the_end(spark) -> dict:
@@ -105,6 +105,57 @@ def _(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@query(
+    "start_windowed_members",
+    sql=f"""SELECT * FROM ({_POPULARITY}) WHERE hour + INTERVAL '1 hour'
+      <= (SELECT date_trunc('milliseconds', max(event_time)) FROM requests) - INTERVAL '10 minutes'""",
+)
+def _(spark, sf_dir):
+    out = scratch_path(spark, "windowed")
+    windows.start_windowed(
+        load_stream(spark, sf_dir), "chain_popularity", out, f"{out}-state", **_to_the_end(spark)
+    ).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def _closed(sql: str) -> str:
+    return f"SELECT * FROM ({sql}) WHERE eval_time <= (SELECT max(event_time) FROM requests) - INTERVAL '10 minutes'"
+
+
+def _alerted(spark, sf_dir: str, name: str, threshold: float, window: str, step: str, hold: str):
+    out = scratch_path(spark, name)
+    changed = {"threshold": threshold, "window": window, "step": step, "hold": hold}
+    alerts.start_alerts(load_stream(spark, sf_dir), name, out, f"{out}-state", **_to_the_end(spark), **changed).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query("start_alerts_rejection_rate", sql=_closed(_share("status_code = 429", "consumer_id", "2 days", "6 hours", "12 hours", 0.1)))
+def _(spark, sf_dir):
+    return _alerted(spark, sf_dir, "rejection_rate", 0.1, "2 days", "6 hours", "12 hours")
+
+
+@query(
+    "start_alerts_server_errors",
+    sql=_closed(_share("status_code BETWEEN 500 AND 599", "route_name", "12 hours", "3 hours", "6 hours", 0.04)),
+)
+def _(spark, sf_dir):
+    return _alerted(spark, sf_dir, "server_errors", 0.04, "12 hours", "3 hours", "6 hours")
+
+
+@query(
+    "start_alerts_compute_units",
+    sql=_closed(
+        _held(
+            f"""SELECT * FROM ({_rate('consumer_id, plan_slug', '1 day', '6 hours', 86400, amount='sum(compute_units)')})
+            WHERE value > 0.0005""",
+            "consumer_id, plan_slug", "6 hours", "12 hours",
+        )
+    ),
+)
+def _(spark, sf_dir):
+    return _alerted(spark, sf_dir, "compute_units", 0.0005, "1 day", "6 hours", "12 hours")
+
+
 @query("start_token_bucket", sql=_walk(2, 2, 86400) + _DECISIONS)
 def _(spark, sf_dir):
     out = scratch_path(spark, "buckets")

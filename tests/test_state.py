@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import as_set, plan_text
@@ -160,18 +162,72 @@ def test_windowed_stream_drops_and_counts_late_rows(spark, make_log, tmp_path):
     write_table(make_log(on_time), source, "requests", mode="append")
     kwargs = {"available_now": True}
     stream = lambda: read_requests(spark, source, stream=True)
+    drops = str(tmp_path / "drops")
+    assert windows.late_rows(spark, drops).count() == 0
+    listener = windows.log_drops(spark, drops)
     first = windows.start_windowed(stream(), "chain_health", str(tmp_path / "out"), str(tmp_path / "state"), **kwargs)
     first.awaitTermination()
     late = [{"event_time": datetime(2024, 1, 1, 9, 0)}, {"event_time": datetime(2024, 1, 1, 12, 0), "request_id": "x"}]
     write_table(make_log(late), source, "requests", mode="append")
     second = windows.start_windowed(stream(), "chain_health", str(tmp_path / "out"), str(tmp_path / "state"), **kwargs)
     second.awaitTermination()
-    assert windows.late_rows(second) == 1
+    deadline = time.time() + 30  # progress reaches listeners a little later
+    while windows.late_rows(spark, drops).isEmpty() and time.time() < deadline:
+        time.sleep(0.5)
+    spark.streams.removeListener(listener)
+    assert [(r.query_id, r.dropped) for r in windows.late_rows(spark, drops).collect()] == [(str(second.id), 1)]
     minutes = [r.minute for r in spark.read.parquet(str(tmp_path / "out")).collect()]
     assert datetime(2024, 1, 1, 9, 0) not in minutes
     assert len(minutes) == len(on_time)
 
 
+def test_drops_are_counted_beyond_the_progress_a_query_keeps(spark, tmp_path):
+    """150 triggers, one of them run twice: each counts once, as it counted last."""
+    log = windows.DropLog(spark, str(tmp_path / "drops"))
+
+    def trigger(batch, dropped, at=0):
+        operators = [SimpleNamespace(numRowsDroppedByWatermark=dropped), SimpleNamespace(numRowsDroppedByWatermark=0)]
+        progress = SimpleNamespace(id="q", runId="r", batchId=batch, timestamp=f"2024-01-01T00:00:{at:02d}Z", stateOperators=operators)
+        log.onQueryProgress(SimpleNamespace(progress=progress))
+
+    for batch in range(150):
+        trigger(batch, 3)
+    trigger(149, 5, at=1)
+    trigger(150, 0)
+    assert [tuple(r) for r in windows.late_rows(spark, str(tmp_path / "drops")).collect()] == [("q", 150, 149 * 3 + 5)]
+
+
+@pytest.mark.parametrize("name", ["chain_popularity", "chain_method_usage"])
+def test_windowed_stream_counts_members_exactly(spark, log, tmp_path, name):
+    source, out = str(tmp_path / "log"), str(tmp_path / "out")
+    for part in range(3):  # three deliveries in time order
+        days = log.where(F.expr(f"dayofmonth(event_date) IN ({2 * part + 1}, {2 * part + 2})"))
+        write_table(days, source, "requests", mode="append")
+        stream = read_requests(spark, source, stream=True)
+        windows.start_windowed(stream, name, out, str(tmp_path / "state"), available_now=True, partitions=2).awaitTermination()
+    time_key = next(iter(rollups.ROLLUPS[name][0].keys))
+    width = "1 hour" if time_key == "hour" else "1 day"
+    closed = log.agg(F.max("event_time") - F.expr("INTERVAL 10 MINUTES")).first()[0]
+    want = BATCH[name](log).where(F.col(time_key).cast("timestamp") + F.expr(f"INTERVAL {width}") <= F.lit(closed))
+    assert as_set(spark.read.parquet(out).select(*want.columns)) == as_set(want) != []
+
+
+def test_half_a_batch_is_not_read(spark, log, tmp_path):
+    name, out = "chain_health", str(tmp_path / "out")
+    rollup, _ = rollups.ROLLUPS[name]
+    first, second = parts(log, 2)
+    spark.createDataFrame([], "day date, upto bigint").write.parquet(f"{out}/compactions")
+    stream_rollups.write_batch(first, rollup, out, 0)
+    whole = as_set(rollups.chain_health(first))
+    half = rollup.state(second).withColumn("day", F.expr(rollup.day))
+    half.write.partitionBy("day").parquet(f"{out}/batches/batch_id=1")  # rows, but no note that they are complete
+    assert as_set(stream_rollups.read_rollup_table(spark, out, name)) == whole
+    stream_rollups.compact(spark, out, name, 1)
+    assert as_set(stream_rollups.read_rollup_table(spark, out, name)) == whole
+    stream_rollups.write_batch(second, rollup, out, 1)
+    assert as_set(stream_rollups.read_rollup_table(spark, out, name)) == as_set(rollups.chain_health(log))
+
+
 def test_filter_stream_equals_batch(spark, log, tmp_path):
     source = str(tmp_path / "log")
     for part in parts(log, 3):
