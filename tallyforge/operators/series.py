@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import timedelta
+from functools import reduce
 from math import gcd
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,21 +152,46 @@ EXPENSIVE_METHODS = "debug_.*|trace_.*"
 WATCHED_METHODS = ".*trace.*|.*debug.*|eth_getLogs"
 
 
-def hold_for(series: DataFrame, keys: Sequence[str], step: str | int, duration: str | int) -> DataFrame:
+def hold_for(
+    series: DataFrame, keys: Sequence[str], step: str | int, duration: str | int, steps: int = 1024
+) -> DataFrame:
     """state of a condition that holds at the rows of ``series``.
 
     Consecutive steps form a run; a run turns from pending to firing once it
     has lasted for ``duration``.
+
+    A series is cut into ranges of ``steps`` steps, and runs are found within each, so neither a long series nor a condition
+    without keys is one task.  Runs that reach over the ends of ranges are stitched over a row per range: the run at
+    the head of a range began where the one at the tail of the range before did, and a range that is one run hands that on.
     """
     stride = seconds(step)
+    span = stride * steps
     moment = F.unix_seconds("eval_time")
-    order = Window.partitionBy(*keys).orderBy("eval_time") if keys else Window.partitionBy(F.lit(0)).orderBy("eval_time")
-    runs = series.withColumn("_run", moment - F.row_number().over(order) * F.lit(stride))
-    began = F.min("eval_time").over(Window.partitionBy(*keys, "_run"))
-    held = F.unix_seconds("eval_time") - F.unix_seconds("active_since")
+    first, last = F.col("_range") * span, F.col("_range") * span + span - stride
+    ranged = series.withColumn("_range", F.floor(moment / F.lit(span)).cast("bigint"))
+    inside = [*keys, "_range"]
+    order = Window.partitionBy(*inside).orderBy("eval_time")
+    runs = ranged.withColumn("_run", moment - F.row_number().over(order) * F.lit(stride))
+    runs = runs.withColumn("_began", F.min(moment).over(Window.partitionBy(*inside, "_run")))
+
+    ends = runs.groupBy(*inside).agg(
+        F.max(moment == first).alias("_head"), F.max(F.when(moment == last, F.col("_began"))).alias("_tail")
+    )
+    line = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range")
+    before = F.lag(F.struct("_range", "_tail")).over(line)
+    joined = F.col("_head") & F.coalesce((before["_range"] == F.col("_range") - 1) & before["_tail"].isNotNull(), F.lit(False))
+    ends = ends.withColumn("_joined", joined)
+    # Where the run at the tail began: a range that is one run takes it from the range before.
+    handed_on = F.col("_joined") & (F.col("_tail") == first)
+    began = F.last(F.when(~handed_on, F.col("_tail")), ignorenulls=True).over(line)
+    ends = ends.withColumn("_reached", began).withColumn("_origin", F.lag("_reached").over(line)).where("_joined")
+    origins = ends.select(*[F.col(c).alias(f"_of_{c}") for c in inside], "_origin")
+    met = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in inside])
+    since = F.when(F.col("_began") == first, F.coalesce("_origin", "_began")).otherwise(F.col("_began"))
     return (
-        runs.withColumn("active_since", began)
-        .withColumn("state", F.when(held >= seconds(duration), "firing").otherwise("pending"))
+        runs.join(origins, met, "left")
+        .withColumn("active_since", F.timestamp_seconds(since))
+        .withColumn("state", F.when(moment - since >= seconds(duration), "firing").otherwise("pending"))
         .select("eval_time", *keys, "value", "state", "active_since")
     )
 
