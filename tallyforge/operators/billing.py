@@ -57,10 +57,13 @@ def rate_usage(metered: DataFrame, prices: DataFrame, coefficients: DataFrame) -
     # A group holds one row per chain, so these windows are bounded by the catalog.
     plan = Window.partitionBy("period_start", "organization_id", "plan_slug")
     chains = plan.orderBy("chain_slug")
-    total = F.sum("weighted_units").over(plan).cast("double")
-    beyond = F.greatest(F.sum("weighted_units").over(plan).cast(QUANTITY) - F.coalesce("_included", none), none).cast("double")
-    running = F.sum("weighted_units").over(chains).cast("double")
-    shared = F.when(total > 0, F.round(running * (beyond / total), 4)).otherwise(0.0).cast(QUANTITY)
+    # Ten-thousandths as whole numbers, so that shares are exact: running * beyond / total, halves rounded up.
+    whole = lambda x: (x * 10000).cast("decimal(18,0)")
+    total = F.sum("weighted_units").over(plan).cast(QUANTITY)
+    beyond = whole(F.greatest(total - F.coalesce("_included", none), none))
+    running = whole(F.sum("weighted_units").over(chains).cast(QUANTITY))
+    halved = F.call_function("div", running * beyond * 2 + whole(total), whole(total) * 2)
+    shared = F.when(total > 0, (halved.cast("decimal(18,0)") / 10000).cast(QUANTITY)).otherwise(none)
     cost = F.round(F.col("_billable") * F.coalesce("_rate", F.lit(0).cast("decimal(12,6)")), 2).cast(MONEY)
     return (
         joined.withColumn("weighted_units", weighted)

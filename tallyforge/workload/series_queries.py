@@ -355,8 +355,9 @@ def _rated(period: str = "month") -> str:
         CAST(paid - coalesce(lag(paid) OVER ({plan} ORDER BY chain_slug), 0) AS DECIMAL(18,2)) AS cost
       FROM (SELECT period_start, organization_id, plan_slug, chain_slug, units, weighted_units, through,
           CAST(round(through * overage_rate, 2) AS DECIMAL(18,2)) AS paid
-        FROM (SELECT *, CASE WHEN whole > 0 THEN CAST(round(CAST(so_far AS DOUBLE)
-              * (CAST(greatest(whole - included_units, 0) AS DOUBLE) / CAST(whole AS DOUBLE)), 4) AS DECIMAL(18,4)) ELSE 0 END AS through
+        FROM (SELECT *, CASE WHEN whole > 0 THEN CAST(CAST((2 * CAST(so_far * 10000 AS HUGEINT)
+              * CAST(greatest(whole - included_units, 0) * 10000 AS HUGEINT) + CAST(whole * 10000 AS HUGEINT))
+              // (2 * CAST(whole * 10000 AS HUGEINT)) AS BIGINT) * CAST(0.0001 AS DECIMAL(5,4)) AS DECIMAL(18,4)) ELSE 0 END AS through
           FROM (SELECT *, CAST(sum(weighted_units) OVER ({plan}) AS DECIMAL(18,4)) AS whole,
               CAST(sum(weighted_units) OVER ({plan} ORDER BY chain_slug) AS DECIMAL(18,4)) AS so_far
             FROM (SELECT m.*, CAST(p.included_units AS DECIMAL(18,4)) AS included_units, CAST(p.overage_rate AS DECIMAL(12,6)) AS overage_rate,
@@ -392,6 +393,13 @@ def _(spark, sf_dir):
     return _rate_of(spark, sf_dir)
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    """A table as a closed period keeps it: rated once, read by all that follows."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _owed(period: str = "month") -> str:
     return f"""(SELECT period_start, organization_id, coalesce(contract_type, 'METERED') AS contract_type,
       CASE WHEN contract_type IN ('FIXED', 'HYBRID') THEN CAST(price_fixed AS DECIMAL(18,2)) ELSE 0 END AS fixed_charge,
@@ -436,7 +444,7 @@ def _invoiced(period: str, end: str) -> str:
 )
 def _(spark, sf_dir):
     (contracts,) = load(spark, sf_dir, "contracts")
-    invoices = billing.build_invoices(_rate_of(spark, sf_dir), contracts)
+    invoices = billing.build_invoices(_written(_rate_of(spark, sf_dir), "rated"), contracts)
     listed = F.transform("line_items", lambda line: F.concat(line["description"], F.lit("="), line["amount"].cast("string")))
     return invoices.withColumn("line_items", F.array_join(listed, ";"))
 
@@ -466,13 +474,14 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     # One fault of each kind is planted: no invoice, a wrong amount, no usage kept, a row changed after closing.
     (contracts,) = load(spark, sf_dir, "contracts")
-    rated = _rate_of(spark, sf_dir)
+    rated = _written(_rate_of(spark, sf_dir), "rated")
     closed = billing.close_period(rated).where("organization_id <> 'org7'")
     closed = closed.withColumn("row_hash", F.when(F.col("organization_id") == "org8", F.lit("0")).otherwise(F.col("row_hash")))
+    closed = _written(closed, "snapshot")
     wrong = F.when(F.col("organization_id") == "org5", 1).otherwise(0)
     invoices = billing.build_invoices(rated, contracts).where("organization_id <> 'org4'")
     invoices = invoices.withColumns({c: (F.col(c) + wrong).cast("decimal(18,2)") for c in ("usage_charge", "subtotal")})
-    return billing.reconcile(invoices, closed, contracts)
+    return billing.reconcile(_written(invoices, "invoices"), closed, contracts)
 
 
 @query(

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
 
 import pytest
 from conftest import as_set, plan_text
@@ -388,3 +390,24 @@ def test_reports_prune_month_partitions(make_log, spark, tmp_path):
     assert "event_month" in plan_text(report).split("PartitionFilters")[1].split("PushedFilters")[0]
     month = dashboards.usage_by_plan(stored, "2024-03-31 00:00:00")
     assert [r.total_requests for r in month.collect()] == [1]
+
+
+def test_shares_of_huge_usage_are_exact(spark):
+    """Beyond 2^53 ten-thousandths doubles would round; shares add up to the plan's to the last digit."""
+    month, units = date(2024, 1, 1), [123_456_789_012, 98_765_432_109, 7]
+    metered = spark.createDataFrame(
+        [(month, "a", "pro", f"c{i}", u) for i, u in enumerate(units)], "period_start date, organization_id string, plan_slug string, chain_slug string, units bigint"
+    )
+    prices = spark.createDataFrame([("pro", 1_000_001, Decimal("0.000123"))], "plan_slug string, included_units bigint, overage_rate decimal(12,6)")
+    weights = spark.createDataFrame([("c0", Decimal("3.3333")), ("c1", Decimal("0.0001"))], "chain_slug string, coefficient decimal(9,4)")
+    rows = billing.rate_usage(metered, prices, weights).orderBy("chain_slug").collect()
+    weighted = [u * w for u, w in zip(units, (Decimal("3.3333"), Decimal("0.0001"), Decimal(1)), strict=True)]
+    total, running, before, paid = sum(weighted), Decimal(0), Decimal(0), Decimal(0)
+    for row, part in zip(rows, weighted, strict=True):
+        running += part
+        share = (Fraction(running) * Fraction(total - 1_000_001) / Fraction(total) * 10000 + Fraction(1, 2)) // 1 / Fraction(10000)
+        through = Decimal(share.numerator) / Decimal(share.denominator)
+        cost = (through * Decimal("0.000123")).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        assert (row.billable_units, row.cost) == (through - before, cost - paid)
+        before, paid = through, cost
+    assert sum(r.billable_units for r in rows) == total - 1_000_001
