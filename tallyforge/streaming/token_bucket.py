@@ -37,7 +37,7 @@ class TokenBucketProcessor(StatefulProcessor):
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         wanted: Counter[int] = Counter()
         for batch in rows:
-            wanted.update(batch["second"].value_counts().to_dict())
+            wanted.update(batch.groupby("second")["n"].sum().to_dict())
         decided = []
         known = self.bucket.get() if self.bucket.exists() else None
         bucket = Bucket(int(known[0]), int(known[1])) if known else None
@@ -72,16 +72,25 @@ def bucket_decisions(
     refill: int | None = None,
     window: str | int = "1 minute",
     watermark: str = "10 minutes",
+    settled: bool = False,
 ) -> DataFrame:
     """The decisions of ``limits.token_bucket`` for a stream in time order.
 
-    A second that is split over micro-batches gives one row in each.
+    A second that is split over micro-batches gives one row in each.  With ``settled`` the requests of a second are
+    counted by a stateful aggregation of their own, and the second is decided once the watermark has passed it: later, but
+    the stream need not be in time order within the watermark, a second gives one row, and the processor gets a row per second
+    of a busy key, however many requests it has.
     """
     stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     processor = TokenBucketProcessor(capacity, capacity if refill is None else refill, seconds(window))
+    timed = stream.withWatermark("event_time", watermark).select(F.col(key).alias("key"), "event_time")
+    if settled:
+        counted = timed.groupBy("key", F.window("event_time", "1 second").alias("pane")).agg(F.count(F.lit(1)).alias("n"))
+        timed = counted.select("key", F.window_time("pane").alias("event_time"), F.unix_seconds("pane.start").alias("second"), "n")
+    else:
+        timed = timed.select("*", F.unix_seconds("event_time").alias("second"), F.lit(1).cast("bigint").alias("n"))
     return (
-        stream.withWatermark("event_time", watermark)
-        .select(F.col(key).alias("key"), "event_time", F.unix_seconds("event_time").alias("second"))
+        timed
         .groupBy("key")
         .transformWithStateInPandas(
             statefulProcessor=processor,
@@ -105,7 +114,8 @@ def start_token_bucket(
     available_now: bool = False,
     interval: str = "10 seconds",
     partitions: int | None = None,
+    settled: bool = False,
 ) -> StreamingQuery:
     """S7 into a Parquet folder; ``partitions`` is the number of state partitions."""
-    decisions = bucket_decisions(stream, key, capacity, refill, window, watermark)
+    decisions = bucket_decisions(stream, key, capacity, refill, window, watermark, settled)
     return start_append(decisions, out, checkpoint, available_now, interval, partitions=partitions)

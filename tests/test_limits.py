@@ -158,6 +158,29 @@ def test_token_bucket_stream_equals_batch(spark, make_log, tmp_path, capacity, r
     assert sorted(tuple(r) for r in streamed.collect()) == literal_bucket(rows, capacity, refill, 60)
 
 
+def test_settled_token_bucket_stream_sees_seconds_only(spark, make_log, tmp_path):
+    """A key with twenty requests a second, delivered out of order: a row per second reaches the processor, and one comes out."""
+    draw = random.Random(5)
+    rows = [dict(r, consumer_id="hot" if i % 2 else r["consumer_id"]) for i, r in enumerate(skewed_rows(n=1600, span=400))]
+    last = START + timedelta(seconds=2000)
+    rows.append({"event_time": last, "event_time_ms": last, "consumer_id": "end", "request_id": "end"})
+    source, out = str(tmp_path / "log"), str(tmp_path / "out")
+    parts = [rows[i::2] for i in range(2)]  # the seconds of one delivery come again in the next
+    draw.shuffle(parts[0])
+    for part in parts:
+        write_table(make_log(part).coalesce(1), source, "requests", mode="append")
+    stream = read_requests(spark, source, stream=True, files_per_batch=1)
+    query = start_token_bucket(
+        stream, "consumer_id", 6, out, str(tmp_path / "state"), 6, 60, watermark="10 minutes", available_now=True, partitions=2, settled=True
+    )
+    query.awaitTermination()
+    streamed = spark.read.parquet(out)
+    wanted = [r for r in literal_bucket(rows, 6, 6, 60) if r[0] != "end"]
+    assert sorted(tuple(r) for r in streamed.select("consumer_id", "event_time", "requests", "allowed").collect()) == wanted
+    emitted = sum(p["sink"]["numOutputRows"] for p in query.recentProgress if p["sink"]["numOutputRows"] > 0)
+    assert emitted in (0, len(wanted)) and len(wanted) < 0.8 * len(rows)
+
+
 def test_quota_counts_units(make_log, spark):
     rows = skewed_rows(n=600)
     catalog = {
