@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -264,55 +266,70 @@ REFERENCES = [
 ]
 
 
+def _rules(catalog: Catalog) -> list[tuple[str, list[str], str, str | None, Column | None]]:
+    """(table, columns, rule, parent, what offends) of the rules whose tables and columns are there."""
+    found = [(t, [c], "allowed_values", None, ~F.col(c).isin(allowed)) for t, c, allowed in ALLOWED_VALUES]
+    found += [(t, [c], "range", None, ~F.col(c).between(low, high)) for t, c, low, high in RANGES]
+    found += [(t, columns, "unique", None, None) for t, columns in UNIQUE]
+    found += [(t, [c], "foreign_key", parent, None) for t, c, parent in REFERENCES]
+
+    def present(table: str, columns: Sequence[str]) -> bool:
+        return table in catalog and all(c in catalog[table].columns for c in columns)
+
+    return [r for r in found if present(r[0], r[1]) and (r[3] is None or present(r[3], ["id"]))]
+
+
 def audit_catalog(catalog: Catalog) -> DataFrame:
     """(table_name, column_name, rule, value, violations), one row per offending value.
 
     Only tables and columns present in ``catalog`` are audited.  As in SQL
     constraints, a null value violates nothing.
-    """
-
-    def present(table: str, *columns: str) -> bool:
-        return table in catalog and all(c in catalog[table].columns for c in columns)
 
-    def found(bad: DataFrame, table: str, column: str, rule: str, violations: Column) -> DataFrame:
-        # By the columns themselves: different values may read alike once they are glued.
-        keys = [c for c in bad.columns if c != "value"]
-        return bad.groupBy("value", *keys).agg(violations.cast("bigint").alias("violations")).select(
-            F.lit(table).alias("table_name"),
-            F.lit(column).alias("column_name"),
-            F.lit(rule).alias("rule"),
-            "value",
-            "violations",
-        )
-
-    def values(table: str, columns: Sequence[str]) -> DataFrame:
-        df = catalog[table].dropna(subset=list(columns))
-        return df.select(F.concat_ws("|", *[F.col(c).cast("string") for c in columns]).alias("value"), *columns)
-
-    rows = F.count(F.lit(1))
+    Each table is read once: a row unfolds into an entry per rule that its values concern, and one for its id if other tables refer to
+    it.  Entries are counted per value with map-side combine, so a hot value is one row per task; references to one
+    table meet its ids, and each other, in the same group.
+    """
+    rules = _rules(catalog)
+    parents = {parent for _, _, _, parent, _ in rules if parent}
     parts = []
-    for table, column, allowed in ALLOWED_VALUES:
-        if present(table, column):
-            bad = values(table, [column]).where(~F.col(column).isin(allowed))
-            parts.append(found(bad, table, column, "allowed_values", rows))
-    for table, column, low, high in RANGES:
-        if present(table, column):
-            bad = values(table, [column]).where(~F.col(column).between(low, high))
-            parts.append(found(bad, table, column, "range", rows))
-    for table, columns in UNIQUE:
-        if present(table, *columns):
-            counted = found(values(table, columns), table, ",".join(columns), "unique", rows)
-            parts.append(counted.where(F.col("violations") > 1))
-    for table, column, parent in REFERENCES:
-        if present(table, column) and present(parent, "id"):
-            ids = catalog[parent].select(F.col("id").alias(column))
-            # Count per value before the join: a hot value is one row there.
-            counted = found(values(table, [column]), table, column, "foreign_key", rows)
-            parts.append(counted.join(ids, counted["value"] == ids[column], "left_anti"))
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    for table, df in catalog.items():
+        entry = lambda scope, rule, columns: F.struct(
+            F.lit(scope).alias("scope"), F.lit(rule).alias("rule"), F.array(*[F.col(c).cast("string") for c in columns]).alias("values")
+        )
+        entries = []
+        for number, (of, columns, _, parent, offends) in enumerate(rules):
+            if of == table:
+                concerned = reduce(and_, [F.col(c).isNotNull() for c in columns])
+                concerned = concerned if offends is None else concerned & F.coalesce(offends, F.lit(False))
+                entries.append(F.when(concerned, entry(parent or str(number), number, columns)))
+        if table in parents:
+            entries.append(F.when(F.col("id").isNotNull(), entry(table, -1, ["id"])))
+        if entries:
+            parts.append(df.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).select("e.*"))
+    if not parts:
+        raise ValueError("no table of the catalog has a rule")
+    references = [n for n, rule in enumerate(rules) if rule[3]]
+    counted = reduce(DataFrame.unionByName, parts).groupBy("scope", "values").agg(
+        F.max("rule").alias("_rule"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.max(F.col("rule") == -1).alias("_known"),
+        *[F.count_if(F.col("rule") == n).alias(f"_n{n}") for n in references],
+    )
+    # Scopes of references hold the entries of several rules, all others those of one.
+    unique = F.lit([n for n, rule in enumerate(rules) if rule[2] == "unique"] or [-2])
+    own = F.when(~F.array_contains(unique, F.col("_rule")) | (F.col("_rows") > 1), F.struct(F.col("_rule").alias("rule"), F.col("_rows").alias("n")))
+    dangling = [F.when(F.col(f"_n{n}") > 0, F.struct(F.lit(n).alias("rule"), F.col(f"_n{n}").alias("n"))) for n in references]
+    listed = F.when(~F.col("scope").isin(*(parents or [""])), F.array(own))
+    if references:
+        listed = listed.when(~F.col("_known"), F.array(*dangling))
+    name = lambda i: F.element_at(F.lit([",".join(r[i]) if i == 1 else r[i] for r in rules]), F.col("f.rule") + 1)
+    return counted.select("values", F.explode(F.array_compact(listed)).alias("f")).select(
+        name(0).alias("table_name"),
+        name(1).alias("column_name"),
+        name(2).alias("rule"),
+        F.array_join("values", "|").alias("value"),
+        F.col("f.n").cast("bigint").alias("violations"),
+    )
 
 
 UUID_PATTERN = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\z"
