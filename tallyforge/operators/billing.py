@@ -29,7 +29,7 @@ def meter(daily_state: DataFrame, period: str = "month", value: str = "compute_u
     """H1: usage per period, organisation, plan and chain, as ``units``."""
     if value not in _METERS:
         raise ValueError(f"unknown meter {value!r}")
-    dated = daily_state.withColumn("period_start", F.trunc("event_date", period))
+    dated = daily_state.withColumn("period_start", F.date_trunc(period, "event_date").cast("date"))
     done = finalize(dated, METER_KEYS, ())
     return done.select(*METER_KEYS, F.col(_METERS[value]).alias("units"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyforge.operators import billing, limits, series
+from tallyforge.operators import billing, ledger, limits, series
 from tallyforge.operators.usage import usage_daily_state_from_log
 from tallyforge.session import scratch_path
 from tallyforge.workload.fixtures import load, load_catalog
@@ -459,19 +459,17 @@ def _(spark, sf_dir):
     return billing.close_period(_meter_of(spark, sf_dir))
 
 
-@query(
-    "reconcile",
-    _RATED_VIEWS,
-    f"""SELECT period_start, organization_id,
+_RECONCILED = f"""SELECT period_start, organization_id,
       CASE WHEN organization_id <> 'org4' THEN CAST(fixed_charge + usage_charge + (organization_id = 'org5')::INT AS DOUBLE) END AS invoice_total,
       CASE WHEN organization_id <> 'org7' OR fixed_charge > 0 THEN CAST(fixed_charge + CASE WHEN organization_id = 'org7' THEN 0 ELSE usage_charge END AS DOUBLE) END
         AS snapshot_total,
       coalesce(invoice_total, 0) - coalesce(snapshot_total, 0) AS difference,
       CASE WHEN organization_id = 'org4' THEN 'missing_invoice' WHEN snapshot_total IS NULL THEN 'missing_snapshot'
         WHEN organization_id = 'org8' THEN 'broken_snapshot' WHEN abs(difference) > 0.001 THEN 'mismatch' ELSE 'match' END AS outcome
-    FROM {_owed()}""",
-)
-def _(spark, sf_dir):
+    FROM {_owed()}"""
+
+
+def _reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     # One fault of each kind is planted: no invoice, a wrong amount, no usage kept, a row changed after closing.
     (contracts,) = load(spark, sf_dir, "contracts")
     rated = _written(_rate_of(spark, sf_dir), "rated")
@@ -484,6 +482,43 @@ def _(spark, sf_dir):
     return billing.reconcile(_written(invoices, "invoices"), closed, contracts)
 
 
+@query("reconcile", _RATED_VIEWS, _RECONCILED)
+def _(spark, sf_dir):
+    return _reconciled(spark, sf_dir)
+
+
+@query(
+    "credit_notes",
+    _RATED_VIEWS,
+    f"""SELECT 'CN-' || strftime(period_start, '%Y-%m-%d') || '-' || organization_id AS note_number, period_start, organization_id,
+      CASE WHEN difference > 0 THEN 'credit' ELSE 'debit' END AS kind, difference AS amount, outcome AS reason
+    FROM ({_RECONCILED}) WHERE abs(difference) > 0.001""",
+)
+def _(spark, sf_dir):
+    return ledger.credit_notes(_reconciled(spark, sf_dir))
+
+
+@query(
+    "ledger_proofs",
+    sql=f""", closed AS (SELECT period_start, organization_id, sha256('{{"period_start":"' || CAST(period_start AS VARCHAR)
+        || '","organization_id":"' || organization_id || '","plan_slug":"' || plan_slug || '","chain_slug":"' || chain_slug
+        || '","units":' || units || '}}') AS row_hash FROM ({_metered("day")})),
+    leaves AS (SELECT period_start, organization_id, sha256(organization_id) AS key,
+        sha256(organization_id || '|' || string_agg(row_hash, '|' ORDER BY row_hash)) AS leaf_hash
+      FROM closed GROUP BY period_start, organization_id),
+    buckets AS (SELECT period_start, substr(key, 1, 1) AS prefix, sha256(string_agg(key || ':' || leaf_hash, ',' ORDER BY key)) AS hash
+      FROM leaves GROUP BY period_start, substr(key, 1, 1)),
+    roots AS (SELECT period_start, sha256(string_agg(prefix || ':' || hash, ',' ORDER BY prefix)) AS root
+      FROM buckets GROUP BY period_start)
+    SELECT period_start, organization_id, leaf_hash, root, true AS holds FROM leaves JOIN roots USING (period_start)""",
+)
+def _(spark, sf_dir):
+    found = _written(ledger.leaves(billing.close_period(_meter_of(spark, sf_dir, "day"))), "leaves")
+    nodes = _written(ledger.hash_tree(found, 1), "nodes")
+    proved = ledger.proofs(found, nodes, 1).withColumn("holds", ledger.proof_holds(1))
+    return proved.select("period_start", "organization_id", "leaf_hash", "root", "holds")
+
+
 @query(
     "convert_fx",
     _RATED_VIEWS,
