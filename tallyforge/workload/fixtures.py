@@ -130,6 +130,15 @@ SELECT * FROM (VALUES (DATE '2024-01-01', CAST(29.50 AS DECIMAL(10,4))), (DATE '
   (DATE '2024-01-05', CAST(29.90 AS DECIMAL(10,4))), (DATE '2024-01-22', CAST(30.10 AS DECIMAL(10,4)))) AS t(rate_date, try_per_usd)
 """
 
+# Quotes at moments within days, one of each currency for every day and some more.
+VIEWS["fx_quotes"] = r"""
+SELECT DISTINCT CASE WHEN event_id % 3 = 0 THEN 'EUR' WHEN event_id % 3 = 1 THEN 'TRY' ELSE 'GBP' END AS currency,
+  CAST(date_trunc('hour', ts) AS TIMESTAMP) AS quoted_at,
+  CAST(CAST(extract(day FROM ts) AS DECIMAL(6,0))
+    * CASE WHEN event_id % 3 = 0 THEN 1.012345 WHEN event_id % 3 = 1 THEN 0.033333 ELSE 1.271801 END AS DECIMAL(18,8)) AS rate
+FROM events WHERE event_id % 7 = 0
+"""
+
 VIEWS["raw_access_log"] = r"""
 SELECT e.event_id, e.ts,
   CASE WHEN e.event_id % 50 = 0 THEN '/eth-mainnet' ELSE '/sk_' || CAST(e.user_id AS STRING) || '_' || md5(CAST(e.user_id AS STRING)) || '/' || c.chain_slug END AS path,

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.operators import billing, ledger, limits, series
 from tallyforge.operators.usage import usage_daily_state_from_log
+from tallyforge.operators.currency import convert
 from tallyforge.session import scratch_path
 from tallyforge.workload.fixtures import load, load_catalog
 from tallyforge.workload.registry import query
@@ -535,6 +536,27 @@ def _(spark, sf_dir):
     return converted.select("invoice_number", "total", "fx_rate", "converted_amount", "estimated")
 
 
+@query(
+    "convert_currencies",
+    [*_RATED_VIEWS, "fx_quotes"],
+    f""", billed AS (SELECT invoice_number, total, period_end + INTERVAL '10 hours' AS issued_at,
+        (['USD', 'EUR', 'TRY', 'GBP'])[CAST(length(organization_id) + CAST(day(period_start) AS BIGINT) AS BIGINT) % 4 + 1] AS currency
+      FROM {_invoiced("week", "period_start + 6")})
+    SELECT invoice_number, b.currency, CAST(total AS DOUBLE) AS total, CASE WHEN b.currency = 'USD' THEN 1e0 ELSE CAST(rate AS DOUBLE) END AS fx_rate,
+      quoted_at, CAST(round(total * CASE WHEN b.currency = 'USD' THEN CAST(1 AS DECIMAL(18,8)) ELSE rate END, 2) AS DOUBLE) AS converted_amount
+    FROM billed b ASOF LEFT JOIN (SELECT currency, quoted_at, max(rate) AS rate FROM fx_quotes GROUP BY ALL) q
+      ON b.currency = q.currency AND b.issued_at >= q.quoted_at""",
+)
+def _(spark, sf_dir):
+    contracts, quotes = load(spark, sf_dir, "contracts", "fx_quotes")
+    invoices = billing.build_invoices(_rate_of(spark, sf_dir, "week"), contracts, period="week")
+    place = (F.length("organization_id") + F.dayofmonth("period_start")) % 4 + 1
+    issued = F.timestamp_seconds(F.unix_seconds(F.col("period_end").cast("timestamp")) + 36000)
+    billed = invoices.select("invoice_number", "total", issued.alias("issued_at"), F.element_at(F.lit(["USD", "EUR", "TRY", "GBP"]), place).alias("currency"))
+    converted = convert(billed, quotes, "USD", "issued_at", span=7 * 86400)
+    return converted.select("invoice_number", "currency", "total", "fx_rate", "quoted_at", "converted_amount")
+
+
 @query(
     "revenue",
     _RATED_VIEWS,
