@@ -23,7 +23,8 @@ import pyarrow.compute as pc
 
 #: More tokens or seconds than any bucket or log has.
 MUCH = 1 << 60
-PIECE = 86400
+#: Seconds of a piece, and of one at most unless a bucket takes longer to fill up.
+PIECE, MOST_SECONDS = 86400, 1 << 21
 
 
 @dataclass(frozen=True)

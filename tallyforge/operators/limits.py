@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.functions.marks import marks_of, only_marked
 from tallyforge.functions.measures import literal_rows
-from tallyforge.operators.buckets import PIECE, Rule, decisions, entries, exits
+from tallyforge.operators.buckets import MOST_SECONDS, PIECE, Rule, decisions, entries, exits
 from tallyforge.operators.series import seconds
 
 EVENT_COLUMNS = [
@@ -261,14 +261,14 @@ def token_bucket(
 ) -> DataFrame:
     """Per key and second, how many requests a token bucket lets pass.
 
-    The time line of a key is cut into pieces of ``piece`` seconds (a day, or as long as a bucket takes to fill up if that is
-    longer), and the pieces are spread over tasks, so a busy key is no hot task.  Most pieces begin with a full bucket, as
+    The time line of a key is cut into pieces of ``piece`` seconds (a day; where a bucket takes long to fill up, sixteen times
+    that, but no more than MOST_SECONDS unless it takes longer), and the pieces are spread over tasks, so a busy key is no hot task.  Most pieces begin with a full bucket, as
     the key was idle long enough before.  Where not, what the piece before makes of a bucket is a small map (see
     ``buckets``); the maps of a key are composed, a row per piece, and every piece is then walked by itself, refill by refill.
     """
     gain = capacity if refill is None else refill
     rule = Rule(capacity, gain, seconds(window))
-    span = max(PIECE, rule.reach if gain > 0 else 0) if piece is None else piece
+    span = max(PIECE, rule.reach, min(16 * rule.reach, MOST_SECONDS)) if piece is None else piece
     second = F.unix_seconds("event_time").alias("second")
     counted = requests.groupBy(F.col(key).cast("string").alias("key"), second).agg(F.count(F.lit(1)).alias("requests"))
     at = ["key", "piece"]
