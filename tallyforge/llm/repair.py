@@ -19,100 +19,196 @@ from tallyforge.session import scratch_path
 
 MAGIC = b"TFRP0001"
 _HEADER = struct.Struct("<8sIIQQQ")  # magic, first nonterminal, bytes of a symbol, rules, documents, symbols
-_BITS = 18
 
+#: Pairs are replaced down to this count; a rule with its length takes the room of about four symbols.
+LEAST = 4
+_BITS = 19
 
-def _slots(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """A slot below 1 << _BITS for each pair of symbols."""
-    return (first * np.uint32(0x9E3779B1) + second * np.uint32(0x85EBCA77)) >> np.uint32(32 - _BITS)
 
+def _odd(at: np.ndarray, following: np.ndarray, equal: np.ndarray) -> np.ndarray:
+    """Of pairs of equal symbols, those that every other one of their run leaves out."""
+    n = np.arange(len(at))
+    linked = np.concatenate([[False], (at[1:] == following[:-1]) & equal[1:] & equal[:-1]])
+    return equal & ((n - np.maximum.accumulate(np.where(linked, 0, n))) & 1 == 1)
 
-def _frequent(symbols: np.ndarray, slots: np.ndarray, free: np.ndarray, most: int, least: int) -> np.ndarray:
-    """Up to ``most`` frequent pairs that cannot overlap one another, as first << 32 | second.
-
-    Pairs are counted by slot, and exactly where a slot is heavy.
-    """
-    heavy = np.bincount(slots[free], minlength=1 << _BITS)
-    bound = max(least, int(np.partition(heavy, -4 * most)[-4 * most]))
-    at = np.flatnonzero((heavy >= bound)[slots] & free)
-    found, counts = np.unique((symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1], return_counts=True)
-    order = np.lexsort((found, -counts))
-    firsts, seconds, taken = set(), set(), []
-    for pair, many in zip(found[order[: 8 * most]].tolist(), counts[order[: 8 * most]].tolist(), strict=True):
-        if many < least or len(taken) == most:
-            break
-        a, b = pair >> 32, pair & 0xFFFFFFFF
-        if a not in seconds and b not in firsts:
-            firsts.add(a)
-            seconds.add(b)
-            taken.append(pair)
-    return np.array(taken, np.uint64)
 
+def _chosen(at: np.ndarray, following: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Which of the pairs that start ``at`` are taken: heavier ones first, none that overlap, and as many as then fit.
 
-def compress(ids: np.ndarray, bounds: np.ndarray, rounds: int = 8, pairs: int = 1024, least: int = 16):
-    """Replace frequent pairs by nonterminals, round by round; no pair crosses documents.
+    ``following`` is the place after each.  Pairs that overlap have different weights.
+    """
+    taken, left = np.zeros(len(at), bool), np.arange(len(at))
+    beside = at[1:] == following[:-1]
+    while len(left):
+        rise = weight[1:] > weight[:-1]
+        win = np.ones(len(left), bool)
+        win[1:] &= rise | ~beside
+        win[:-1] &= ~(rise & beside)
+        taken[left[win]] = True
+        stay = ~win
+        stay[1:] &= ~(win[:-1] & beside)
+        stay[:-1] &= ~(win[1:] & beside)
+        beside = (beside & stay[1:])[stay[:-1]][: max(0, int(stay.sum()) - 1)]
+        left, weight = left[stay], weight[stay]
+    return taken
+
+
+class _Text:
+    """Symbols in a chain, the number of the pair that starts at each (0: too rare, or the end of a document), counts of pairs."""
+
+    def __init__(self, ids: np.ndarray, last: np.ndarray, least: int):
+        self.symbols, self.last, self.least = ids, last, least
+        self.pairs = np.zeros(len(ids), np.int32)
+        self.counts = np.zeros(1, np.int64)
+        at = np.flatnonzero(~last)
+        self._number(at, (ids[at].astype(np.uint64) << np.uint64(32)) | ids[at + 1])
+        self.alive = np.ones(len(ids), bool)
+        self._chain()
+
+    def _number(self, at: np.ndarray, codes: np.ndarray) -> None:
+        """Give pairs that were never seen before their numbers; one that is too rare now will always be."""
+        slots = (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)  # most rare pairs are told by their slots
+        likely = (np.bincount(slots.view(np.int64), minlength=1 << _BITS) >= self.least)[slots]
+        self.pairs[at[~likely]] = 0
+        at = at[likely]
+        found = pa.array(codes[likely]).dictionary_encode().indices.to_numpy()
+        many = np.bincount(found)
+        often = many >= self.least
+        number = np.where(often, len(self.counts) - 1 + np.cumsum(often), 0)
+        self.pairs[at] = number[found]
+        self.counts = np.concatenate([self.counts, many[often]])
+
+    def _chain(self) -> None:
+        self.after = np.arange(1, len(self.symbols) + 1, dtype=np.int32)
+        self.before = np.arange(-1, len(self.symbols), dtype=np.int32)
+
+    def pack(self, most: float = 0.75) -> None:
+        """Drop the places that are no longer used, if they are many."""
+        if self.alive.mean() > most:
+            return
+        self.symbols, self.last, self.pairs = self.symbols[self.alive], self.last[self.alive], self.pairs[self.alive]
+        self.alive = np.ones(len(self.symbols), bool)
+        self._chain()
+
+    def replace(self, at: np.ndarray, new: np.ndarray) -> np.ndarray:
+        """Put ``new`` for the pairs at these places; counts change beside them only.  Returns the places with new pairs."""
+        gone = self.after[at]
+        self.alive[gone] = False
+        left = self.before[at]
+        left = left[left >= 0]
+        old = self.pairs[np.concatenate([at, gone, left[self.alive[left]]])]
+        np.subtract.at(self.counts, old[old > 0], 1)
+        self.symbols[at], self.last[at], self.pairs[gone] = new, self.last[gone], 0
+        self.after[at] = self.after[gone]
+        self.before[self.after[gone]] = at  # one place more than symbols, for the end
+        left = self.before[at]
+        left = left[left >= 0]
+        left = left[self.symbols[left] < new.min()]
+        places = np.concatenate([at, left])
+        ends = self.last[places]
+        self.pairs[places[ends]] = 0
+        places = places[~ends]
+        if len(places):
+            right = self.symbols[self.after[places]]
+            self._number(places, (self.symbols[places].astype(np.uint64) << np.uint64(32)) | right)
+        return places
+
+
+def compress(ids: np.ndarray, bounds: np.ndarray, least: int = LEAST):
+    """Replace pairs by nonterminals, frequent ones first, until none can be replaced ``least`` times; no pair crosses documents.
+
+    Pairs are counted once; afterwards only the counts beside replaced places change.  The queue of pairs has a level for
+    each halving of the count: all pairs of a level are replaced together, where they overlap the more frequent one,
+    and pairs that come up on the way and reach the level are too.  Runs of one symbol are paired from the left.
 
     Returns the symbols, the bounds of the documents in them, the first nonterminal and
     the rules, a row of two symbols each.  A nonterminal's rule has smaller symbols only.
     """
     first = int(ids.max(initial=0)) + 1
-    symbols, rules = ids.astype(np.uint32), []
     last = np.zeros(len(ids), bool)
     last[bounds[1:][bounds[1:] > bounds[:-1]] - 1] = True
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        slots = _slots(symbols[:-1], symbols[1:])
-        chosen = _frequent(symbols, slots, ~last[:-1] & (symbols[:-1] != symbols[1:]), pairs, least)
-        if not len(chosen):
+    text = _Text(ids.astype(np.uint32), last, least)
+    rules: list[np.ndarray] = []
+    new, level = first, int(text.counts.max())
+    while level >= least:
+        final = level // 2 <= least
+        level = max(least, level // 2)
+        text.pack()
+        at = np.flatnonzero((text.counts >= level)[text.pairs])
+        while len(at):
+            pairs, after, many = text.pairs[at], text.after[at], text.counts
+            equal, odd = text.symbols[at] == text.symbols[after], np.zeros(len(at), bool)
+            if equal.any():
+                odd = _odd(at, after, equal)
+                many = many.copy()
+                many[pairs[equal]] = np.bincount(pairs[equal & ~odd], minlength=len(many))[pairs[equal]]
+            fit = np.flatnonzero(~odd & (many[pairs] >= level))
+            if not len(fit):
+                break
+            weight = (many[pairs[fit]] << 32) - pairs[fit]
+            taken = fit[_chosen(at[fit], after[fit], weight)]
+            used = np.bincount(pairs[taken], minlength=len(many))
+            taken = taken[(used >= least)[pairs[taken]]]  # the heaviest pair is always among them
+            here, pair = at[taken], pairs[taken]
+            some = np.flatnonzero(used >= least)
+            some = some[np.argsort(-many[some], kind="stable")]
+            number, place = np.zeros((2, len(many)), np.int64)
+            number[some], place[pair] = new + np.arange(len(some)), here
+            one = place[some]
+            rules.append(np.stack([text.symbols[one], text.symbols[text.after[one]]], 1))
+            fresh = text.replace(here, number[pair].astype(np.uint32))
+            new += len(some)
+            at = np.concatenate([np.delete(at, taken), fresh])
+            at = at[(text.counts >= level)[text.pairs[at]] & text.alive[at]]
+            at.sort()
+            at = at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
+        if final:
             break
-        order = np.argsort(chosen)
-        held = np.zeros(1 << _BITS, bool)  # the slots of the chosen pairs; what is in them is compared
-        held[_slots((chosen >> np.uint64(32)).astype(np.uint32), chosen.astype(np.uint32))] = True
-        at = np.flatnonzero(held[slots] & ~last[:-1])
-        here = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1]
-        spot = np.minimum(np.searchsorted(chosen[order], here), len(chosen) - 1)
-        hit = chosen[order][spot] == here
-        at, which = at[hit], order[spot[hit]]
-        new = first + sum(map(len, rules))
-        symbols[at] = (new + which).astype(np.uint32)
-        last[at] = last[at + 1]
-        keep = np.ones(len(symbols), bool)
-        keep[at + 1] = False
-        symbols, last = symbols[keep], last[keep]
-        rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
-    ends = np.concatenate([[0], np.flatnonzero(last) + 1])
+    text.pack(most=1)
+    ends = np.concatenate([[0], np.flatnonzero(text.last) + 1])
     many = np.cumsum(np.concatenate([[0], bounds[1:] > bounds[:-1]]))
-    return symbols, ends[many], first, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
+    return text.symbols, ends[many], first, np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
 
 
 def expansions(first: int, rules: np.ndarray) -> np.ndarray:
     """Number of ids that each nonterminal stands for."""
-    lengths = np.ones(first + len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist()):
-        lengths[first + i] = lengths[a] + lengths[b]
-    return lengths[first:]
-
-
-def expand(symbols: np.ndarray, first: int, rules: np.ndarray) -> np.ndarray:
-    """The ids that symbols stand for."""
-    symbols = symbols.astype(np.uint32)
-    while len(rules) and len(symbols) and int(symbols.max()) >= first:
+    lengths: list[int] = []
+    for a, b in rules.tolist():
+        lengths.append((lengths[a - first] if a >= first else 1) + (lengths[b - first] if b >= first else 1))
+    return np.array(lengths, np.int64)
+
+
+def expand(symbols: np.ndarray, first: int, rules: np.ndarray, lengths: np.ndarray | None = None) -> np.ndarray:
+    """The ids that symbols stand for; ``lengths`` are the rules' expansions, if they are known."""
+    lengths = expansions(first, rules) if lengths is None else lengths
+    size_of = np.concatenate([np.ones(first, np.int64), lengths])
+    ends = np.cumsum(size_of[symbols])
+    places = ends - size_of[symbols]
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint32)
+    while len(symbols):
         ruled = symbols >= first
-        counts = 1 + ruled
-        places = np.cumsum(counts) - counts
-        out = np.empty(int(counts.sum()), np.uint32)
         out[places[~ruled]] = symbols[~ruled]
-        pair = rules[symbols[ruled] - first]
-        out[places[ruled]], out[places[ruled] + 1] = pair[:, 0], pair[:, 1]
-        symbols = out
-    return symbols
+        left, right = rules[symbols[ruled] - first].T
+        at = places[ruled]
+        symbols, places = np.concatenate([left, right]), np.concatenate([at, at + size_of[left]])
+    return out
+
+
+def _narrow(symbols: np.ndarray, wide: int) -> bytes:
+    """The low ``wide`` bytes of each symbol."""
+    return symbols.astype("<u4").view("<u1").reshape(-1, 4)[:, :wide].tobytes()
+
+
+def _widened(raw: bytes, wide: int) -> np.ndarray:
+    out = np.zeros((len(raw) // wide, 4), "<u1")
+    out[:, :wide] = np.frombuffer(raw, "<u1").reshape(-1, wide)
+    return out.reshape(-1).view("<u4")
 
 
 def write_shard(out, doc_ids: list[int | None], ids: np.ndarray, bounds: np.ndarray) -> None:
     """Header, rules, expansion lengths, document ids with a null flag, places and counts of documents, symbols."""
     symbols, places, first, rules = compress(ids, bounds)
-    wide = 2 if first + len(rules) <= 1 << 16 else 4
+    wide = 2 if first + len(rules) <= 1 << 16 else 3 if first + len(rules) <= 1 << 24 else 4
     out.write(_HEADER.pack(MAGIC, first, wide, len(rules), len(doc_ids), len(symbols)))
     out.write(rules.astype("<u4").tobytes())
     out.write(expansions(first, rules).astype("<u4").tobytes())
@@ -120,7 +216,7 @@ def write_shard(out, doc_ids: list[int | None], ids: np.ndarray, bounds: np.ndar
     out.write(np.array([i is None for i in doc_ids], "<u1").tobytes())
     out.write(places.astype("<u8").tobytes())
     out.write(bounds.astype("<u8").tobytes())
-    out.write(symbols.astype(f"<u{wide}").tobytes())
+    out.write(_narrow(symbols, wide))
     out.close()
 
 
@@ -150,20 +246,20 @@ class Shard:
         """Ids of the documents number ``low`` to ``high`` (exclusive), one after the other."""
         start, stop = int(self.places[low]), int(self.places[high])
         raw = self.source.read_at((stop - start) * self.wide, self.at + start * self.wide)
-        return expand(np.frombuffer(raw, f"<u{self.wide}"), self.first, self.rules)
+        return expand(_widened(raw, self.wide), self.first, self.rules, self.lengths)
 
     def span(self, doc: int, start: int, stop: int) -> np.ndarray:
         """Ids ``start`` to ``stop`` of one document; symbols before and after are passed over by their lengths."""
         low, high = int(self.places[doc]), int(self.places[doc + 1])
         raw = self.source.read_at((high - low) * self.wide, self.at + low * self.wide)
-        symbols = np.frombuffer(raw, f"<u{self.wide}").astype(np.int64)
+        symbols = _widened(raw, self.wide).astype(np.int64)
         ruled = symbols >= self.first
         sizes = np.ones(len(symbols), np.int64)
         sizes[ruled] = self.lengths[symbols[ruled] - self.first]
         ends = np.cumsum(sizes)
         a, b = int(np.searchsorted(ends, start, "right")), int(np.searchsorted(ends, stop, "left")) + 1
         before = int(ends[a - 1]) if a else 0
-        return expand(symbols[a:b], self.first, self.rules)[start - before : stop - before]
+        return expand(symbols[a:b], self.first, self.rules, self.lengths)[start - before : stop - before]
 
 
 def _writer(path: str, end: int, folder: str, shard_tokens: int):
@@ -247,13 +343,15 @@ def write_tokens(
     follow one another and those of the next task follow them.  Each shard of about
     ``shard_tokens`` ids is compressed by itself.  Manifest: path, ``base`` (ids in all shards
     before), ``tokens``.  A null text counts as empty and gives ``end_id`` only; null ids come first;
-    rows with one id stand next to each other, by text.  A lost attempt leaves a file that no manifest names.
+    rows with one id stand next to each other, and many of them are spread over tasks.  Each shard is
+    compressed until no pair of symbols can be replaced LEAST times.  A lost attempt leaves a file that no manifest names.
     """
     spark = docs.sparkSession
     folder = folder or scratch_path(spark, "tokens")
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(tasks, "id").sortWithinPartitions("id", "text")
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    ordered = rows.repartitionByRange(tasks, "id", "row").sortWithinPartitions("id", "row").drop("row")
     schema = "path string, part long, shard long, tokens long"
     shards = written(ordered.mapInArrow(_writer(tokenizer, end_id, folder, shard_tokens), schema), "shards")
     # one row per task is accumulated over all, then one row per shard within its task

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -84,6 +86,37 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
     return first, last, mixed(hashes + sizes.astype(np.uint64))
 
 
+#: Hashes of pieces are polynomials of this; its inverse modulo 2**64 brings a piece to place zero.
+_BASE = 0x9FB21C651E98DF25
+_UNBASE = pow(_BASE, -1, 1 << 64)
+
+
+@lru_cache(maxsize=2)
+def _powers(base: int, many: int) -> np.ndarray:
+    out = np.full(many, base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def piece_hashes(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the pieces that begin at ``starts`` and cover the data."""
+    room = -(-len(data) // SLICE) * SLICE
+    sums = np.add.reduceat(_BYTE[data] * _powers(_BASE, room)[: len(data)], starts)
+    return mixed(sums * _powers(_UNBASE, room)[starts] + sizes.astype(np.uint64))
+
+
+def byte_letters() -> dict[int, int]:
+    """The character that byte-level vocabularies write for each byte: itself if it is visible in Latin-1, else the next from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: b for b in visible} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_LETTERS = byte_letters()
+#: A blank and Latin letters.
+_WORD = re.compile(" [A-Za-zÀ-ÖØ-öø-ɏ]+")
+
+
 class Encoder:
     """Encodes as ``Tokenizer.encode(text, add_special_tokens=False)`` does, piece by piece.
 
@@ -98,6 +131,14 @@ class Encoder:
         normalizer = getattr(self.tokenizer, "normalizer", None)
         self.lower = normalizer is not None and "Lowercase" in repr(normalizer)
         self.entries = entries
+        rules = json.loads(self.tokenizer.to_str())
+        before = rules["pre_tokenizer"] or {}
+        self.bare = None
+        if before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space") and not rules["normalizer"]:
+            # a blank and letters are one word of such a vocabulary, so its merges alone give the ids
+            self.bare = Tokenizer.from_str(json.dumps(rules | {"pre_tokenizer": None, "post_processor": None, "added_tokens": []}))
+            self.sizes = np.zeros(1 + max(rules["model"]["vocab"].values()), np.int64)  # bytes of each token
+            self.sizes[[*rules["model"]["vocab"].values()]] = [len(token) for token in rules["model"]["vocab"]]
         self._forget()
 
     def _forget(self) -> None:
@@ -105,11 +146,34 @@ class Encoder:
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _whole(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        coded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.array(list(chain.from_iterable(coded)), np.uint32), np.fromiter(map(len, coded), np.int64, len(coded))
+
+    def _coded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces one after the other, and how many each has."""
+        plain = [_WORD.fullmatch(p) is not None for p in pieces] if self.bare else [False]
+        if not any(plain):
+            return self._whole(pieces)
+        plain = np.array(plain)
+        words = "\n".join(p for p, one in zip(pieces, plain.tolist(), strict=True) if one)
+        words = words.encode().decode("latin-1").translate(_LETTERS).split(chr(_LETTERS[10]))
+        whole = self.bare.encode_batch_fast([words], is_pretokenized=True, add_special_tokens=False)[0]
+        ids = np.array(whole.ids, np.uint32)
+        ends = np.searchsorted(np.cumsum(self.sizes[ids]), np.cumsum([len(w) for w in words])) + 1
+        counts = np.zeros(len(pieces), np.int64)
+        counts[plain] = np.diff(ends, prepend=0)
+        if not plain.all():
+            rest, counts[~plain] = self._whole([p for p, one in zip(pieces, plain.tolist(), strict=True) if not one])
+            of_word = np.repeat(plain, counts)
+            both = np.empty(len(of_word), np.uint32)
+            both[of_word], both[~of_word] = ids, rest
+            ids = both
+        return ids, counts
+
     def _add(self, pieces: list[str]) -> np.ndarray:
         """Encode new pieces; their numbers."""
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        counts = np.fromiter(map(len, coded), np.int64, len(coded))
-        flat = np.array(list(chain.from_iterable(coded)), np.uint32)
+        flat, counts = self._coded(pieces)
         while self.used + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), np.uint32)])
         self.ids[self.used : self.used + len(flat)] = flat
@@ -135,11 +199,7 @@ class Encoder:
         cut[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
         starts = np.flatnonzero(cut)
         sizes = np.diff(starts, append=len(data))
-        inside = np.arange(len(data)) - np.repeat(starts, sizes)
-        hashes = np.add.reduceat(_BYTE[data] * _PLACE[np.minimum(inside, LONGEST - 1)], starts)
-        hashes ^= hashes >> np.uint64(29)
-        hashes *= np.uint64(0x9E3779B97F4A7C15)
-        hashes += sizes.astype(np.uint64)
+        hashes = piece_hashes(data, starts, sizes)
 
         if len(self.known) > self.entries:
             self._forget()
