@@ -22,7 +22,6 @@ _HEADER = struct.Struct("<8sIIQQQ")  # magic, first nonterminal, bytes of a symb
 
 #: Pairs are replaced down to this count; a rule with its length takes the room of about four symbols.
 LEAST = 4
-_BITS = 19
 
 
 def _odd(at: np.ndarray, following: np.ndarray, equal: np.ndarray) -> np.ndarray:
@@ -61,21 +60,29 @@ class _Text:
         self.pairs = np.zeros(len(ids), np.int32)
         self.counts = np.zeros(1, np.int64)
         at = np.flatnonzero(~last)
-        self._number(at, (ids[at].astype(np.uint64) << np.uint64(32)) | ids[at + 1])
+        if len(at):
+            self._number(at, (ids[at].astype(np.uint64) << np.uint64(32)) | ids[at + 1])
         self.alive = np.ones(len(ids), bool)
         self._chain()
 
     def _number(self, at: np.ndarray, codes: np.ndarray) -> None:
         """Give pairs that were never seen before their numbers; one that is too rare now will always be."""
-        slots = (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BITS)  # most rare pairs are told by their slots
-        likely = (np.bincount(slots.view(np.int64), minlength=1 << _BITS) >= self.least)[slots]
-        self.pairs[at[~likely]] = 0
-        at = at[likely]
-        found = pa.array(codes[likely]).dictionary_encode().indices.to_numpy()
-        many = np.bincount(found)
+        bits = max(1, len(codes) - 1).bit_length()
+        size = int(self.symbols.max()).bit_length()
+        if 2 * size + bits <= 64:  # place and pair in one number, so that one sort of numbers groups the places
+            packed = ((codes >> np.uint64(32) << np.uint64(size) | (codes & np.uint64(0xFFFFFFFF))) << np.uint64(bits)) | np.arange(
+                len(codes), dtype=np.uint64
+            )
+            packed.sort()
+            order, keys = (packed & np.uint64((1 << bits) - 1)).astype(np.int64), packed >> np.uint64(bits)
+        else:
+            order = np.argsort(codes, kind="stable")
+            keys = codes[order]
+        edges = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+        many = np.diff(edges)
         often = many >= self.least
         number = np.where(often, len(self.counts) - 1 + np.cumsum(often), 0)
-        self.pairs[at] = number[found]
+        self.pairs[at[order]] = np.repeat(number, many)
         self.counts = np.concatenate([self.counts, many[often]])
 
     def _chain(self) -> None:
