@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -202,7 +202,10 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = batch.column(0).slice(first, len(rows))
             flat = pa.array(rows.ravel())
             cut = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * len(FEATURES))
-            yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(cut, flat)], ["id", "features"])
+            carried = batch.slice(first, len(rows)).select(batch.schema.names[2:])
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.ListArray.from_arrays(cut, flat), *carried.columns], ["id", "features", *carried.schema.names]
+            )
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -213,7 +216,8 @@ def _scorer(model: AdditiveModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             score = model.score(_matrix(batch.column(1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], ["id", "score"])
+            names = ["id", "score", *batch.schema.names[2:]]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), *batch.columns[2:]], names)
 
     return run
 
@@ -226,6 +230,7 @@ def score_quality(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Score every whole text; high scores mean that label 1 is likely.
 
@@ -233,12 +238,13 @@ def score_quality(
     model is fitted in the driver on at most ``sample`` labelled documents for which
     ``learn``, a condition on the id, holds, taken in the order of a hash of the id.  Scoring adds looked-up values.
 
-    Returns id, ``score``.  A null or empty text has zero features and is scored like any
+    Returns id, ``score`` and the columns ``carry``, whole numbers that key the rows.  A null or empty text has zero features and is scored like any
     other; without labels, or with one label only, all scores are equal.  Null labels and ids
     teach nothing; repeated rows are scored each.  No other column is read.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    measured = written(rows.mapInArrow(_measure, "id long, features array<float>"), "features")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *carry)
+    carried = "".join(f", `{c}` long" for c in carry)
+    measured = written(rows.mapInArrow(_measure, f"id long, features array<float>{carried}"), "features")
     known = labels.filter(F.lit(True) if learn is None else learn).select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("label")
     )
@@ -247,4 +253,4 @@ def score_quality(
     )
     columns = [c.combine_chunks() for c in chosen.columns]
     model = train(_matrix(columns[0]).astype(np.float64), columns[1].to_numpy())
-    return measured.mapInArrow(_scorer(model), "id long, score double").withColumnRenamed("id", id_col)
+    return measured.mapInArrow(_scorer(model), f"id long, score double{carried}").withColumnRenamed("id", id_col)

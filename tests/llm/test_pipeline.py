@@ -115,6 +115,56 @@ def test_mix_takes_each_row_by_itself(spark):
     assert sum(n for row, n in whole.items() if row not in most) <= 1  # only the row at the cut is cut
 
 
+ODD = "doc_id long, text string, lang string, source string, n_chars long, size long, _hit string, _row string, taken string, id string"
+
+
+@pytest.fixture
+def odd(spark):
+    """Repeated rows and null ids, null and empty texts, and columns named like those that the stages use."""
+    words = lambda name, n=40: " ".join(f"{name}{i}" for i in range(n))
+    texts = [(1, words("a")), (1, words("a")), (None, words("a")), (None, words("b")), (None, words("b")), (2, words("c")), (3, words("c") + " end")]
+    texts += [(None, words("c") + " other"), (None, words("d")), (None, words("d") + " more"), (4, None), (5, ""), (6, words("e", 3))]
+    rows = [(i, t, "en", None if i == 2 else "a", None if t is None else len(t), n, "h", "r", "t", "i") for n, (i, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, ODD).repartition(3)
+
+
+def test_exact_keeps_one_row(spark, odd):
+    got = corpus_pipeline.exact(spark, odd, "")
+    assert got.columns == odd.columns
+    rows = sorted((r.text or "", r.doc_id or 0) for r in got.collect())
+    want = {}
+    for r in odd.collect():
+        want[r.text or ""] = max(r.doc_id or 0, want.get(r.text or "", 0))
+    assert rows == sorted(want.items())
+
+
+def test_near_keeps_one_row(spark, odd):
+    got = corpus_pipeline.near(spark, odd, "")
+    assert got.columns == odd.columns
+    kept = Counter((r.doc_id, (r.text or "").split(" ")[0]) for r in got.collect())
+    assert kept == {(1, "a0"): 1, (None, "b0"): 1, (2, "c0"): 1, (None, "d0"): 1, (4, ""): 1, (5, ""): 1, (6, "e0"): 1}
+
+
+def test_quality_judges_each_row(spark, stages):
+    docs = spark.read.parquet(f"{stages[1]}/documents.parquet")
+    junk = docs.filter("doc_id = 160").withColumn("doc_id", F.lit(None).cast("long"))
+    twice = docs.union(docs.filter("doc_id IN (0, 161)")).union(junk).withColumn("score", F.lit("x")).withColumn("features", F.lit("y"))
+    got = corpus_pipeline.quality(spark, twice, stages[1])
+    assert got.columns == twice.columns
+    many = Counter(r.doc_id for r in got.collect())
+    assert many[0] == 2 and not set(many) & {*range(160, 220), None} and len(many) == docs.count() - 60
+
+
+def test_stages_on_odd_and_empty_tables(spark, odd, stages):
+    none = odd.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, stages[1]).count() == 0
+    mixed = corpus_pipeline.mix(spark, odd, "")
+    assert mixed.columns == odd.columns and mixed.count() > 0
+    pieces = corpus_pipeline.pack(spark, odd, "")
+    assert pieces.count() == odd.count()
+
+
 def test_pack(stages):
     whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     want = Counter()
