@@ -18,22 +18,55 @@ from tallyforge.llm.quality import score_quality
 from tallyforge.llm.shingle_join import link_texts
 
 
+ROW = "_row_key"
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own, written with it, so that it is the same whenever they are read."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
+
+
+def left_over(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``keyed`` whose key is not in ``gone`` (column ``id``), as they came."""
+    names = [c for c in rows.columns if c != ROW]
+    plain = rows.select(ROW, *names).toDF("key", *[f"c{i}" for i in range(len(names))])
+    return without(plain, gone, "key").drop("key").toDF(*names)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a quality score of 0.7 or more, learned as in op1; a null id can't be judged by id and stays."""
-    scores = score_quality(docs, table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2)
-    return without(docs, scores.filter("score < 0.7").select(F.col("doc_id").alias("id")), "doc_id")
+    """Rows with a quality score of 0.7 or more, learned as in op1.
+
+    Each row is judged by its own text, whether its id is null or repeated; null and empty texts are scored like others.
+    """
+    rows = keyed(docs)
+    scores = score_quality(rows, table(spark, sf_dir, "labels"), remainder("doc_id", 4) != 2, carry=[ROW])
+    return left_over(rows, scores.filter("score < 0.7").select(F.col(ROW).alias("id")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, the row with the largest id."""
-    gone = exact_dedup(docs).filter("NOT kept").select(F.col("doc_id").alias("id"))
-    return without(docs, gone, "doc_id")
+    """Of equal texts, the row with the largest id: one row, also where it is repeated or all ids are null.
+
+    A null text equals an empty one.
+    """
+    rows = keyed(docs)
+    found = written(exact_dedup(rows, carry=[ROW]).filter("group_size > 1").select("kept", "text_sha256", ROW), "groups")
+    stays = found.filter("kept").groupBy("text_sha256").agg(F.min(ROW).alias("stays"))
+    return left_over(rows, found.join(stays, "text_sha256").filter(F.col(ROW) != F.col("stays")).select(F.col(ROW).alias("id")))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked texts, the row with the smallest id."""
-    gone = link_texts(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("id"))
-    return without(docs, gone, "doc_id")
+    """Of each group of linked texts, the row with the smallest id; a null id stays only where there is no other.
+
+    Rows are linked by their own keys, so ids may be null or repeated.  Texts without words link with nothing and stay.
+    """
+    rows = keyed(docs)
+    links = link_texts(rows, id_col=ROW).select(F.col(ROW).alias("id"), "component_id")
+    ids = rows.select(F.col(ROW).alias("of"), F.col("doc_id"))
+    several = links.groupBy("component_id").count().filter("count > 1").select("component_id")
+    groups = written(links.join(several, "component_id").join(ids, F.col("id") == F.col("of")).drop("of"), "groups")
+    first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("id"))).alias("first")
+    stays = groups.groupBy("component_id").agg(first).select("component_id", F.col("first.id").alias("stays"))
+    return left_over(rows, groups.join(stays, "component_id").filter("id <> stays").select("id"))
 
 
 @F.pandas_udf(T.StringType())
@@ -54,19 +87,23 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Ids may be null or repeated: each row has a key of its own, written with it, and its own take.
     """
-    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
-    taken = mix_sources(keyed, carry=["_row"]).select(F.col("_row").alias("_of"), "size", "taken").filter("taken > 0")
-    rows = keyed.join(taken, F.col("_row") == F.col("_of"))
+    rows = keyed(docs)
+    taken = mix_sources(rows, carry=[ROW]).select(F.col(ROW).alias("of"), "size", "taken").filter("taken > 0")
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    plain = rows.select(F.col(ROW).alias("key"), *[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     epoch = F.explode(F.expr("sequence(1, cast(ceil(taken / size) as int))"))
-    rows = rows.withColumn("_epoch", epoch).withColumn("_words", F.least(F.col("size"), F.expr("taken - (_epoch - 1) * size")))
-    part = F.col("_words") < F.col("size")
-    text = F.coalesce(first_words(F.when(part, F.col("text")), F.col("_words")), F.col("text"))
-    rows = rows.withColumn("text", text).withColumn("n_chars", F.when(part, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    plain = plain.join(taken, F.col("key") == F.col("of")).withColumn("epoch", epoch)
+    plain = plain.withColumn("words", F.least(F.col("size"), F.expr("taken - (epoch - 1) * size")))
+    part, body = F.col("words") < F.col("size"), F.col(names["text"])
+    text = F.coalesce(first_words(F.when(part, body), F.col("words")), body)
+    plain = plain.withColumn(names["text"], text)
+    if "n_chars" in names:
+        plain = plain.withColumn(names["n_chars"], F.when(part, F.length(body).cast("long")).otherwise(F.col(names["n_chars"])))
+    return plain.select(*[F.col(n).alias(c) for c, n in names.items()])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 4096 tokens."""
+    """Pieces of the documents in sequences of at most 4096 tokens; every row has its own, whatever its id, a null text that of an empty one."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
