@@ -128,20 +128,33 @@ def _pad(words: list[bytes]) -> np.ndarray:
     return out
 
 
+def inverse_root(gram: np.ndarray, floor: float = 1e-3) -> np.ndarray:
+    """The symmetric matrix whose square inverts ``gram``; eigenvalues below ``floor`` count as ``floor``."""
+    values, vectors = np.linalg.eigh(gram)
+    return (vectors / np.sqrt(np.maximum(values, floor))) @ vectors.T
+
+
 @dataclass
 class Landmarks:
-    """``words``: the first ``toxic`` of them mark toxic texts, the others look like them."""
+    """``words``: the first ``toxic`` of them mark toxic texts, the others look like them.
+
+    ``shared``: part of a toxic landmark's letters that a word has to share in order, or its kernels count as zero;
+    0 takes the kernels of all words as they are.
+    """
 
     words: list[bytes]
     toxic: int
+    shared: float = SHARED
 
     def __post_init__(self):
         self.rows = _pad(self.words)
         self.own = subsequence_kernel(self.rows, self.rows)
         self._forget()
+        # landmarks as texts of one word each, by the kernel that texts are compared with
+        self.root = inverse_root(self.kernel(self.rows).astype(np.float64) ** POWER) if self.words else np.zeros((0, 0))
 
     def __getstate__(self):
-        return {"words": self.words, "toxic": self.toxic}
+        return {"words": self.words, "toxic": self.toxic, "shared": self.shared}
 
     def __setstate__(self, state):
         self.__dict__.update(state)
@@ -173,8 +186,10 @@ class Landmarks:
         return self.number[np.searchsorted(self.known, hashes)], self.values
 
     def near(self, rows: np.ndarray) -> np.ndarray:
-        """Rows that share, in order, SHARED of the letters of a toxic landmark; for others the kernel counts as zero."""
-        found = np.zeros(len(rows), bool)
+        """Rows that share, in order, enough letters of a toxic landmark."""
+        found = np.full(len(rows), self.shared <= 0)
+        if self.shared <= 0:
+            return found
         sizes = (rows != 0).sum(1)
         order = np.argsort(-sizes, kind="stable")
         letters = np.ascontiguousarray(rows[order].T)
@@ -191,7 +206,7 @@ class Landmarks:
                 part = free[:n]
                 hit = part & place[letters[i, :n]]
                 free[:n] = ((part + hit) | (part - hit)) & full
-            found[order] |= len(word) - np.bitwise_count(free) >= int(np.ceil(SHARED * len(word)))
+            found[order] |= len(word) - np.bitwise_count(free) >= int(np.ceil(self.shared * len(word)))
         return found
 
     def kernel(self, rows: np.ndarray) -> np.ndarray:
@@ -208,9 +223,10 @@ class Landmarks:
 
 
 def pooled(landmarks: Landmarks, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the texts with a unit near a landmark: document, and for each landmark three values over all units.
+    """Of the texts with a unit near a landmark: document, and its Nyström features.
 
-    These are the largest kernel, and the logarithms of the sum of kernels (in POWER) and of that sum for 100 units.
+    A text's kernel with a landmark pools those of its units (in POWER): the largest, the logarithm of their sum, and that
+    of their sum for 100 units.  Each pooled row K(text, landmarks) is mapped by K(landmarks, landmarks)^(-1/2).
     """
     wide = 3 * len(landmarks.words)
     found = units(data, bounds)
@@ -230,7 +246,8 @@ def pooled(landmarks: Landmarks, data: np.ndarray, bounds: np.ndarray) -> tuple[
     docs, kernels = found.doc[order[first]], values[number[back[order]]].astype(np.float64)
     total = np.add.reduceat(kernels**POWER, first)
     share = total * (100 / np.bincount(found.doc, minlength=len(bounds) - 1)[docs][:, None])
-    return docs, np.concatenate([np.maximum.reduceat(kernels, first), np.log1p(total), np.log1p(share)], 1)
+    best = np.maximum.reduceat(kernels, first) ** POWER
+    return docs, np.concatenate([rows @ landmarks.root for rows in (best, np.log1p(total), np.log1p(share))], 1)
 
 
 @dataclass
@@ -375,6 +392,7 @@ def score_toxicity(
     learn: Column | None = None,
     sample: tuple[int, int] = (4000, 8000),
     landmarks: tuple[int, int] = (96, 32),
+    shared: float = SHARED,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
@@ -382,9 +400,11 @@ def score_toxicity(
     """Score every whole text by all its words; high scores mean that label 1 is likely.
 
     The kernel weighs the common subsequences of three letters of two words, less for each
-    letter between, so inserted letters, marks and blanks lower it little.  A text is, for
-    each landmark, its largest kernel and the sums of all its kernels, as they are and by length, so a word that
-    clean texts hold too tells where it comes often.  Landmarks, at most ``landmarks`` of each kind, are words more
+    letter between, so inserted letters, marks and blanks lower it little.  A text's kernels with the landmarks pool
+    those of its words, the largest and the sums, as they are and by length, so a word that clean texts hold too tells
+    where it comes often; the Nyström map K(text, landmarks) K(landmarks, landmarks)^(-1/2) makes them features of a
+    linear machine.  Words that share less than ``shared`` of a toxic landmark's letters count as zero, with 0
+    none do.  Landmarks, at most ``landmarks`` of each kind, are words more
     frequent in toxic documents and the clean words that look most like them.  They, the machine
     and its curve are fitted on at most ``sample`` toxic and clean labelled documents for which ``learn``, a condition
     on the id, holds, taken in the order of a hash of the id.
@@ -404,19 +424,19 @@ def score_toxicity(
     yes = sum(truth.values())
 
     words = _toxic_words(sampled, yes, len(truth) - yes, landmarks[0])
-    toxic = Landmarks(words, len(words))
+    toxic = Landmarks(words, len(words), shared)
     alike: list[bytes] = []
     if words:
         likes = sampled.filter("label = 0").mapInArrow(_lookalikes(toxic), "unit binary, value double")
         likes = likes.groupBy("unit").agg(F.max("value").alias("value")).orderBy(F.desc("value"), "unit")
         alike = [bytes(r["unit"]) for r in likes.limit(landmarks[1]).collect()]
-    marks = Landmarks(words + alike, len(words))
+    marks = Landmarks(words + alike, len(words), shared)
     found = sampled.mapInArrow(_pooled(marks), "id long, pooled array<float>").toArrow() if words else None
     place = {d: i for i, d in enumerate(sorted(truth))}
     matrix = np.zeros((len(truth), 3 * len(marks.words)))
     if words:
         own = [place[i] for i in found.column(0).to_pylist()]
         values = found.column(1).combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        np.maximum.at(matrix, own, values.reshape(len(own), matrix.shape[1]))  # rows that repeat an id count once
+        matrix[own] = values.reshape(len(own), matrix.shape[1])  # rows that repeat an id count once
     machine = train(marks, matrix, np.array([truth[i] for i in sorted(truth)], np.float64))
     return rows.mapInArrow(_scorer(machine), "id long, score double").withColumnRenamed("id", id_col)

@@ -504,3 +504,26 @@ def test_toxicity_counts_words_that_clean_texts_hold_too(spark):
     held = [(y, got[i]) for i, _, y in rows if zlib.crc32(str(i).encode()) % 3 == 1]
     toxic, clean = [g for y, g in held if y], [g for y, g in held if not y]
     assert sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.02 * len(clean)
+
+
+def test_nystrom_features_against_plain_loops():
+    marks = toxicity.Landmarks([b"grobian", b"lumpen", b"grobheit"], 2, shared=0.0)
+    texts = [b"ein grobian und g-r-o-bian", b"", b"lump lumpen lumpensack grobian", b"ganz ruhig hier", b"gr0bian l u m p e n"]
+    data, bounds = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+
+    def kernel(a, b):
+        a, b = slow_kernel(a, a), slow_kernel(a, b) / max(1e-12, slow_kernel(b, b)) ** 0.5
+        return (b / max(1e-12, a) ** 0.5) ** toxicity.POWER
+
+    gram = np.array([[kernel(a, b) for b in marks.words] for a in marks.words])
+    assert np.allclose(marks.root @ gram @ marks.root, np.eye(3), atol=1e-4)
+    values, vectors = np.linalg.eigh(gram)
+    root = vectors @ np.diag(values**-0.5) @ vectors.T
+    docs, got = toxicity.pooled(marks, data, bounds)
+    assert docs.tolist() == [0, 2, 3, 4]
+    for doc, row in zip(docs, got):
+        found = toxicity.units(data[bounds[doc] : bounds[doc + 1]], np.array([0, len(texts[doc])]))
+        all_of = np.array([[kernel(u, w) for w in marks.words] for u in found.texts(np.arange(len(found.start)))])
+        total = all_of.sum(0)
+        want = [all_of.max(0), np.log1p(total), np.log1p(total * 100 / len(all_of))]
+        assert np.allclose(row, np.concatenate([x @ root for x in want]), atol=1e-3)
