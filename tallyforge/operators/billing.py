@@ -125,6 +125,33 @@ def apply_contracts(rated: DataFrame, contracts: DataFrame, periods: DataFrame |
     )
 
 
+def plan_charges(
+    rated: DataFrame, prices: DataFrame, contracts: DataFrame | None = None, held: DataFrame | None = None
+) -> DataFrame:
+    """H2, H3: base fee and usage of each plan that an organisation has in a period.
+
+    A plan's ``base_fee`` (in ``prices``; none if missing) is owed once per organisation and period, however many
+    chains are used, and before any overage.  ``held`` lists period_start, organization_id and plan_slug of plans that
+    are owed without usage too, as subscriptions; plans with usage are owed anyway.  A FIXED contract charges neither
+    (see ``apply_contracts`` for its price).
+    """
+    keys = ["period_start", "organization_id", "plan_slug"]
+    plans = rated.groupBy(*keys).agg(F.sum("cost").cast(MONEY).alias("_usage"))
+    if held is not None:
+        idle = held.select(*keys, F.lit(0).cast(MONEY).alias("_usage"))
+        plans = plans.unionByName(idle).groupBy(*keys).agg(F.sum("_usage").cast(MONEY).alias("_usage"))
+    charged = F.lit(True)
+    rows = plans.join(prices.select("plan_slug", F.col("base_fee").cast(MONEY).alias("_base")), "plan_slug", "left")
+    if contracts is not None:
+        terms = contract_terms(contracts, plans).select("period_start", "organization_id", "contract_type")
+        rows = rows.join(terms, ["period_start", "organization_id"], "left")
+        charged = F.coalesce(F.col("contract_type") != "FIXED", F.lit(True))
+    nothing = F.lit(0).cast(MONEY)
+    base = F.when(charged, F.coalesce("_base", nothing)).otherwise(nothing).cast(MONEY)
+    usage = F.when(charged, F.coalesce("_usage", nothing)).otherwise(nothing).cast(MONEY)
+    return rows.select(*keys, base.alias("base_fee"), usage.alias("usage_charge"), (base + usage).cast(MONEY).alias("amount"))
+
+
 _PERIOD_END = {
     "month": F.last_day,
     "week": lambda start: F.date_add(start, 6),

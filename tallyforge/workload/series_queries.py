@@ -423,6 +423,22 @@ def _(spark, sf_dir):
     return billing.apply_contracts(_rate_of(spark, sf_dir), contracts)
 
 
+@query(
+    "plan_charges",
+    _RATED_VIEWS,
+    f"""SELECT period_start, organization_id, plan_slug, CAST(base AS DOUBLE) AS base_fee, CAST(usage AS DOUBLE) AS usage_charge,
+      CAST(base + usage AS DOUBLE) AS amount
+    FROM (SELECT u.*, CASE WHEN contract_type = 'FIXED' THEN 0 ELSE included_units % 97 + 5 END AS base,
+        CASE WHEN contract_type = 'FIXED' THEN 0 ELSE cost END AS usage
+      FROM (SELECT period_start, organization_id, plan_slug, CAST(sum(cost) AS DECIMAL(18,2)) AS cost FROM {_rated()} GROUP BY ALL) u
+      JOIN price_book USING (plan_slug) JOIN (SELECT period_start, organization_id, contract_type FROM {_owed()}) USING (period_start, organization_id))""",
+)
+def _(spark, sf_dir):
+    prices, contracts = load(spark, sf_dir, "price_book", "contracts")
+    prices = prices.withColumn("base_fee", F.expr("included_units % 97 + 5"))
+    return billing.plan_charges(_written(_rate_of(spark, sf_dir), "rated"), prices, contracts)
+
+
 def _invoiced(period: str, end: str) -> str:
     return f"""(SELECT 'INV-' || strftime(period_start, '%Y-%m-%d') || '-' || organization_id AS invoice_number, organization_id,
       period_start, {end} AS period_end, subtotal, tax, CAST(subtotal + tax AS DECIMAL(18,2)) AS total, contract_type, fixed_charge, usage_charge

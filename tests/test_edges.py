@@ -319,6 +319,18 @@ def test_free_units_once_per_plan(spark):
     assert sorted(float(r.billable_units) for r in rated.where("organization_id = 'o'").collect()) == [66.6666, 66.6667, 66.6667]
 
 
+def test_base_fee_once_per_plan(spark):
+    month, keys = date(2024, 1, 1), "period_start date, organization_id string, plan_slug string"
+    rows = [(month, "o", "p", c, 5) for c in "abc"] + [(month, "o", "x", "a", 2), (month, "fix", "p", "a", 9), (month, "gone", "p", "a", None)]
+    rated = spark.createDataFrame(rows, f"{keys}, chain_slug string, cost int")
+    prices = spark.createDataFrame([("p", 30), ("q", 7), ("x", None)], "plan_slug string, base_fee int")
+    contracts = spark.createDataFrame([("fix", "FIXED", 100), ("idle", "HYBRID", 1)], "organization_id string, contract_type string, price_fixed int")
+    held = spark.createDataFrame([(month, "idle", "q"), (month, "idle", "q"), (month, "o", "p")], keys)
+    got = {(r.organization_id, r.plan_slug): (int(r.base_fee), int(r.usage_charge), int(r.amount)) for r in billing.plan_charges(rated, prices, contracts, held).collect()}
+    assert got == {("o", "p"): (30, 15, 45), ("o", "x"): (0, 2, 2), ("fix", "p"): (0, 0, 0), ("gone", "p"): (30, 0, 30), ("idle", "q"): (7, 0, 7)}
+    assert billing.plan_charges(rated, prices).count() == 4 and billing.plan_charges(rated.limit(0), prices, contracts).count() == 0
+
+
 def test_contracts_without_usage(spark):
     month = date(2024, 1, 1)
     rated = spark.createDataFrame(
