@@ -6,7 +6,8 @@ import re
 
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +23,21 @@ ROW = "_row_key"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """The rows with a key of their own, written with it, so that it is the same whenever they are read."""
+    """The rows with a key of their own, the same whenever they are read.
+
+    Rows of files are keyed by their places in them, so nothing is copied; other rows are written with a key.
+    """
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    except AnalysisException:  # not from files
+        placed = None
+    if placed is not None and not {"_file", "_place"} & set(docs.columns):
+        number = F.row_number().over(Window.orderBy("_file")).cast("long").alias("_number")
+        files = written(placed.select("_file").distinct().select(F.col("_file").alias("_name"), number), "files")
+        rows = placed.join(F.broadcast(files), F.col("_file") == F.col("_name"))
+        rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.expr("shiftleft(_number, 40) + _place").alias(ROW))
+        if not rows.groupBy(ROW).count().filter("count > 1").head(1):  # a join before this may repeat rows of a file
+            return rows
     return written(docs.withColumn(ROW, F.monotonically_increasing_id()), "keyed")
 
 

@@ -102,6 +102,20 @@ def test_mix(stages):
     assert len(cut) <= len(total)
 
 
+def test_rows_of_files_are_keyed_without_a_copy(spark, tmp_path):
+    source = str(tmp_path / "documents.parquet")
+    table = spark.createDataFrame([(i % 5 or None, f"text {i}") for i in range(60)], "doc_id long, text string")
+    table.repartition(4).write.parquet(source)
+    docs = spark.read.parquet(source)
+    rows = corpus_pipeline.keyed(docs)
+    assert {f.rsplit("/", 1)[0] for f in rows.inputFiles() if "/files-" not in f} == {f.rsplit("/", 1)[0] for f in docs.inputFiles()}
+    once = {(r[corpus_pipeline.ROW], r.doc_id, r.text) for r in rows.collect()}
+    again = {(r[corpus_pipeline.ROW], r.doc_id, r.text) for r in rows.repartition(3).collect()}
+    assert once == again and len({key for key, *_ in once}) == 60
+    twice = corpus_pipeline.keyed(docs.join(spark.range(2).withColumnRenamed("id", "copy")))  # places that repeat
+    assert twice.select(corpus_pipeline.ROW).distinct().count() == 120
+
+
 def test_mix_takes_each_row_by_itself(spark):
     words = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
     rows = [(None, words("x", 40)), (None, words("y", 30)), (None, words("x", 40)), (1, words("z", 20)), (2, words("u", 25))]
