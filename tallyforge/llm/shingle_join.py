@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import in_bitmap, slot_bitmap, written
+from tallyforge.llm.common import arrow_batches, in_bitmap, slot_bitmap, written
 from tallyforge.llm.components import components
 from tallyforge.llm.tokens import lower_ascii, mixed, slices, word_hashes
 
@@ -409,6 +409,7 @@ def link_texts(
     filter_bits: int = 1 << 22,
     id_col: str = "doc_id",
     text_col: str = "text",
+    batch_rows: int = 1000,
 ) -> DataFrame:
     """Components of the texts whose sets of 5-word shingles have a Jaccard similarity of 0.75 or more.
 
@@ -418,13 +419,19 @@ def link_texts(
     elements than the segments could show, so they share one.  A signature of more than ``often`` pairs is passed over
     for the sets that have enough others.  The sets of a signature are first compared with one of them; only sets that
     are in different components after that are compared with each other, so copies of one text are not paired.
-    Pairs are screened by parity sketches, which lose none, and verified on the texts.
+    Pairs are screened by parity sketches, which lose none, and verified on the texts.  Packed signatures and pairs of texts are large rows, so tasks hold ``batch_rows`` of
+    them at once.
 
     Hashes have 64 bits (128 for whole sets), so a result is exact unless they collide, or unless all of a
     set's elements fall into too few segments (four deviations from the mean in either scheme, both sets).  Returns one row per
     input row: id, ``n_shingles``, ``component_id`` (smallest id reachable).  A text without words is
     empty and links with nothing, as does a null id; rows that repeat an id must repeat its text.  No other column is read.
     """
+    with arrow_batches(docs.sparkSession, batch_rows):
+        return _linked(docs, often, chunk, bucket_rows, filter_bits, id_col, text_col)
+
+
+def _linked(docs: DataFrame, often: int, chunk: int, bucket_rows: int, filter_bits: int, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = written(rows.mapInArrow(_measure, "id long, n long, print binary, sketch binary"), "sets")
