@@ -16,6 +16,8 @@ from tokenizers import Tokenizer
 SLICE = 1 << 20
 #: Longer pieces are encoded without the table.
 LONGEST = 48
+#: A power of two of places, each with the last piece that was found there.
+SLOTS = 1 << 18
 
 _rng = np.random.default_rng(20_240_601)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -122,7 +124,7 @@ class Encoder:
 
     Texts are cut where no token of the byte-level or word-level BPE files can cross:
     before a blank that precedes a word, and between an ASCII letter and a mark.
-    Pieces are found again by a 64-bit hash.  A text that holds "<|" is not cut.
+    Pieces are found again by a 64-bit hash, most of them in a table with a place for each of its low bits.  A text that holds "<|" is not cut.
     At most ``entries`` pieces are remembered.
     """
 
@@ -143,6 +145,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.last, self.last_number = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32)
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -203,9 +206,11 @@ class Encoder:
 
         if len(self.known) > self.entries:
             self._forget()
-        number = np.empty(len(starts), np.int64)
         short = sizes <= LONGEST
-        distinct, first, back = np.unique(hashes[short], return_index=True, return_inverse=True)
+        slot = (hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        number = self.last_number[slot].astype(np.int64)
+        rest = np.flatnonzero(short & ((self.last[slot] != hashes) | (hashes == 0)))
+        distinct, first, back = np.unique(hashes[rest], return_index=True, return_inverse=True)
         at = np.searchsorted(self.known, distinct)
         at_known = np.minimum(at, max(0, len(self.known) - 1))
         found = (self.known[at_known] == distinct) if len(self.known) else np.zeros(len(distinct), bool)
@@ -218,11 +223,12 @@ class Encoder:
             return [raw[a:b].decode("utf-8", "replace") for a, b in zip(low.tolist(), (low + sizes[which]).tolist(), strict=True)]
 
         if not found.all():
-            where = np.flatnonzero(short)[first[~found]]
+            where = rest[first[~found]]
             value[~found] = self._add(texts_at(where))
             self.known = np.insert(self.known, at[~found], distinct[~found])
             self.place = np.insert(self.place, at[~found], value[~found])
-        number[short] = value[back]
+        number[rest] = value[back]
+        self.last[slot[rest]], self.last_number[slot[rest]] = hashes[rest], number[rest]
         long = np.flatnonzero(~short)
         kept = (len(self.start), self.used)
         if len(long):
