@@ -152,6 +152,12 @@ def compress(ids: np.ndarray, bounds: np.ndarray, least: int = LEAST):
             fit = np.flatnonzero(~odd & (many[pairs] >= level))
             if not len(fit):
                 break
+            # a pair waits for the more frequent ones that it overlaps, or repeats would be cut across their ends
+            count, beside = many[pairs[fit]], at[fit[1:]] == after[fit[:-1]]
+            waits = np.zeros(len(fit), bool)
+            waits[1:] = beside & (count[1:] < count[:-1])
+            waits[:-1] |= beside & (count[:-1] < count[1:])
+            fit = fit[~waits]
             weight = (many[pairs[fit]] << 32) - pairs[fit]
             taken = fit[_chosen(at[fit], after[fit], weight)]
             used = np.bincount(pairs[taken], minlength=len(many))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallyforge.llm.common import arrow_batches, in_bitmap, slot_bitmap, written
 from tallyforge.llm.components import components
-from tallyforge.llm.tokens import lower_ascii, mixed, slices, word_hashes
+from tallyforge.llm.tokens import forget_encoders, lower_ascii, mixed, slices, word_hashes
 
 WORDS = 5
 #: Least Jaccard similarity, as a fraction.
@@ -147,6 +147,7 @@ def sketches_apart(a: bytes, b: bytes) -> int:
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget_encoders()
     for batch in batches:
         for first, data, bounds in slices(batch.column(1)):
             elements, edges = shingles(data, bounds)
@@ -170,6 +171,7 @@ def _index(buckets: int):
     """Signatures of each slice, packed by bucket; and how many of each set's segments may be too frequent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_encoders()
         names = ["bucket", "ids", "signs", "who", "slack"]
         kinds = [pa.int32(), *[pa.binary()] * 4]
         for batch in batches:
@@ -207,7 +209,8 @@ def _index(buckets: int):
                     local, back = np.unique(owner[a:b] >> 3, return_inverse=True)
                     packed = (back.astype(np.uint32) << np.uint32(3)) | (owner[a:b] & np.uint32(7))
                     rows.append((int(bucket[a]), ids[local].astype(np.int64).tobytes(), sign[a:b].tobytes(), packed.tobytes(), None))
-                rows.append((int(bucket[0]), None, None, None, np.concatenate(slack).tobytes()))
+                # slacks belong to no bucket: a hash deals them out
+                rows.append((int(sign[0] & np.uint64(0xFFFFFFFF)) % buckets, None, None, None, np.concatenate(slack).tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
     return run
@@ -369,6 +372,7 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out += [elements[a:b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
         return out
 
+    forget_encoders()
     for batch in batches:
         for at in range(0, batch.num_rows, 500):
             part = batch.slice(at, 500)
@@ -409,7 +413,7 @@ def link_texts(
     filter_bits: int = 1 << 22,
     id_col: str = "doc_id",
     text_col: str = "text",
-    batch_rows: int = 1000,
+    batch_rows: int = 500,
 ) -> DataFrame:
     """Components of the texts whose sets of 5-word shingles have a Jaccard similarity of 0.75 or more.
 
@@ -454,7 +458,8 @@ def _linked(docs: DataFrame, often: int, chunk: int, bucket_rows: int, filter_bi
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(4 * tasks, -(-total // bucket_rows))
     schema = "bucket int, ids binary, signs binary, who binary, slack binary"
-    dealt = single.mapInArrow(_index(buckets), schema).repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    # buckets are dealt round, so no task has more of them than another
+    dealt = single.mapInArrow(_index(buckets), schema).repartitionById(tasks, F.col("bucket") % tasks).sortWithinPartitions("bucket")
     found = written(dealt.mapInArrow(_match(often), "kind int, a long, b long, c long, d long"), "found")
 
     frequent = found.filter("kind = 1").selectExpr("a", "b AS role", "c AS sign", "d DIV 2 AS weight", "d % 2 AS whole")
@@ -476,7 +481,7 @@ def _linked(docs: DataFrame, often: int, chunk: int, bucket_rows: int, filter_bi
     groups = sums.filter("n > 1").groupBy("n", "sum", "xor").agg(F.min("sign").alias("sign")).select("sign")
     members = written(every.join(written(groups, "groups"), "sign"), "members")
 
-    known = real.select("id", "n", "sketch").dropDuplicates(["id"])
+    known = written(real.select("id", "n", "sketch").dropDuplicates(["id"]), "known")
 
     def screened(pairs: DataFrame) -> DataFrame:
         side = lambda c: known.select(*[F.col(x).alias(y) for x, y in (("id", c), ("n", f"n_{c}"), ("sketch", f"sketch_{c}"))])
@@ -485,7 +490,11 @@ def _linked(docs: DataFrame, often: int, chunk: int, bucket_rows: int, filter_bi
         return written(both.mapInArrow(_screen, "a long, b long"), "screened")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
+        # few texts are in a pair: a bitmap leaves the others out before texts are shuffled
+        ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+        wanted = written(slot_bitmap(ends, F.xxhash64("id"), filter_bits), "wanted")
+        some = in_bitmap(texts, F.xxhash64("id"), wanted, filter_bits, "paired").filter("paired")
+        side = lambda c: some.select(F.col("id").alias(c), F.col("text").alias(f"text_{c}"))
         both = pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b")
         return written(both.mapInArrow(_verify, "a long, b long"), "verified")
 

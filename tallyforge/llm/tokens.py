@@ -249,6 +249,13 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def forget_encoders() -> None:
+    """Drop what this worker process keeps for encoding, before other work that needs the room."""
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        pa.default_memory_pool().release_unused()
+
+
 def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """The same rows with ``end`` after each."""
     rows = len(bounds) - 1

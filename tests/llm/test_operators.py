@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -24,8 +25,8 @@ from tallyforge.llm.embeddings import near_duplicate_vectors
 from tallyforge.llm.exact_dedup import exact_dedup
 from tallyforge.llm.mixing import mix_sources
 from tallyforge.llm.packing import pack_documents, pack_plan
-from tallyforge.llm.shingle_join import _near, band_of, bands, link_texts, most_apart, sketch
-from tallyforge.llm.tokens import Encoder, slices
+from tallyforge.llm.shingle_join import _index, _measure, _near, band_of, bands, link_texts, most_apart, sketch
+from tallyforge.llm.tokens import Encoder, encoder, slices
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -134,6 +135,23 @@ def test_shingle_join_of_many_mutations(spark):
         assert {r.doc_id: r.component_id for r in link_texts(table, often=often, chunk=chunk).collect()} == want
 
 
+def texts_batch(many, kind=0):
+    texts = [" ".join(f"w{d}x{i}x{kind}" for i in range(30)) for d in range(many)]
+    return pa.RecordBatch.from_arrays([pa.array(range(many), pa.int64()), pa.array(texts)], ["id", "text"])
+
+
+def test_slacks_are_dealt_over_buckets():
+    rows = [row for kind in range(20) for out in _index(64)([texts_batch(40, kind)]) for row in out.to_pylist()]
+    where = Counter(row["bucket"] for row in rows if row["slack"] is not None)
+    assert len(where) > 1 and 0 <= min(where) and max(where) < 64
+
+
+def test_shingles_drop_the_encoder_of_a_worker():
+    encoder(public_tokenizers.path("word_bpe_49k.json")).encode(*next(slices(pa.array(["some text"])))[1:])
+    assert encoder.cache_info().currsize
+    assert sum(out.num_rows for out in _measure([texts_batch(3)])) == 3 and not encoder.cache_info().currsize
+
+
 def test_near_compares_chunks():
     rng = np.random.default_rng(6)
     base = rng.integers(0, 1 << 62, 90).astype(np.uint64)
