@@ -40,14 +40,16 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 @contextmanager
 def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs that run inside hand Python this many rows at once, fewer where rows are large."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    """Jobs that run inside read files and hand Python this many rows at once, fewer where that is set already."""
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = {name: spark.conf.get(name) for name in names}
+    for name, most in before.items():
+        spark.conf.set(name, str(min(rows, int(most)) if int(most) > 0 else rows))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, most in before.items():
+            spark.conf.set(name, most)
 
 
 def random_key(seed: str, *columns: str) -> Column:

@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import random_key, running_total, written
-from tallyforge.llm.tokens import encoder, slices, with_end
+from tallyforge.llm.common import arrow_batches, random_key, running_total, written
+from tallyforge.llm.tokens import encoder, give_back, slices, with_end
 
 PIECES = "id long, piece int, start long, length long, ids_crc32 long"
 
@@ -89,6 +89,7 @@ def pack_plan(counts: Mapping[int, int], capacity: int) -> list[tuple[int, int,
 def _cut(path: str, end: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
+        give_back()  # of the tasks before this one
         for batch in batches:
             ids_of = batch.column(0)
             for first, data, bounds in slices(batch.column(1)):
@@ -159,7 +160,8 @@ def pack_documents(
     """
     pieces = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     pieces = pieces.mapInArrow(_cut(tokenizer, end_id, capacity), PIECES)
-    pieces = written(pieces.withColumn("key", random_key("pack", "id", "piece")), "pieces")
+    with arrow_batches(docs.sparkSession, 1000):
+        pieces = written(pieces.withColumn("key", random_key("pack", "id", "piece")), "pieces")
     counts = {int(n): int(c) for n, c in pieces.groupBy("length").count().collect()}
     ranked = running_total(pieces, ["length"], "key", ["id", "piece"], None).select(
         F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", F.col("before").cast("long").alias("before")

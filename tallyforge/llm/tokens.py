@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import json
 import re
 from collections.abc import Iterator
@@ -246,14 +248,24 @@ class Encoder:
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The encoder of this worker process."""
-    return Encoder(path)
+    made = Encoder(path)
+    give_back()  # the vocabulary was read several times over
+    return made
+
+
+def give_back() -> None:
+    """Return what this worker process has freed to the system; its allocators keep most of it otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim is not None:
+        trim(0)
 
 
 def forget_encoders() -> None:
     """Drop what this worker process keeps for encoding, before other work that needs the room."""
-    if encoder.cache_info().currsize:
-        encoder.cache_clear()
-        pa.default_memory_pool().release_unused()
+    encoder.cache_clear()
+    give_back()
 
 
 def with_end(ids: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:

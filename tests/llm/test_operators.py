@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallyforge.llm import language, quality, repair, toxicity, warc
-from tallyforge.llm.common import remainder, without
+from tallyforge.llm.common import arrow_batches, remainder, without
 from tallyforge.llm.components import components
 from tallyforge.llm.embeddings import near_duplicate_vectors
 from tallyforge.llm.exact_dedup import exact_dedup
@@ -146,6 +146,16 @@ def test_slacks_are_dealt_over_buckets():
     assert len(where) > 1 and 0 <= min(where) and max(where) < 64
 
 
+def test_batches_are_small_and_set_back(spark):
+    names = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
+    before = [spark.conf.get(n) for n in names]
+    with arrow_batches(spark, 500):
+        assert [spark.conf.get(n) for n in names] == ["500", "500"]
+        with arrow_batches(spark, 1000):
+            assert [spark.conf.get(n) for n in names] == ["500", "500"]
+    assert [spark.conf.get(n) for n in names] == before
+
+
 def test_shingles_drop_the_encoder_of_a_worker():
     encoder(public_tokenizers.path("word_bpe_49k.json")).encode(*next(slices(pa.array(["some text"])))[1:])
     assert encoder.cache_info().currsize
