@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyforge.llm.common import arrow_batches, random_key, running_total, written
-from tallyforge.llm.tokens import encoder, give_back, slices, with_end
+from tallyforge.llm.tokens import SLICE, encoder, give_back, slices, with_end
 
 PIECES = "id long, piece int, start long, length long, ids_crc32 long"
 
@@ -89,10 +89,10 @@ def pack_plan(counts: Mapping[int, int], capacity: int) -> list[tuple[int, int,
 def _cut(path: str, end: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode
-        give_back()  # of the tasks before this one
         for batch in batches:
+            give_back()  # of the batch or the task before
             ids_of = batch.column(0)
-            for first, data, bounds in slices(batch.column(1)):
+            for first, data, bounds in slices(batch.column(1), SLICE // 2):
                 ids, ends = with_end(*encode(data, bounds), end)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 row, piece, start, length, crc = [], [], [], [], []

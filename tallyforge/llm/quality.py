@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyforge.llm.common import written
-from tallyforge.llm.tokens import slices, word_hashes
+from tallyforge.llm.common import arrow_batches, written
+from tallyforge.llm.tokens import forget_encoders, slices, word_hashes
 
 FEATURES = [
     "log_words", "word_length", "upper", "digits", "marks", "marked_words", "bars", "line_length", "distinct_words",
@@ -196,6 +196,7 @@ def train(
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget_encoders()
     for batch in batches:
         for first, data, bounds in slices(batch.column(1)):
             rows = features(data, bounds)
@@ -244,7 +245,8 @@ def score_quality(
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *carry)
     carried = "".join(f", `{c}` long" for c in carry)
-    measured = written(rows.mapInArrow(_measure, f"id long, features array<float>{carried}"), "features")
+    with arrow_batches(docs.sparkSession, 1000):
+        measured = written(rows.mapInArrow(_measure, f"id long, features array<float>{carried}"), "features")
     known = labels.filter(F.lit(True) if learn is None else learn).select(
         F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("double").alias("label")
     )

@@ -248,6 +248,7 @@ class Encoder:
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """The encoder of this worker process."""
+    give_back()
     made = Encoder(path)
     give_back()  # the vocabulary was read several times over
     return made
