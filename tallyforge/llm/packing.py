@@ -92,7 +92,7 @@ def _cut(path: str, end: int, capacity: int):
         for batch in batches:
             give_back()  # of the batch or the task before
             ids_of = batch.column(0)
-            for first, data, bounds in slices(batch.column(1), SLICE // 2):
+            for first, data, bounds in slices(batch.column(1), SLICE // 4):
                 ids, ends = with_end(*encode(data, bounds), end)
                 raw = memoryview(ids.astype("<u4").tobytes())
                 row, piece, start, length, crc = [], [], [], [], []
@@ -160,7 +160,7 @@ def pack_documents(
     """
     pieces = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     pieces = pieces.mapInArrow(_cut(tokenizer, end_id, capacity), PIECES)
-    with arrow_batches(docs.sparkSession, 1000):
+    with arrow_batches(docs.sparkSession, 500):
         pieces = written(pieces.withColumn("key", random_key("pack", "id", "piece")), "pieces")
     counts = {int(n): int(c) for n, c in pieces.groupBy("length").count().collect()}
     ranked = running_total(pieces, ["length"], "key", ["id", "piece"], None).select(
