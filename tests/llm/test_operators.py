@@ -10,6 +10,7 @@ import struct
 import zipfile
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -27,6 +28,7 @@ from tallyforge.llm.mixing import mix_sources
 from tallyforge.llm.packing import pack_documents, pack_plan
 from tallyforge.llm.shingle_join import _index, _measure, _near, band_of, bands, link_texts, most_apart, sketch
 from tallyforge.llm.tokens import Encoder, encoder, slices
+from tallyforge.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -432,6 +434,47 @@ def test_vectors(spark):
     assert near_duplicate_vectors(table.limit(0)).count() == 0
 
 
+def linked(rows, bound):
+    """Number of links and component of each row, by definition."""
+    ids, unit = [i for i, _ in rows], np.array([v for _, v in rows], float)
+    unit /= np.sqrt((unit**2).sum(1, keepdims=True))
+    near = np.triu(unit @ unit.T >= bound, 1)
+    label = groups([(ids[a], ids[b]) for a, b in zip(*np.nonzero(near), strict=True)], ids)
+    return {i: (int(n), label[i], label[i] == i) for i, n in zip(ids, (near | near.T).sum(1), strict=True)}
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_vectors_across_slabs(spark, kind):
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(300, 20))
+    crowd = base[0] + 0.02 * rng.normal(size=(500, 20))  # more than a block of rows that all link
+    chain = base[1] + np.linspace(0, 3, 40)[:, None] * base[2]
+    some = base[100:200] + 0.15 * rng.normal(size=(100, 20))
+    vectors = np.concatenate([base, crowd, chain, some, base[50:80], crowd[:30]]).astype(np.float32)
+    rows = [(int(i), [float(x) for x in v]) for i, v in zip(rng.permutation(len(vectors)), vectors, strict=True)]
+    table = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>")
+    for slab, chunk in ((20 * 150, 64), (1 << 22, 4096)):
+        got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_duplicate_vectors(table, slab=slab, chunk=chunk).collect()}
+        assert got == linked(rows, 0.9)
+
+
+def test_vectors_take_disk_in_proportion(spark):
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(np.random.default_rng(8).normal(size=(4000, 32)).astype(np.float32))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").cache()
+    table.count()
+    shared = Path(scratch_path(spark, "x").removeprefix("file:")).parent
+
+    def files():
+        own = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        found = [Path(own.apply(k).getPath()) for k in range(own.size())] + [p for p in shared.rglob("*") if p.is_file()]
+        return {str(p): p.stat().st_size for p in found if p.exists()}
+
+    before = files()
+    assert near_duplicate_vectors(table, chunk=64).filter("n_links = 0 AND kept").count() == 4000
+    assert sum(size for path, size in files().items() if path not in before) < 8 * 4000 * 32 * 4
+    table.unpersist()
+
+
 def test_quality_separates(spark, docs, none):
     rng = np.random.default_rng(1)
     clean = [" ".join(f"w{x}" for x in rng.integers(0, 500, 80)) + "." for _ in range(120)]
